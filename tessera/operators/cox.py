@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.stats import Z_975
 from tessera.operators.cumulative import running_sums
-from tessera.session import checkpoint_root
+from tessera.session import checkpoint_root, materialize
 
 
 def _chunked(ev: DataFrame, chunk: int) -> DataFrame:
@@ -70,13 +70,13 @@ def _attach_beta(rows: DataFrame, beta: DataFrame, group: str) -> DataFrame:
 
 
 def cox_fit(et: DataFrame, group: str, time: str = "time", max_iter: int = 30,
-            tol: float = 1e-10, chunk: int = 1 << 15, method: str = "ranged") -> DataFrame:
+            tol: float = 1e-10, chunk: int = 1 << 15, method: str = "auto") -> DataFrame:
     """Per group: coef, model and robust standard errors, hazard ratio and 95% limits."""
     spark = et.sparkSession
     checkpoint_root(spark)
     ev = et.filter((F.col("d0") + F.col("d1")) > 0)
-    ev = _chunked(ev, chunk).checkpoint(eager=True)
-    beta = ev.select(group).distinct().withColumn("beta", F.lit(0.0)).checkpoint(eager=True)
+    ev = materialize(_chunked(ev, chunk))
+    beta = materialize(ev.select(group).distinct().withColumn("beta", F.lit(0.0)))
     iterations = 0
     for iterations in range(1, max_iter + 1):
         j = _attach_beta(ev, beta, group).withColumns(_risk_sums())
@@ -90,7 +90,8 @@ def cox_fit(et: DataFrame, group: str, time: str = "time", max_iter: int = 30,
                            .otherwise(F.lit(0.0)))
                .select(group, (F.col("beta") + F.col("step")).alias("beta"),
                        F.abs("step").alias("step")))
-        nxt = nxt.checkpoint(eager=True)
+        # one small row per group, written once: the loop never grows a lineage
+        nxt = materialize(nxt)
         biggest = nxt.agg(F.max("step")).first()[0]
         beta = nxt.select(group, "beta")
         if biggest is None or biggest < tol:

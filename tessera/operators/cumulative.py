@@ -14,13 +14,18 @@ one task. When one key holds a third of the table that task is the job. The
 
 Every window partition is bounded by one block, never by one key. Input must
 hold one row per (keys, t) (aggregate first) and non-NULL keys.
+
+``method="auto"`` (the default) decides at run time from one small aggregate:
+rows are unique per (key, t), so the number of distinct t bounds every key's
+row count. When that bound is at most ``window_limit`` a single window is
+safe (each window partition holds at most that many rows) and cheaper;
+otherwise the two-level form is used, with block bounds from the same job.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,11 +39,13 @@ def _shuffle_partitions(df: DataFrame) -> int:
         return 200
 
 
-def quantile_bounds(df: DataFrame, col: str, n_blocks: int) -> list:
-    """Sorted distinct approximate quantiles cutting ``col`` into ~n_blocks ranges."""
+def order_stats(df: DataFrame, col: str, n_blocks: int) -> tuple[int, list]:
+    """(approximate distinct count, sorted quantile bounds cutting into ~n_blocks ranges)."""
     probs = [i / n_blocks for i in range(1, n_blocks)]
-    arr = df.agg(F.percentile_approx(col, probs, 10000)).first()[0]
-    return sorted(set(v for v in (arr or []) if v is not None))
+    r = df.agg(F.approx_count_distinct(col, 0.05).alias("nd"),
+               F.percentile_approx(col, probs, 10000).alias("q")).first()
+    bounds = sorted(set(v for v in (r["q"] or []) if v is not None))
+    return int(r["nd"] or 0), bounds
 
 
 def block_of(value: Column, bounds: Sequence) -> Column:
@@ -56,7 +63,8 @@ def block_of(value: Column, bounds: Sequence) -> Column:
 
 def running_sums(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str], *,
                  prefix: str = "cum_", suffix_prefix: str | None = None,
-                 method: str = "ranged", blocks: int | None = None) -> DataFrame:
+                 method: str = "auto", blocks: int | None = None,
+                 window_limit: int = 1_000_000) -> DataFrame:
     """Add inclusive prefix sums ``cum_<c>`` (rows with order <= current).
 
     With ``suffix_prefix`` (e.g. ``"rcum_"``) also add inclusive suffix sums
@@ -66,6 +74,12 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[
     """
     keys = list(keys)
     cols = list(cols)
+    bounds = None
+    if method in ("auto", "ranged"):
+        n_blocks = max(2, blocks or _shuffle_partitions(df))
+        n_distinct, bounds = order_stats(df, order, n_blocks)
+        if method == "auto":
+            method = "window" if (keys and n_distinct <= window_limit) else "ranged"
     if method == "window":
         w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
         out = df.withColumns({prefix + c: F.sum(c).over(w) for c in cols})
@@ -77,10 +91,7 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[
     if method != "ranged":
         raise ValueError(f"unknown method {method!r}")
 
-    n_blocks = max(2, blocks or _shuffle_partitions(df))
-    # the input feeds two branches (block totals and local sums): keep it once
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    ranged = df.withColumn(_BLK, block_of(F.col(order), quantile_bounds(df, order, n_blocks)))
+    ranged = df.withColumn(_BLK, block_of(F.col(order), bounds))
 
     totals = ranged.groupBy(*keys, _BLK).agg(*[F.sum(c).alias(c) for c in cols])
     before = Window.partitionBy(*keys).orderBy(_BLK).rowsBetween(Window.unboundedPreceding, -1)

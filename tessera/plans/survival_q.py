@@ -10,6 +10,7 @@ from tessera.operators.cox import cox_fit
 from tessera.plans.fixtures import (LINE_LEVELS, LINE_LOCK, LINEITEM_TRIAL_SQL, ORDER_LEVELS, ORDER_LOCK,
                                     ORDERS_TRIAL_SQL, lineitem_trial, orders_trial)
 from tessera.plans.registry import query
+from tessera.session import materialize
 
 R = 6
 Z = "1.959963984540054"  # fixed value: 97.5% normal quantile, as in functions.stats
@@ -88,12 +89,12 @@ def arm_description_q(spark, sf):
 
 # ---------------------------------------------------------------- curves and tests
 
-def _lineitem_et(spark, sf, method="ranged"):
-    return sv.event_table(lineitem_trial(spark, sf), "grp", "arm", LINE_LEVELS, method=method)
+def _lineitem_et(spark, sf, method="auto"):
+    return materialize(sv.event_table(lineitem_trial(spark, sf), "grp", "arm", LINE_LEVELS, method=method))
 
 
-def _orders_et(spark, sf, method="ranged"):
-    return sv.event_table(orders_trial(spark, sf), "grp", "arm", ORDER_LEVELS, method=method)
+def _orders_et(spark, sf, method="auto"):
+    return materialize(sv.event_table(orders_trial(spark, sf), "grp", "arm", ORDER_LEVELS, method=method))
 
 
 @query("km_curve", "WITH " + _km_sql(LINEITEM_TRIAL_SQL, LINE_LEVELS).lstrip() + f"""
@@ -128,7 +129,7 @@ SELECT grp, arm, round(max(rmean), {R}) AS rmean,
 FROM cs JOIN rm USING (grp, arm) GROUP BY grp, arm
 """)
 def km_rmean_q(spark, sf):
-    cur = sv.km_curve(_orders_et(spark, sf), "grp", ORDER_LEVELS)
+    cur = materialize(sv.km_curve(_orders_et(spark, sf), "grp", ORDER_LEVELS))
     return _round(sv.km_rmean(cur, "grp"), ["rmean", "se_rmean"])
 
 
@@ -151,16 +152,16 @@ def logrank_test(spark, sf):
 @query("cox_hazard_ratio")
 def cox_hazard_ratio(spark, sf):
     """Per supplier: Cox coefficient (R vs A), hazard ratio, robust 95% limits."""
-    et = _lineitem_et(spark, sf).persist()
-    return cox_fit(et, "grp")
+    return cox_fit(_lineitem_et(spark, sf), "grp")
 
 
 def survival_bundle(subjects: DataFrame, levels, lock: float) -> DataFrame:
     """One row per analysis: log-rank, arm descriptions (both arms), Cox."""
-    et = sv.event_table(subjects, "grp", "arm", levels).persist()
+    subjects = materialize(subjects)
+    et = materialize(sv.event_table(subjects, "grp", "arm", levels))
     lr = sv.with_pvalue(sv.logrank(et, "grp")).select(
         "grp", F.col("pval").alias("logrank_pval"), F.col("chisq").alias("logrank_chisq"))
-    cur = sv.km_curve(et, "grp", levels).persist()
+    cur = materialize(sv.km_curve(et, "grp", levels))
     desc = (sv.arm_description(subjects, "grp", "arm", lock)
             .join(sv.km_rmean(cur, "grp").drop("tau"), on=["grp", "arm"], how="left")
             .join(sv.km_median(cur, "grp"), on=["grp", "arm"], how="left"))

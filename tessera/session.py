@@ -55,3 +55,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never-used path under the shared scratch area."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/tessera-scratch/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Write ``df`` to the shared checkpoint folder and continue from the files.
+
+    Cuts the lineage (small plans, no recomputation of upstream work, and a
+    lost executor only costs re-reading these files). The data is cached
+    just for the write so it is computed once, then released.
+    """
+    from pyspark import StorageLevel
+
+    checkpoint_root(df.sparkSession)
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
