@@ -1 +1,467 @@
-"""MLlib queries (filled in below)."""
+"""MLlib queries. Seeds are fixed; inputs are read in file order, so fits are
+repeatable. Model-parameter tables are built on the driver (bounded by the
+number of terms); predictions and evaluation stay distributed."""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import (DecisionTreeClassifier, FMClassifier, GBTClassifier, LinearSVC,
+                                       LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes,
+                                       RandomForestClassifier)
+from pyspark.ml.clustering import LDA, BisectingKMeans, GaussianMixture, KMeans, PowerIterationClustering
+from pyspark.ml.feature import CountVectorizer, RegexTokenizer, StopWordsRemover, StringIndexer, VectorAssembler
+from pyspark.ml.fpm import FPGrowth
+from pyspark.ml.recommendation import ALS
+from pyspark.ml.regression import (AFTSurvivalRegression, DecisionTreeRegressor, FMRegressor, GBTRegressor,
+                                   GeneralizedLinearRegression, IsotonicRegression, LinearRegression,
+                                   RandomForestRegressor)
+from pyspark.ml.stat import KolmogorovSmirnovTest
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+
+from tessera.functions.scalar import no_negative_zero, threshold_class
+from tessera.operators import ml
+from tessera.operators.patterns import sequential_pairs
+from tessera.operators.sampling import hash_split, train_test_by_class
+from tessera.plans.fixtures import lineitem_trial
+from tessera.plans.registry import query
+from tessera.session import scratch_path
+from tessera.sources.tables import table
+
+# fixed values: seeds and sizes of the fits
+SEED = 1099
+GLM_CLASSES = {"AUTOMOBILE": 42, "BUILDING": 43}
+FP_MIN_SUPPORT = 0.01
+SEQ_MIN_SUPPORT = 0.1
+
+
+def _emb(spark, sf, dims=None) -> DataFrame:
+    e = table(spark, sf, "embeddings")
+    return ml.embedding_vectors(e, dims=dims).select("vec_id", F.col("label").cast("double").alias("label"),
+                                                      "features")
+
+
+def _binary_emb(spark, sf) -> DataFrame:
+    return _emb(spark, sf).withColumn("label", (F.col("label") < 5).cast("double"))
+
+
+def _coef_table(spark, names, coefs, intercept=None):
+    return ml.tidy_terms(spark, names, {"estimate": list(coefs)},
+                         None if intercept is None else {"estimate": intercept})
+
+
+def _vector_names(df: DataFrame, col: str = "features") -> list[str]:
+    meta = df.schema[col].metadata.get("ml_attr", {})
+    attrs = meta.get("attrs", {})
+    pairs = [(a["idx"], a.get("name", f"f{a['idx']}")) for group in attrs.values() for a in group]
+    n = meta.get("num_attrs", len(pairs))
+    names = dict(pairs)
+    return [names.get(i, f"f{i}") for i in range(n)]
+
+
+# ---------------------------------------------------------------- formula, GLM
+
+@query("formula_features", """
+SELECT l_orderkey, l_linenumber, round(l_extendedprice, 6) AS label, round(l_quantity, 6) AS f0,
+       round(l_discount, 6) + 0.0 AS f1, round(l_quantity * l_discount, 6) + 0.0 AS f2 FROM lineitem
+""")
+def formula_features(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity",
+                                             no_negative_zero("l_discount").alias("l_discount"))
+    fitted = ml.formula_pipeline("l_extendedprice ~ l_quantity + l_discount + l_quantity:l_discount").fit(li)
+    out = ml.features_as_columns(fitted.transform(li).select("l_orderkey", "l_linenumber", "label", "features"),
+                                 n=3)
+    return out.select("l_orderkey", "l_linenumber", *[(F.round(c, 6) + 0.0).alias(c)
+                                                       for c in ("label", "f0", "f1", "f2")])
+
+
+def _glm_data(spark, sf):
+    c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal", "c_nationkey")
+    return train_test_by_class(c, "c_mktsegment", GLM_CLASSES, 0.6, ["c_custkey"])
+
+
+def _glm_fit(spark, sf):
+    data = _glm_data(spark, sf)
+    pipe = ml.formula_pipeline("c_mktsegment ~ c_acctbal + c_nationkey",
+                               GeneralizedLinearRegression(family="binomial", link="logit", maxIter=25))
+    return data, pipe.fit(data.filter(F.col("split") == "training"))
+
+
+@query("glm_binomial_coefs")
+def glm_binomial_coefs(spark, sf):
+    """Binomial GLM on two segments: estimate, std error, t and p per term."""
+    data, model = _glm_fit(spark, sf)
+    glm = model.stages[-1]
+    s = glm.summary
+    names = _vector_names(model.transform(data.limit(1)))
+    k = len(glm.coefficients)
+    return ml.tidy_terms(spark, names,
+                         {"estimate": list(glm.coefficients), "std_error": s.coefficientStandardErrors[:k],
+                          "t_value": s.tValues[:k], "p_value": s.pValues[:k]},
+                         {"estimate": glm.intercept, "std_error": s.coefficientStandardErrors[k],
+                          "t_value": s.tValues[k], "p_value": s.pValues[k]})
+
+
+@query("glm_summary")
+def glm_summary(spark, sf):
+    _, model = _glm_fit(spark, sf)
+    s = model.stages[-1].summary
+    items = [("aic", s.aic), ("deviance", s.deviance), ("null_deviance", s.nullDeviance),
+             ("dispersion", s.dispersion), ("iterations", s.numIterations), ("rank", s.rank),
+             ("residual_dof", s.residualDegreeOfFreedom)]
+    return ml.metrics_table(spark, [("glm_binomial", k, v) for k, v in items])
+
+
+@query("glm_confusion")
+def glm_confusion(spark, sf):
+    """Predict on training and test rows; 0/1 class at .5 against the label code."""
+    data, model = _glm_fit(spark, sf)
+    pred = model.transform(data).withColumn("class", threshold_class("prediction", 0.5))
+    return pred.groupBy("split", "class", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------- clustering
+
+def _kmeans(spark, sf):
+    df = _emb(spark, sf, dims=4)
+    model = KMeans(k=3, seed=1, maxIter=50).fit(df)
+    return df, model
+
+
+@query("kmeans_centers")
+def kmeans_centers(spark, sf):
+    """Cluster centres over four features, with cluster sizes."""
+    df, model = _kmeans(spark, sf)
+    rows = [(i, *[float(v) for v in c]) for i, c in enumerate(model.clusterCenters())]
+    centres = spark.createDataFrame(rows, "cluster int, c0 double, c1 double, c2 double, c3 double")
+    sizes = ml.cluster_sizes(model.transform(df)).withColumnRenamed("prediction", "cluster")
+    return centres.join(sizes, "cluster", "left")
+
+
+@query("kmeans_contingency")
+def kmeans_contingency(spark, sf):
+    df, model = _kmeans(spark, sf)
+    return ml.confusion(model.transform(df), "label")
+
+
+@query("ml_bisecting_kmeans")
+def ml_bisecting_kmeans(spark, sf):
+    df = _emb(spark, sf)
+    model = BisectingKMeans(k=3, seed=2, maxIter=20).fit(df)
+    return ml.cluster_sizes(model.transform(df)).withColumnRenamed("prediction", "cluster")
+
+
+@query("ml_gmm")
+def ml_gmm(spark, sf):
+    df = _emb(spark, sf, dims=4)
+    model = GaussianMixture(k=3, seed=3, maxIter=50).fit(df)
+    g = model.gaussiansDF.collect()  # k rows
+    rows = [(i, float(w), *[float(v) for v in g[i]["mean"]]) for i, w in enumerate(model.weights)]
+    return spark.createDataFrame(rows, "component int, weight double, m0 double, m1 double, m2 double, m3 double")
+
+
+@query("ml_lda")
+def ml_lda(spark, sf):
+    """Topics of the whole document texts: top 8 terms per topic (a top-k report)."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    tok = RegexTokenizer(inputCol="text", outputCol="tokens", pattern="\\W+", minTokenLength=3)
+    stop = StopWordsRemover(inputCol="tokens", outputCol="words")
+    cv = CountVectorizer(inputCol="words", outputCol="features", vocabSize=2000, minDF=2)
+    lda = LDA(k=5, maxIter=10, seed=7, optimizer="online")
+    model = Pipeline(stages=[tok, stop, cv, lda]).fit(docs)
+    vocab = model.stages[2].vocabulary
+    topics = model.stages[3].describeTopics(8)
+    vocab_df = spark.createDataFrame([(i, w) for i, w in enumerate(vocab)], "term_index int, term string")
+    return (topics.select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "tw"))
+            .select("topic", "rank", F.col("tw.termIndices").alias("term_index"),
+                    F.col("tw.termWeights").alias("weight"))
+            .join(vocab_df, "term_index").drop("term_index"))
+
+
+@query("ml_pic")
+def ml_pic(spark, sf):
+    """Power iteration clustering of the supplier-part graph (weight = quantity).
+
+    Suppliers get even node ids, parts odd ones. Edges are one per
+    (supplier, part) pair that actually traded: no pairs are enumerated.
+    """
+    li = table(spark, sf, "lineitem")
+    edges = (li.groupBy("l_suppkey", "l_partkey").agg(F.sum("l_quantity").alias("weight"))
+             .select((F.col("l_suppkey") * 2).alias("src"), (F.col("l_partkey") * 2 + 1).alias("dst"), "weight"))
+    pic = PowerIterationClustering(k=3, maxIter=20, weightCol="weight", initMode="degree")
+    out = pic.assignClusters(edges)
+    return out.select(F.when(F.col("id") % 2 == 0, F.lit("supplier")).otherwise(F.lit("part")).alias("node"),
+                      F.floor(F.col("id") / 2).cast("bigint").alias("key"), "cluster")
+
+
+# ---------------------------------------------------------------- regression
+
+LINREG_SQL = """
+WITH f AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a
+           FROM lineitem)
+SELECT round(max(b), 4) AS slope, round(max(a), 4) AS intercept,
+       round(avg((l_extendedprice - (a + b * l_quantity)) * (l_extendedprice - (a + b * l_quantity))), 0) AS mse
+FROM lineitem, f
+"""
+
+
+@query("linreg_fit", LINREG_SQL)
+def linreg_fit(spark, sf):
+    """Least squares with intercept (normal equations, one pass); slope, intercept, mse."""
+    li = table(spark, sf, "lineitem").select("l_extendedprice", "l_quantity")
+    model = ml.formula_pipeline("l_extendedprice ~ l_quantity",
+                                LinearRegression(solver="normal", regParam=0.0, fitIntercept=True)).fit(li)
+    lr = model.stages[-1]
+    row = [(round(float(lr.coefficients[0]), 4), round(float(lr.intercept), 4),
+            round(float(lr.summary.meanSquaredError), 0))]
+    return spark.createDataFrame(row, "slope double, intercept double, mse double")
+
+
+@query("ml_glm_gaussian", """
+SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
+       round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept FROM lineitem
+""")
+def ml_glm_gaussian(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_extendedprice", "l_quantity")
+    model = ml.formula_pipeline("l_extendedprice ~ l_quantity",
+                                GeneralizedLinearRegression(family="gaussian", link="identity")).fit(li)
+    g = model.stages[-1]
+    return spark.createDataFrame([(round(float(g.coefficients[0]), 4), round(float(g.intercept), 4))],
+                                 "slope double, intercept double")
+
+
+def _part_xy(spark, sf):
+    p = table(spark, sf, "part").select("p_partkey", "p_size", F.col("p_retailprice").alias("label"))
+    return ml.assemble(p, ["p_size"])
+
+
+@query("ml_isotonic")
+def ml_isotonic(spark, sf):
+    model = IsotonicRegression(isotonic=True).fit(_part_xy(spark, sf))
+    rows = list(zip([float(b) for b in model.boundaries], [float(p) for p in model.predictions]))
+    return spark.createDataFrame(rows, "boundary double, prediction double")
+
+
+@query("ml_fm_regressor")
+def ml_fm_regressor(spark, sf):
+    df = _part_xy(spark, sf)
+    model = FMRegressor(factorSize=4, maxIter=50, seed=5, stepSize=0.01).fit(df)
+    pred = model.transform(df)
+    return pred.agg(F.sqrt(F.avg(F.pow(F.col("label") - F.col("prediction"), 2))).alias("rmse"),
+                    F.count(F.lit(1)).alias("n"))
+
+
+@query("ml_tree")
+def ml_tree(spark, sf):
+    """Decision trees: regression (part price by size) and classification (embedding labels)."""
+    reg = DecisionTreeRegressor(maxDepth=5, seed=9).fit(_part_xy(spark, sf))
+    cls = DecisionTreeClassifier(maxDepth=5, seed=9).fit(_emb(spark, sf))
+    return ml.metrics_table(spark, [("regressor", "depth", reg.depth), ("regressor", "nodes", reg.numNodes),
+                                    ("classifier", "depth", cls.depth), ("classifier", "nodes", cls.numNodes),
+                                    ("classifier", "classes", cls.numClasses)])
+
+
+@query("ml_gbt")
+def ml_gbt(spark, sf):
+    cls_df = _binary_emb(spark, sf)
+    cls = GBTClassifier(maxIter=20, maxDepth=3, seed=10).fit(cls_df)
+    acc = cls.transform(cls_df).agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
+    reg_df = _part_xy(spark, sf)
+    reg = GBTRegressor(maxIter=20, maxDepth=3, seed=10).fit(reg_df)
+    rmse = reg.transform(reg_df).agg(F.sqrt(F.avg(F.pow(F.col("label") - F.col("prediction"), 2)))).first()[0]
+    return ml.metrics_table(spark, [("classifier", "train_accuracy", acc), ("classifier", "trees", cls.getNumTrees),
+                                    ("regressor", "train_rmse", rmse), ("regressor", "trees", reg.getNumTrees)])
+
+
+@query("ml_rf_regressor")
+def ml_rf_regressor(spark, sf):
+    df = _part_xy(spark, sf)
+    model = RandomForestRegressor(numTrees=20, maxDepth=5, seed=11).fit(df)
+    pred = model.transform(df)
+    return pred.agg(F.sqrt(F.avg(F.pow(F.col("label") - F.col("prediction"), 2))).alias("rmse"),
+                    F.count(F.lit(1)).alias("n"))
+
+
+@query("ml_aft")
+def ml_aft(spark, sf):
+    """Accelerated failure time fit on the lineitem trial (censor column = event)."""
+    s = lineitem_trial(spark, sf).select((F.col("arm") == "R").cast("double").alias("treated"),
+                                         "time", F.col("event").cast("double").alias("event"))
+    df = ml.assemble(s, ["treated"])
+    m = AFTSurvivalRegression(labelCol="time", censorCol="event", maxIter=100).fit(df)
+    t = _coef_table(spark, ["treated"], m.coefficients, m.intercept)
+    return t.unionByName(ml.tidy_terms(spark, ["log(scale)"], {"estimate": [float(__import__("math").log(m.scale))]}))
+
+
+# ---------------------------------------------------------------- classification
+
+def _rf_split(spark, sf):
+    df = _emb(spark, sf, dims=2).withColumn("label_text", F.col("label").cast("int").cast("string"))
+    return hash_split(df, ["vec_id"], {"training": 0.75, "test": 0.25}, seed=SEED)
+
+
+@query("rf_confusion")
+def rf_confusion(spark, sf):
+    """Random forest (20 trees) on two features; held-out label-by-prediction table.
+
+    The label index is fitted once, on training rows, inside the pipeline.
+    """
+    data = _rf_split(spark, sf)
+    idx = StringIndexer(inputCol="label_text", outputCol="label_idx")
+    rf = RandomForestClassifier(labelCol="label_idx", featuresCol="features", numTrees=20, maxDepth=5, seed=SEED)
+    model = Pipeline(stages=[idx, rf]).fit(data.filter(F.col("split") == "training"))
+    pred = model.transform(data.filter(F.col("split") == "test"))
+    return pred.groupBy("label_text", "label_idx", "prediction").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("string_index", """
+SELECT c_mktsegment, CAST(row_number() OVER (ORDER BY count(*) DESC, c_mktsegment) - 1 AS DOUBLE) AS idx,
+       count(*) AS n FROM customer GROUP BY c_mktsegment
+""")
+def string_index(spark, sf):
+    c = table(spark, sf, "customer").select("c_mktsegment")
+    return ml.string_index(c, "c_mktsegment", "idx").groupBy("c_mktsegment", "idx").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@query("ml_logit")
+def ml_logit(spark, sf):
+    m = LogisticRegression(maxIter=100, regParam=0.01).fit(_binary_emb(spark, sf))
+    return _coef_table(spark, [f"e{i}" for i in range(len(m.coefficients))], m.coefficients, m.intercept)
+
+
+@query("ml_svm")
+def ml_svm(spark, sf):
+    m = LinearSVC(maxIter=50, regParam=0.01).fit(_binary_emb(spark, sf))
+    return _coef_table(spark, [f"e{i}" for i in range(len(m.coefficients))], m.coefficients, m.intercept)
+
+
+@query("ml_mlp")
+def ml_mlp(spark, sf):
+    df = _emb(spark, sf)
+    m = MultilayerPerceptronClassifier(layers=[64, 16, 10], maxIter=100, seed=13, blockSize=128).fit(df)
+    return ml.confusion(m.transform(df), "label")
+
+
+@query("ml_fm_classifier")
+def ml_fm_classifier(spark, sf):
+    df = _binary_emb(spark, sf)
+    m = FMClassifier(factorSize=4, maxIter=50, seed=14, stepSize=0.01).fit(df)
+    return ml.confusion(m.transform(df), "label")
+
+
+NB_SQL = """
+WITH s AS (SELECT l_returnflag, count(*) AS nc, sum(l_quantity) AS s0, sum(l_discount) AS s1, sum(l_tax) AS s2
+           FROM lineitem GROUP BY 1),
+t AS (SELECT sum(nc) AS n, count(*) AS k FROM s)
+SELECT l_returnflag, 'prior' AS term, round(ln(nc + 1) - ln(n + k), 9) AS value FROM s, t
+UNION ALL SELECT l_returnflag, 'l_quantity', round(ln(s0 + 1) - ln(s0 + s1 + s2 + 3), 9) FROM s
+UNION ALL SELECT l_returnflag, 'l_discount', round(ln(s1 + 1) - ln(s0 + s1 + s2 + 3), 9) FROM s
+UNION ALL SELECT l_returnflag, 'l_tax', round(ln(s2 + 1) - ln(s0 + s1 + s2 + 3), 9) FROM s
+"""
+
+
+@query("ml_naive_bayes", NB_SQL)
+def ml_naive_bayes(spark, sf):
+    """Multinomial naive Bayes (smoothing 1): log priors and log term probabilities per class."""
+    li = table(spark, sf, "lineitem").select("l_returnflag", "l_quantity", "l_discount", "l_tax")
+    feats = ["l_quantity", "l_discount", "l_tax"]
+    df, labels = ml.indexed_labels(ml.assemble(li, feats), "l_returnflag")
+    m = NaiveBayes(smoothing=1.0, modelType="multinomial").fit(df)
+    theta = m.theta.toArray()
+    rows = []
+    for c, name in enumerate(labels):
+        rows.append((name, "prior", round(float(m.pi[c]), 9)))
+        for j, f in enumerate(feats):
+            rows.append((name, f, round(float(theta[c][j]), 9)))
+    return spark.createDataFrame(rows, "l_returnflag string, term string, value double")
+
+
+# ---------------------------------------------------------------- recommendation, patterns, tests
+
+@query("ml_als")
+def ml_als(spark, sf):
+    """ALS on customer x part summed quantities; top 3 parts per customer (a top-k report)."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    ratings = (li.join(o, li.l_orderkey == o.o_orderkey)
+               .groupBy("o_custkey", "l_partkey").agg(F.sum("l_quantity").alias("rating"))
+               .select(F.col("o_custkey").cast(IntegerType()).alias("user"),
+                       F.col("l_partkey").cast(IntegerType()).alias("item"), "rating"))
+    als = ALS(userCol="user", itemCol="item", ratingCol="rating", rank=8, maxIter=5, regParam=0.1, seed=SEED,
+              coldStartStrategy="drop")
+    recs = als.fit(ratings).recommendForAllUsers(3)
+    return recs.select(F.col("user").cast(LongType()).alias("o_custkey"),
+                       F.posexplode("recommendations").alias("rank", "r")).select(
+        "o_custkey", "rank", F.col("r.item").cast(LongType()).alias("p_partkey"), F.col("r.rating").alias("score"))
+
+
+FP_SQL = f"""
+WITH b AS (SELECT DISTINCT l_orderkey, p_type FROM lineitem JOIN part ON l_partkey = p_partkey),
+n AS (SELECT count(DISTINCT l_orderkey) AS n FROM b),
+s AS (SELECT p_type AS item_1, CAST(NULL AS VARCHAR) AS item_2, count(*) AS freq FROM b GROUP BY 1
+      UNION ALL
+      SELECT x.p_type, y.p_type, count(*) FROM b x JOIN b y ON x.l_orderkey = y.l_orderkey AND x.p_type < y.p_type
+      GROUP BY 1, 2)
+SELECT item_1, item_2, freq FROM s WHERE freq >= (SELECT ceil({FP_MIN_SUPPORT} * n) FROM n)
+"""
+
+
+@query("fp_itemsets", FP_SQL)
+def fp_itemsets(spark, sf):
+    """FP-growth over the part types of each order; itemsets of size 1 and 2."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
+    p = table(spark, sf, "part").select("p_partkey", "p_type")
+    baskets = (li.join(p, li.l_partkey == p.p_partkey).groupBy("l_orderkey")
+               .agg(F.collect_set("p_type").alias("items")))  # a set: bounded by the item vocabulary
+    model = FPGrowth(itemsCol="items", minSupport=FP_MIN_SUPPORT, minConfidence=0.5).fit(baskets)
+    its = model.freqItemsets.filter(F.size("items") <= 2).withColumn("items", F.array_sort("items"))
+    return its.select(F.col("items")[0].alias("item_1"),
+                      F.when(F.size("items") > 1, F.col("items")[1]).cast(StringType()).alias("item_2"),
+                      F.col("freq").cast(LongType()).alias("freq"))
+
+
+SEQ_SQL = f"""
+WITH e AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos
+           FROM events),
+u AS (SELECT user_id, event_type, min(pos) AS first_pos, max(pos) AS last_pos FROM e GROUP BY 1, 2),
+n AS (SELECT count(DISTINCT user_id) AS n FROM events),
+s AS (SELECT event_type AS item_1, CAST(NULL AS VARCHAR) AS item_2, count(*) AS freq FROM u GROUP BY 1
+      UNION ALL
+      SELECT a.event_type, b.event_type, count(*) FROM u a JOIN u b
+        ON a.user_id = b.user_id AND a.first_pos < b.last_pos GROUP BY 1, 2)
+SELECT item_1, item_2, freq FROM s WHERE freq >= (SELECT ceil({SEQ_MIN_SUPPORT} * n) FROM n)
+"""
+
+
+@query("prefix_span", SEQ_SQL)
+def prefix_span(spark, sf):
+    """Frequent sequential patterns of length 1 and 2 over each user's whole event history."""
+    ev = table(spark, sf, "events").select("user_id", "ts", "event_id", "event_type")
+    return sequential_pairs(ev, "user_id", ["ts", "event_id"], "event_type", SEQ_MIN_SUPPORT)
+
+
+@query("ks_test")
+def ks_test(spark, sf):
+    """One-sample Kolmogorov-Smirnov test of events.value against a fitted normal."""
+    ev = table(spark, sf, "events").select("value")
+    mu, sd = ev.agg(F.avg("value"), F.stddev_samp("value")).first()
+    r = KolmogorovSmirnovTest.test(ev, "value", "norm", float(mu), float(sd)).first()
+    return spark.createDataFrame([(float(r["statistic"]), float(r["pValue"]), float(mu), float(sd))],
+                                 "statistic double, p_value double, mean double, sd double")
+
+
+@query("model_roundtrip")
+def model_roundtrip(spark, sf):
+    """Save a fitted pipeline to shared storage, load it, and compare predictions."""
+    df = table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice")
+    model = ml.formula_pipeline("p_retailprice ~ p_size", LinearRegression(solver="normal")).fit(df)
+    path = scratch_path(spark, "model")
+    model.write().save(path)
+    loaded = PipelineModel.load(path)
+    a = model.transform(df).select("p_partkey", F.col("prediction").alias("p1"))
+    b = loaded.transform(df).select("p_partkey", F.col("prediction").alias("p2"))
+    return (a.join(b, "p_partkey")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("p1") == F.col("p2")).cast("int")).alias("n_equal"),
+                 F.max(F.abs(F.col("p1") - F.col("p2"))).alias("max_abs_diff")))
