@@ -22,11 +22,17 @@ taken over the four cells of each event-time row weighted by their counts.
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pandas as pd
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.stats import Z_975
-from tessera.operators.cumulative import running_sums
+from tessera.operators.cumulative import SumPlan, plan_running_sums, running_sums
 from tessera.session import checkpoint_root, materialize
 
 
@@ -70,14 +76,127 @@ def _attach_beta(rows: DataFrame, beta: DataFrame, group: str) -> DataFrame:
 
 
 def cox_fit(et: DataFrame, group: str, time: str = "time", max_iter: int = 30,
-            tol: float = 1e-10, chunk: int = 1 << 15, method: str = "auto") -> DataFrame:
-    """Per group: coef, model and robust standard errors, hazard ratio and 95% limits."""
+            tol: float = 1e-10, chunk: int = 1 << 15, method="auto") -> DataFrame:
+    """Per group: coef, model and robust standard errors, hazard ratio and 95% limits.
+
+    ``method`` is a running-sum plan (or "auto"/"window"/"ranged"). When the
+    time domain is bounded ("window": at most ``window_limit`` distinct times,
+    checked at run time) each group's event-time rows are bounded too, and
+    the whole fit is one grouped pass over the aggregated table with numpy.
+    Otherwise the fit runs as distributed Newton steps (``cox_fit_iterative``).
+    """
+    if method == "auto":
+        method = plan_running_sums(et, time)
+    kind = method.method if isinstance(method, SumPlan) else method
+    if kind == "window":
+        return cox_fit_grouped(et, group, time, max_iter=max_iter, tol=tol)
+    return cox_fit_iterative(et, group, time, max_iter=max_iter, tol=tol, chunk=chunk, method=method)
+
+
+def cox_fit_grouped(et: DataFrame, group: str, time: str = "time", max_iter: int = 30,
+                    tol: float = 1e-10, buckets: int | None = None) -> DataFrame:
+    """Cox fits for many analyses per task, vectorised with numpy.
+
+    Analyses are hashed into ``buckets`` (default: shuffle partitions); each
+    bucket holds whole analyses, and every analysis's rows are bounded by the
+    caller's distinct-time check. Newton runs for all analyses of a bucket at
+    once (per-analysis sums by ``bincount``), each stopping at its own
+    convergence.
+    """
+    n_b = buckets or int(et.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    gtype = et.schema[group].dataType.simpleString()
+    schema = (f"{group} {gtype}, coef double, exp_coef double, exp_neg_coef double, se double, "
+              "robust_se double, lower_95 double, upper_95 double, n bigint, n_events bigint, iterations int")
+    cols = [group, time, "m0", "d0", "m1", "d1", "n0", "n1"]
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        return _cox_numpy(pdf.sort_values([group, time], kind="stable"), group, max_iter, tol)
+
+    bucket = F.pmod(F.xxhash64(F.col(group)), F.lit(n_b))
+    return et.select(*cols).groupBy(bucket.alias("__bucket")).applyInPandas(fit, schema)
+
+
+def _cox_numpy(pdf: pd.DataFrame, group: str, max_iter: int, tol: float) -> pd.DataFrame:
+    """Newton fits and sandwich variances for the analyses in rows sorted by (group, time).
+
+    Same formulas as the distributed version (see module docstring).
+    """
+    g, keys = pd.factorize(pdf[group], sort=False)
+    ng, nt = len(keys), len(pdf)
+    m0, d0, m1, d1, n0, n1 = (pdf[c].to_numpy(dtype="float64") for c in ("m0", "d0", "m1", "d1", "n0", "n1"))
+    d = d0 + d1
+    ev = np.flatnonzero(d > 0)
+    reps = d[ev].astype(np.int64)
+    idx = np.repeat(ev, reps)                                   # one entry per tie step
+    start = np.repeat(np.cumsum(reps) - reps, reps)
+    frac = (np.arange(idx.size, dtype="float64") - start) / d[idx] if idx.size else np.zeros(0)
+    gi = g[idx]
+
+    def by_group(w, at=None):
+        return np.bincount(g if at is None else at, weights=w, minlength=ng)
+
+    def steps(beta):
+        th = np.exp(beta)[gi]
+        a = (n0[idx] + n1[idx] * th) - frac * (d0[idx] + d1[idx] * th)
+        return a, (n1[idx] - frac * d1[idx]) * th / a
+
+    beta = np.zeros(ng)
+    iters = np.zeros(ng, dtype=np.int32)
+    active = np.ones(ng, dtype=bool)
+    obs1 = by_group(d1)
+    for it in range(1, max_iter + 1):
+        _, xb = steps(beta)
+        u = obs1 - by_group(xb, gi)
+        info = by_group(xb * (1 - xb), gi)
+        step = np.where(active & (info > 0), u / np.where(info > 0, info, 1.0), 0.0)
+        beta += step
+        iters[active] = it
+        active &= np.abs(step) >= tol
+        if not active.any():
+            break
+    a, xb = steps(beta)
+    info = by_group(xb * (1 - xb), gi)
+    th = np.exp(beta)
+
+    def per_time(w):
+        return np.bincount(idx, weights=w, minlength=nt)
+
+    def exclusive_cumsum(v):
+        cs = np.cumsum(v) - v
+        first = np.r_[0, np.flatnonzero(np.diff(g)) + 1]  # first row of each analysis
+        return cs - cs[first][g]
+
+    inv, wt = 1.0 / a, 1.0 - frac
+    h, hx = per_time(inv), per_time(xb * inv)
+    hd, hxd = per_time(wt * inv), per_time(wt * xb * inv)
+    xm = np.divide(per_time(xb), d, out=np.zeros(nt), where=d > 0)
+    h_ex, hx_ex = exclusive_cumsum(h), exclusive_cumsum(hx)
+    uu = np.zeros(ng)
+    for x, risk in ((0.0, np.ones(nt)), (1.0, th[g])):
+        dead = d0 if x == 0.0 else d1
+        alive = (m0 - d0) if x == 0.0 else (m1 - d1)
+        r_dead = -risk * (x * (h_ex + hd) - (hx_ex + hxd)) + (x - xm)
+        r_alive = -risk * (x * (h_ex + h) - (hx_ex + hx))
+        uu += by_group(dead * r_dead ** 2 + alive * r_alive ** 2)
+    ok = info > 0
+    se = np.where(ok, np.sqrt(1.0 / np.where(ok, info, 1.0)), np.nan)
+    rse = np.where(ok, np.sqrt(uu) / np.where(ok, info, 1.0), np.nan)
+    return pd.DataFrame({
+        group: keys, "coef": beta, "exp_coef": th, "exp_neg_coef": np.exp(-beta), "se": se, "robust_se": rse,
+        "lower_95": np.exp(beta - Z_975 * rse), "upper_95": np.exp(beta + Z_975 * rse),
+        "n": by_group(m0 + m1).astype(np.int64), "n_events": by_group(d).astype(np.int64), "iterations": iters})
+
+
+def cox_fit_iterative(et: DataFrame, group: str, time: str = "time", max_iter: int = 30,
+                      tol: float = 1e-10, chunk: int = 1 << 15, method="auto") -> DataFrame:
+    """Distributed Newton steps; no group's rows are ever gathered in one task."""
     spark = et.sparkSession
     checkpoint_root(spark)
     ev = et.filter((F.col("d0") + F.col("d1")) > 0)
     ev = materialize(_chunked(ev, chunk))
     beta = materialize(ev.select(group).distinct().withColumn("beta", F.lit(0.0)))
     iterations = 0
+    held = []
     for iterations in range(1, max_iter + 1):
         j = _attach_beta(ev, beta, group).withColumns(_risk_sums())
         # the d1 term belongs once per time: only chunk 0 carries it
@@ -90,9 +209,11 @@ def cox_fit(et: DataFrame, group: str, time: str = "time", max_iter: int = 30,
                            .otherwise(F.lit(0.0)))
                .select(group, (F.col("beta") + F.col("step")).alias("beta"),
                        F.abs("step").alias("step")))
-        # one small row per group, written once: the loop never grows a lineage
-        nxt = materialize(nxt)
+        # one small row per group; cached per step and written to the shared
+        # checkpoint folder every 5th step, so the lineage stays short
+        nxt = materialize(nxt) if iterations % 5 == 0 else nxt.persist(StorageLevel.MEMORY_AND_DISK)
         biggest = nxt.agg(F.max("step")).first()[0]
+        held.append(nxt)
         beta = nxt.select(group, "beta")
         if biggest is None or biggest < tol:
             break
@@ -139,6 +260,9 @@ def cox_fit(et: DataFrame, group: str, time: str = "time", max_iter: int = 30,
                 F.sum(F.col("d0") + F.col("d1")).alias("n_events")))
     se = F.sqrt(1 / F.col("info"))
     rse = F.sqrt(F.col("__uu")) / F.col("info")
+    fit = materialize(fit)
+    for h in held:
+        h.unpersist()
     return fit.select(
         group, "coef", F.exp("coef").alias("exp_coef"), F.exp(-F.col("coef")).alias("exp_neg_coef"),
         se.alias("se"), rse.alias("robust_se"),

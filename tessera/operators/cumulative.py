@@ -25,6 +25,7 @@ otherwise the two-level form is used, with block bounds from the same job.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -61,9 +62,31 @@ def block_of(value: Column, bounds: Sequence) -> Column:
     return build(0, len(bounds))
 
 
+@dataclass(frozen=True)
+class SumPlan:
+    """How to compute running sums over one order domain: a decision plus block bounds.
+
+    Tables derived from one another over the same order values (an event-time
+    table, its curves, its hazards) can share one plan, so the deciding
+    aggregate runs once.
+    """
+
+    method: str  # "window" or "ranged"
+    bounds: tuple = ()
+
+
+def plan_running_sums(df: DataFrame, order: str, *, blocks: int | None = None,
+                      window_limit: int = 1_000_000, keyed: bool = True) -> SumPlan:
+    """Run the one deciding aggregate and return the plan (see module docstring)."""
+    n_blocks = max(2, blocks or _shuffle_partitions(df))
+    n_distinct, bounds = order_stats(df, order, n_blocks)
+    method = "window" if (keyed and n_distinct <= window_limit) else "ranged"
+    return SumPlan(method, tuple(bounds))
+
+
 def running_sums(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str], *,
                  prefix: str = "cum_", suffix_prefix: str | None = None,
-                 method: str = "auto", blocks: int | None = None,
+                 method: str | SumPlan = "auto", blocks: int | None = None,
                  window_limit: int = 1_000_000) -> DataFrame:
     """Add inclusive prefix sums ``cum_<c>`` (rows with order <= current).
 
@@ -74,12 +97,12 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[
     """
     keys = list(keys)
     cols = list(cols)
+    if isinstance(method, str) and method in ("auto", "ranged"):
+        plan = plan_running_sums(df, order, blocks=blocks, window_limit=window_limit, keyed=bool(keys))
+        method = plan if method == "auto" else SumPlan("ranged", plan.bounds)
     bounds = None
-    if method in ("auto", "ranged"):
-        n_blocks = max(2, blocks or _shuffle_partitions(df))
-        n_distinct, bounds = order_stats(df, order, n_blocks)
-        if method == "auto":
-            method = "window" if (keys and n_distinct <= window_limit) else "ranged"
+    if isinstance(method, SumPlan):
+        method, bounds = method.method, list(method.bounds)
     if method == "window":
         w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
         out = df.withColumns({prefix + c: F.sum(c).over(w) for c in cols})

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.stats import Z_975, chisq1_pvalue
-from tessera.operators.cumulative import running_sums
+from tessera.operators.cumulative import SumPlan, plan_running_sums, running_sums
 from tessera.operators.verbs import one_per_key, update_from
 
 # fixed value: tolerance when testing a survival curve against 0.5
@@ -68,7 +68,7 @@ def arm_description(subjects: DataFrame, group: str, arm: str, lock: float,
 
 
 def event_table(subjects: DataFrame, group: str, arm: str, levels: Sequence[str],
-                time: str = "time", event: str = "event", method: str = "auto") -> DataFrame:
+                time: str = "time", event: str = "event", method: str | SumPlan = "auto") -> DataFrame:
     """(group, time, m0, d0, m1, d1, n0, n1): counts per arm and numbers at risk.
 
     m = subjects with this time, d = events at it, n = subjects with time >= t.
@@ -99,7 +99,7 @@ def _arm_rows(et: DataFrame, group: str, time: str, levels: Sequence[str]) -> Da
 
 
 def km_curve(et: DataFrame, group: str, levels: Sequence[str], time: str = "time",
-             method: str = "auto") -> DataFrame:
+             method: str | SumPlan = "auto") -> DataFrame:
     """Kaplan-Meier curve per (group, arm) at every distinct time of the arm.
 
     S(t) = exp(sum ln(1 - d/n)); once d = n the curve is 0. ``std_err`` is the
@@ -148,7 +148,7 @@ def km_median(curve: DataFrame, group: str, time: str = "time") -> DataFrame:
                  _first_time_at_or_below("lower", time).alias("ucl_95")))
 
 
-def km_rmean(curve: DataFrame, group: str, time: str = "time", method: str = "auto") -> DataFrame:
+def km_rmean(curve: DataFrame, group: str, time: str = "time", method: str | SumPlan = "auto") -> DataFrame:
     """Restricted mean survival and its standard error per (group, arm).
 
     The bound tau is the largest time in the group over both arms. With

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import survival as sv
 from tessera.operators.cox import cox_fit
+from tessera.operators.cumulative import plan_running_sums
 from tessera.plans.fixtures import (LINE_LEVELS, LINE_LOCK, LINEITEM_TRIAL_SQL, ORDER_LEVELS, ORDER_LOCK,
                                     ORDERS_TRIAL_SQL, lineitem_trial, orders_trial)
 from tessera.plans.registry import query
@@ -157,20 +158,20 @@ def cox_hazard_ratio(spark, sf):
 
 def survival_bundle(subjects: DataFrame, levels, lock: float) -> DataFrame:
     """One row per analysis: log-rank, arm descriptions (both arms), Cox."""
-    subjects = materialize(subjects)
     et = materialize(sv.event_table(subjects, "grp", "arm", levels))
+    plan = plan_running_sums(et, "time")  # one decision for every table over these times
     lr = sv.with_pvalue(sv.logrank(et, "grp")).select(
         "grp", F.col("pval").alias("logrank_pval"), F.col("chisq").alias("logrank_chisq"))
-    cur = materialize(sv.km_curve(et, "grp", levels))
+    cur = materialize(sv.km_curve(et, "grp", levels, method=plan))
     desc = (sv.arm_description(subjects, "grp", "arm", lock)
-            .join(sv.km_rmean(cur, "grp").drop("tau"), on=["grp", "arm"], how="left")
+            .join(sv.km_rmean(cur, "grp", method=plan).drop("tau"), on=["grp", "arm"], how="left")
             .join(sv.km_median(cur, "grp"), on=["grp", "arm"], how="left"))
     fields = ["records", "events", "rmean", "se_rmean", "median", "lcl_95", "ucl_95", "n_drop",
               "n_admin_censor", "dbl"]
     ref, trt = levels
     d_ref = desc.filter(F.col("arm") == ref).select("grp", F.struct(*fields).alias("desc_ref"))
     d_trt = desc.filter(F.col("arm") == trt).select("grp", F.struct(*fields).alias("desc_trt"))
-    cox = cox_fit(et, "grp")
+    cox = cox_fit(et, "grp", method=plan)
     cox_s = cox.select("grp", F.struct("coef", "exp_coef", "exp_neg_coef", "se", "robust_se", "lower_95",
                                        "upper_95").alias("cox"))
     return (lr.join(d_ref, "grp", "full").join(d_trt, "grp", "full").join(cox_s, "grp", "left"))
