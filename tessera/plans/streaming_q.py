@@ -1 +1,24 @@
-"""Streaming queries (filled in below)."""
+"""Streaming queries: the stream's final answer equals the batch aggregate."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.plans.registry import query
+from tessera.sources.tables import table
+from tessera.streaming.events import run_available_now
+
+
+@query("stream_window_counts", """
+SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+       event_type, count(*) AS n, round(sum(value), 6) AS total_value
+FROM events GROUP BY 1, 2, 3
+""")
+def stream_window_counts(spark, sf):
+    """Hourly counts and value sums per event type, computed by a file stream."""
+    src = f"{sf.rstrip('/')}/events*.parquet"  # a glob: the file source watches a directory
+    schema = table(spark, sf, "events").schema
+    path = run_available_now(spark, src, schema, "ts", "event_type", "value", "1 hour", "2 hours")
+    out = spark.read.parquet(path)
+    return out.select("window_start", "window_end", "event_type", "n",
+                      F.round("total_value", 6).alias("total_value"))
