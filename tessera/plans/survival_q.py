@@ -150,10 +150,55 @@ def logrank_test(spark, sf):
     return _round(lr, ["expected_ref", "expected_trt", "variance", "chisq"])
 
 
-@query("cox_hazard_ratio")
+def _cox_sql(trial: str, levels, iterations: int = 10) -> str:
+    """DuckDB twin of the Cox fit: Newton unrolled ``iterations`` times, Efron ties
+    expanded to one row per tie step, sandwich variance from window sums."""
+    parts = [_et_sql(trial, levels).lstrip() + """,
+ev AS (SELECT grp, time, d0, d1, n0, n1, d0 + d1 AS d FROM et WHERE d0 + d1 > 0),
+st AS (SELECT grp, time, d0, d1, n0, n1, d, CAST(unnest(range(d)) AS DOUBLE) / d AS f FROM ev),
+obs AS (SELECT grp, sum(d1) AS o1 FROM ev GROUP BY grp),
+b0 AS (SELECT DISTINCT grp, CAST(0.0 AS DOUBLE) AS beta FROM ev)"""]
+    for k in range(1, iterations + 1):
+        parts.append(f"""
+x{k} AS (SELECT grp, (n1 - f * d1) * th / ((n0 + n1 * th) - f * (d0 + d1 * th)) AS xb
+        FROM (SELECT st.*, exp(b.beta) AS th FROM st JOIN b{k - 1} b USING (grp))),
+u{k} AS (SELECT grp, sum(xb) AS sx, sum(xb * (1 - xb)) AS si FROM x{k} GROUP BY grp),
+b{k} AS (SELECT grp, b.beta + CASE WHEN si > 0 THEN (o1 - sx) / si ELSE 0.0 END AS beta
+        FROM b{k - 1} b JOIN u{k} USING (grp) JOIN obs USING (grp))""")
+    last = f"b{iterations}"
+    parts.append(f"""
+fa AS (SELECT grp, time, f, (n0 + n1 * th) - f * (d0 + d1 * th) AS a, (n1 - f * d1) * th AS s1
+       FROM (SELECT st.*, exp(b.beta) AS th FROM st JOIN {last} b USING (grp))),
+fb AS (SELECT grp, time, f, a, s1 / a AS xb FROM fa),
+pt AS (SELECT grp, time, sum(xb * (1 - xb)) AS info, sum(1 / a) AS h, sum(xb / a) AS hx,
+              sum((1 - f) / a) AS hd, sum((1 - f) * xb / a) AS hxd, sum(xb) AS xs FROM fb GROUP BY grp, time),
+fl AS (SELECT et.grp, et.time, m0, d0, m1, d1, coalesce(info, 0.0) AS info, coalesce(h, 0.0) AS h,
+              coalesce(hx, 0.0) AS hx, coalesce(hd, 0.0) AS hd, coalesce(hxd, 0.0) AS hxd, coalesce(xs, 0.0) AS xs
+       FROM et LEFT JOIN pt USING (grp, time)),
+cu AS (SELECT *, sum(h) OVER w - h AS h_ex, sum(hx) OVER w - hx AS hx_ex FROM fl
+       WINDOW w AS (PARTITION BY grp ORDER BY time ROWS UNBOUNDED PRECEDING)),
+rs AS (SELECT cu.*, b.beta, exp(b.beta) AS th,
+              CASE WHEN d0 + d1 > 0 THEN xs / (d0 + d1) ELSE 0.0 END AS xm FROM cu JOIN {last} b USING (grp)),
+fit AS (SELECT grp, max(beta) AS coef, sum(info) AS info,
+          sum(d0 * power((hx_ex + hxd) - xm, 2)
+              + (m0 - d0) * power(hx_ex + hx, 2)
+              + d1 * power(-th * ((h_ex + hd) - (hx_ex + hxd)) + (1 - xm), 2)
+              + (m1 - d1) * power(-th * ((h_ex + h) - (hx_ex + hx)), 2)) AS uu,
+          CAST(sum(m0 + m1) AS BIGINT) AS n, CAST(sum(d0 + d1) AS BIGINT) AS n_events
+        FROM rs GROUP BY grp)
+SELECT grp, round(coef, {R}) AS coef, round(exp(coef), {R}) AS exp_coef, round(exp(-coef), {R}) AS exp_neg_coef,
+       round(sqrt(1 / info), {R}) AS se, round(sqrt(uu) / info, {R}) AS robust_se,
+       round(exp(coef - {Z} * sqrt(uu) / info), {R}) AS lower_95,
+       round(exp(coef + {Z} * sqrt(uu) / info), {R}) AS upper_95, n, n_events
+FROM fit""")
+    return "WITH " + ",".join(parts)
+
+
+@query("cox_hazard_ratio", _cox_sql(LINEITEM_TRIAL_SQL, LINE_LEVELS))
 def cox_hazard_ratio(spark, sf):
     """Per supplier: Cox coefficient (R vs A), hazard ratio, robust 95% limits."""
-    return cox_fit(_lineitem_et(spark, sf), "grp")
+    fit = cox_fit(_lineitem_et(spark, sf), "grp").drop("iterations")
+    return _round(fit, ["coef", "exp_coef", "exp_neg_coef", "se", "robust_se", "lower_95", "upper_95"])
 
 
 def survival_bundle(subjects: DataFrame, levels, lock: float) -> DataFrame:
