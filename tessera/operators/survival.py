@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tessera.functions.stats import Z_975, chisq1_pvalue
 from tessera.operators.cumulative import SumPlan, plan_running_sums, running_sums
 from tessera.operators.verbs import one_per_key, update_from
+from tessera.session import materialize
 
 # fixed value: tolerance when testing a survival curve against 0.5
 MEDIAN_TOL = 1e-8
@@ -67,11 +68,15 @@ def arm_description(subjects: DataFrame, group: str, arm: str, lock: float,
             .withColumn("dbl", F.lit(float(lock))))
 
 
-def event_table(subjects: DataFrame, group: str, arm: str, levels: Sequence[str],
-                time: str = "time", event: str = "event", method: str | SumPlan = "auto") -> DataFrame:
-    """(group, time, m0, d0, m1, d1, n0, n1): counts per arm and numbers at risk.
+def event_table_and_plan(subjects: DataFrame, group: str, arm: str, levels: Sequence[str],
+                         time: str = "time", event: str = "event",
+                         method: str | SumPlan = "auto") -> tuple[DataFrame, SumPlan | str]:
+    """(group, time, m0, d0, m1, d1, n0, n1) and the running-sum plan for its times.
 
     m = subjects with this time, d = events at it, n = subjects with time >= t.
+    The per-(group, time) aggregate is written once to the checkpoint folder
+    (it is small: distinct times, not subjects); the plan is decided on it and
+    can be passed to every table derived over the same times.
     """
     ref, trt = levels
     x = F.when(F.col(arm) == F.lit(trt), 1).otherwise(0)
@@ -82,10 +87,19 @@ def event_table(subjects: DataFrame, group: str, arm: str, levels: Sequence[str]
                 F.sum((1 - F.col("__x")) * F.col("__e")).alias("d0"),
                 F.sum(F.col("__x")).alias("m1"),
                 F.sum(F.col("__x") * F.col("__e")).alias("d1")))
+    agg = materialize(agg)
+    plan = plan_running_sums(agg, time) if method == "auto" else method
     et = running_sums(agg, [group], time, ["m0", "m1"], prefix="__cum_", suffix_prefix="__n_",
-                      method=method)
-    return (et.withColumnsRenamed({"__n_m0": "n0", "__n_m1": "n1"})
-            .drop("__cum_m0", "__cum_m1"))
+                      method=plan)
+    et = (et.withColumnsRenamed({"__n_m0": "n0", "__n_m1": "n1"})
+          .drop("__cum_m0", "__cum_m1"))
+    return et, plan
+
+
+def event_table(subjects: DataFrame, group: str, arm: str, levels: Sequence[str],
+                time: str = "time", event: str = "event", method: str | SumPlan = "auto") -> DataFrame:
+    """The event-time table alone (see :func:`event_table_and_plan`)."""
+    return event_table_and_plan(subjects, group, arm, levels, time, event, method)[0]
 
 
 def _arm_rows(et: DataFrame, group: str, time: str, levels: Sequence[str]) -> DataFrame:

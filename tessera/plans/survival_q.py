@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tessera.operators import survival as sv
 from tessera.operators.cox import cox_fit
-from tessera.operators.cumulative import plan_running_sums
 from tessera.plans.fixtures import (LINE_LEVELS, LINE_LOCK, LINEITEM_TRIAL_SQL, ORDER_LEVELS, ORDER_LOCK,
                                     ORDERS_TRIAL_SQL, lineitem_trial, orders_trial)
 from tessera.plans.registry import query
@@ -90,12 +89,12 @@ def arm_description_q(spark, sf):
 
 # ---------------------------------------------------------------- curves and tests
 
-def _lineitem_et(spark, sf, method="auto"):
-    return materialize(sv.event_table(lineitem_trial(spark, sf), "grp", "arm", LINE_LEVELS, method=method))
+def _lineitem_et(spark, sf):
+    return sv.event_table_and_plan(lineitem_trial(spark, sf), "grp", "arm", LINE_LEVELS)
 
 
-def _orders_et(spark, sf, method="auto"):
-    return materialize(sv.event_table(orders_trial(spark, sf), "grp", "arm", ORDER_LEVELS, method=method))
+def _orders_et(spark, sf):
+    return sv.event_table_and_plan(orders_trial(spark, sf), "grp", "arm", ORDER_LEVELS)
 
 
 @query("km_curve", "WITH " + _km_sql(LINEITEM_TRIAL_SQL, LINE_LEVELS).lstrip() + f"""
@@ -103,7 +102,8 @@ SELECT grp, arm, time, n AS n_risk, d AS n_event, m - d AS n_censor, round(surv,
        round(se, {R}) AS std_err, round(lower, {R}) AS lower, round(upper, {R}) AS upper FROM band
 """)
 def km_curve_q(spark, sf):
-    cur = sv.km_curve(_lineitem_et(spark, sf), "grp", LINE_LEVELS)
+    et, plan = _lineitem_et(spark, sf)
+    cur = sv.km_curve(et, "grp", LINE_LEVELS, method=plan)
     return _round(cur.drop("surv_prev"), ["surv", "std_err", "lower", "upper"])
 
 
@@ -112,8 +112,8 @@ SELECT grp, arm, {_first_at_half('surv')} AS median, {_first_at_half('upper')} A
        {_first_at_half('lower')} AS ucl_95 FROM band GROUP BY grp, arm
 """)
 def km_median_q(spark, sf):
-    cur = sv.km_curve(_orders_et(spark, sf), "grp", ORDER_LEVELS)
-    return sv.km_median(cur, "grp")
+    et, plan = _orders_et(spark, sf)
+    return sv.km_median(sv.km_curve(et, "grp", ORDER_LEVELS, method=plan), "grp")
 
 
 @query("km_rmean", "WITH " + _km_sql(ORDERS_TRIAL_SQL, ORDER_LEVELS).lstrip() + f""",
@@ -130,8 +130,9 @@ SELECT grp, arm, round(max(rmean), {R}) AS rmean,
 FROM cs JOIN rm USING (grp, arm) GROUP BY grp, arm
 """)
 def km_rmean_q(spark, sf):
-    cur = materialize(sv.km_curve(_orders_et(spark, sf), "grp", ORDER_LEVELS))
-    return _round(sv.km_rmean(cur, "grp"), ["rmean", "se_rmean"])
+    et, plan = _orders_et(spark, sf)
+    cur = materialize(sv.km_curve(et, "grp", ORDER_LEVELS, method=plan))
+    return _round(sv.km_rmean(cur, "grp", method=plan), ["rmean", "se_rmean"])
 
 
 @query("logrank_test", "WITH " + _et_sql(LINEITEM_TRIAL_SQL, LINE_LEVELS).lstrip() + f""",
@@ -146,7 +147,7 @@ SELECT grp, observed_ref, observed_trt, round(e0, {R}) AS expected_ref, round(e1
 FROM g
 """)
 def logrank_test(spark, sf):
-    lr = sv.logrank(_lineitem_et(spark, sf), "grp")
+    lr = sv.logrank(_lineitem_et(spark, sf)[0], "grp")
     return _round(lr, ["expected_ref", "expected_trt", "variance", "chisq"])
 
 
@@ -197,14 +198,15 @@ FROM fit""")
 @query("cox_hazard_ratio", _cox_sql(LINEITEM_TRIAL_SQL, LINE_LEVELS))
 def cox_hazard_ratio(spark, sf):
     """Per supplier: Cox coefficient (R vs A), hazard ratio, robust 95% limits."""
-    fit = cox_fit(_lineitem_et(spark, sf), "grp").drop("iterations")
+    et, plan = _lineitem_et(spark, sf)
+    fit = cox_fit(et, "grp", method=plan).drop("iterations")
     return _round(fit, ["coef", "exp_coef", "exp_neg_coef", "se", "robust_se", "lower_95", "upper_95"])
 
 
 def survival_bundle(subjects: DataFrame, levels, lock: float) -> DataFrame:
     """One row per analysis: log-rank, arm descriptions (both arms), Cox."""
-    et = materialize(sv.event_table(subjects, "grp", "arm", levels))
-    plan = plan_running_sums(et, "time")  # one decision for every table over these times
+    et, plan = sv.event_table_and_plan(subjects, "grp", "arm", levels)
+    et = materialize(et)  # read by the log-rank, KM and Cox steps
     lr = sv.with_pvalue(sv.logrank(et, "grp")).select(
         "grp", F.col("pval").alias("logrank_pval"), F.col("chisq").alias("logrank_chisq"))
     cur = materialize(sv.km_curve(et, "grp", levels, method=plan))
