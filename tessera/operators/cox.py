@@ -36,6 +36,10 @@ from tessera.operators.cumulative import SumPlan, plan_running_sums, running_sum
 from tessera.session import checkpoint_root, materialize
 
 
+# rows of the event-time table handed to one numpy fit call (about 50 MB of inputs)
+BUCKET_ROWS = 500_000
+
+
 def _chunked(ev: DataFrame, chunk: int) -> DataFrame:
     """One row per (group, time, chunk of tie steps) with r in [r0, r1)."""
     d = (F.col("d0") + F.col("d1")).cast("bigint")
@@ -89,7 +93,9 @@ def cox_fit(et: DataFrame, group: str, time: str = "time", max_iter: int = 30,
         method = plan_running_sums(et, time)
     kind = method.method if isinstance(method, SumPlan) else method
     if kind == "window":
-        return cox_fit_grouped(et, group, time, max_iter=max_iter, tol=tol)
+        rows = method.n_rows if isinstance(method, SumPlan) else 0
+        return cox_fit_grouped(et, group, time, max_iter=max_iter, tol=tol,
+                               buckets=max(1, -(-rows // BUCKET_ROWS)) if rows else None)
     return cox_fit_iterative(et, group, time, max_iter=max_iter, tol=tol, chunk=chunk, method=method)
 
 
@@ -103,7 +109,7 @@ def cox_fit_grouped(et: DataFrame, group: str, time: str = "time", max_iter: int
     once (per-analysis sums by ``bincount``), each stopping at its own
     convergence.
     """
-    n_b = buckets or int(et.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_b = max(buckets or 1, int(et.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     gtype = et.schema[group].dataType.simpleString()
     schema = (f"{group} {gtype}, coef double, exp_coef double, exp_neg_coef double, se double, "
               "robust_se double, lower_95 double, upper_95 double, n bigint, n_events bigint, iterations int")

@@ -40,13 +40,14 @@ def _shuffle_partitions(df: DataFrame) -> int:
         return 200
 
 
-def order_stats(df: DataFrame, col: str, n_blocks: int) -> tuple[int, list]:
-    """(approximate distinct count, sorted quantile bounds cutting into ~n_blocks ranges)."""
+def order_stats(df: DataFrame, col: str, n_blocks: int) -> tuple[int, list, int]:
+    """(approximate distinct count, sorted quantile bounds cutting into ~n_blocks ranges, rows)."""
     probs = [i / n_blocks for i in range(1, n_blocks)]
     r = df.agg(F.approx_count_distinct(col, 0.05).alias("nd"),
-               F.percentile_approx(col, probs, 10000).alias("q")).first()
+               F.percentile_approx(col, probs, 10000).alias("q"),
+               F.count(F.lit(1)).alias("n")).first()
     bounds = sorted(set(v for v in (r["q"] or []) if v is not None))
-    return int(r["nd"] or 0), bounds
+    return int(r["nd"] or 0), bounds, int(r["n"] or 0)
 
 
 def block_of(value: Column, bounds: Sequence) -> Column:
@@ -73,15 +74,16 @@ class SumPlan:
 
     method: str  # "window" or "ranged"
     bounds: tuple = ()
+    n_rows: int = 0  # rows of the table the plan was decided on
 
 
 def plan_running_sums(df: DataFrame, order: str, *, blocks: int | None = None,
                       window_limit: int = 1_000_000, keyed: bool = True) -> SumPlan:
     """Run the one deciding aggregate and return the plan (see module docstring)."""
     n_blocks = max(2, blocks or _shuffle_partitions(df))
-    n_distinct, bounds = order_stats(df, order, n_blocks)
+    n_distinct, bounds, n_rows = order_stats(df, order, n_blocks)
     method = "window" if (keyed and n_distinct <= window_limit) else "ranged"
-    return SumPlan(method, tuple(bounds))
+    return SumPlan(method, tuple(bounds), n_rows)
 
 
 def running_sums(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str], *,
@@ -99,7 +101,7 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[
     cols = list(cols)
     if isinstance(method, str) and method in ("auto", "ranged"):
         plan = plan_running_sums(df, order, blocks=blocks, window_limit=window_limit, keyed=bool(keys))
-        method = plan if method == "auto" else SumPlan("ranged", plan.bounds)
+        method = plan if method == "auto" else SumPlan("ranged", plan.bounds, plan.n_rows)
     bounds = None
     if isinstance(method, SumPlan):
         method, bounds = method.method, list(method.bounds)

@@ -121,6 +121,22 @@ def glm_confusion(spark, sf):
     return pred.groupBy("split", "class", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("glm_evaluation")
+def glm_evaluation(spark, sf):
+    """Held-out against training evaluation: accuracy and F1 of the 0/1 class per split."""
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+
+    data, model = _glm_fit(spark, sf)
+    pred = model.transform(data).withColumn("class", threshold_class("prediction", 0.5).cast("double"))
+    rows = []
+    for split in ("training", "test"):
+        part = pred.filter(F.col("split") == split)
+        for metric in ("accuracy", "f1"):
+            ev = MulticlassClassificationEvaluator(labelCol="label", predictionCol="class", metricName=metric)
+            rows.append((split, metric, float(ev.evaluate(part))))
+    return spark.createDataFrame(rows, "split string, metric string, value double")
+
+
 # ---------------------------------------------------------------- clustering
 
 def _kmeans(spark, sf):

@@ -122,7 +122,16 @@ def ctas_table(spark, sf):
                               f"SELECT c_mktsegment, count(*) AS n_customers FROM {view} GROUP BY c_mktsegment")
 
 
-@query("schema_table")
+# fixed value: lineitem's columns and their Spark type names, in table order
+LINEITEM_TYPES = [("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"),
+                  ("l_linenumber", "int"), ("l_quantity", "double"), ("l_extendedprice", "double"),
+                  ("l_discount", "double"), ("l_tax", "double"), ("l_returnflag", "string"),
+                  ("l_linestatus", "string"), ("l_shipdate", "timestamp_ntz")]
+
+
+@query("schema_table", "\nUNION ALL\n".join(
+    f"SELECT {i + 1} AS position, '{c}' AS name, '{t}' AS type, count({c}) AS non_null FROM lineitem"
+    for i, (c, t) in enumerate(LINEITEM_TYPES)))
 def schema_table(spark, sf):
     """(position, name, type, non-NULL count) of lineitem's columns."""
     li = table(spark, sf, "lineitem")
