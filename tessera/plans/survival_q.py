@@ -79,7 +79,7 @@ def dropout_override(spark, sf):
 @query("arm_description", f"""
 SELECT grp, arm, count(*) AS records, CAST(sum(event) AS BIGINT) AS events,
        CAST(sum(CAST(drop_out AS INTEGER)) AS BIGINT) AS n_drop,
-       count(*) - sum(event) - sum(CAST(drop_out AS INTEGER)) AS n_admin_censor, 1500.0 AS dbl
+       count(*) - sum(event) - sum(CAST(drop_out AS INTEGER)) AS n_admin_censor, CAST(1500.0 AS DOUBLE) AS dbl
 FROM ({ORDERS_TRIAL_SQL}) GROUP BY grp, arm
 """.replace("count(*) - sum(event) - sum(CAST(drop_out AS INTEGER))",
             "CAST(count(*) - sum(event) - sum(CAST(drop_out AS INTEGER)) AS BIGINT)"))

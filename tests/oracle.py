@@ -64,15 +64,26 @@ def rows_of(pdf: pd.DataFrame) -> list[tuple]:
     return sorted(out)
 
 
+# Spark simple type name -> DuckDB type name
+SQL_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+             "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT"}
+
+
 def compare(spark, name: str, sf_dir: str, con=None) -> dict:
     from tessera.plans.catalog import ORACLE, QUERIES
 
     con = con or duck(sf_dir)
     t0 = time.time()
-    sdf = QUERIES[name](spark, sf_dir).toPandas()
+    df = QUERIES[name](spark, sf_dir)
+    stypes = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    sdf = df.toPandas()
     t1 = time.time()
-    odf = con.execute(ORACLE[name]).df()
+    rel = con.sql(ORACLE[name])
+    otypes = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    odf = rel.df()
     res = {"name": name, "spark_sec": round(t1 - t0, 2), "rows": (len(sdf), len(odf))}
+    res["type_diff"] = {c: (stypes.get(c), otypes.get(c)) for c in set(stypes) | set(otypes)
+                        if SQL_TYPES.get(stypes.get(c), stypes.get(c)) != otypes.get(c)}
     res["cols_ok"] = sorted(sdf.columns) == sorted(odf.columns)
     if not res["cols_ok"]:
         res["cols"] = (sorted(sdf.columns), sorted(odf.columns))
@@ -85,7 +96,8 @@ def compare(spark, name: str, sf_dir: str, con=None) -> dict:
     if not res["values_ok"]:
         diff = [(x, y) for x, y in zip(a, b) if x != y][:3]
         res["first_diffs"] = diff
-    res["ok"] = res["cols_ok"] and res["values_ok"] and len(sdf) == len(odf) and not res["kind_diff"]
+    res["ok"] = (res["cols_ok"] and res["values_ok"] and len(sdf) == len(odf) and not res["kind_diff"]
+                 and not res["type_diff"])
     return res
 
 
