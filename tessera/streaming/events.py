@@ -22,13 +22,18 @@ def window_counts(events: DataFrame, ts: str, key: str, value: str, size: str,
                   delay: str) -> DataFrame:
     """Per (tumbling window, key): row count and value sum; late rows bounded by ``delay``.
 
-    Watermarks need a TIMESTAMP; a TIMESTAMP_NTZ event time is read in the
-    session time zone, and window bounds are reported back as TIMESTAMP_NTZ
-    (wall clock). Windows are aligned to whole hours of the epoch, i.e. to
-    wall-clock hours whenever the zone's offset is a whole number of hours.
+    Watermarks need a TIMESTAMP. A TIMESTAMP_NTZ event time is read as a UTC
+    wall clock (not in the session zone), so windows are wall-clock windows
+    whatever the session time zone is, DST included.
     """
     et = "__event_time"
-    ev = events.withColumn(et, F.col(ts).cast("timestamp"))
+    c = F.col(ts)
+    if dict((f.name, f.dataType.simpleString()) for f in events.schema.fields).get(ts) == "timestamp_ntz":
+        as_utc = F.make_timestamp(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
+                                  F.date_part(F.lit("SECOND"), c), F.lit("UTC"))
+    else:
+        as_utc = c
+    ev = events.withColumn(et, as_utc)
     w = F.window(F.col(et), size)
     return (ev.withWatermark(et, delay)
             .groupBy(w.alias("w"), F.col(key))
@@ -49,9 +54,14 @@ def run_available_now(spark: SparkSession, source_glob: str, schema: StructType,
               .parquet(source_glob))
     agg = window_counts(stream, ts, key, value, size, delay)
 
+    tz = spark.conf.get("spark.sql.session.timeZone")
+
+    def wall(col: str):
+        # instant -> its UTC wall clock as TIMESTAMP_NTZ (the inverse of the read above)
+        return F.convert_timezone(F.lit(tz), F.lit("UTC"), F.col(col).cast("timestamp_ntz"))
+
     def sink(batch: DataFrame, batch_id: int) -> None:
-        (batch.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                      F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+        (batch.select(wall("w.start").alias("window_start"), wall("w.end").alias("window_end"),
                       key, "n", "total_value")
          .write.mode("overwrite").parquet(out))
 

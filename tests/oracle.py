@@ -1,7 +1,7 @@
 """Compare a query's Spark result with its DuckDB oracle SQL.
 
 Usable from pytest (``compare``) and as a script:
-    python tests/oracle.py [--sf DIR] [name ...]
+    python tests/oracle.py [--sf DIR] [--tz ZONE] [name ...]
 """
 
 from __future__ import annotations
@@ -105,11 +105,17 @@ def main(argv: list[str]) -> int:
     from tessera.plans.catalog import ORACLE
     from tessera.session import local_session
 
-    sf_dir = "/root/testdata/sf0.01"
-    if argv[:1] == ["--sf"]:
-        sf_dir, argv = argv[1], argv[2:]
+    sf_dir, tz = "/root/testdata/sf0.01", None
+    while argv[:1] in (["--sf"], ["--tz"]):
+        if argv[0] == "--sf":
+            sf_dir = argv[1]
+        else:
+            tz = argv[1]
+        argv = argv[2:]
     names = argv or sorted(ORACLE)
     spark = local_session(8)
+    if tz:
+        spark.conf.set("spark.sql.session.timeZone", tz)
     con = duck(sf_dir)
     bad = 0
     for n in names:

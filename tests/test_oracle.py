@@ -24,3 +24,14 @@ def cons():
 def test_matches_oracle(spark, cons, name, sf):
     r = compare(spark, name, sf, cons[sf])
     assert r["ok"], r
+
+
+@pytest.mark.parametrize("name", ["dropout_override", "km_rmean", "stream_window_counts", "scaled_sum",
+                                  "urban_growth"])
+def test_same_answer_in_another_session_time_zone(spark, cons, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        r = compare(spark, name, SF_SMALL, cons[SF_SMALL])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert r["ok"], r
