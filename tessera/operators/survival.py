@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.stats import Z_975, chisq1_pvalue
@@ -165,29 +165,31 @@ def km_median(curve: DataFrame, group: str, time: str = "time") -> DataFrame:
 def km_rmean(curve: DataFrame, group: str, time: str = "time", method: str | SumPlan = "auto") -> DataFrame:
     """Restricted mean survival and its standard error per (group, arm).
 
-    The bound tau is the largest time in the group over both arms. With
-    dS_i the drop of the curve at t_i, the area is tau - sum dS_i (tau - t_i),
-    and the area beyond t_i is area - t_i + t_i * cum dS(t_i) - cum(dS t)(t_i).
-    var = sum over event times of A_i^2 d_i / (n_i (n_i - d_i)).
+    The bound tau is the largest time in the group over both arms. With dS_i
+    the drop of the curve at t_i, the area is tau (1 - sum dS) + sum dS t, and
+    the area beyond t_i is A_i = rmean - h_i with
+    h_i = t_i - t_i cum dS(t_i) + cum(dS t)(t_i). The variance
+    sum A_i^2 w_i, w_i = d_i / (n_i (n_i - d_i)), is expanded as
+    rmean^2 sum w - 2 rmean sum w h + sum w h^2, so one aggregate per
+    (group, arm) after one running-sum pass gives everything.
     """
-    tau = curve.groupBy(group).agg(F.max(time).alias("__tau"))
-    c = (curve.join(tau, on=group)
-         .withColumns({"__ds": F.col("surv_prev") - F.col("surv")})
+    c = (curve.withColumn("__ds", F.col("surv_prev") - F.col("surv"))
          .withColumn("__dst", F.col("__ds") * F.col(time)))
     cum = running_sums(c, [group, "arm"], time, ["__ds", "__dst"], prefix="c", method=method)
-    t, tau_c = F.col(time), F.col("__tau")
+    t = F.col(time)
     head = t - t * F.col("c__ds") + F.col("c__dst")
     d, n = F.col("n_event"), F.col("n_risk")
-    per_group = (cum.groupBy(group, "arm")
-                 .agg(F.first(tau_c).alias("tau"),
-                      (F.first(tau_c) - F.sum(F.col("__ds") * (tau_c - t))).alias("rmean")))
-    var_rows = cum.join(per_group.select(group, "arm", "rmean"), on=[group, "arm"])
-    beyond = F.col("rmean") - head
-    var = (var_rows.groupBy(group, "arm")
-           .agg(F.sum(F.when((d > 0) & (d < n), beyond * beyond * d / (n * (n - d)))
-                      .otherwise(F.lit(0.0))).alias("__var")))
-    return (per_group.join(var, on=[group, "arm"])
-            .select(group, "arm", "rmean", F.sqrt("__var").alias("se_rmean"), "tau"))
+    w = F.when((d > 0) & (d < n), d / (n * (n - d))).otherwise(F.lit(0.0))
+    per_arm = (cum.groupBy(group, "arm")
+               .agg(F.sum("__ds").alias("__sds"), F.sum("__dst").alias("__sdst"), F.max(time).alias("__tmax"),
+                    F.sum(w).alias("__sw"), F.sum(w * head).alias("__swh"), F.sum(w * head * head).alias("__swhh")))
+    # at most one row per arm: the per-group maximum is a window over two rows
+    tau = F.max("__tmax").over(Window.partitionBy(group))
+    rm = per_arm.withColumn("tau", tau).withColumn(
+        "rmean", F.col("tau") * (1 - F.col("__sds")) + F.col("__sdst"))
+    var = (F.col("rmean") * F.col("rmean") * F.col("__sw") - 2 * F.col("rmean") * F.col("__swh")
+           + F.col("__swhh"))
+    return rm.select(group, "arm", "rmean", F.sqrt(F.greatest(var, F.lit(0.0))).alias("se_rmean"), "tau")
 
 
 def logrank(et: DataFrame, group: str) -> DataFrame:
