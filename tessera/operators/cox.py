@@ -1,12 +1,17 @@
 """Cox proportional hazards for one two-level covariate, Efron ties, robust variance.
 
 Fitted for every group at once on the event-time table (one row per group and
-distinct time), never on subject rows. Each Newton step is one distributed
-aggregate; the driver only sees the largest step size (one number) to decide
-when to stop. At a time with d tied events the Efron terms are sums over
-r = 0..d-1; they are evaluated JVM-side with ``aggregate(sequence(...))``
-over chunks of at most ``chunk`` steps, so a time with a huge tie is split
-over many rows instead of one giant array.
+distinct time), never on subject rows. Two execution paths, same formulas:
+
+* bounded time domain (checked at run time, see ``cumulative.SumPlan``): the
+  groups are hashed into buckets of about ``BUCKET_ROWS`` event-time rows and
+  each bucket is fitted in one ``applyInPandas`` call, Newton vectorised over
+  all of its groups with numpy;
+* otherwise, distributed Newton: each step is one aggregate, and the driver
+  only sees the largest step size (one number) to decide when to stop. At a
+  time with d tied events the Efron terms are sums over r = 0..d-1, evaluated
+  JVM-side with ``aggregate(sequence(...))`` over chunks of at most ``chunk``
+  steps, so a time with a huge tie is split over many rows, never one array.
 
 With x in {0, 1} and theta = exp(b), at a time with risk sums
 S0 = n0 + n1 theta, S1 = n1 theta and event sums D0 = d0 + d1 theta,
@@ -22,7 +27,6 @@ taken over the four cells of each event-time row weighted by their counts.
 
 from __future__ import annotations
 
-import math
 
 import numpy as np
 import pandas as pd

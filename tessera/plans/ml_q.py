@@ -4,12 +4,14 @@ number of terms); predictions and evaluation stay distributed."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, FMClassifier, GBTClassifier, LinearSVC,
                                        LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes,
                                        RandomForestClassifier)
 from pyspark.ml.clustering import LDA, BisectingKMeans, GaussianMixture, KMeans, PowerIterationClustering
-from pyspark.ml.feature import CountVectorizer, RegexTokenizer, StopWordsRemover, StringIndexer, VectorAssembler
+from pyspark.ml.feature import CountVectorizer, RegexTokenizer, StopWordsRemover, StringIndexer
 from pyspark.ml.fpm import FPGrowth
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import (AFTSurvivalRegression, DecisionTreeRegressor, FMRegressor, GBTRegressor,
@@ -18,7 +20,7 @@ from pyspark.ml.regression import (AFTSurvivalRegression, DecisionTreeRegressor,
 from pyspark.ml.stat import KolmogorovSmirnovTest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType
 
 from tessera.functions.scalar import no_negative_zero, threshold_class
 from tessera.operators import ml
@@ -307,7 +309,7 @@ def ml_aft(spark, sf):
     df = ml.assemble(s, ["treated"])
     m = AFTSurvivalRegression(labelCol="time", censorCol="event", maxIter=100).fit(df)
     t = _coef_table(spark, ["treated"], m.coefficients, m.intercept)
-    return t.unionByName(ml.tidy_terms(spark, ["log(scale)"], {"estimate": [float(__import__("math").log(m.scale))]}))
+    return t.unionByName(ml.tidy_terms(spark, ["log(scale)"], {"estimate": [float(math.log(m.scale))]}))
 
 
 # ---------------------------------------------------------------- classification
