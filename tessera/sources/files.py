@@ -17,7 +17,7 @@ from tessera.session import scratch_path
 
 # fixed value: the text that CSV readers treat as missing, as R's readers do
 NA_TEXT = "NA"
-DEFAULT_FORMAT = "parquet"  # no Delta jar here; the format is a parameter everywhere
+DEFAULT_FORMAT = "parquet"  # table formats needing extra jars are not installed; the format is a parameter
 WORKSPACE = "tessera_ws"
 
 
