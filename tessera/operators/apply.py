@@ -48,6 +48,7 @@ def group_means_by_batches(df: DataFrame, key: str, cols: Sequence[str]) -> Data
     for c in cols:
         part_fields += [StructField(f"s_{c}", DoubleType(), True), StructField(f"n_{c}", LongType(), True)]
     part_schema = StructType(part_fields)
+    integral_key = df.schema[key].dataType.typeName() in ("integer", "long", "short", "byte")
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -58,7 +59,10 @@ def group_means_by_batches(df: DataFrame, key: str, cols: Sequence[str]) -> Data
             for c in cols:
                 res[f"s_{c}"] = sums[c].astype("float64")
                 res[f"n_{c}"] = cnts[c].astype("int64")
-            yield res.reset_index()
+            res = res.reset_index()
+            if integral_key:  # NULL keys make pandas floats; keep them as nullable ints
+                res[key] = res[key].astype("Int64")
+            yield res
 
     parts = df.select(key, *cols).mapInPandas(partial, part_schema)
     return parts.groupBy(key).agg(*[(F.sum(f"s_{c}") / F.sum(f"n_{c}")).alias(c) for c in cols])

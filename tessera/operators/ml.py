@@ -85,6 +85,50 @@ def string_index(df: DataFrame, col: str, out: str) -> DataFrame:
     return model.transform(df)
 
 
+def dense_index(df: DataFrame, col: str, out: str = "idx") -> DataFrame:
+    """(col, out) mapping every distinct value of ``col`` to 0..n-1 in value order.
+
+    For estimators that need int ids (ALS) when keys are sparse or beyond the
+    int range. The ranks come from a distributed running count, so neither
+    the driver nor one task sees all keys.
+    """
+    from tessera.operators.cumulative import running_sums
+
+    ids = df.select(col).filter(F.col(col).isNotNull()).distinct().withColumn("__one", F.lit(1))
+    ranked = running_sums(ids, [], col, ["__one"], prefix="__c")
+    return ranked.select(col, (F.col("__c__one") - 1).cast("int").alias(out))
+
+
+class IntIds:
+    """Int ids for a key column: the key itself when it fits, else a dense index."""
+
+    INT_MAX = 2**31 - 1
+
+    def __init__(self, df: DataFrame, col: str, out: str):
+        from tessera.session import materialize
+
+        self.col, self.out = col, out
+        lo, hi = df.agg(F.min(col), F.max(col)).first()
+        self.direct = lo is None or (0 <= lo and hi <= self.INT_MAX)
+        self.mapping = None if self.direct else materialize(dense_index(df, col, out))
+
+    def attach(self, df: DataFrame) -> DataFrame:
+        """Add the int id column ``out`` next to ``col``."""
+        if self.direct:
+            return df.withColumn(self.out, F.col(self.col).cast("int"))
+        return df.join(self.mapping, self.col)
+
+    def detach(self, df: DataFrame) -> DataFrame:
+        """Add the key column ``col`` back from the int id column ``out``."""
+        if self.direct:
+            return df.withColumn(self.col, F.col(self.out).cast("bigint"))
+        return df.join(self.mapping, self.out)
+
+
+def int_ids(df: DataFrame, col: str, out: str) -> IntIds:
+    return IntIds(df, col, out)
+
+
 def indexed_labels(df: DataFrame, col: str, out: str = "label") -> tuple[DataFrame, list[str]]:
     model = StringIndexer(inputCol=col, outputCol=out, stringOrderType="frequencyDesc").fit(df)
     return model.transform(df), list(model.labels)

@@ -20,7 +20,7 @@ from pyspark.ml.regression import (AFTSurvivalRegression, DecisionTreeRegressor,
 from pyspark.ml.stat import KolmogorovSmirnovTest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType
+from pyspark.sql.types import LongType, StringType
 
 from tessera.functions.scalar import no_negative_zero, threshold_class
 from tessera.operators import ml
@@ -28,7 +28,7 @@ from tessera.operators.patterns import sequential_pairs
 from tessera.operators.sampling import hash_split, train_test_by_class
 from tessera.plans.fixtures import lineitem_trial
 from tessera.plans.registry import query
-from tessera.session import scratch_path
+from tessera.session import materialize, scratch_path
 from tessera.sources.tables import table
 
 # fixed values: seeds and sizes of the fits
@@ -403,16 +403,21 @@ def ml_als(spark, sf):
     """ALS on customer x part summed quantities; top 3 parts per customer (a top-k report)."""
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    ratings = (li.join(o, li.l_orderkey == o.o_orderkey)
-               .groupBy("o_custkey", "l_partkey").agg(F.sum("l_quantity").alias("rating"))
-               .select(F.col("o_custkey").cast(IntegerType()).alias("user"),
-                       F.col("l_partkey").cast(IntegerType()).alias("item"), "rating"))
+    summed = (li.join(o, li.l_orderkey == o.o_orderkey)
+              .groupBy("o_custkey", "l_partkey").agg(F.sum("l_quantity").alias("rating")))
+    summed = materialize(summed)
+    # ALS needs int ids: keys are used as they are when they fit (one min/max
+    # check), otherwise replaced by dense indexes and mapped back afterwards
+    users = ml.int_ids(summed, "o_custkey", "user")
+    items = ml.int_ids(summed, "l_partkey", "item")
+    ratings = users.attach(items.attach(summed)).select("user", "item", "rating")
     als = ALS(userCol="user", itemCol="item", ratingCol="rating", rank=8, maxIter=5, regParam=0.1, seed=SEED,
               coldStartStrategy="drop")
     recs = als.fit(ratings).recommendForAllUsers(3)
-    return recs.select(F.col("user").cast(LongType()).alias("o_custkey"),
-                       F.posexplode("recommendations").alias("rank", "r")).select(
-        "o_custkey", "rank", F.col("r.item").cast(LongType()).alias("p_partkey"), F.col("r.rating").alias("score"))
+    top = recs.select("user", F.posexplode("recommendations").alias("rank", "r")).select(
+        "user", "rank", F.col("r.item").alias("item"), F.col("r.rating").alias("score"))
+    return (users.detach(items.detach(top))
+            .select(F.col("o_custkey").cast(LongType()), "rank", F.col("l_partkey").cast(LongType()), "score"))
 
 
 FP_SQL = f"""

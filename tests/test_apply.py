@@ -38,3 +38,17 @@ def test_bounded_collect_refuses(spark):
     with pytest.raises(ValueError):
         ap.bounded_collect(spark.range(11), 10)
     assert len(ap.bounded_collect(spark.range(10), 10)) == 10
+
+
+def test_group_means_integral_null_key(spark):
+    df = spark.createDataFrame([(1, 2.0), (None, 4.0), (1, 4.0)], "k int, v double")
+    got = {r["k"]: r["v"] for r in ap.group_means_by_batches(df, "k", ["v"]).collect()}
+    assert got == {1: 3.0, None: 4.0}
+
+
+def test_dense_index_is_dense_and_ordered(spark):
+    from tessera.operators.ml import dense_index
+
+    df = spark.createDataFrame([(5_000_000_000,), (7,), (7,), (3_000_000_000,), (None,)], "k bigint")
+    got = {r["k"]: r["idx"] for r in dense_index(df, "k").collect()}
+    assert got == {7: 0, 3_000_000_000: 1, 5_000_000_000: 2}
