@@ -7,3 +7,9 @@ Every function builds a lazy plan and leaves physical planning to Catalyst.
 """
 
 __version__ = "0.1.0"
+
+# Functions of this package run inside Python workers (pandas UDFs, mapInPandas,
+# applyInPandas). Pickle them by value so executors need no installed copy.
+from pyspark import cloudpickle as _cloudpickle  # noqa: E402
+
+_cloudpickle.register_pickle_by_value(__import__(__name__))

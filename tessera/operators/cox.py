@@ -44,6 +44,13 @@ from tessera.session import checkpoint_root, materialize
 BUCKET_ROWS = 500_000
 
 
+def _bucket_count(df: DataFrame, rows: int) -> int:
+    """Buckets of at most BUCKET_ROWS rows, and enough of them to use the cluster
+    once there are more than a few thousand rows per core."""
+    parallel = df.sparkSession.sparkContext.defaultParallelism
+    return max(-(-rows // BUCKET_ROWS), min(parallel, -(-rows // 10_000)), 1)
+
+
 def _chunked(ev: DataFrame, chunk: int) -> DataFrame:
     """One row per (group, time, chunk of tie steps) with r in [r0, r1)."""
     d = (F.col("d0") + F.col("d1")).cast("bigint")
@@ -99,7 +106,7 @@ def cox_fit(et: DataFrame, group: str, time: str = "time", max_iter: int = 30,
     if kind == "window":
         rows = method.n_rows if isinstance(method, SumPlan) else 0
         return cox_fit_grouped(et, group, time, max_iter=max_iter, tol=tol,
-                               buckets=max(1, -(-rows // BUCKET_ROWS)) if rows else None)
+                               buckets=_bucket_count(et, rows) if rows else None)
     return cox_fit_iterative(et, group, time, max_iter=max_iter, tol=tol, chunk=chunk, method=method)
 
 
@@ -113,7 +120,7 @@ def cox_fit_grouped(et: DataFrame, group: str, time: str = "time", max_iter: int
     once (per-analysis sums by ``bincount``), each stopping at its own
     convergence.
     """
-    n_b = max(buckets or 1, int(et.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n_b = buckets or int(et.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     gtype = et.schema[group].dataType.simpleString()
     schema = (f"{group} {gtype}, coef double, exp_coef double, exp_neg_coef double, se double, "
               "robust_se double, lower_95 double, upper_95 double, n bigint, n_events bigint, iterations int")
