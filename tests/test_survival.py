@@ -139,3 +139,22 @@ def test_one_arm_and_all_censored(spark):
     assert {r["arm"] for r in cur} == {"A"} and all(r["surv"] == 1.0 for r in cur)
     lr = sv.logrank(et, "grp").collect()
     assert lr == []  # no event time: no test
+
+
+@pytest.mark.parametrize("parts", [1, 4, 16])
+def test_same_answer_at_any_partitioning(spark, parts):
+    from conftest import SF_SMALL
+    from tessera.plans.fixtures import lineitem_trial
+
+    lv = ("A", "R")
+
+    def run(df):
+        et, plan = sv.event_table_and_plan(df, "grp", "arm", lv)
+        cur = {(r["grp"], r["arm"], r["time"]): round(r["surv"], 12)
+               for r in sv.km_curve(et, "grp", lv, method=plan).collect()}
+        lr = {r["grp"]: round(r["chisq"] or 0.0, 9) for r in sv.logrank(et, "grp").collect()}
+        cx = {r["grp"]: round(r["coef"], 9) for r in cox_fit(et, "grp", method=plan).collect()}
+        return cur, lr, cx
+
+    base = run(lineitem_trial(spark, SF_SMALL))
+    assert run(lineitem_trial(spark, SF_SMALL).repartition(parts)) == base
