@@ -103,13 +103,13 @@ def event_table(subjects: DataFrame, group: str, arm: str, levels: Sequence[str]
 
 
 def _arm_rows(et: DataFrame, group: str, time: str, levels: Sequence[str]) -> DataFrame:
-    parts = []
-    for k, level in enumerate(levels):
-        parts.append(et.select(F.col(group), F.lit(level).alias("arm"), F.col(time),
-                               F.col(f"m{k}").alias("m"), F.col(f"d{k}").alias("d"),
-                               F.col(f"n{k}").alias("n"))
-                     .filter(F.col("m") > 0))
-    return parts[0].unionByName(parts[1])
+    """One row per (group, arm, time) with subjects of that arm: both arms from one pass."""
+    arms = F.array(*[F.struct(F.lit(level).alias("arm"), F.col(f"m{k}").alias("m"),
+                              F.col(f"d{k}").alias("d"), F.col(f"n{k}").alias("n"))
+                     for k, level in enumerate(levels)])
+    return (et.select(F.col(group), F.col(time), F.explode(arms).alias("__a"))
+            .select(group, "__a.arm", time, "__a.m", "__a.d", "__a.n")
+            .filter(F.col("m") > 0))
 
 
 def km_curve(et: DataFrame, group: str, levels: Sequence[str], time: str = "time",
