@@ -158,3 +158,14 @@ def test_same_answer_at_any_partitioning(spark, parts):
 
     base = run(lineitem_trial(spark, SF_SMALL))
     assert run(lineitem_trial(spark, SF_SMALL).repartition(parts)) == base
+
+
+def test_pvalue_expression_matches_erfc(spark):
+    from tessera.functions.stats import chisq1_pvalue
+
+    xs = [0.0, 0.3, 1.0, 3.84, 7.99, 8.0, 8.01, 25.0, 100.0, 400.0]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    got = [r[0] for r in df.select(chisq1_pvalue(F.col("x"))).collect()]
+    for x, p in zip(xs, got):
+        e = math.erfc(math.sqrt(x / 2))
+        assert p == pytest.approx(e, rel=1e-13, abs=1e-300)
