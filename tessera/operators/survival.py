@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.stats import Z_975, chisq1_pvalue
+from tessera.functions.stats import Z_975, erfc_col
 from tessera.operators.cumulative import SumPlan, plan_running_sums, running_sums
 from tessera.operators.verbs import one_per_key, update_from
 from tessera.session import materialize
@@ -209,4 +209,7 @@ def logrank(et: DataFrame, group: str) -> DataFrame:
 
 
 def with_pvalue(lr: DataFrame) -> DataFrame:
-    return lr.withColumn("pval", chisq1_pvalue(F.col("chisq")))
+    """Add the chi-square(1) p-value of ``chisq`` (z computed once, in its own projection)."""
+    return (lr.withColumn("__z", F.sqrt(F.greatest(F.col("chisq"), F.lit(0.0)) / 2))
+            .withColumn("pval", erfc_col(F.col("__z")))
+            .drop("__z"))
