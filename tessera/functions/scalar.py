@@ -75,7 +75,8 @@ def hash_u32(*parts: ColumnOrName, salt: str | Column = "", offset: int = 0) ->
 
     md5 is chosen over xxhash64 because other engines (DuckDB) compute the
     same value, so samples and splits can be checked against SQL. ``offset``
-    picks which 8 hex digits (0..3) are used, giving independent draws.
+    picks which 8 hex digits (0..3) are used, giving independent draws. Keys
+    should be integers or text: engines print doubles differently.
     """
     salt_c = salt if isinstance(salt, Column) else F.lit(salt)
     key = F.concat_ws("|", *[_c(p).cast("string") for p in parts], salt_c)

@@ -40,7 +40,7 @@ def hash_split(df: DataFrame, keys: Sequence[str], weights: Mapping[str, float],
     acc = 0.0
     expr: Column | None = None
     for name in names[:-1]:
-        acc += weights[name] / total
+        acc = min(1.0, acc + weights[name] / total)  # float sums may creep past 1
         cond = h < F.lit(bound(acc))
         expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
     last = F.lit(names[-1])

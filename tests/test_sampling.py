@@ -48,3 +48,9 @@ def test_stratified_drops_unlisted(orders):
     statuses = {r[0] for r in s.select("o_orderstatus").distinct().collect()}
     assert statuses == {"F"}
     assert s.count() == orders.filter("o_orderstatus = 'F'").count()
+
+
+def test_split_with_empty_last_part(orders):
+    s = smp.hash_split(orders, ["o_orderkey"], {"a": 0.7, "b": 0.3, "c": 0.0}, 5)
+    counts = {r["split"]: r["count"] for r in s.groupBy("split").count().collect()}
+    assert "c" not in counts and sum(counts.values()) == orders.count()
