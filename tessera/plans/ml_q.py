@@ -117,10 +117,14 @@ def glm_summary(spark, sf):
 
 @query("glm_confusion")
 def glm_confusion(spark, sf):
-    """Predict on training and test rows; 0/1 class at .5 against the label code."""
+    """Predict on training and test rows; 0/1 class at .5 against the label code.
+
+    The label text is reported next to its code: the formula indexes labels by
+    frequency, so code 0 is the most frequent segment, not the first by name.
+    """
     data, model = _glm_fit(spark, sf)
     pred = model.transform(data).withColumn("class", threshold_class("prediction", 0.5))
-    return pred.groupBy("split", "class", "label").agg(F.count(F.lit(1)).alias("n"))
+    return pred.groupBy("split", "class", "label", "c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("glm_evaluation")
