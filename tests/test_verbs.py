@@ -74,3 +74,19 @@ def test_copy_to_cleans_dotted_names(spark):
 
     out = io.copy_to(spark, pd.DataFrame({"Sepal.Length": [1.0, 2.0]}), io.unique_name("iris"), partitions=2)
     assert out.columns == ["Sepal_Length"] and out.count() == 2
+
+
+def test_namespace_use_and_external_table(spark):
+    ws = io.ensure_workspace(spark, "tessera_ns_test")
+    before = spark.catalog.currentDatabase()
+    path = io.write_path(spark.range(4).withColumnRenamed("id", "k"), scratch_path(spark, "ns"))
+    try:
+        io.use_namespace(spark, ws)
+        name = io.unique_name("t")
+        io.create_external_table(spark, name, path)  # unqualified: lands in the current database
+        assert spark.catalog.tableExists(f"{ws}.{name}")
+        assert spark.table(name).count() == 4
+        io.drop_table(spark, name)
+        assert io.read_path(spark, path).count() == 4  # files stay
+    finally:
+        io.use_namespace(spark, before)
