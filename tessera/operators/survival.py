@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.stats import Z_975, erfc_col
-from tessera.operators.cumulative import SumPlan, plan_running_sums, running_sums
+from tessera.operators.cumulative import SumPlan, materialize_planned, running_sums
 from tessera.operators.verbs import one_per_key, update_from
 from tessera.session import materialize
 
@@ -87,8 +87,10 @@ def event_table_and_plan(subjects: DataFrame, group: str, arm: str, levels: Sequ
                 F.sum((1 - F.col("__x")) * F.col("__e")).alias("d0"),
                 F.sum(F.col("__x")).alias("m1"),
                 F.sum(F.col("__x") * F.col("__e")).alias("d1")))
-    agg = materialize(agg)
-    plan = plan_running_sums(agg, time) if method == "auto" else method
+    if method == "auto":
+        agg, plan = materialize_planned(agg, time)  # the plan's statistics come with the write
+    else:
+        agg, plan = materialize(agg), method
     et = running_sums(agg, [group], time, ["m0", "m1"], prefix="__cum_", suffix_prefix="__n_",
                       method=plan)
     et = (et.withColumnsRenamed({"__n_m0": "n0", "__n_m1": "n1"})
