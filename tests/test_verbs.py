@@ -90,3 +90,14 @@ def test_namespace_use_and_external_table(spark):
         assert io.read_path(spark, path).count() == 4  # files stay
     finally:
         io.use_namespace(spark, before)
+
+
+def test_histogram_edges(spark):
+    empty = spark.createDataFrame([(None,), (None,)], "v double")
+    assert agg.histogram(empty, "v", 5).count() == 0
+    const = spark.createDataFrame([(2.0,), (2.0,), (None,)], "v double")
+    rows = agg.histogram(const, "v", 5).collect()
+    assert [(r["bin"], r["n"]) for r in rows] == [(0, 2)]
+    top = spark.createDataFrame([(0.0,), (1.0,), (10.0,)], "v double")
+    got = {r["bin"]: r["n"] for r in agg.histogram(top, "v", 5).collect()}
+    assert got == {0: 2, 4: 1}  # the maximum falls in the last, closed bin
