@@ -4,7 +4,8 @@
 (single-item steps) -- what PrefixSpan reports with maxPatternLength=2 -- from
 per (sequence, item) first and last positions. Those are algebraic
 aggregates, so a sequence holding a third of all events never lands in one
-task; the pair step joins at most |items|^2 rows per sequence.
+task; the pair step joins only frequent items (Apriori pruning), at most
+|frequent items|^2 rows per sequence.
 """
 
 from __future__ import annotations
@@ -27,8 +28,12 @@ def sequential_pairs(df: DataFrame, seq: str, order: Sequence[str], item: str, m
     per = df.groupBy(seq, item).agg(F.min(pos).alias("first"), F.max(pos).alias("last"))
     n_seq = df.select(seq).distinct().count()
     min_count = math.ceil(min_support * n_seq)
-    singles = per.groupBy(F.col(item).alias("item_1")).agg(F.count(F.lit(1)).alias("freq")) \
-        .withColumn("item_2", F.lit(None).cast("string"))
+    singles = (per.groupBy(F.col(item).alias("item_1")).agg(F.count(F.lit(1)).alias("freq"))
+               .withColumn("item_2", F.lit(None).cast("string")))
+    # Apriori: a pair is frequent only if both its items are, so pairs are built
+    # from frequent items only (bounded by the frequent vocabulary per sequence)
+    frequent = singles.filter(F.col("freq") >= F.lit(min_count)).select(F.col("item_1").alias(item))
+    per = per.join(frequent, item, "left_semi")
     a, b = per.alias("a"), per.alias("b")
     pairs = (a.join(b, (F.col(f"a.{seq}") == F.col(f"b.{seq}")) & (F.col("a.first") < F.col("b.last")))
              .groupBy(F.col(f"a.{item}").alias("item_1"), F.col(f"b.{item}").alias("item_2"))
