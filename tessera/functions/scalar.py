@@ -70,15 +70,21 @@ def no_negative_zero(x: ColumnOrName) -> Column:
     return _c(x) + F.lit(0.0)
 
 
-def hash_u32(*parts: ColumnOrName, salt: str | Column = "", offset: int = 0) -> Column:
+def hash_u32(*parts: ColumnOrName, salt: str | Column = "", offset: int = 0, method: str = "md5") -> Column:
     """Unsigned 32-bit integer from 8 hex digits of md5 over the key text.
 
     md5 is chosen over xxhash64 because other engines (DuckDB) compute the
     same value, so samples and splits can be checked against SQL. ``offset``
     picks which 8 hex digits (0..3) are used, giving independent draws. Keys
     should be integers or text: engines print doubles differently.
+    ``method="xxhash64"`` trades that SQL twin for speed (a JVM hash, no hex
+    text): same uniformity, several times cheaper per row on large scans.
     """
     salt_c = salt if isinstance(salt, Column) else F.lit(salt)
+    if method == "xxhash64":
+        return F.pmod(F.xxhash64(*[_c(p) for p in parts], salt_c, F.lit(offset)), F.lit(1 << 32))
+    if method != "md5":
+        raise ValueError(f"unknown hash method {method!r}")
     key = F.concat_ws("|", *[_c(p).cast("string") for p in parts], salt_c)
     digits = F.substring(F.md5(key), 1 + 8 * offset, 8)
     return F.conv(digits, 16, 10).cast("bigint")

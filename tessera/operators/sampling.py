@@ -26,16 +26,16 @@ def bound(frac: float) -> int:
     return int(frac * _SPAN)
 
 
-def hash_sample(df: DataFrame, keys: Sequence[str], frac: float, seed: int) -> DataFrame:
+def hash_sample(df: DataFrame, keys: Sequence[str], frac: float, seed: int, method: str = "md5") -> DataFrame:
     """Bernoulli sample without replacement, deterministic in (key, seed)."""
-    return df.filter(hash_u32(*keys, salt=str(seed)) < F.lit(bound(frac)))
+    return df.filter(hash_u32(*keys, salt=str(seed), method=method) < F.lit(bound(frac)))
 
 
 def hash_split(df: DataFrame, keys: Sequence[str], weights: Mapping[str, float], seed: int,
-               label: str = "split") -> DataFrame:
+               label: str = "split", method: str = "md5") -> DataFrame:
     """Label every row with one part; parts get shares proportional to weights."""
     total = float(sum(weights.values()))
-    h = hash_u32(*keys, salt=str(seed))
+    h = hash_u32(*keys, salt=str(seed), method=method)
     names = list(weights)
     acc = 0.0
     expr: Column | None = None
@@ -48,18 +48,18 @@ def hash_split(df: DataFrame, keys: Sequence[str], weights: Mapping[str, float],
 
 
 def stratified_sample(df: DataFrame, col: str, fractions: Mapping[str, float],
-                      keys: Sequence[str], seed: int) -> DataFrame:
+                      keys: Sequence[str], seed: int, method: str = "md5") -> DataFrame:
     """Per-stratum fractions (strata not listed are dropped), like sampleBy."""
     b: Column | None = None
     for k, f in fractions.items():
         cond = F.col(col) == F.lit(k)
         b = F.when(cond, F.lit(bound(f))) if b is None else b.when(cond, F.lit(bound(f)))
     b = F.lit(0) if b is None else b.otherwise(F.lit(0))
-    return df.filter(hash_u32(*keys, salt=str(seed)) < b)
+    return df.filter(hash_u32(*keys, salt=str(seed), method=method) < b)
 
 
 def train_test_by_class(df: DataFrame, class_col: str, seeds: Mapping[str, int], frac: float,
-                        keys: Sequence[str], label: str = "split") -> DataFrame:
+                        keys: Sequence[str], label: str = "split", method: str = "md5") -> DataFrame:
     """Per class: a seeded ``frac`` sample is training, the rest of the class is test.
 
     Equivalent to sampling each class, taking ``class EXCEPT training`` and
@@ -71,5 +71,5 @@ def train_test_by_class(df: DataFrame, class_col: str, seeds: Mapping[str, int],
         cond = F.col(class_col) == F.lit(k)
         salt = F.when(cond, F.lit(str(s))) if salt is None else salt.when(cond, F.lit(str(s)))
     kept = df.filter(F.col(class_col).isin(*seeds.keys()))
-    h = hash_u32(*keys, salt=salt)
+    h = hash_u32(*keys, salt=salt, method=method)
     return kept.withColumn(label, F.when(h < F.lit(bound(frac)), F.lit("training")).otherwise(F.lit("test")))

@@ -54,3 +54,11 @@ def test_split_with_empty_last_part(orders):
     s = smp.hash_split(orders, ["o_orderkey"], {"a": 0.7, "b": 0.3, "c": 0.0}, 5)
     counts = {r["split"]: r["count"] for r in s.groupBy("split").count().collect()}
     assert "c" not in counts and sum(counts.values()) == orders.count()
+
+
+@pytest.mark.parametrize("parts", [1, 8])
+def test_xxhash_method_is_uniform_and_stable(orders, parts):
+    a = {r[0] for r in smp.hash_sample(orders, ["o_orderkey"], 0.3, 9, method="xxhash64").collect()}
+    b = {r[0] for r in smp.hash_sample(orders.repartition(parts), ["o_orderkey"], 0.3, 9,
+                                       method="xxhash64").collect()}
+    assert a == b and 0.24 < len(a) / orders.count() < 0.36
