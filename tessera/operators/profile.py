@@ -70,15 +70,63 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> dict[flo
     return out
 
 
+def exact_quantiles_many(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, dict]:
+    """Exact quantiles of several columns in one pass.
+
+    The columns are stacked into (column, value) rows, reduced to
+    multiplicities, and ranked by one running count keyed by column; only the
+    rows holding wanted ranks (at most two per column and probability) reach
+    the driver.
+    """
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in cols])).alias("s"))
+    counts = (stacked.select("s.column_name", "s.v").filter(F.col("v").isNotNull())
+              .groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("w")))
+    ranked = running_sums(counts, ["column_name"], "v", ["w"], prefix="cum_")
+    ranked = ranked.persist()
+    try:
+        # the running count at a column's largest value is its number of values
+        n_by = {r["column_name"]: r["n"] for r in
+                ranked.groupBy("column_name").agg(F.max(F.col("cum_w")).alias("n")).collect()}
+        cond = None
+        for c, n in n_by.items():
+            for p in probs:
+                pos = (n - 1) * p
+                for k in {math.floor(pos), math.ceil(pos)}:
+                    t = ((F.col("column_name") == F.lit(c)) & (F.col("cum_w") - F.col("w") <= F.lit(k))
+                         & (F.lit(k) < F.col("cum_w")))
+                    cond = t if cond is None else (cond | t)
+        rows = ranked.filter(cond).select("column_name", "v", "w", "cum_w").collect() if cond is not None else []
+    finally:
+        ranked.unpersist()
+
+    def at(c: str, k: int) -> float:
+        for r in rows:
+            if r["column_name"] == c and r["cum_w"] - r["w"] <= k < r["cum_w"]:
+                return r["v"]
+        raise AssertionError("rank not found")
+
+    out = {}
+    for c in cols:
+        n = n_by.get(c)
+        if not n:
+            out[c] = {p: None for p in probs}
+            continue
+        out[c] = {}
+        for p in probs:
+            pos = (n - 1) * p
+            lo, hi = at(c, math.floor(pos)), at(c, math.ceil(pos))
+            out[c][p] = lo + (hi - lo) * (pos - math.floor(pos))
+    return out
+
+
 def summary_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """describe_long plus exact quartile columns q25, q50, q75."""
     spark = df.sparkSession
     desc = describe_long(df, cols)
     names = [f"q{int(round(p * 100))}" for p in probs]
-    qrows = []
-    for c in cols:
-        q = exact_quantiles(df, c, probs)
-        qrows.append((c, *[q[p] for p in probs]))
+    qs = exact_quantiles_many(df, cols, probs)
+    qrows = [(c, *[qs[c][p] for p in probs]) for c in cols]
     schema = StructType([StructField("column_name", StringType(), False)]
                         + [StructField(n, DoubleType(), True) for n in names])
     qdf = spark.createDataFrame(qrows, schema)

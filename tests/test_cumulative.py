@@ -51,3 +51,17 @@ def test_exact_quantiles_match_numpy(data):
     q = exact_quantiles(df, "t", [0.0, 0.25, 0.5, 0.9, 1.0])
     for p, v in q.items():
         assert v == pytest.approx(float(np.quantile(pdf["t"], p)), rel=1e-12)
+
+
+def test_exact_quantiles_many_match_numpy(spark):
+    from tessera.operators.profile import exact_quantiles_many
+
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"a": rng.random(3001), "b": rng.integers(0, 7, 3001).astype(float)})
+    pdf.loc[::10, "a"] = np.nan
+    df = spark.createDataFrame(pdf).replace(float("nan"), None)
+    got = exact_quantiles_many(df, ["a", "b"], [0.1, 0.5, 0.75])
+    for c in ("a", "b"):
+        vals = pdf[c].dropna().to_numpy()
+        for p in (0.1, 0.5, 0.75):
+            assert got[c][p] == pytest.approx(float(np.quantile(vals, p)), rel=1e-12)
