@@ -31,6 +31,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _BLK = "__blk"
+# a single window partition may hold up to this many rows; above it the two-level
+# form spreads a key over blocks (also the faster choice for long keys)
+WINDOW_LIMIT = 100_000
 
 
 def _shuffle_partitions(df: DataFrame) -> int:
@@ -78,7 +81,7 @@ class SumPlan:
 
 
 def plan_running_sums(df: DataFrame, order: str, *, blocks: int | None = None,
-                      window_limit: int = 1_000_000, keyed: bool = True) -> SumPlan:
+                      window_limit: int = WINDOW_LIMIT, keyed: bool = True) -> SumPlan:
     """Run the one deciding aggregate and return the plan (see module docstring)."""
     n_blocks = max(2, blocks or _shuffle_partitions(df))
     n_distinct, bounds, n_rows = order_stats(df, order, n_blocks)
@@ -87,7 +90,7 @@ def plan_running_sums(df: DataFrame, order: str, *, blocks: int | None = None,
 
 
 def materialize_planned(df: DataFrame, order: str, *, blocks: int | None = None,
-                        window_limit: int = 1_000_000, keyed: bool = True) -> tuple[DataFrame, SumPlan]:
+                        window_limit: int = WINDOW_LIMIT, keyed: bool = True) -> tuple[DataFrame, SumPlan]:
     """Write ``df`` to the shared folder and decide its plan from metrics observed
     during that same write (no separate statistics job)."""
     from pyspark.sql import Observation
@@ -109,7 +112,7 @@ def materialize_planned(df: DataFrame, order: str, *, blocks: int | None = None,
 def running_sums(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str], *,
                  prefix: str = "cum_", suffix_prefix: str | None = None,
                  method: str | SumPlan = "auto", blocks: int | None = None,
-                 window_limit: int = 1_000_000) -> DataFrame:
+                 window_limit: int = WINDOW_LIMIT) -> DataFrame:
     """Add inclusive prefix sums ``cum_<c>`` (rows with order <= current).
 
     With ``suffix_prefix`` (e.g. ``"rcum_"``) also add inclusive suffix sums

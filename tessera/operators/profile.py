@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from tessera.operators.cumulative import running_sums
+from tessera.operators.cumulative import WINDOW_LIMIT, materialize_planned, running_sums
 
 
 def describe_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -70,19 +70,40 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> dict[flo
     return out
 
 
-def exact_quantiles_many(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, dict]:
-    """Exact quantiles of several columns in one pass.
+def exact_quantiles_many(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                         limit: int = WINDOW_LIMIT) -> dict[str, dict]:
+    """Exact quantiles (interpolated like quantile_cont) of several columns.
 
-    The columns are stacked into (column, value) rows, reduced to
-    multiplicities, and ranked by one running count keyed by column; only the
-    rows holding wanted ranks (at most two per column and probability) reach
-    the driver.
+    One small aggregate measures each column's distinct count. Columns with at
+    most ``limit`` distinct values use Spark's exact ``percentile`` aggregate:
+    its per-task state is a value -> count map, bounded by that count. The
+    others are stacked into (column, value) rows, reduced to multiplicities
+    and ranked by one distributed running count keyed by column; only the rows
+    holding wanted ranks (at most two per column and probability) reach the
+    driver.
     """
+    nd = df.agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in cols]).first()
+    small = [c for c in cols if (nd[c] or 0) <= limit]
+    large = [c for c in cols if c not in small]
+    out: dict[str, dict] = {}
+    if small:
+        r = df.agg(*[F.percentile(F.col(c).cast("double"), list(probs)).alias(c) for c in small]).first()
+        for c in small:
+            out[c] = dict(zip(probs, r[c])) if r[c] is not None else {p: None for p in probs}
+    if large:
+        out.update(_ranked_quantiles(df, large, probs))
+    return out
+
+
+def _ranked_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, dict]:
     stacked = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in cols])).alias("s"))
     counts = (stacked.select("s.column_name", "s.v").filter(F.col("v").isNotNull())
               .groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("w")))
-    ranked = running_sums(counts, ["column_name"], "v", ["w"], prefix="cum_")
+    # written once (with its running-sum plan observed during the write), then
+    # read by the block totals and the local sums instead of re-scanning
+    counts, plan = materialize_planned(counts, "v")
+    ranked = running_sums(counts, ["column_name"], "v", ["w"], prefix="cum_", method=plan)
     ranked = ranked.persist()
     try:
         # the running count at a column's largest value is its number of values

@@ -65,3 +65,15 @@ def test_exact_quantiles_many_match_numpy(spark):
         vals = pdf[c].dropna().to_numpy()
         for p in (0.1, 0.5, 0.75):
             assert got[c][p] == pytest.approx(float(np.quantile(vals, p)), rel=1e-12)
+
+
+def test_exact_quantiles_ranked_path_matches_numpy(spark):
+    from tessera.operators.profile import exact_quantiles_many
+
+    rng = np.random.default_rng(6)
+    pdf = pd.DataFrame({"a": rng.random(2001), "b": rng.integers(0, 5, 2001).astype(float)})
+    df = spark.createDataFrame(pdf)
+    got = exact_quantiles_many(df, ["a", "b"], [0.25, 0.9], limit=100)  # "a" takes the ranked path
+    for c in ("a", "b"):
+        for p in (0.25, 0.9):
+            assert got[c][p] == pytest.approx(float(np.quantile(pdf[c], p)), rel=1e-12)
