@@ -91,22 +91,17 @@ def plan_running_sums(df: DataFrame, order: str, *, blocks: int | None = None,
 
 def materialize_planned(df: DataFrame, order: str, *, blocks: int | None = None,
                         window_limit: int = WINDOW_LIMIT, keyed: bool = True) -> tuple[DataFrame, SumPlan]:
-    """Write ``df`` to the shared folder and decide its plan from metrics observed
-    during that same write (no separate statistics job)."""
-    from pyspark.sql import Observation
+    """Write ``df`` to the shared folder, then decide its plan from the written table.
 
+    The statistics job reads the small written table, not the input's
+    lineage. (Observed metrics during the write would save that job, but an
+    observed session cannot serialise MLlib models that hold their training
+    summary, so they are not used.)
+    """
     from tessera.session import materialize
 
-    n_blocks = max(2, blocks or _shuffle_partitions(df))
-    probs = [i / n_blocks for i in range(1, n_blocks)]
-    obs = Observation()
-    observed = df.observe(obs, F.approx_count_distinct(order, 0.05).alias("nd"),
-                          F.percentile_approx(order, probs, 10000).alias("q"), F.count(F.lit(1)).alias("n"))
-    out = materialize(observed)
-    r = obs.get
-    bounds = sorted(set(v for v in (r.get("q") or []) if v is not None))
-    method = "window" if (keyed and int(r.get("nd") or 0) <= window_limit) else "ranged"
-    return out, SumPlan(method, tuple(bounds), int(r.get("n") or 0))
+    out = materialize(df)
+    return out, plan_running_sums(out, order, blocks=blocks, window_limit=window_limit, keyed=keyed)
 
 
 def running_sums(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str], *,

@@ -100,7 +100,7 @@ def _ranked_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in cols])).alias("s"))
     counts = (stacked.select("s.column_name", "s.v").filter(F.col("v").isNotNull())
               .groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("w")))
-    # written once (with its running-sum plan observed during the write), then
+    # written once (its running-sum plan decided on the written table), then
     # read by the block totals and the local sums instead of re-scanning
     counts, plan = materialize_planned(counts, "v")
     ranked = running_sums(counts, ["column_name"], "v", ["w"], prefix="cum_", method=plan)

@@ -64,3 +64,13 @@ def test_glm_confusion_covers_rows(spark):
     rows = QUERIES["glm_confusion"](spark, SF_SMALL).collect()
     n = table(spark, SF_SMALL, "customer").filter("c_mktsegment in ('AUTOMOBILE', 'BUILDING')").count()
     assert sum(r["n"] for r in rows) == n
+
+
+def test_model_fits_after_survival_queries(spark):
+    """MLlib models that keep a training summary must stay serialisable after the
+    survival operators ran in the same session (no observed-metrics state)."""
+    from tessera.plans.fixtures import lineitem_trial
+    from tessera.operators import survival as sv
+
+    sv.event_table_and_plan(lineitem_trial(spark, SF_SMALL), "grp", "arm", ("A", "R"))
+    assert len(QUERIES["ml_fm_classifier"](spark, SF_SMALL).collect()) > 0
