@@ -70,10 +70,13 @@ def arm_description(subjects: DataFrame, group: str, arm: str, lock: float,
 
 def event_table_and_plan(subjects: DataFrame, group: str, arm: str, levels: Sequence[str],
                          time: str = "time", event: str = "event",
-                         method: str | SumPlan = "auto") -> tuple[DataFrame, SumPlan | str]:
+                         method: str | SumPlan = "auto",
+                         drop_out: str | None = None) -> tuple[DataFrame, SumPlan | str]:
     """(group, time, m0, d0, m1, d1, n0, n1) and the running-sum plan for its times.
 
     m = subjects with this time, d = events at it, n = subjects with time >= t.
+    With ``drop_out`` the drop-outs per arm (k0, k1) are counted too, so arm
+    descriptions can come from this table instead of a second subject scan.
     The per-(group, time) aggregate is written once to the checkpoint folder
     (it is small: distinct times, not subjects); the plan is decided on it and
     can be passed to every table derived over the same times.
@@ -81,12 +84,17 @@ def event_table_and_plan(subjects: DataFrame, group: str, arm: str, levels: Sequ
     ref, trt = levels
     x = F.when(F.col(arm) == F.lit(trt), 1).otherwise(0)
     ev = F.col(event).cast("bigint")
-    s = subjects.filter(F.col(arm).isin(ref, trt)).select(group, time, x.alias("__x"), ev.alias("__e"))
-    agg = (s.groupBy(group, time)
-           .agg(F.sum(1 - F.col("__x")).alias("m0"),
-                F.sum((1 - F.col("__x")) * F.col("__e")).alias("d0"),
-                F.sum(F.col("__x")).alias("m1"),
-                F.sum(F.col("__x") * F.col("__e")).alias("d1")))
+    k = F.col(drop_out).cast("bigint") if drop_out else F.lit(0).cast("bigint")
+    s = subjects.filter(F.col(arm).isin(ref, trt)).select(group, time, x.alias("__x"), ev.alias("__e"),
+                                                          k.alias("__k"))
+    sums = [F.sum(1 - F.col("__x")).alias("m0"),
+            F.sum((1 - F.col("__x")) * F.col("__e")).alias("d0"),
+            F.sum(F.col("__x")).alias("m1"),
+            F.sum(F.col("__x") * F.col("__e")).alias("d1")]
+    if drop_out:
+        sums += [F.sum((1 - F.col("__x")) * F.col("__k")).alias("k0"),
+                 F.sum(F.col("__x") * F.col("__k")).alias("k1")]
+    agg = s.groupBy(group, time).agg(*sums)
     if method == "auto":
         agg, plan = materialize_planned(agg, time)  # the plan's statistics come with the write
     else:
@@ -98,6 +106,20 @@ def event_table_and_plan(subjects: DataFrame, group: str, arm: str, levels: Sequ
     return et, plan
 
 
+def arm_description_from_events(et: DataFrame, group: str, levels: Sequence[str], lock: float) -> DataFrame:
+    """Arm description (records, events, drop-outs, lock-censored, lock) from an
+    event-time table built with ``drop_out``: sums over its rows, no subject scan."""
+    parts = []
+    for k, level in enumerate(levels):
+        parts.append(et.groupBy(group).agg(F.lit(level).alias("arm"),
+                                           F.sum(f"m{k}").cast("bigint").alias("records"),
+                                           F.sum(f"d{k}").cast("bigint").alias("events"),
+                                           F.sum(f"k{k}").cast("bigint").alias("n_drop")))
+    out = parts[0].unionByName(parts[1]).filter(F.col("records") > 0)
+    return (out.withColumn("n_admin_censor", F.col("records") - F.col("events") - F.col("n_drop"))
+            .withColumn("dbl", F.lit(float(lock))))
+
+
 def event_table(subjects: DataFrame, group: str, arm: str, levels: Sequence[str],
                 time: str = "time", event: str = "event", method: str | SumPlan = "auto") -> DataFrame:
     """The event-time table alone (see :func:`event_table_and_plan`)."""

@@ -232,13 +232,13 @@ def survival_bundle(subjects: DataFrame, levels, lock: float) -> DataFrame:
     """One flat row per analysis: log-rank p and chi-square, each arm's description
     (records, events, restricted mean and se, median and limits, drop-outs,
     lock-censored, lock) prefixed ``ref_`` / ``trt_``, and the Cox fit ``cox_*``."""
-    et, plan = sv.event_table_and_plan(subjects, "grp", "arm", levels)
-    et = materialize(et)  # read by the log-rank, KM and Cox steps
+    et, plan = sv.event_table_and_plan(subjects, "grp", "arm", levels, drop_out="drop_out")
+    et = materialize(et)  # read by the log-rank, KM, description and Cox steps: one subject scan
     groups = et.select("grp").distinct()
     lr = sv.with_pvalue(sv.logrank(et, "grp")).select(
         "grp", F.col("pval").alias("logrank_pval"), F.col("chisq").alias("logrank_chisq"))
     cur = materialize(sv.km_curve(et, "grp", levels, method=plan))
-    desc = (sv.arm_description(subjects, "grp", "arm", lock)
+    desc = (sv.arm_description_from_events(et, "grp", levels, lock)
             .join(sv.km_rmean(cur, "grp", method=plan).drop("tau"), on=["grp", "arm"], how="left")
             .join(sv.km_median(cur, "grp"), on=["grp", "arm"], how="left"))
     out = groups.join(lr, "grp", "left")
