@@ -16,3 +16,11 @@ def test_plan_has_no_forbidden_operator(spark, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     for op in FORBIDDEN:
         assert op not in plan, f"{name} plans {op}"
+
+
+def test_survival_record_scans_subjects_once(spark):
+    """After the event-time table is written, the per-analysis record reads only
+    small written tables: the subject table is not scanned a second time."""
+    df = QUERIES["parallel_group_analysis"](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem.parquet" not in plan
