@@ -52,3 +52,16 @@ def test_dense_index_is_dense_and_ordered(spark):
     df = spark.createDataFrame([(5_000_000_000,), (7,), (7,), (3_000_000_000,), (None,)], "k bigint")
     got = {r["k"]: r["idx"] for r in dense_index(df, "k").collect()}
     assert got == {7: 0, 3_000_000_000: 1, 5_000_000_000: 2}
+
+
+def test_group_apply_user_function(spark):
+    import pandas as pd
+
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 5.0)], "k string, v double")
+
+    def stats(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"k": [pdf["k"].iloc[0]], "mean": [pdf["v"].mean()], "n": [len(pdf)]})
+
+    out = {r["k"]: (r["mean"], r["n"]) for r in ap.group_apply(df, ["k"], stats, "k string, mean double, n long")
+           .collect()}
+    assert out == {"a": (2.0, 2), "b": (5.0, 1)}
