@@ -71,7 +71,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> dict[flo
 
 
 def exact_quantiles_many(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                         limit: int = WINDOW_LIMIT) -> dict[str, dict]:
+                         limit: int = WINDOW_LIMIT, distinct: dict | None = None) -> dict[str, dict]:
     """Exact quantiles (interpolated like quantile_cont) of several columns.
 
     One small aggregate measures each column's distinct count. Columns with at
@@ -82,7 +82,8 @@ def exact_quantiles_many(df: DataFrame, cols: Sequence[str], probs: Sequence[flo
     holding wanted ranks (at most two per column and probability) reach the
     driver.
     """
-    nd = df.agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in cols]).first()
+    nd = distinct if distinct is not None else \
+        df.agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in cols]).first().asDict()
     small = [c for c in cols if (nd[c] or 0) <= limit]
     large = [c for c in cols if c not in small]
     out: dict[str, dict] = {}
@@ -142,15 +143,26 @@ def _ranked_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]
 
 
 def summary_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """describe_long plus exact quartile columns q25, q50, q75."""
+    """describe_long plus exact quartile columns q25, q50, q75, one typed row per column.
+
+    The describe statistics and each column's distinct count come from one
+    scan (one row to the driver, bounded by the number of columns); the
+    distinct counts choose the quantile path (see exact_quantiles_many).
+    """
     spark = df.sparkSession
-    desc = describe_long(df, cols)
+    aggs = []
+    for i, c in enumerate(cols):
+        aggs += [F.count(c).alias(f"c{i}"), F.avg(c).alias(f"m{i}"), F.stddev_samp(c).alias(f"s{i}"),
+                 F.min(c).cast("double").alias(f"lo{i}"), F.max(c).cast("double").alias(f"hi{i}"),
+                 F.approx_count_distinct(c, 0.05).alias(f"nd{i}")]
+    wide = df.agg(*aggs).first()
+    qs = exact_quantiles_many(df, cols, probs, distinct={c: wide[f"nd{i}"] for i, c in enumerate(cols)})
     names = [f"q{int(round(p * 100))}" for p in probs]
-    qs = exact_quantiles_many(df, cols, probs)
-    qrows = [(c, *[qs[c][p] for p in probs]) for c in cols]
-    schema = StructType([StructField("column_name", StringType(), False)]
-                        + [StructField(n, DoubleType(), True) for n in names])
-    qdf = spark.createDataFrame(qrows, schema)
-    out = desc.join(qdf, on="column_name")
-    return out.select("column_name", F.col("count").cast(LongType()).alias("count"), "mean", "stddev", "min",
-                      *names, "max")
+    rows = [(c, wide[f"c{i}"], wide[f"m{i}"], wide[f"s{i}"], wide[f"lo{i}"], *[qs[c][p] for p in probs],
+             wide[f"hi{i}"]) for i, c in enumerate(cols)]
+    schema = StructType([StructField("column_name", StringType(), False), StructField("count", LongType(), True),
+                         StructField("mean", DoubleType(), True), StructField("stddev", DoubleType(), True),
+                         StructField("min", DoubleType(), True)]
+                        + [StructField(n, DoubleType(), True) for n in names]
+                        + [StructField("max", DoubleType(), True)])
+    return spark.createDataFrame(rows, schema)
