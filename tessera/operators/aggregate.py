@@ -66,17 +66,20 @@ def column_range(df: DataFrame, col: str) -> tuple[float, float] | None:
 
 
 def histogram(df: DataFrame, col: str, n_bins: int = 30) -> DataFrame:
-    """Counts per equal-width bin between the column's min and max (no rows if none)."""
-    rng = column_range(df, col)
-    if rng is None:
-        spark = df.sparkSession
-        return spark.createDataFrame([], "bin int, n bigint, lo double, hi double")
-    lo, hi = rng
-    binned, _ = equal_width_bins(df.select(col).filter(F.col(col).isNotNull()), col, n_bins, lo, hi)
-    span = hi - lo
-    return (binned.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
-            .withColumn("lo", F.lit(lo) + F.col("bin") * F.lit(span) / F.lit(n_bins))
-            .withColumn("hi", F.lit(lo) + (F.col("bin") + 1) * F.lit(span) / F.lit(n_bins)))
+    """Counts per equal-width bin between the column's min and max; the last bin is closed.
+
+    The bounds are scalar subqueries over the same column (Catalyst merges them
+    into one aggregate), so the whole histogram is one lazy plan: no driver
+    round trip and no join. An all-NULL column gives no rows.
+    """
+    vals = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    lo = vals.agg(F.min("v")).scalar()
+    hi = vals.agg(F.max("v")).scalar()
+    span = F.when(hi > lo, hi - lo).otherwise(F.lit(1.0))
+    b = F.least(F.floor((F.col("v") - lo) / span * F.lit(n_bins)), F.lit(n_bins - 1)).cast("int")
+    return (vals.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("lo", lo + F.col("bin") * (hi - lo) / F.lit(n_bins))
+            .withColumn("hi", lo + (F.col("bin") + 1) * (hi - lo) / F.lit(n_bins)))
 
 
 def bucketed_mean_curve(df: DataFrame, x: str, y: str, n_bins: int, lo: float, hi: float,

@@ -43,14 +43,15 @@ def lineitem_trial(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def last_order_date(spark: SparkSession, sf: str):
-    """The table's last order day (a DATE: no time zone involved), one value to the driver."""
-    return table(spark, sf, "orders").agg(F.max(F.to_date("o_orderdate"))).first()[0]
+    """The table's last order day (a DATE: no time zone involved) as a scalar
+    subquery: evaluated inside the same plan, no driver round trip, no join."""
+    return table(spark, sf, "orders").agg(F.max(F.to_date("o_orderdate"))).scalar()
 
 
 def orders_trial(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").filter(F.col("o_orderstatus").isin(*ORDER_LEVELS))
     cust = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    last = F.lit(last_order_date(spark, sf))
+    last = last_order_date(spark, sf)
     subj = (orders.join(cust, orders.o_custkey == cust.c_custkey)
             .select(F.col("c_nationkey").alias("grp"), F.col("o_orderkey"),
                     F.col("o_orderstatus").alias("arm"),

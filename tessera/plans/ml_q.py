@@ -431,7 +431,7 @@ s AS (SELECT p_type AS item_1, CAST(NULL AS VARCHAR) AS item_2, count(*) AS freq
       UNION ALL
       SELECT x.p_type, y.p_type, count(*) FROM b x JOIN b y ON x.l_orderkey = y.l_orderkey AND x.p_type < y.p_type
       GROUP BY 1, 2)
-SELECT item_1, item_2, freq FROM s WHERE freq >= (SELECT ceil({FP_MIN_SUPPORT} * n) FROM n)
+SELECT item_1, item_2, freq FROM s WHERE freq >= (SELECT ceil(CAST({FP_MIN_SUPPORT} AS DOUBLE) * n) FROM n)
 """
 
 
@@ -458,7 +458,7 @@ s AS (SELECT event_type AS item_1, CAST(NULL AS VARCHAR) AS item_2, count(*) AS
       UNION ALL
       SELECT a.event_type, b.event_type, count(*) FROM u a JOIN u b
         ON a.user_id = b.user_id AND a.first_pos < b.last_pos GROUP BY 1, 2)
-SELECT item_1, item_2, freq FROM s WHERE freq >= (SELECT ceil({SEQ_MIN_SUPPORT} * n) FROM n)
+SELECT item_1, item_2, freq FROM s WHERE freq >= (SELECT ceil(CAST({SEQ_MIN_SUPPORT} AS DOUBLE) * n) FROM n)
 """
 
 
