@@ -57,14 +57,6 @@ def equal_width_bins(df: DataFrame, col: str, n_bins: int, lo: float, hi: float,
     return df.withColumn(bin_col, F.least(b, F.lit(n_bins - 1)).cast("int")), width
 
 
-def column_range(df: DataFrame, col: str) -> tuple[float, float] | None:
-    """(min, max) of a column, or None when it has no values: one aggregate, one row to the driver."""
-    r = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
-    if r["lo"] is None:
-        return None
-    return float(r["lo"]), float(r["hi"])
-
-
 def histogram(df: DataFrame, col: str, n_bins: int = 30) -> DataFrame:
     """Counts per equal-width bin between the column's min and max; the last bin is closed.
 
