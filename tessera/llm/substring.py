@@ -37,7 +37,7 @@ from tessera.llm.shared import materialize, release, table
 
 WINDOW = 13
 BLOCK = 7
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 6 << 20  # of text: about a million hashes a bucket
 LOW = np.uint64(32)
 NO_ID = np.iinfo(np.int64).max
