@@ -37,7 +37,7 @@ from tessera.llm.shared import bounded_batches, materialize, table
 from tessera.llm.tokens import default_tokenizer, piece_table
 
 CAPACITY = 2048
-BLOCK_ROWS = 50_000
+BLOCK_ROWS = 10_000
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0,
