@@ -68,8 +68,9 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame
                                     F.explode(F.array_distinct(_keys(F.col("text")))).alias("key"))
                         .where("key is not null"))
     held = lines.groupBy("key", "th").agg(F.min("doc_id").alias("least"))
-    recurring = (held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("least").alias("keeper"))
-                 .where(F.col("n") >= min_docs).select("key", "keeper"))
+    # written, so that the join below meets two plain tables and a hot key's lines can be split
+    recurring = materialize(held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("least").alias("keeper"))
+                            .where(F.col("n") >= min_docs).select("key", "keeper"))
     lost = (lines.join(recurring, "key").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
             .groupBy("doc_id").agg(F.collect_set("key").alias(gone))
             .withColumnRenamed("doc_id", "lost_id"))
