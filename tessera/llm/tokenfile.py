@@ -123,11 +123,11 @@ _SCHEMA = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("part_start", p
 
 
 def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1,
-                     segment_ids: int = SEGMENT_IDS) -> None:
+                     segment_ids: int = SEGMENT_IDS, part_bytes: int = PART_BYTES) -> None:
     """Encode ``docs`` (doc_id, text) and write their ids in ascending doc_id order to ``path``."""
     bounded_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    n_parts = 1 + int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PART_BYTES
+    n_parts = 1 + int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // part_bytes
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = piece_table(tokenizer)
@@ -151,7 +151,7 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1
 
         held = 0
         for batch in batches:
-            for some in W.text_slices(batch, max_bytes=SEGMENT_IDS * 2):
+            for some in W.text_slices(batch, max_bytes=2 * segment_ids):
                 raw, bounds = pieces.encode(some.column("text"))
                 n = some.num_rows
                 ids = np.full(len(raw) + n, end_id, np.uint32)

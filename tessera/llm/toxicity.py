@@ -199,7 +199,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
             for part in W.text_slices(batch):
                 t = Terms(part.column("text"))
                 lists = np.split(t.word, np.searchsorted(t.text, np.arange(1, t.n_texts)))
-                ids = [t.buckets[x][t.used[x]].astype(np.int32) for x in lists]
+                ids = [np.sort(t.buckets[x][t.used[x]].astype(np.int32)) for x in lists]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("toxic"),
                                                   pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "toxic", "ids"])
 
