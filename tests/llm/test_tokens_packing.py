@@ -110,12 +110,14 @@ def test_code_round_trip_and_random_access():
         T.Code(T.encode_ids(np.array([1], np.uint32)))[1]
 
 
-def test_token_file(spark, tmp_path):
+@pytest.mark.parametrize("part_bytes", [1 << 25, 20_000])
+def test_token_file(spark, tmp_path, part_bytes):
     rows = odd_rows()
     path = str(tmp_path / "file")
-    T.write_token_file(frame(spark, rows), path, PATH, end_id=1, segment_ids=500)
+    T.write_token_file(frame(spark, rows), path, PATH, end_id=1, segment_ids=500, part_bytes=part_bytes)
     segments = T.read_token_file(spark, path)
     assert segments.count() > 5
+    assert (segments.select("part").distinct().count() > 1) == (part_bytes < 1 << 25)
     at, expected = 0, []
     order = sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0, x[1] is not None, x[1] or ""))
     for (i, _), ids in zip(order, brute.token_ids([t for _, t in order], PATH)):
