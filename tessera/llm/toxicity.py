@@ -106,8 +106,8 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray) -> Model:
-    """Train on term buckets per text (``rows``), mini-batches on the log loss.
+def fit(flat: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> Model:
+    """Train on the term buckets of texts (one after another in ``flat``), mini-batches on the log loss.
 
     Weights follow the regularised leader with an L1 penalty, so that the many
     terms that say nothing weigh exactly zero and long texts do not add up
@@ -120,18 +120,18 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> Model:
     w, v = np.zeros(size, np.float32), np.zeros((size, FACTORS), np.float32)
     if len(labels) == 0 or labels.min() == labels.max():
         return Model(prior, w, v)
-    seen = np.zeros(size, np.int32)
-    for r in rows:
-        seen[np.unique(r)] += 1
-    known = seen >= MIN_DOCS
-    rows = [r[known[r]] for r in rows]
+    text = np.repeat(np.arange(len(sizes), dtype=np.int64), sizes)
+    seen = np.zeros(size, np.int64)
+    for at in range(0, len(flat), 1 << 20):  # texts a term occurs in (a cut text may count twice)
+        seen += np.bincount(np.unique(text[at:at + (1 << 20)] * size + flat[at:at + (1 << 20)]) % size, minlength=size)
+    known = (seen >= MIN_DOCS)[flat]
+    flat, sizes = flat[known], np.bincount(text[known], minlength=len(sizes))
+    del text, known
     random = np.random.default_rng(SEED)
     factors = random.normal(0, 0.05, (size, FACTORS)).astype(np.float32)
     lead, gw = np.zeros(size), np.zeros(size)
     gv = np.ones((size, FACTORS), np.float32)
     b, gb = prior, 1.0
-    sizes = np.fromiter(map(len, rows), np.int64, len(rows))
-    flat = np.concatenate(rows) if sizes.sum() else np.empty(0, np.int64)
     first = np.cumsum(sizes) - sizes
 
     def per_text(n: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -142,7 +142,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> Model:
         return out
 
     for _ in range(EPOCHS):
-        order = random.permutation(len(rows))
+        order = random.permutation(len(sizes))
         for at in range(0, len(order), BATCH):
             pick = order[at:at + BATCH]
             n = sizes[pick]
@@ -204,20 +204,22 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
                                                   pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "toxic", "ids"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, y = [], []
+        ids, sizes, y = [np.empty(0, np.int32)], [np.empty(0, np.int64)], [np.empty(0)]
         for batch in batches:
             col = batch.column("ids")
-            flat, at = col.values.to_numpy(), col.offsets.to_numpy()
-            ids += [flat[s:e].astype(np.int64) for s, e in zip(at[:-1], at[1:])]
-            y.append(batch.column("toxic").to_numpy())
-        labels_ = np.concatenate(y).astype(np.float64) if y else np.empty(0)
-        yield pa.RecordBatch.from_arrays([pa.array([fit(ids, labels_).dump()], pa.binary())], names=["model"])
+            ids.append(col.flatten().to_numpy().copy())
+            sizes.append(np.diff(col.offsets.to_numpy()).astype(np.int64))
+            y.append(batch.column("toxic").to_numpy().astype(np.float64))
+        flat = np.concatenate(ids)
+        ids.clear()
+        model = fit(flat, np.concatenate(sizes), np.concatenate(y))
+        yield pa.RecordBatch.from_arrays([pa.array([model.dump()], pa.binary())], names=["model"])
 
     # one bounded task; its order does not depend on how the rows were dealt
     sample = (rows.mapInArrow(terms, "doc_id long, toxic int, ids array<int>").repartition(1)
               .sortWithinPartitions("doc_id", F.hash("ids")))
     found = sample.mapInArrow(learn, "model binary").collect()
-    return Model.load(bytes(found[0]["model"])) if found else fit([], np.empty(0))
+    return Model.load(bytes(found[0]["model"])) if found else fit(np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0))
 
 
 def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
