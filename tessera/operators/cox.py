@@ -1,288 +1,166 @@
 """Cox proportional hazards for one two-level covariate, Efron ties, robust variance.
 
 Fitted for every group at once on the event-time table (one row per group and
-distinct time), never on subject rows. Two execution paths, same formulas:
-
-* bounded time domain (checked at run time, see ``cumulative.SumPlan``): the
-  groups are hashed into buckets of about ``BUCKET_ROWS`` event-time rows and
-  each bucket is fitted in one ``applyInPandas`` call, Newton vectorised over
-  all of its groups with numpy;
-* otherwise, distributed Newton: each step is one aggregate, and the driver
-  only sees the largest step size (one number) to decide when to stop. At a
-  time with d tied events the Efron terms are sums over r = 0..d-1, evaluated
-  JVM-side with ``aggregate(sequence(...))`` over chunks of at most ``chunk``
-  steps, so a time with a huge tie is split over many rows, never one array.
+distinct time), never on subject rows, and by one path whatever the size: each
+Newton step is one aggregate over the event-time rows, map-side combined.
 
 With x in {0, 1} and theta = exp(b), at a time with risk sums
 S0 = n0 + n1 theta, S1 = n1 theta and event sums D0 = d0 + d1 theta,
-D1 = d1 theta, step r has a_r = S0 - (r/d) D0 and xbar_r = (S1 - (r/d) D1) / a_r:
+D1 = d1 theta, d = d0 + d1, tie step r = 0..d-1 has a_r = S0 - (r/d) D0 and
+xbar_r = (S1 - (r/d) D1) / a_r:
 
     score  U = sum_t [ d1 - sum_r xbar_r ]
     info   I = sum_t sum_r xbar_r (1 - xbar_r)
 
+The sums over r have a closed form, so a time with a huge tie costs no more
+than any other. xbar_r = p + q / a_r with p = D1 / D0 and q = S1 - p S0, hence
+everything follows from sums of 1 / a_r and 1 / a_r^2. With
+y = d (S0 - D0) / D0 + 1 the steps are a_r = (D0 / d)(y + j), j = d-1-r, so
+those are differences of the digamma and trigamma functions between y and
+y + d. The first ``EXPLICIT`` terms are added one by one; the rest lies where
+the asymptotic series is exact to double precision, and is taken as a
+difference term by term, so that nothing cancels.
+
 The robust (sandwich) variance is sum_i U_i^2 / I^2 with subject score
 residuals U_i; subjects sharing (arm, time, status) share U_i, so the sum is
 taken over the four cells of each event-time row weighted by their counts.
+
+Every group of the table gives one row. ``converged`` is false, and the
+estimates are NULL, where there is nothing to estimate (no events, one arm)
+or the estimate runs off to infinity.
 """
 
 from __future__ import annotations
 
-
-import numpy as np
-import pandas as pd
-
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.stats import Z_975
-from tessera.operators.cumulative import SumPlan, plan_running_sums, running_sums
-from tessera.session import checkpoint_root, materialize
+from tessera.operators.cumulative import running_sums
+from tessera.session import materialize
 
+# tie terms added one by one; the series then starts above 7, where its error is below 1e-11
+EXPLICIT = 6
+STEPS_PER_JOB = 3
+MAX_STEP = 5.0  # longest Newton step on the log scale
+MIN_INFO = 1e-9  # least information per event that counts as estimable
 
-# rows of the event-time table handed to one numpy fit call (about 50 MB of inputs)
-BUCKET_ROWS = 500_000
 
+def _digamma_tail(x: str) -> str:
+    """SQL of psi(x) - ln(x), asymptotically."""
+    w = f"(1 / ({x} * {x}))"
+    return (f"(-0.5D / {x} - {w} * (1D / 12 - {w} * (1D / 120 - {w} * (1D / 252 - {w} * (1D / 240 - {w} * (1D / 132))))))")
 
-def _bucket_count(df: DataFrame, rows: int) -> int:
-    """Buckets of at most BUCKET_ROWS rows, and enough of them to use the cluster
-    once there are more than a few thousand rows per core."""
-    parallel = df.sparkSession.sparkContext.defaultParallelism
-    return max(-(-rows // BUCKET_ROWS), min(parallel, -(-rows // 10_000)), 1)
 
+def _trigamma_tail(x: str) -> str:
+    """SQL of psi'(x) - 1 / x, asymptotically."""
+    w = f"(1 / ({x} * {x}))"
+    return (f"({w} * (0.5D + (1D / 6 - {w} * (1D / 30 - {w} * (1D / 42 - {w} * (1D / 30 - {w} * (5D / 66))))) / {x}))")
 
-def _chunked(ev: DataFrame, chunk: int) -> DataFrame:
-    """One row per (group, time, chunk of tie steps) with r in [r0, r1)."""
-    d = (F.col("d0") + F.col("d1")).cast("bigint")
-    k = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((d - 1) / F.lit(chunk)).cast("bigint")))
-    return (ev.withColumn("__d", d)
-            .withColumn("__k", k)
-            .withColumn("__r0", F.col("__k") * F.lit(chunk))
-            .withColumn("__r1", F.least(F.col("__d"), (F.col("__k") + 1) * F.lit(chunk)))
-            .drop("__k"))
 
+def _explicit(term) -> str:
+    return " + ".join(f"CASE WHEN tied > {j} THEN {term(j)} ELSE 0D END" for j in range(EXPLICIT))
 
-def _tie_sum(body: str) -> F.Column:
-    """SQL sum over r in [__r0, __r1) of an expression of r, a_r and xb_r."""
-    return F.expr(
-        "aggregate(sequence(__r0, __r1 - 1), cast(0.0 as double), (acc, r) -> acc + "
-        f"({body}))"
-    )
 
+_MANY = f"tied > {EXPLICIT}"
+# the layers of _tie_sums, as SQL: each may use the names of those before it
+_LAYERS = [
+    # a time without events has no tie steps: every sum is 0
+    {"risk": "n0 + n1 * theta", "risk1": "n1 * theta", "dying": "CASE WHEN d0 + d1 > 0 THEN d0 + d1 * theta ELSE 1D END",
+     "dying1": "d1 * theta", "tied": "CAST(d0 + d1 AS DOUBLE)"},
+    {"p": "dying1 / dying", "z": "tied * (risk - dying) / dying"},
+    {"q": "risk1 - p * risk", "y": "z + 1", "x0": f"z + {1 + EXPLICIT}", "x1": "z + 1 + tied"},
+    {"h1": _explicit(lambda j: f"1 / (y + {j})")
+     + f" + CASE WHEN {_MANY} THEN log1p((tied - {EXPLICIT}) / x0) + {_digamma_tail('x1')} - {_digamma_tail('x0')} ELSE 0D END",
+     "h2": _explicit(lambda j: f"1 / ((y + {j}) * (y + {j}))")
+     + f" + CASE WHEN {_MANY} THEN (tied - {EXPLICIT}) / (x0 * x1) + {_trigamma_tail('x0')} - {_trigamma_tail('x1')} ELSE 0D END"},
+    {"g1": f"CASE WHEN {_MANY} THEN tied - z * h1 ELSE " + _explicit(lambda j: f"{j + 1} / (y + {j})") + " END",
+     "g2": f"CASE WHEN {_MANY} THEN h1 - z * h2 ELSE "
+           + _explicit(lambda j: f"{j + 1} / ((y + {j}) * (y + {j}))") + " END"},
+    {"a1": "tied / dying * h1", "a2": "tied / dying * tied / dying * h2", "b1": "g1 / dying",
+     "b2": "tied / dying / dying * g2"},
+]
 
-_A = "(__s0 - (cast(r as double) / __d) * __D0)"
-_XB = f"((__s1 - (cast(r as double) / __d) * __D1) / {_A})"
 
+def _tie_sums(rows: DataFrame, beta: str) -> DataFrame:
+    """Add theta, p, q, a1 = sum 1/a_r, a2 = sum 1/a_r^2 and the same weighted by 1 - r/d (b1, b2)."""
+    rows = rows.withColumn("theta", F.exp(beta))
+    for layer in _LAYERS:
+        rows = rows.withColumns({name: F.expr(text) for name, text in layer.items()})
+    return rows
 
-def _risk_sums(beta_col: str = "beta") -> dict:
-    th = F.exp(F.col(beta_col))
-    return {
-        "__s0": F.col("n0") + F.col("n1") * th,
-        "__s1": F.col("n1") * th,
-        "__D0": F.col("d0") + F.col("d1") * th,
-        "__D1": F.col("d1") * th,
-    }
 
+def _xbar_sum() -> Column:
+    return F.expr("tied * p + q * a1")
 
-def _attach_beta(rows: DataFrame, beta: DataFrame, group: str) -> DataFrame:
-    # beta has one row per group; AQE turns this into a broadcast join when the
-    # runtime size is under the broadcast threshold, else a (skew-split) SMJ.
-    return rows.join(beta, on=group)
 
+def _info() -> Column:
+    return F.expr("tied * p * (1 - p) + q * (1 - 2 * p) * a1 - q * q * a2")
 
-def cox_fit(et: DataFrame, group: str, time: str = "time", max_iter: int = 30,
-            tol: float = 1e-10, chunk: int = 1 << 15, method="auto") -> DataFrame:
-    """Per group: coef, model and robust standard errors, hazard ratio and 95% limits.
-
-    ``method`` is a running-sum plan (or "auto"/"window"/"ranged"). When the
-    time domain is bounded ("window": at most ``window_limit`` distinct times,
-    checked at run time) each group's event-time rows are bounded too, and
-    the whole fit is one grouped pass over the aggregated table with numpy.
-    Otherwise the fit runs as distributed Newton steps (``cox_fit_iterative``).
-    """
-    if method == "auto":
-        method = plan_running_sums(et, time)
-    kind = method.method if isinstance(method, SumPlan) else method
-    if kind == "window":
-        rows = method.n_rows if isinstance(method, SumPlan) else 0
-        return cox_fit_grouped(et, group, time, max_iter=max_iter, tol=tol,
-                               buckets=_bucket_count(et, rows) if rows else None)
-    return cox_fit_iterative(et, group, time, max_iter=max_iter, tol=tol, chunk=chunk, method=method)
-
-
-def cox_fit_grouped(et: DataFrame, group: str, time: str = "time", max_iter: int = 30,
-                    tol: float = 1e-10, buckets: int | None = None) -> DataFrame:
-    """Cox fits for many analyses per task, vectorised with numpy.
-
-    Analyses are hashed into ``buckets`` (default: shuffle partitions); each
-    bucket holds whole analyses, and every analysis's rows are bounded by the
-    caller's distinct-time check. Newton runs for all analyses of a bucket at
-    once (per-analysis sums by ``bincount``), each stopping at its own
-    convergence.
-    """
-    n_b = buckets or int(et.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    gtype = et.schema[group].dataType.simpleString()
-    schema = (f"{group} {gtype}, coef double, exp_coef double, exp_neg_coef double, se double, "
-              "robust_se double, lower_95 double, upper_95 double, n bigint, n_events bigint, iterations int")
-    cols = [group, time, "m0", "d0", "m1", "d1", "n0", "n1"]
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _cox_numpy(pdf.sort_values([group, time], kind="stable"), group, max_iter, tol)
 
-    bucket = F.pmod(F.xxhash64(F.col(group)), F.lit(n_b))
-    return et.select(*cols).groupBy(bucket.alias("__bucket")).applyInPandas(fit, schema)
+def _newton_step(events: DataFrame, state: DataFrame, group: str, tol: float) -> DataFrame:
+    """One step for every group that still moves (state: group, beta, active, converged, iterations)."""
+    rows = _tie_sums(events.join(state, group), "beta")
+    moved = rows.groupBy(group).agg(
+        F.sum(F.col("d1") - _xbar_sum()).alias("u"), F.sum(_info()).alias("info"), F.sum("tied").alias("deaths"),
+        *[F.max(c).alias(c) for c in ("beta", "active", "converged", "iterations")])
+    estimable = F.col("active") & (F.col("info") > MIN_INFO * F.col("deaths"))
+    step = F.when(estimable, F.greatest(F.lit(-MAX_STEP), F.least(F.lit(MAX_STEP), F.col("u") / F.col("info"))))
+    moved = moved.withColumn("step", step)
+    done = F.coalesce(F.abs("step") < tol, F.lit(True))
+    return moved.select(
+        group, (F.col("beta") + F.coalesce("step", F.lit(0.0))).alias("beta"), (F.col("active") & ~done).alias("active"),
+        (F.col("converged") | (done & F.col("step").isNotNull())).alias("converged"),
+        (F.col("iterations") + F.col("active").cast("int")).alias("iterations"))
 
 
-def _cox_numpy(pdf: pd.DataFrame, group: str, max_iter: int, tol: float) -> pd.DataFrame:
-    """Newton fits and sandwich variances for the analyses in rows sorted by (group, time).
+def cox_fit(et: DataFrame, group: str, time: str = "time", max_iter: int = 30,
+            tol: float = 1e-9, method="auto") -> DataFrame:
+    """Per group: coef, model and robust standard errors, hazard ratio and 95% limits, converged, iterations.
 
-    Same formulas as the distributed version (see module docstring).
+    ``et`` is read several times: pass a written table. ``method`` is a running-sum plan.
     """
-    g, keys = pd.factorize(pdf[group], sort=False)
-    ng, nt = len(keys), len(pdf)
-    m0, d0, m1, d1, n0, n1 = (pdf[c].to_numpy(dtype="float64") for c in ("m0", "d0", "m1", "d1", "n0", "n1"))
-    d = d0 + d1
-    ev = np.flatnonzero(d > 0)
-    reps = d[ev].astype(np.int64)
-    idx = np.repeat(ev, reps)                                   # one entry per tie step
-    start = np.repeat(np.cumsum(reps) - reps, reps)
-    frac = (np.arange(idx.size, dtype="float64") - start) / d[idx] if idx.size else np.zeros(0)
-    gi = g[idx]
-
-    def by_group(w, at=None):
-        return np.bincount(g if at is None else at, weights=w, minlength=ng)
-
-    def steps(beta):
-        th = np.exp(beta)[gi]
-        a = (n0[idx] + n1[idx] * th) - frac * (d0[idx] + d1[idx] * th)
-        return a, (n1[idx] - frac * d1[idx]) * th / a
-
-    beta = np.zeros(ng)
-    iters = np.zeros(ng, dtype=np.int32)
-    active = np.ones(ng, dtype=bool)
-    obs1 = by_group(d1)
-    for it in range(1, max_iter + 1):
-        _, xb = steps(beta)
-        u = obs1 - by_group(xb, gi)
-        info = by_group(xb * (1 - xb), gi)
-        step = np.where(active & (info > 0), u / np.where(info > 0, info, 1.0), 0.0)
-        beta += step
-        iters[active] = it
-        active &= np.abs(step) >= tol
-        if not active.any():
+    counts = materialize(et.groupBy(group).agg(F.sum(F.col("m0") + F.col("m1")).alias("n"),
+                                               F.sum(F.col("d0") + F.col("d1")).alias("n_events")))
+    events = et.filter(F.col("d0") + F.col("d1") > 0).select(group, "d0", "d1", "n0", "n1")
+    state = counts.filter("n_events > 0").select(
+        group, F.lit(0.0).alias("beta"), F.lit(True).alias("active"), F.lit(False).alias("converged"),
+        F.lit(0).alias("iterations"))
+    for _ in range(-(-max_iter // STEPS_PER_JOB)):
+        for _ in range(STEPS_PER_JOB):
+            state = _newton_step(events, state, group, tol)
+        state = materialize(state)
+        if state.filter("active").isEmpty():
             break
-    a, xb = steps(beta)
-    info = by_group(xb * (1 - xb), gi)
-    th = np.exp(beta)
-
-    def per_time(w):
-        return np.bincount(idx, weights=w, minlength=nt)
-
-    def exclusive_cumsum(v):
-        cs = np.cumsum(v) - v
-        first = np.r_[0, np.flatnonzero(np.diff(g)) + 1]  # first row of each analysis
-        return cs - cs[first][g]
-
-    inv, wt = 1.0 / a, 1.0 - frac
-    h, hx = per_time(inv), per_time(xb * inv)
-    hd, hxd = per_time(wt * inv), per_time(wt * xb * inv)
-    xm = np.divide(per_time(xb), d, out=np.zeros(nt), where=d > 0)
-    h_ex, hx_ex = exclusive_cumsum(h), exclusive_cumsum(hx)
-    uu = np.zeros(ng)
-    for x, risk in ((0.0, np.ones(nt)), (1.0, th[g])):
-        dead = d0 if x == 0.0 else d1
-        alive = (m0 - d0) if x == 0.0 else (m1 - d1)
-        r_dead = -risk * (x * (h_ex + hd) - (hx_ex + hxd)) + (x - xm)
-        r_alive = -risk * (x * (h_ex + h) - (hx_ex + hx))
-        uu += by_group(dead * r_dead ** 2 + alive * r_alive ** 2)
-    ok = info > 0
-    se = np.where(ok, np.sqrt(1.0 / np.where(ok, info, 1.0)), np.nan)
-    rse = np.where(ok, np.sqrt(uu) / np.where(ok, info, 1.0), np.nan)
-    return pd.DataFrame({
-        group: keys, "coef": beta, "exp_coef": th, "exp_neg_coef": np.exp(-beta), "se": se, "robust_se": rse,
-        "lower_95": np.exp(beta - Z_975 * rse), "upper_95": np.exp(beta + Z_975 * rse),
-        "n": by_group(m0 + m1).astype(np.int64), "n_events": by_group(d).astype(np.int64), "iterations": iters})
-
-
-def cox_fit_iterative(et: DataFrame, group: str, time: str = "time", max_iter: int = 30,
-                      tol: float = 1e-10, chunk: int = 1 << 15, method="auto") -> DataFrame:
-    """Distributed Newton steps; no group's rows are ever gathered in one task."""
-    spark = et.sparkSession
-    checkpoint_root(spark)
-    ev = et.filter((F.col("d0") + F.col("d1")) > 0)
-    ev = materialize(_chunked(ev, chunk))
-    beta = materialize(ev.select(group).distinct().withColumn("beta", F.lit(0.0)))
-    iterations = 0
-    held = []
-    for iterations in range(1, max_iter + 1):
-        j = _attach_beta(ev, beta, group).withColumns(_risk_sums())
-        # the d1 term belongs once per time: only chunk 0 carries it
-        stats = (j.groupBy(group)
-                 .agg(F.sum(F.when(F.col("__r0") == 0, F.col("d1")).otherwise(F.lit(0.0))
-                            - _tie_sum(_XB)).alias("u"),
-                      F.sum(_tie_sum(f"{_XB} * (1 - {_XB})")).alias("info")))
-        nxt = (beta.join(stats, on=group, how="left")
-               .withColumn("step", F.when(F.col("info") > 0, F.col("u") / F.col("info"))
-                           .otherwise(F.lit(0.0)))
-               .select(group, (F.col("beta") + F.col("step")).alias("beta"),
-                       F.abs("step").alias("step")))
-        # one small row per group; cached per step and written to the shared
-        # checkpoint folder every 5th step, so the lineage stays short
-        nxt = materialize(nxt) if iterations % 5 == 0 else nxt.persist(StorageLevel.MEMORY_AND_DISK)
-        biggest = nxt.agg(F.max("step")).first()[0]
-        held.append(nxt)
-        beta = nxt.select(group, "beta")
-        if biggest is None or biggest < tol:
-            break
-
-    # information at the estimate, and per-time hazard pieces for the residuals
-    j = _attach_beta(ev, beta, group).withColumns(_risk_sums())
-    inv_a = f"(1.0 / {_A})"
-    wt = "(1.0 - cast(r as double) / __d)"
-    per_chunk = j.withColumns({
-        "__info": _tie_sum(f"{_XB} * (1 - {_XB})"),
-        "__h": _tie_sum(inv_a),
-        "__hx": _tie_sum(f"{_XB} * {inv_a}"),
-        "__hd": _tie_sum(f"{wt} * {inv_a}"),
-        "__hxd": _tie_sum(f"{wt} * {_XB} * {inv_a}"),
-        "__xs": _tie_sum(_XB),
-    })
-    per_time = (per_chunk.groupBy(group, time)
-                .agg(*[F.sum(c).alias(c) for c in ("__info", "__h", "__hx", "__hd", "__hxd", "__xs")],
-                     F.first("__d").alias("__d")))
-    full = (et.join(per_time, on=[group, time], how="left")
-            .na.fill(0.0, subset=["__info", "__h", "__hx", "__hd", "__hxd", "__xs"])
-            .na.fill(0, subset=["__d"]))
-    cum = running_sums(full, [group], time, ["__h", "__hx"], prefix="c", method=method)
-    cum = _attach_beta(cum, beta, group)
-    th = F.exp(F.col("beta"))
-    h_ex, hx_ex = F.col("c__h") - F.col("__h"), F.col("c__hx") - F.col("__hx")
-    xm = F.when(F.col("__d") > 0, F.col("__xs") / F.col("__d")).otherwise(F.lit(0.0))
-
-    def resid(x: int, dead: bool) -> F.Column:
+    beta = state.filter("converged").select(group, F.col("beta").alias("coef"))
+
+    rows = _tie_sums(et.join(beta, group), "coef")
+    full = rows.select(
+        *et.columns, "coef", _info().alias("info"), F.col("a1").alias("h"), F.expr("p * a1 + q * a2").alias("hx"),
+        F.col("b1").alias("hd"), F.expr("p * b1 + q * b2").alias("hxd"),
+        F.when(F.col("tied") > 0, _xbar_sum() / F.col("tied")).otherwise(F.lit(0.0)).alias("xm"))
+    cum = running_sums(full, [group], time, ["h", "hx"], prefix="c", method=method)
+    th = F.exp("coef")
+    h_ex, hx_ex = F.col("ch") - F.col("h"), F.col("chx") - F.col("hx")
+
+    def resid(x: int, dead: bool) -> Column:
         risk = F.lit(1.0) if x == 0 else th
-        w, wx = (F.col("__hd"), F.col("__hxd")) if dead else (F.col("__h"), F.col("__hx"))
+        w, wx = (F.col("hd"), F.col("hxd")) if dead else (F.col("h"), F.col("hx"))
         r = -risk * (F.lit(float(x)) * (h_ex + w) - (hx_ex + wx))
-        return (r + (F.lit(float(x)) - xm)) if dead else r
+        return (r + (F.lit(float(x)) - F.col("xm"))) if dead else r
 
     cells = [
         (F.col("d0"), resid(0, True)), (F.col("m0") - F.col("d0"), resid(0, False)),
         (F.col("d1"), resid(1, True)), (F.col("m1") - F.col("d1"), resid(1, False)),
     ]
     uu = sum(F.when(cnt > 0, cnt * r * r).otherwise(F.lit(0.0)) for cnt, r in cells)
-    fit = (cum.groupBy(group)
-           .agg(F.first("beta").alias("coef"), F.sum("__info").alias("info"),
-                F.sum(uu).alias("__uu"),
-                F.sum(F.col("m0") + F.col("m1")).alias("n"),
-                F.sum(F.col("d0") + F.col("d1")).alias("n_events")))
-    se = F.sqrt(1 / F.col("info"))
-    rse = F.sqrt(F.col("__uu")) / F.col("info")
-    fit = materialize(fit)
-    for h in held:
-        h.unpersist()
-    return fit.select(
+    fit = cum.groupBy(group).agg(F.first("coef").alias("coef"), F.sum("info").alias("info"), F.sum(uu).alias("uu"))
+    out = (counts.join(state.select(group, "converged", "iterations"), group, "left").join(fit, group, "left")
+           .na.fill({"converged": False, "iterations": 0}))
+    rse = F.sqrt("uu") / F.col("info")
+    return out.select(
         group, "coef", F.exp("coef").alias("exp_coef"), F.exp(-F.col("coef")).alias("exp_neg_coef"),
-        se.alias("se"), rse.alias("robust_se"),
+        F.sqrt(1 / F.col("info")).alias("se"), rse.alias("robust_se"),
         F.exp(F.col("coef") - F.lit(Z_975) * rse).alias("lower_95"),
         F.exp(F.col("coef") + F.lit(Z_975) * rse).alias("upper_95"),
-        "n", "n_events", F.lit(iterations).alias("iterations"))
+        "n", "n_events", "converged", "iterations")

@@ -141,7 +141,8 @@ def km_curve(et: DataFrame, group: str, levels: Sequence[str], time: str = "time
     """Kaplan-Meier curve per (group, arm) at every distinct time of the arm.
 
     S(t) = exp(sum ln(1 - d/n)); once d = n the curve is 0. ``std_err`` is the
-    Greenwood standard error of log S; limits are the log-type 95% band.
+    Greenwood standard error of log S; limits are the log-type 95% band, NULL
+    where S = 0.
     """
     rows = _arm_rows(et, group, time, levels)
     d, n = F.col("d"), F.col("n")
@@ -161,9 +162,8 @@ def km_curve(et: DataFrame, group: str, levels: Sequence[str], time: str = "time
         F.col("n").alias("n_risk"), F.col("d").alias("n_event"),
         (F.col("m") - F.col("d")).alias("n_censor"),
         surv.alias("surv"), se.alias("std_err"),
-        F.when(surv > 0, surv * F.exp(-F.lit(Z_975) * se)).otherwise(F.lit(0.0)).alias("lower"),
-        F.when(surv > 0, F.least(F.lit(1.0), surv * F.exp(F.lit(Z_975) * se)))
-        .otherwise(F.lit(0.0)).alias("upper"),
+        F.when(surv > 0, surv * F.exp(-F.lit(Z_975) * se)).alias("lower"),
+        F.when(surv > 0, F.least(F.lit(1.0), surv * F.exp(F.lit(Z_975) * se))).alias("upper"),
         prev.alias("surv_prev"),
     )
 
@@ -179,11 +179,14 @@ def _first_time_at_or_below(curve_col: str, time: str, p: float = 0.5) -> Column
 
 
 def km_median(curve: DataFrame, group: str, time: str = "time") -> DataFrame:
-    """Median survival and its 95% limits per (group, arm); NULL when not reached."""
+    """Median survival and its 95% limits per (group, arm); NULL when not reached.
+
+    The lower band falls to one half first, so it gives the lower limit.
+    """
     return (curve.groupBy(group, "arm")
             .agg(_first_time_at_or_below("surv", time).alias("median"),
-                 _first_time_at_or_below("upper", time).alias("lcl_95"),
-                 _first_time_at_or_below("lower", time).alias("ucl_95")))
+                 _first_time_at_or_below("lower", time).alias("lcl_95"),
+                 _first_time_at_or_below("upper", time).alias("ucl_95")))
 
 
 def km_rmean(curve: DataFrame, group: str, time: str = "time", method: str | SumPlan = "auto") -> DataFrame:

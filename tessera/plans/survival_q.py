@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from tessera.functions.stats import chisq1_pvalue_sql
 from tessera.operators import survival as sv
 from tessera.operators.cox import cox_fit
-from tessera.plans.fixtures import (LINE_LEVELS, LINE_LOCK, LINEITEM_TRIAL_SQL, ORDER_LEVELS, ORDER_LOCK,
-                                    ORDERS_TRIAL_SQL, lineitem_trial, orders_trial)
+from tessera.plans.fixtures import (LINE_LEVELS, LINE_LOCK, LINEITEM_TRIAL_SQL, LONG_LOCK, ORDER_LEVELS,
+                                    ORDER_LOCK, ORDERS_TRIAL_SQL, lineitem_trial, lineitem_trial_sql, orders_trial)
 from tessera.plans.registry import query
 from tessera.session import materialize
 
@@ -49,8 +49,8 @@ def _km_ctes(levels) -> list[str]:
             """curve AS (SELECT grp, arm, time, n, d, m, li, z, cli, cz,
                  CASE WHEN cz > 0 THEN 0.0 ELSE exp(cli) END AS surv, sqrt(cgw) AS se,
                  CASE WHEN cz - z > 0 THEN 0.0 ELSE exp(cli - li) END AS surv_prev FROM c)""",
-            f"""band AS (SELECT *, CASE WHEN surv > 0 THEN surv * exp(-{Z} * se) ELSE 0.0 END AS lower,
-                CASE WHEN surv > 0 THEN least(1.0, surv * exp({Z} * se)) ELSE 0.0 END AS upper FROM curve)"""]
+            f"""band AS (SELECT *, CASE WHEN surv > 0 THEN surv * exp(-{Z} * se) END AS lower,
+                CASE WHEN surv > 0 THEN least(1.0, surv * exp({Z} * se)) END AS upper FROM curve)"""]
 
 
 def _first_at_half(col: str) -> str:
@@ -61,8 +61,8 @@ def _first_at_half(col: str) -> str:
 
 
 def _median_ctes() -> list[str]:
-    return [f"""med AS (SELECT grp, arm, {_first_at_half('surv')} AS median, {_first_at_half('upper')} AS lcl_95,
-       {_first_at_half('lower')} AS ucl_95 FROM band GROUP BY grp, arm)"""]
+    return [f"""med AS (SELECT grp, arm, {_first_at_half('surv')} AS median, {_first_at_half('lower')} AS lcl_95,
+       {_first_at_half('upper')} AS ucl_95 FROM band GROUP BY grp, arm)"""]
 
 
 def _rmean_ctes() -> list[str]:
@@ -96,7 +96,7 @@ def _desc_ctes(lock: float) -> list[str]:
        FROM s GROUP BY grp, arm)"""]
 
 
-def _cox_ctes(iterations: int = 10) -> list[str]:
+def _cox_ctes(iterations: int = 12) -> list[str]:
     """Newton unrolled ``iterations`` times, Efron ties expanded to one row per tie step,
     sandwich variance from window sums (the SQL twin of operators.cox)."""
     out = ["cev AS (SELECT grp, time, d0, d1, n0, n1, d0 + d1 AS d FROM et WHERE d0 + d1 > 0)",
@@ -107,7 +107,8 @@ def _cox_ctes(iterations: int = 10) -> list[str]:
         out += [f"""x{k} AS (SELECT grp, (n1 - f * d1) * th / ((n0 + n1 * th) - f * (d0 + d1 * th)) AS xb
         FROM (SELECT st.*, exp(b.beta) AS th FROM st JOIN b{k - 1} b USING (grp)))""",
                 f"u{k} AS (SELECT grp, sum(xb) AS sx, sum(xb * (1 - xb)) AS si FROM x{k} GROUP BY grp)",
-                f"""b{k} AS (SELECT grp, b.beta + CASE WHEN si > 0 THEN (o1 - sx) / si ELSE 0.0 END AS beta
+                f"""b{k} AS (SELECT grp, CASE WHEN si > 0 THEN (o1 - sx) / si END AS step,
+        b.beta + CASE WHEN si > 0 THEN (o1 - sx) / si ELSE 0.0 END AS beta
         FROM b{k - 1} b JOIN u{k} USING (grp) JOIN obs USING (grp))"""]
     last = f"b{iterations}"
     out += [f"""fa AS (SELECT grp, time, f, (n0 + n1 * th) - f * (d0 + d1 * th) AS a, (n1 - f * d1) * th AS s1
@@ -122,16 +123,21 @@ def _cox_ctes(iterations: int = 10) -> list[str]:
        WINDOW w AS (PARTITION BY grp ORDER BY time ROWS UNBOUNDED PRECEDING))""",
             f"""rs AS (SELECT cu.*, b.beta, exp(b.beta) AS th,
               CASE WHEN d0 + d1 > 0 THEN xs / (d0 + d1) ELSE 0.0 END AS xm FROM cu JOIN {last} b USING (grp))""",
-            """fit AS (SELECT grp, max(beta) AS coef, sum(info) AS info,
+            """fit0 AS (SELECT grp, max(beta) AS coef, sum(info) AS info,
           sum(d0 * power((hx_ex + hxd) - xm, 2)
               + (m0 - d0) * power(hx_ex + hx, 2)
               + d1 * power(-th * ((h_ex + hd) - (hx_ex + hxd)) + (1 - xm), 2)
               + (m1 - d1) * power(-th * ((h_ex + h) - (hx_ex + hx)), 2)) AS uu,
-          CAST(sum(m0 + m1) AS BIGINT) AS n, CAST(sum(d0 + d1) AS BIGINT) AS n_events
-        FROM rs GROUP BY grp)""",
+          max(beta) AS beta FROM rs GROUP BY grp)""",
+            """cn AS (SELECT grp, CAST(sum(m0 + m1) AS BIGINT) AS n, CAST(sum(d0 + d1) AS BIGINT) AS n_events
+        FROM et GROUP BY grp)""",
+            f"""fit AS (SELECT cn.grp, n, n_events, step IS NOT NULL AND abs(step) < 1e-6 AS converged,
+          CASE WHEN abs(step) < 1e-6 THEN coef END AS coef, CASE WHEN abs(step) < 1e-6 THEN info END AS info,
+          CASE WHEN abs(step) < 1e-6 THEN uu END AS uu
+        FROM cn LEFT JOIN fit0 USING (grp) LEFT JOIN {last} USING (grp))""",
             f"""cox AS (SELECT grp, coef, exp(coef) AS exp_coef, exp(-coef) AS exp_neg_coef, sqrt(1 / info) AS se,
        sqrt(uu) / info AS robust_se, exp(coef - {Z} * sqrt(uu) / info) AS lower_95,
-       exp(coef + {Z} * sqrt(uu) / info) AS upper_95, n, n_events FROM fit)"""]
+       exp(coef + {Z} * sqrt(uu) / info) AS upper_95, n, n_events, converged FROM fit)"""]
     return out
 
 
@@ -213,11 +219,11 @@ COX_COLS = ["coef", "exp_coef", "exp_neg_coef", "se", "robust_se", "lower_95", "
 
 
 @query("cox_hazard_ratio", _with(_et_ctes(LINEITEM_TRIAL_SQL, LINE_LEVELS), _cox_ctes()) + "SELECT grp, "
-       + ", ".join(f"round({c}, {R}) AS {c}" for c in COX_COLS) + ", n, n_events FROM cox")
+       + ", ".join(f"round({c}, {R}) AS {c}" for c in COX_COLS) + ", n, n_events, converged FROM cox")
 def cox_hazard_ratio(spark, sf):
     """Per supplier: Cox coefficient (R vs A), hazard ratio, robust 95% limits."""
     et, plan = _lineitem_et(spark, sf)
-    fit = cox_fit(et, "grp", method=plan).drop("iterations")
+    fit = cox_fit(materialize(et), "grp", method=plan).drop("iterations")
     return _round(fit, COX_COLS)
 
 
@@ -246,7 +252,7 @@ def survival_bundle(subjects: DataFrame, levels, lock: float) -> DataFrame:
         side = desc.filter(F.col("arm") == level).select(
             "grp", *[F.col(f).alias(f"{prefix}_{f}") for f in DESC_FIELDS])
         out = out.join(side, "grp", "left")
-    cox = cox_fit(et, "grp", method=plan).select("grp", *[F.col(c).alias(f"cox_{c}") for c in COX_COLS])
+    cox = cox_fit(et, "grp", method=plan).select("grp", *[F.col(c).alias(f"cox_{c}") for c in [*COX_COLS, "converged"]])
     out = out.join(cox, "grp", "left")
     doubles = (["logrank_pval", "logrank_chisq"] + [f"{p}_{f}" for p in ("ref", "trt") for f in DESC_DOUBLES]
                + [f"cox_{c}" for c in COX_COLS])
@@ -265,7 +271,7 @@ def _bundle_sql(trial: str, levels, lock: float) -> str:
         return ", ".join(f"round({p}.{f}, {R}) AS {p}_{f}" if f in DESC_DOUBLES else f"{p}.{f} AS {p}_{f}"
                          for f in DESC_FIELDS)
 
-    cols = ", ".join(f"round(cox.{c}, {R}) AS cox_{c}" for c in COX_COLS)
+    cols = ", ".join(f"round(cox.{c}, {R}) AS cox_{c}" for c in COX_COLS) + ", cox.converged AS cox_converged"
     return (_with(*ctes, extra)
             + f"""SELECT gr.grp, round(lrp.pval, {R}) AS logrank_pval, round(lrp.chisq, {R}) AS logrank_chisq,
        {side('ref')}, {side('trt')}, {cols}
@@ -279,7 +285,7 @@ def survival_bundle_q(spark, sf):
     return survival_bundle(orders_trial(spark, sf), ORDER_LEVELS, ORDER_LOCK)
 
 
-@query("parallel_group_analysis", _bundle_sql(LINEITEM_TRIAL_SQL, LINE_LEVELS, LINE_LOCK))
+@query("parallel_group_analysis", _bundle_sql(lineitem_trial_sql(LONG_LOCK), LINE_LEVELS, LONG_LOCK))
 def parallel_group_analysis(spark, sf):
-    """The same record for every supplier of the lineitem trial, all analyses in one job."""
-    return survival_bundle(lineitem_trial(spark, sf), LINE_LEVELS, LINE_LOCK)
+    """The same record for every supplier of the lineitem trial with the late lock, all analyses in one job."""
+    return survival_bundle(lineitem_trial(spark, sf, LONG_LOCK), LINE_LEVELS, LONG_LOCK)

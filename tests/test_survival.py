@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_MID
 from tessera.operators import survival as sv
-from tessera.operators.cox import cox_fit, cox_fit_iterative
+from tessera.operators.cox import cox_fit
 
 # (arm, time, event)
 SUBJECTS = [("A", 1.0, 1), ("A", 2.0, 0), ("A", 3.0, 1), ("A", 3.0, 1), ("A", 5.0, 0),
@@ -97,15 +97,94 @@ def test_cox_maximises_efron_likelihood(spark):
     assert swapped["robust_se"] == pytest.approx(fit["robust_se"], rel=1e-9)
 
 
-def test_cox_paths_agree(spark):
-    rows = SUBJECTS + [("R", 1.0, 1), ("A", 4.0, 1), ("R", 6.0, 0), ("A", 2.0, 1)]
-    s = _subjects(spark, rows, 1).unionByName(_subjects(spark, SUBJECTS + [("R", 1.0, 1)], 2))
-    et = sv.event_table(s, "grp", "arm", ("A", "R"))
-    a = {r["grp"]: r for r in cox_fit(et, "grp", method="window").collect()}
-    b = {r["grp"]: r for r in cox_fit_iterative(et, "grp", chunk=2).collect()}
-    for g in a:
-        for c in ("coef", "se", "robust_se"):
-            assert a[g][c] == pytest.approx(b[g][c], rel=1e-9, abs=1e-12)
+def _newton(rows, steps=40):
+    """Efron Newton with every tie step written out."""
+    beta = 0.0
+    for _ in range(steps):
+        u = info = 0.0
+        for t in sorted({t for _, t, e in rows if e}):
+            n = [sum(1 for a, tt, _ in rows if tt >= t and a == k) for k in "AR"]
+            d = [sum(1 for a, tt, e in rows if tt == t and e and a == k) for k in "AR"]
+            th, u = math.exp(beta), u + d[1]
+            for r in range(sum(d)):
+                f = r / sum(d)
+                xb = (n[1] - f * d[1]) * th / ((n[0] - f * d[0]) + (n[1] - f * d[1]) * th)
+                u, info = u - xb, info + xb * (1 - xb)
+        beta += u / info
+    return beta, 1 / math.sqrt(info)
+
+
+@pytest.mark.parametrize("ties", [1, 3, 10, 11, 40, 400])
+def test_cox_tie_sums_in_closed_form(spark, ties):
+    rows = [("A", 1.0, 1)] * ties + [("R", 1.0, 1)] * (2 * ties) + [("A", 2.0, 0)] * (3 * ties)
+    rows += [("R", 3.0, 1)] * ties + [("A", 3.0, 1)] * 2 + [("R", 4.0, 0), ("A", 5.0, 1), ("R", 6.0, 1)]
+    fit = cox_fit(sv.event_table(_subjects(spark, rows), "grp", "arm", ("A", "R")), "grp").first()
+    beta, se = _newton(rows)
+    assert fit["converged"] and fit["coef"] == pytest.approx(beta, rel=1e-9, abs=1e-11)
+    assert fit["se"] == pytest.approx(se, rel=1e-9)
+    if ties <= 40:
+        assert fit["robust_se"] == pytest.approx(_robust_se_by_subject(rows, beta), rel=1e-8)
+
+
+def test_cox_gives_a_row_to_every_analysis(spark):
+    """No event, one arm, an estimate at infinity: NULL and not converged, beside a proper fit."""
+    parts = {1: SUBJECTS, 2: [("A", 1.0, 0), ("R", 2.0, 0)], 3: [("A", 1.0, 1), ("A", 2.0, 1)],
+             4: [("R", 1.0, 1)] * 3 + [("A", 9.0, 0)] * 3, 5: [("R", 1.0, 1), ("R", 3.0, 0)]}
+    s = None
+    for g, rows in parts.items():
+        one = _subjects(spark, rows, g)
+        s = one if s is None else s.unionByName(one)
+    fits = {r["grp"]: r for r in cox_fit(sv.event_table(s, "grp", "arm", ("A", "R")), "grp").collect()}
+    assert set(fits) == set(parts)
+    assert [g for g in fits if fits[g]["converged"]] == [1]
+    for g in (2, 3, 4, 5):
+        assert all(fits[g][c] is None for c in ("coef", "exp_coef", "se", "robust_se", "lower_95", "upper_95"))
+        assert fits[g]["n"] == len(parts[g])
+    assert fits[1]["iterations"] < 10
+
+
+def test_event_counts_do_not_grow_the_fit(spark):
+    """A hundred million events at a time are one row of the fit."""
+    def table(k):
+        return spark.createDataFrame([(1, 1.0, 3 * k, 2 * k, 4 * k, 3 * k, 9 * k, 8 * k), (1, 2.0, 6 * k, 5 * k, 4 * k, k, 6 * k, 4 * k)],
+                                     "grp int, time double, m0 long, d0 long, m1 long, d1 long, n0 long, n1 long")
+
+    small, large = (cox_fit(table(k), "grp").first() for k in (1000, 100_000_000))
+    assert large["coef"] == pytest.approx(small["coef"], rel=1e-2)
+    assert large["se"] == pytest.approx(small["se"] / math.sqrt(100_000), rel=1e-2)
+
+
+@pytest.mark.parametrize("n", [10, 40])
+def test_median_limits_by_hand(spark, n):
+    """One event a day: S falls by 1/n; the bands are worked out directly."""
+    rows = [("A", float(t), 1) for t in range(1, n + 1)]
+    cur = sv.km_curve(sv.event_table(_subjects(spark, rows), "grp", "arm", ("A", "R")), "grp", ("A", "R"))
+    gw, lower, upper = 0.0, None, None
+    for t in range(1, n):
+        risk = n + 1 - t
+        gw += 1 / (risk * (risk - 1))
+        surv = (risk - 1) / n
+        lower = lower or (t if surv * math.exp(-1.959963984540054 * math.sqrt(gw)) <= 0.5 else None)
+        upper = upper or (t if surv * math.exp(1.959963984540054 * math.sqrt(gw)) <= 0.5 else None)
+    got = sv.km_median(cur, "grp").first()
+    assert (got["median"], got["lcl_95"], got["ucl_95"]) == (n / 2 + 0.5, lower, upper)
+    assert lower < got["median"] and (upper is None if n == 10 else upper > got["median"])
+    last = cur.filter(F.col("time") == n).first()
+    assert last["surv"] == 0 and last["lower"] is None and last["upper"] is None
+
+
+def test_median_lies_between_its_limits(spark):
+    from tessera.plans.catalog import QUERIES
+
+    for name, prefixes in (("km_median", [""]), ("parallel_group_analysis", ["ref_", "trt_"]), ("survival_bundle", ["ref_", "trt_"])):
+        full = 0
+        for r in QUERIES[name](spark, SF_MID).collect():
+            for p in prefixes:
+                lo, mid, hi = r[p + "lcl_95"], r[p + "median"], r[p + "ucl_95"]
+                assert mid is None or lo is not None and lo <= mid
+                assert hi is None or mid <= hi
+                full += None not in (lo, mid, hi)
+        assert full > 20, name
 
 
 def test_cox_matches_recorded_probe(spark):
