@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.plans.registry import query
+from tessera.session import scratch_path
 from tessera.sources.tables import table
-from tessera.streaming.events import run_available_now
+from tessera.streaming.events import read_windows, run_available_now
 
 
 @query("stream_window_counts", """
@@ -18,7 +19,6 @@ def stream_window_counts(spark, sf):
     """Hourly counts and value sums per event type, computed by a file stream."""
     src = f"{sf.rstrip('/')}/events*.parquet"  # a glob: the file source watches a directory
     schema = table(spark, sf, "events").schema
-    path = run_available_now(spark, src, schema, "ts", "event_type", "value", "1 hour", "2 hours")
-    out = spark.read.parquet(path)
-    return out.select("window_start", "window_end", "event_type", "n",
-                      F.round("total_value", 6).alias("total_value"))
+    path = run_available_now(spark, src, schema, "ts", "event_type", "value", scratch_path(spark, "stream-out"),
+                             scratch_path(spark, "stream-checkpoint"), "1 hour", "2 hours")
+    return read_windows(spark, path, "event_type").withColumn("total_value", F.round("total_value", 6))

@@ -2,11 +2,10 @@
 
 The stream reads parquet files as they arrive (``maxFilesPerTrigger`` bounds
 a micro-batch), aggregates per (window, type) with a watermark on the event
-time, and writes each micro-batch's result through ``foreachBatch`` to a
-table path on shared storage. The checkpoint (offsets and state) lives in
-the shared checkpoint folder, so a restarted or retried query resumes
-exactly-once. With ``availableNow`` the query drains what is there and stops,
-which makes its answer comparable to the batch aggregate.
+time, and writes each micro-batch's changed windows through ``foreachBatch``.
+Result and checkpoint (offsets and state) lie at paths the caller gives, so a
+restarted query resumes. With ``availableNow`` the query drains what is there
+and stops, which makes its answer comparable to the batch aggregate.
 """
 
 from __future__ import annotations
@@ -15,8 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tessera.session import scratch_path
-
 
 def window_counts(events: DataFrame, ts: str, key: str, value: str, size: str,
                   delay: str) -> DataFrame:
@@ -41,15 +38,16 @@ def window_counts(events: DataFrame, ts: str, key: str, value: str, size: str,
 
 
 def run_available_now(spark: SparkSession, source_glob: str, schema: StructType, ts: str, key: str,
-                      value: str, size: str = "1 hour", delay: str = "2 hours",
+                      value: str, out: str, checkpoint: str, size: str = "1 hour", delay: str = "2 hours",
                       files_per_trigger: int = 1) -> str:
-    """Drain the files under ``source_glob`` through the stream; returns the result path.
+    """Drain the files under ``source_glob`` through the stream into ``out``; returns ``out``.
 
-    Complete output mode: every micro-batch rewrites the whole (window, key)
-    table, whose size is bounded by windows x keys, not by events.
+    Called again with the same ``out`` and ``checkpoint`` it goes on where it
+    stopped. Update mode: a batch writes the windows it changed, whole, to a
+    folder of its own number, so a repeated batch replaces what it wrote
+    before, and the watermark drops the state of windows that can no longer
+    change. :func:`read_windows` gives the current table.
     """
-    out = scratch_path(spark, "stream-out")
-    ckpt = scratch_path(spark, "stream-ckpt")
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
               .parquet(source_glob))
     agg = window_counts(stream, ts, key, value, size, delay)
@@ -63,11 +61,18 @@ def run_available_now(spark: SparkSession, source_glob: str, schema: StructType,
     def sink(batch: DataFrame, batch_id: int) -> None:
         (batch.select(wall("w.start").alias("window_start"), wall("w.end").alias("window_end"),
                       key, "n", "total_value")
-         .write.mode("overwrite").parquet(out))
+         .write.mode("overwrite").parquet(f"{out}/batch={batch_id}"))
 
-    q = (agg.writeStream.outputMode("complete").foreachBatch(sink)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q = (agg.writeStream.outputMode("update").foreachBatch(sink)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
     return out
+
+
+def read_windows(spark: SparkSession, out: str, key: str) -> DataFrame:
+    """The windows written to ``out``: of each (window, key) what the latest batch said."""
+    rows = spark.read.parquet(out).groupBy("window_start", "window_end", key)
+    return (rows.agg(F.max_by(F.struct("n", "total_value"), "batch").alias("r"))
+            .select("window_start", "window_end", key, "r.n", "r.total_value"))
