@@ -3,12 +3,16 @@
 Library code never creates its own session; queries receive one. Scratch
 output (CSV round trips, external tables, saved models, checkpoints) goes to
 the folder the cluster names in ``spark.checkpoint.dir``. Only when that is
-unset (local tests) do we create one under the system temp folder.
+unset and the master is local (tests) do we create one under the system temp
+folder, removed with all it holds when Python ends; ``drop_scratch`` removes
+a configured folder's scratch tables.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -47,7 +51,11 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    master = sc.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"{_CKPT_KEY} is not set: on {master} scratch tables need a folder that executors share")
     local = tempfile.mkdtemp(prefix="tessera-ckpt-")
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
 
@@ -58,6 +66,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root}/tessera-scratch/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_scratch(spark: SparkSession) -> bool:
+    """Delete everything written by :func:`scratch_path` users; results read from there are gone, too."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark).rstrip('/')}/tessera-scratch")
+    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
+
+
 def materialize(df):
     """Write ``df`` as a parquet table in the shared checkpoint folder and read it back.
 

@@ -47,14 +47,16 @@ def clean_names(names) -> list[str]:
     return [re.sub(r"[.\s]", "_", str(n)) for n in names]
 
 
-def copy_to(spark: SparkSession, local: pd.DataFrame, name: str, partitions: int | None = None,
+def copy_to(spark: SparkSession, data: DataFrame | pd.DataFrame, name: str, partitions: int | None = None,
             overwrite: bool = True) -> DataFrame:
-    """Copy a local (driver-side, bounded) table into Spark under a view name."""
+    """Put a table under a view name with dot-free column names, in ``partitions`` partitions.
+
+    A Spark table stays distributed; a pandas table is what the driver already holds.
+    """
     if not overwrite and spark.catalog.tableExists(name):
         raise ValueError(f"view {name} exists")
-    pdf = local.copy()
-    pdf.columns = clean_names(pdf.columns)
-    df = spark.createDataFrame(pdf)
+    df = data if isinstance(data, DataFrame) else spark.createDataFrame(data)
+    df = df.toDF(*clean_names(df.columns))
     if partitions:
         df = df.repartition(partitions)
     df.createOrReplaceTempView(name)
