@@ -4,7 +4,6 @@ from tessera.functions.scalar import (  # noqa: F401
     as_category,
     ceil_of,
     code_map,
-    hash_unit,
     hash_u32,
     make_id,
     no_negative_zero,

@@ -88,8 +88,3 @@ def hash_u32(*parts: ColumnOrName, salt: str | Column = "", offset: int = 0, met
     key = F.concat_ws("|", *[_c(p).cast("string") for p in parts], salt_c)
     digits = F.substring(F.md5(key), 1 + 8 * offset, 8)
     return F.conv(digits, 16, 10).cast("bigint")
-
-
-def hash_unit(*parts: ColumnOrName, salt: str | Column = "", offset: int = 0) -> Column:
-    """Deterministic uniform draw in [0, 1) from the row key."""
-    return hash_u32(*parts, salt=salt, offset=offset) / F.lit(4294967296.0)

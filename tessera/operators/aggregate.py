@@ -18,23 +18,6 @@ def count_by(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-def growth_between(df: DataFrame, key: str, period: Column, before, after,
-                   names: tuple[str, str, str]) -> DataFrame:
-    """Rows per key in two periods, kept where both periods have rows, and growth.
-
-    One pass with conditional counts replaces two per-period scans and an
-    inner merge: the inner merge keeps keys present in both periods, which is
-    the ``> 0`` test on both counts.
-    """
-    n0, n1, g = names
-    out = (df.groupBy(key)
-           .agg(F.count_if(period == F.lit(before)).alias(n0),
-                F.count_if(period == F.lit(after)).alias(n1))
-           .filter((F.col(n0) > 0) & (F.col(n1) > 0))
-           .withColumn(g, F.col(n1) - F.col(n0)))
-    return out
-
-
 def summarize_group(df: DataFrame, keys: Sequence[str], **aggs: Column) -> DataFrame:
     """groupBy + named aggregates (dplyr ``summarize`` in one call)."""
     return df.groupBy(*keys).agg(*[expr.alias(name) for name, expr in aggs.items()])
@@ -44,17 +27,23 @@ def contingency_long(df: DataFrame, a: str, b: str, name: str = "n") -> DataFram
     return count_by(df, [a, b], name)
 
 
-def contingency_wide(df: DataFrame, row: str, col: str, levels: Sequence) -> DataFrame:
-    """Wide table of counts; fixed column levels avoid a distinct-values job."""
-    return (df.groupBy(row).pivot(col, list(levels)).count().na.fill(0, subset=[str(v) for v in levels]))
+def contingency_wide(df: DataFrame, row: str, col: str, levels: Sequence, other: str = "other") -> DataFrame:
+    """Wide table of counts, one column per listed level and one for all other values, NULL included.
+
+    Fixed column levels avoid a distinct-values job; no row is left out.
+    """
+    c = F.col(col)
+    listed = F.coalesce(c.isin(list(levels)), F.lit(False))
+    return df.groupBy(row).agg(*[F.count_if(c == F.lit(v)).alias(str(v)) for v in levels],
+                               F.count_if(~listed).alias(other))
 
 
 def equal_width_bins(df: DataFrame, col: str, n_bins: int, lo: float, hi: float,
                      bin_col: str = "bin") -> DataFrame:
-    """Assign equal-width bins over [lo, hi]; the last bin is closed on the right."""
-    width = (hi - lo) / n_bins if hi > lo else 1.0
-    b = F.floor((F.col(col) - F.lit(lo)) / F.lit(hi - lo if hi > lo else 1.0) * F.lit(n_bins))
-    return df.withColumn(bin_col, F.least(b, F.lit(n_bins - 1)).cast("int")), width
+    """Assign equal-width bins over [lo, hi]; the last bin is closed on the right, values outside get NULL."""
+    c = F.col(col)
+    b = F.floor((c - F.lit(lo)) / F.lit(hi - lo if hi > lo else 1.0) * F.lit(n_bins))
+    return df.withColumn(bin_col, F.when((c >= F.lit(lo)) & (c <= F.lit(hi)), F.least(b, F.lit(n_bins - 1))).cast("int"))
 
 
 def histogram(df: DataFrame, col: str, n_bins: int = 30) -> DataFrame:
@@ -76,14 +65,14 @@ def histogram(df: DataFrame, col: str, n_bins: int = 30) -> DataFrame:
 
 def bucketed_mean_curve(df: DataFrame, x: str, y: str, n_bins: int, lo: float, hi: float,
                         smooth: int = 1) -> DataFrame:
-    """Mean of y per equal-width x bucket plus a centred moving mean over buckets.
+    """Mean of y per equal-width x bucket of [lo, hi] plus a centred moving mean over buckets.
 
     The moving mean is a window over at most ``n_bins`` aggregated rows, so
     its single partition is bounded by construction.
     """
     from pyspark.sql import Window
 
-    binned, _ = equal_width_bins(df.select(x, y), x, n_bins, lo, hi)
+    binned = equal_width_bins(df.select(x, y), x, n_bins, lo, hi).filter("bin is not null")
     per_bin = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("n"),
                                         F.sum(y).alias("_sy"),
                                         F.avg(x).alias("x_mean"),

@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import RFormula, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
@@ -37,15 +38,14 @@ def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataF
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="error").transform(df)
 
 
-def embedding_vectors(df: DataFrame, col: str = "embedding", dims: int | None = None,
-                      out: str = "features") -> DataFrame:
-    """array<float> embedding (optionally its first ``dims`` entries) as an ML vector."""
-    arr = F.col(col).cast("array<double>")
-    if dims is not None:
-        arr = F.slice(arr, 1, dims)
-    return df.withColumn(out, array_to_vector(arr))
+def embedding_vectors(df: DataFrame, col: str = "embedding", out: str = "features") -> DataFrame:
+    """array<float> embedding as an ML vector."""
+    return df.withColumn(out, array_to_vector(F.col(col).cast("array<double>")))
 
 
+def as_vector(col: str) -> Column:
+    """A struct (type, size, indices, values) as the ML vector it describes."""
+    return F.udf(lambda v: Vectors.sparse(v["size"], v["indices"], v["values"]), VectorUDT())(F.col(col))
 
 
 def tidy_terms(spark: SparkSession, names: Sequence[str], values: dict[str, Sequence[float]],

@@ -40,20 +40,3 @@ def sequential_pairs(df: DataFrame, seq: str, order: Sequence[str], item: str, m
              .agg(F.count(F.lit(1)).alias("freq")))
     out = singles.select("item_1", "item_2", "freq").unionByName(pairs.select("item_1", "item_2", "freq"))
     return out.filter(F.col("freq") >= F.lit(min_count))
-
-
-def prefix_span_mllib(df: DataFrame, seq: str, order: Sequence[str], item: str, min_support: float,
-                      max_len: int = 2) -> DataFrame:
-    """MLlib PrefixSpan over per-sequence item lists, for sequences bounded in length.
-
-    Each sequence becomes one row, so this is for inputs whose sequences are
-    known to be short; ``sequential_pairs`` is the scalable form for length 2.
-    """
-    from pyspark.ml.fpm import PrefixSpan
-
-    rows = (df.groupBy(seq)
-            .agg(F.sort_array(F.collect_list(F.struct(*[F.col(c) for c in order], F.col(item).alias("__it"))))
-                 .alias("__s"))
-            .select(F.transform("__s", lambda s: F.array(s["__it"])).alias("sequence")))
-    ps = PrefixSpan(minSupport=min_support, maxPatternLength=max_len, sequenceCol="sequence")
-    return ps.findFrequentSequentialPatterns(rows)

@@ -1,4 +1,4 @@
-"""MLlib queries. Seeds are fixed; inputs are read in file order, so fits are
+"""MLlib queries. Seeds are fixed and seeded fits deal their rows by key, so fits are
 repeatable. Model-parameter tables are built on the driver (bounded by the
 number of terms); predictions and evaluation stay distributed."""
 
@@ -11,7 +11,7 @@ from pyspark.ml.classification import (DecisionTreeClassifier, FMClassifier, GBT
                                        LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes,
                                        RandomForestClassifier)
 from pyspark.ml.clustering import LDA, BisectingKMeans, GaussianMixture, KMeans, PowerIterationClustering
-from pyspark.ml.feature import CountVectorizer, RegexTokenizer, StopWordsRemover, StringIndexer
+from pyspark.ml.feature import StopWordsRemover, StringIndexer
 from pyspark.ml.fpm import FPGrowth
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import (AFTSurvivalRegression, DecisionTreeRegressor, FMRegressor, GBTRegressor,
@@ -20,7 +20,7 @@ from pyspark.ml.regression import (AFTSurvivalRegression, DecisionTreeRegressor,
 from pyspark.ml.stat import KolmogorovSmirnovTest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType
+from pyspark.sql.types import LongType
 
 from tessera.functions.scalar import no_negative_zero, threshold_class
 from tessera.operators import ml
@@ -33,14 +33,17 @@ from tessera.sources.tables import table
 
 # fixed values: seeds and sizes of the fits
 SEED = 1099
+FIT_PARTITIONS = 8
 GLM_CLASSES = {"AUTOMOBILE": 42, "BUILDING": 43}
 FP_MIN_SUPPORT = 0.01
+FP_MIN_CONFIDENCE = 0.5
 SEQ_MIN_SUPPORT = 0.1
 
 
-def _emb(spark, sf, dims=None) -> DataFrame:
-    e = table(spark, sf, "embeddings")
-    return ml.embedding_vectors(e, dims=dims).select("vec_id", F.col("label").cast("double").alias("label"),
+def _emb(spark, sf) -> DataFrame:
+    """Whole vectors, dealt and ordered by key so that seeds act alike however the files are cut."""
+    e = table(spark, sf, "embeddings").repartition(FIT_PARTITIONS, "vec_id").sortWithinPartitions("vec_id")
+    return ml.embedding_vectors(e).select("vec_id", F.col("label").cast("double").alias("label"),
                                                       "features")
 
 
@@ -130,37 +133,43 @@ def glm_confusion(spark, sf):
 @query("glm_evaluation")
 def glm_evaluation(spark, sf):
     """Held-out against training evaluation: accuracy and F1 of the 0/1 class per split."""
-    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-
     data, model = _glm_fit(spark, sf)
     pred = model.transform(data).withColumn("class", threshold_class("prediction", 0.5).cast("double"))
-    rows = []
-    for split in ("training", "test"):
-        part = pred.filter(F.col("split") == split)
-        for metric in ("accuracy", "f1"):
-            ev = MulticlassClassificationEvaluator(labelCol="label", predictionCol="class", metricName=metric)
-            rows.append((split, metric, float(ev.evaluate(part))))
-    return spark.createDataFrame(rows, "split string, metric string, value double")
+    y, p = F.col("label"), F.col("class")
+    per = pred.groupBy("split").agg(F.count(F.lit(1)).alias("n"), *[
+        F.count_if(cond).alias(name) for c in (0, 1) for name, cond in (
+            (f"t{c}", (y == c) & (p == c)), (f"y{c}", y == c), (f"p{c}", p == c))])
+    f1 = sum(F.col(f"y{c}") * 2 * F.col(f"t{c}") / F.greatest(F.col(f"y{c}") + F.col(f"p{c}"), F.lit(1)) for c in (0, 1))
+    scores = F.array(F.struct(F.lit("accuracy").alias("metric"), ((F.col("t0") + F.col("t1")) / F.col("n")).alias("value")),
+                     F.struct(F.lit("f1").alias("metric"), (f1 / F.col("n")).alias("value")))
+    return per.select("split", F.explode(scores).alias("s")).select("split", "s.metric", "s.value")
 
 
 # ---------------------------------------------------------------- clustering
 
 def _kmeans(spark, sf):
-    df = _emb(spark, sf, dims=4)
+    df = _emb(spark, sf)
     model = KMeans(k=3, seed=1, maxIter=50).fit(df)
     return df, model
 
 
 @query("kmeans_centers")
 def kmeans_centers(spark, sf):
-    """Cluster centres over four features, with cluster sizes."""
+    """Cluster centres over all features (one row per cluster and feature), with cluster sizes."""
     df, model = _kmeans(spark, sf)
-    rows = [(i, *[float(v) for v in c]) for i, c in enumerate(model.clusterCenters())]
-    centres = spark.createDataFrame(rows, "cluster int, c0 double, c1 double, c2 double, c3 double")
+    rows = [(i, j, float(v)) for i, c in enumerate(model.clusterCenters()) for j, v in enumerate(c)]
+    centres = spark.createDataFrame(rows, "cluster int, feature int, value double")
     sizes = ml.cluster_sizes(model.transform(df)).withColumnRenamed("prediction", "cluster")
     return centres.join(sizes, "cluster", "left")
 
 
+@query("kmeans_assignments")
+def kmeans_assignments(spark, sf):
+    """The cluster of every row."""
+    df, model = _kmeans(spark, sf)
+    return model.transform(df).select("vec_id", F.col("prediction").alias("cluster"))
+
+
 @query("kmeans_contingency")
 def kmeans_contingency(spark, sf):
     df, model = _kmeans(spark, sf)
@@ -176,29 +185,55 @@ def ml_bisecting_kmeans(spark, sf):
 
 @query("ml_gmm")
 def ml_gmm(spark, sf):
-    df = _emb(spark, sf, dims=4)
+    """Gaussian mixture over all features: weight and mean per component and feature."""
+    df = _emb(spark, sf)
     model = GaussianMixture(k=3, seed=3, maxIter=50).fit(df)
     g = model.gaussiansDF.collect()  # k rows
-    rows = [(i, float(w), *[float(v) for v in g[i]["mean"]]) for i, w in enumerate(model.weights)]
-    return spark.createDataFrame(rows, "component int, weight double, m0 double, m1 double, m2 double, m3 double")
+    rows = [(i, float(w), j, float(v)) for i, w in enumerate(model.weights) for j, v in enumerate(g[i]["mean"])]
+    return spark.createDataFrame(rows, "component int, weight double, feature int, mean double")
+
+
+# fixed values: language codes and the stop-word lists' names
+STOP_WORDS = {"en": "english", "de": "german", "es": "spanish", "fr": "french"}
+LDA_FEATURES = 1 << 14
+
+
+def lda_words(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``words``: the letters-and-digits words of any script, without the language's stop words."""
+    words = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), "(?U)\\W+"), lambda w: w != "")
+    out = docs.withColumn("words", words)
+    for lang, name in STOP_WORDS.items():
+        stop = F.array(*[F.lit(w) for w in StopWordsRemover.loadDefaultStopWords(name)])
+        kept = F.filter("words", lambda w, stop=stop: ~F.array_contains(stop, w))
+        out = out.withColumn("words", F.when(F.col("lang") == lang, kept).otherwise(F.col("words")))
+    return out
 
 
 @query("ml_lda")
 def ml_lda(spark, sf):
-    """Topics of the whole document texts: top 8 terms per topic (a top-k report)."""
-    docs = table(spark, sf, "documents").select("doc_id", "text")
-    tok = RegexTokenizer(inputCol="text", outputCol="tokens", pattern="\\W+", minTokenLength=3)
-    stop = StopWordsRemover(inputCol="tokens", outputCol="words")
-    cv = CountVectorizer(inputCol="words", outputCol="features", vocabSize=2000, minDF=2)
-    lda = LDA(k=5, maxIter=10, seed=7, optimizer="online")
-    model = Pipeline(stages=[tok, stop, cv, lda]).fit(docs)
-    vocab = model.stages[2].vocabulary
-    topics = model.stages[3].describeTopics(8)
-    vocab_df = spark.createDataFrame([(i, w) for i, w in enumerate(vocab)], "term_index int, term string")
+    """Topics of the whole document texts: top 8 terms per topic (a top-k report).
+
+    Terms are hashed, so no word is left out and no vocabulary is held by the
+    driver; a term is named by the most frequent word of its bucket. Every
+    pass sees every document.
+    """
+    docs = lda_words(table(spark, sf, "documents").select("doc_id", "text", "lang"))
+    bucket = F.pmod(F.xxhash64("word"), F.lit(LDA_FEATURES)).cast("int")
+    counts = (docs.select("doc_id", F.explode("words").alias("word")).groupBy("doc_id", "word")
+              .agg(F.count(F.lit(1)).alias("n")).withColumn("bucket", bucket))
+    counts = materialize(counts)
+    per_doc = (counts.groupBy("doc_id", "bucket").agg(F.sum("n").cast("double").alias("n"))
+               .groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("t")))
+    parsed = per_doc.select("doc_id", F.struct(F.lit(0).cast("byte").alias("type"), F.lit(LDA_FEATURES).alias("size"),
+                                               F.col("t.bucket").alias("indices"), F.col("t.n").alias("values")).alias("v"))
+    features = parsed.select("doc_id", ml.as_vector("v").alias("features"))
+    model = LDA(k=5, maxIter=10, seed=7, optimizer="online", subsamplingRate=1.0).fit(materialize(features))
+    names = (counts.groupBy("bucket", "word").agg(F.sum("n").alias("n"))
+             .groupBy("bucket").agg(F.max_by("word", F.struct("n", "word")).alias("term")))
+    topics = model.describeTopics(8)
     return (topics.select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "tw"))
-            .select("topic", "rank", F.col("tw.termIndices").alias("term_index"),
-                    F.col("tw.termWeights").alias("weight"))
-            .join(vocab_df, "term_index").drop("term_index"))
+            .select("topic", "rank", F.col("tw.termIndices").alias("bucket"), F.col("tw.termWeights").alias("weight"))
+            .join(names, "bucket", "left").drop("bucket"))
 
 
 @query("ml_pic")
@@ -260,7 +295,10 @@ def _part_xy(spark, sf):
 
 @query("ml_isotonic")
 def ml_isotonic(spark, sf):
-    model = IsotonicRegression(isotonic=True).fit(_part_xy(spark, sf))
+    # one row per distinct size: the fit's last step runs on the driver
+    per_x = (table(spark, sf, "part").groupBy("p_size")
+             .agg(F.avg("p_retailprice").alias("label"), F.count(F.lit(1)).cast("double").alias("weight")))
+    model = IsotonicRegression(isotonic=True, weightCol="weight").fit(ml.assemble(per_x, ["p_size"]))
     rows = list(zip([float(b) for b in model.boundaries], [float(p) for p in model.predictions]))
     return spark.createDataFrame(rows, "boundary double, prediction double")
 
@@ -305,13 +343,24 @@ def ml_rf_regressor(spark, sf):
                     F.count(F.lit(1)).alias("n"))
 
 
+def _aft(spark, sf):
+    s = lineitem_trial(spark, sf).select("l_orderkey", "l_linenumber", (F.col("arm") == "R").cast("double").alias("treated"),
+                                         "time", F.col("event").cast("double").alias("event"))
+    df = ml.assemble(s, ["treated"])
+    return df, AFTSurvivalRegression(labelCol="time", censorCol="event", maxIter=100).fit(df)
+
+
+@query("ml_aft_predict")
+def ml_aft_predict(spark, sf):
+    """Predicted survival time of every subject."""
+    df, m = _aft(spark, sf)
+    return m.transform(df).select("l_orderkey", "l_linenumber", "treated", F.round("prediction", 9).alias("prediction"))
+
+
 @query("ml_aft")
 def ml_aft(spark, sf):
     """Accelerated failure time fit on the lineitem trial (censor column = event)."""
-    s = lineitem_trial(spark, sf).select((F.col("arm") == "R").cast("double").alias("treated"),
-                                         "time", F.col("event").cast("double").alias("event"))
-    df = ml.assemble(s, ["treated"])
-    m = AFTSurvivalRegression(labelCol="time", censorCol="event", maxIter=100).fit(df)
+    _, m = _aft(spark, sf)
     t = _coef_table(spark, ["treated"], m.coefficients, m.intercept)
     return t.unionByName(ml.tidy_terms(spark, ["log(scale)"], {"estimate": [float(math.log(m.scale))]}))
 
@@ -319,13 +368,13 @@ def ml_aft(spark, sf):
 # ---------------------------------------------------------------- classification
 
 def _rf_split(spark, sf):
-    df = _emb(spark, sf, dims=2).withColumn("label_text", F.col("label").cast("int").cast("string"))
+    df = _emb(spark, sf).withColumn("label_text", F.col("label").cast("int").cast("string"))
     return hash_split(df, ["vec_id"], {"training": 0.75, "test": 0.25}, seed=SEED)
 
 
 @query("rf_confusion")
 def rf_confusion(spark, sf):
-    """Random forest (20 trees) on two features; held-out label-by-prediction table.
+    """Random forest (20 trees) on all features; held-out label-by-prediction table.
 
     The label index is fitted once, on training rows, inside the pipeline.
     """
@@ -359,6 +408,30 @@ def ml_svm(spark, sf):
     return _coef_table(spark, [f"e{i}" for i in range(len(m.coefficients))], m.coefficients, m.intercept)
 
 
+def _scored(pred: DataFrame, key: str = "vec_id") -> DataFrame:
+    return pred.select(key, F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"))
+
+
+@query("ml_logit_predict")
+def ml_logit_predict(spark, sf):
+    """The predicted class of every row."""
+    df = _binary_emb(spark, sf)
+    return _scored(LogisticRegression(maxIter=100, regParam=0.01).fit(df).transform(df))
+
+
+@query("ml_svm_predict")
+def ml_svm_predict(spark, sf):
+    df = _binary_emb(spark, sf)
+    return _scored(LinearSVC(maxIter=50, regParam=0.01).fit(df).transform(df))
+
+
+@query("ml_tree_predict")
+def ml_tree_predict(spark, sf):
+    """Decision tree: the predicted label of every vector."""
+    df = _emb(spark, sf)
+    return _scored(DecisionTreeClassifier(maxDepth=5, seed=9).fit(df).transform(df))
+
+
 @query("ml_mlp")
 def ml_mlp(spark, sf):
     df = _emb(spark, sf)
@@ -404,7 +477,10 @@ def ml_naive_bayes(spark, sf):
 
 @query("ml_als")
 def ml_als(spark, sf):
-    """ALS on customer x part summed quantities; top 3 parts per customer (a top-k report)."""
+    """ALS on customer x part summed quantities: the score of every observed pair beside its rating.
+
+    Pairs are scored as given; customers are not crossed with parts.
+    """
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     summed = (li.join(o, li.l_orderkey == o.o_orderkey)
@@ -417,36 +493,65 @@ def ml_als(spark, sf):
     ratings = users.attach(items.attach(summed)).select("user", "item", "rating")
     als = ALS(userCol="user", itemCol="item", ratingCol="rating", rank=8, maxIter=5, regParam=0.1, seed=SEED,
               coldStartStrategy="drop")
-    recs = als.fit(ratings).recommendForAllUsers(3)
-    top = recs.select("user", F.posexplode("recommendations").alias("rank", "r")).select(
-        "user", "rank", F.col("r.item").alias("item"), F.col("r.rating").alias("score"))
-    return (users.detach(items.detach(top))
-            .select(F.col("o_custkey").cast(LongType()), "rank", F.col("l_partkey").cast(LongType()), "score"))
+    scored = als.fit(ratings).transform(ratings)
+    return (users.detach(items.detach(scored))
+            .select(F.col("o_custkey").cast(LongType()), F.col("l_partkey").cast(LongType()), "rating",
+                    F.col("prediction").cast("double").alias("score")))
+
+
+FP_MAX_SQL = 6  # the oracle's joins go as far as there are part types
 
 
-FP_SQL = f"""
-WITH b AS (SELECT DISTINCT l_orderkey, p_type FROM lineitem JOIN part ON l_partkey = p_partkey),
+def _fp_sql() -> str:
+    parts = []
+    for size in range(1, FP_MAX_SQL + 1):
+        x = [f"x{i}" for i in range(size)]
+        joins = " ".join(f"JOIN b {v} ON {v}.l_orderkey = x0.l_orderkey AND {u}.p_type < {v}.p_type"
+                         for u, v in zip(x, x[1:]))
+        names = " || '|' || ".join(f"{v}.p_type" for v in x)
+        parts.append(f"SELECT {names} AS items, {size} AS size, count(*) AS freq FROM b x0 {joins} GROUP BY 1")
+    return f"""WITH b AS (SELECT DISTINCT l_orderkey, p_type FROM lineitem JOIN part ON l_partkey = p_partkey),
 n AS (SELECT count(DISTINCT l_orderkey) AS n FROM b),
-s AS (SELECT p_type AS item_1, CAST(NULL AS VARCHAR) AS item_2, count(*) AS freq FROM b GROUP BY 1
-      UNION ALL
-      SELECT x.p_type, y.p_type, count(*) FROM b x JOIN b y ON x.l_orderkey = y.l_orderkey AND x.p_type < y.p_type
-      GROUP BY 1, 2)
-SELECT item_1, item_2, freq FROM s WHERE freq >= (SELECT ceil(CAST({FP_MIN_SUPPORT} AS DOUBLE) * n) FROM n)
+s AS ({" UNION ALL ".join(parts)}),
+f AS (SELECT * FROM s WHERE freq >= (SELECT ceil(CAST({FP_MIN_SUPPORT} AS DOUBLE) * n) FROM n))
 """
 
 
-@query("fp_itemsets", FP_SQL)
-def fp_itemsets(spark, sf):
-    """FP-growth over the part types of each order; itemsets of size 1 and 2."""
+FP_SQL = _fp_sql() + "SELECT items, size, freq FROM f"
+RULES_SQL = _fp_sql() + f"""
+SELECT antecedent, consequent, round(confidence, 9) AS confidence, round(confidence / (c.freq / n), 9) AS lift,
+       round(xy / n, 9) AS support FROM (
+  SELECT array_to_string(list_filter(w.parts, lambda p: p <> w.parts[i]), '|') AS antecedent, w.parts[i] AS consequent,
+         w.freq AS xy, w.freq / a.freq AS confidence
+  FROM (SELECT freq, string_split(items, '|') AS parts, unnest(generate_series(1, size)) AS i FROM f WHERE size > 1) w
+  JOIN f a ON a.items = array_to_string(list_filter(w.parts, lambda p: p <> w.parts[i]), '|')) r
+JOIN f c ON c.items = r.consequent, n WHERE confidence >= CAST({FP_MIN_CONFIDENCE} AS DOUBLE)
+"""
+
+
+def _fp_model(spark, sf):
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
     p = table(spark, sf, "part").select("p_partkey", "p_type")
     baskets = (li.join(p, li.l_partkey == p.p_partkey).groupBy("l_orderkey")
                .agg(F.collect_set("p_type").alias("items")))  # a set: bounded by the item vocabulary
-    model = FPGrowth(itemsCol="items", minSupport=FP_MIN_SUPPORT, minConfidence=0.5).fit(baskets)
-    its = model.freqItemsets.filter(F.size("items") <= 2).withColumn("items", F.array_sort("items"))
-    return its.select(F.col("items")[0].alias("item_1"),
-                      F.when(F.size("items") > 1, F.col("items")[1]).cast(StringType()).alias("item_2"),
-                      F.col("freq").cast(LongType()).alias("freq"))
+    return FPGrowth(itemsCol="items", minSupport=FP_MIN_SUPPORT, minConfidence=FP_MIN_CONFIDENCE).fit(baskets)
+
+
+@query("fp_itemsets", FP_SQL)
+def fp_itemsets(spark, sf):
+    """FP-growth over the part types of each order; itemsets of every size."""
+    return _fp_model(spark, sf).freqItemsets.select(
+        F.array_join(F.array_sort("items"), "|").alias("items"), F.size("items").alias("size"),
+        F.col("freq").cast(LongType()).alias("freq"))
+
+
+@query("fp_rules", RULES_SQL)
+def fp_rules(spark, sf):
+    """Association rules of those itemsets."""
+    return _fp_model(spark, sf).associationRules.select(
+        F.array_join(F.array_sort("antecedent"), "|").alias("antecedent"),
+        F.array_join("consequent", "|").alias("consequent"),
+        *[F.round(c, 9).alias(c) for c in ("confidence", "lift", "support")])
 
 
 SEQ_SQL = f"""
@@ -479,7 +584,7 @@ def ks_test(spark, sf):
                                  "statistic double, p_value double, mean double, sd double")
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", "SELECT count(*) AS n, count(*) AS n_equal, CAST(0 AS DOUBLE) AS max_abs_diff FROM part")
 def model_roundtrip(spark, sf):
     """Save a fitted pipeline to shared storage, load it, and compare predictions."""
     df = table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice")
@@ -487,8 +592,56 @@ def model_roundtrip(spark, sf):
     path = scratch_path(spark, "model")
     model.write().save(path)
     loaded = PipelineModel.load(path)
-    a = model.transform(df).select("p_partkey", F.col("prediction").alias("p1"))
-    b = loaded.transform(df).select("p_partkey", F.col("prediction").alias("p2"))
-    return (a.join(b, "p_partkey")
-            .agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("p1") == F.col("p2")).cast("int")).alias("n_equal"),
-                 F.max(F.abs(F.col("p1") - F.col("p2"))).alias("max_abs_diff")))
+    first = model.transform(df).select("p_partkey", "p_size", "p_retailprice", F.col("prediction").alias("p1"))
+    both = loaded.transform(first).withColumnRenamed("prediction", "p2")
+    return both.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("p1") == F.col("p2")).alias("n_equal"),
+                    F.max(F.abs(F.col("p1") - F.col("p2"))).alias("max_abs_diff"))
+
+
+@query("linreg_no_intercept", """
+SELECT round(sum(l_extendedprice * l_quantity) / sum(l_quantity * l_quantity), 6) AS slope, 0.0::DOUBLE AS intercept
+FROM lineitem
+""")
+def linreg_no_intercept(spark, sf):
+    """Least squares through the origin."""
+    li = table(spark, sf, "lineitem").select("l_extendedprice", "l_quantity")
+    lr = ml.formula_pipeline("l_extendedprice ~ l_quantity - 1",
+                             LinearRegression(solver="normal", fitIntercept=False)).fit(li).stages[-1]
+    return spark.createDataFrame([(round(float(lr.coefficients[0]), 6), float(lr.intercept))],
+                                 "slope double, intercept double")
+
+
+@query("formula_dot", """
+SELECT p_partkey, p_retailprice AS label, CAST(p_size AS DOUBLE) AS f0 FROM part
+""")
+def formula_dot(spark, sf):
+    """All columns but one: ``p_retailprice ~ . - p_partkey``."""
+    p = table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice")
+    fitted = ml.formula_pipeline("p_retailprice ~ . - p_partkey").fit(p)
+    return ml.features_as_columns(fitted.transform(p).select("p_partkey", "label", "features"), n=1)
+
+
+def _two_group_glm(spark, sf, label: str, family: str) -> DataFrame:
+    """GLM with log link of a lineitem column on the return flag (R or not)."""
+    li = table(spark, sf, "lineitem").select(F.col(label).cast("double").alias("label"),
+                                             (F.col("l_returnflag") == "R").cast("double").alias("returned"))
+    m = GeneralizedLinearRegression(family=family, link="log", maxIter=50, tol=1e-12).fit(ml.assemble(li, ["returned"]))
+    return spark.createDataFrame([(round(float(m.intercept), 6), round(float(m.coefficients[0]), 6))],
+                                 "intercept double, returned double")
+
+
+def _two_group_sql(label: str) -> str:
+    """With one 0/1 term and a log link the fitted group means are the group means."""
+    return f"""SELECT round(ln(avg({label}) FILTER (WHERE l_returnflag <> 'R')), 6) AS intercept,
+       round(ln(avg({label}) FILTER (WHERE l_returnflag = 'R')) - ln(avg({label}) FILTER (WHERE l_returnflag <> 'R')), 6)
+         AS returned FROM lineitem"""
+
+
+@query("ml_glm_poisson", _two_group_sql("l_linenumber"))
+def ml_glm_poisson(spark, sf):
+    return _two_group_glm(spark, sf, "l_linenumber", "poisson")
+
+
+@query("ml_glm_gamma", _two_group_sql("l_extendedprice"))
+def ml_glm_gamma(spark, sf):
+    return _two_group_glm(spark, sf, "l_extendedprice", "gamma")

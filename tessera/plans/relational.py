@@ -4,6 +4,7 @@ query and its oracle (engines differ in the last bits of float sums)."""
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -180,10 +181,10 @@ def numeric_as_category(spark, sf):
     return p.groupBy(as_category("p_size").alias("size_label")).agg(F.count(F.lit(1)).alias("n_parts"))
 
 
-@query("current_date_row")
+@query("current_date_row", "SELECT CAST(current_date AS VARCHAR) AS today, count(*) AS n_regions FROM region")
 def current_date_row(spark, sf):
-    """Today's date next to a row count (date differs by run day, so no oracle)."""
-    return table(spark, sf, "region").agg(F.current_date().alias("today"),
+    """Today's date (in the session's time zone) next to a row count."""
+    return table(spark, sf, "region").agg(F.current_date().cast("string").alias("today"),
                                           F.count(F.lit(1)).alias("n_regions"))
 
 
@@ -275,7 +276,8 @@ def contingency_long(spark, sf):
 
 @query("contingency_wide", "SELECT o_orderstatus, " + ", ".join(
     f"count(*) FILTER (WHERE o_orderpriority = '{p}') AS \"{p}\"" for p in PRIORITIES)
-    + " FROM orders GROUP BY 1")
+    + ", count(*) FILTER (WHERE o_orderpriority IS NULL OR o_orderpriority NOT IN ("
+    + ", ".join(f"'{p}'" for p in PRIORITIES) + ")) AS other FROM orders GROUP BY 1")
 def contingency_wide(spark, sf):
     return agg.contingency_wide(table(spark, sf, "orders"), "o_orderstatus", "o_orderpriority", PRIORITIES)
 
@@ -306,6 +308,27 @@ def group_map(spark, sf):
                                          for c in ("quantity", "extendedprice", "discount", "tax")])
 
 
+@query("group_trend", """
+WITH y AS (SELECT l_suppkey, year(l_shipdate) AS yr, sum(l_extendedprice) AS revenue FROM lineitem GROUP BY 1, 2)
+SELECT l_suppkey, count(*) AS n_years, round(regr_slope(revenue, yr), 2) AS slope FROM y GROUP BY 1
+""")
+def group_trend(spark, sf):
+    """A function per group: the least-squares trend of each supplier's yearly revenue.
+
+    Its groups are bounded by construction: the years of one supplier.
+    """
+    yearly = (table(spark, sf, "lineitem").groupBy("l_suppkey", F.year("l_shipdate").alias("yr"))
+              .agg(F.sum("l_extendedprice").alias("revenue")))
+
+    def trend(key, rows):
+        x, y = rows["yr"] - rows["yr"].mean(), rows["revenue"]
+        slope = float((x * y).sum() / (x * x).sum()) if len(rows) > 1 else None
+        return pd.DataFrame({"l_suppkey": [key[0]], "n_years": [len(rows)], "slope": [slope]})
+
+    out = ap.group_apply(yearly, ["l_suppkey"], trend, "l_suppkey bigint, n_years bigint, slope double")
+    return out.withColumn("slope", F.round("slope", 2))
+
+
 @query("partition_map", """
 SELECT l_orderkey, l_linenumber, l_returnflag,
        CASE l_returnflag WHEN 'A' THEN 'AC' WHEN 'N' THEN 'NO' WHEN 'R' THEN 'RE' ELSE 'NA' END AS code
@@ -340,7 +363,7 @@ FROM g WINDOW w AS (ORDER BY bin ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING)
 """)
 def bucketed_mean_curve(spark, sf, lo: float = 1.0, hi: float = 50.0):
     """Range-filtered x/y pairs, mean y per x bucket and its smoothed curve."""
-    p = vb.filter_range(table(spark, sf, "part"), "p_size", int(lo), int(hi))
+    p = vb.filter_range(table(spark, sf, "part"), "p_size", lo, hi)
     c = agg.bucketed_mean_curve(p, "p_size", "p_retailprice", 10, lo, hi, smooth=1)
     return c.select("bin", "n", *[F.round(x, R).alias(x) for x in ("x_mean", "y_mean", "y_smooth")])
 

@@ -7,11 +7,23 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from tessera.operators.patterns import prefix_span_mllib, sequential_pairs
+from tessera.operators.patterns import sequential_pairs
 from tessera.plans.catalog import QUERIES
 from tessera.sources.tables import table
 
 
+def prefix_span_mllib(df, seq, order, item, min_support, max_len=2):
+    """MLlib PrefixSpan over per-sequence item lists."""
+    from pyspark.ml.fpm import PrefixSpan
+
+    rows = (df.groupBy(seq)
+            .agg(F.sort_array(F.collect_list(F.struct(*[F.col(c) for c in order], F.col(item).alias("__it"))))
+                 .alias("__s"))
+            .select(F.transform("__s", lambda s: F.array(s["__it"])).alias("sequence")))
+    ps = PrefixSpan(minSupport=min_support, maxPatternLength=max_len, sequenceCol="sequence")
+    return ps.findFrequentSequentialPatterns(rows)
+
+
 def test_sequential_pairs_equal_prefixspan(spark):
     ev = table(spark, SF_SMALL, "events").select("user_id", "ts", "event_id", "event_type")
     ours = {(r["item_1"], r["item_2"]): r["freq"]
@@ -25,7 +37,8 @@ def test_sequential_pairs_equal_prefixspan(spark):
 
 def test_kmeans_sizes_sum(spark):
     rows = QUERIES["kmeans_centers"](spark, SF_SMALL).collect()
-    assert sum(r["size"] for r in rows) == table(spark, SF_SMALL, "embeddings").count()
+    sizes = {r["cluster"]: r["size"] for r in rows}
+    assert len(rows) == 64 * len(sizes) and sum(sizes.values()) == table(spark, SF_SMALL, "embeddings").count()
 
 
 def test_isotonic_monotone(spark):
