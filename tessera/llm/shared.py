@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import gc
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.session import materialize
 from tessera.sources.tables import table
 
-__all__ = ["bounded_batches", "materialize", "release", "spare_name", "table"]
+__all__ = ["batch_rows", "bounded_batches", "materialize", "release", "spare_name", "table"]
 
 BATCH_ROWS = 2000
 BATCH_BYTES = 32 << 20
@@ -21,6 +22,21 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int):
+    """Jobs run inside hand Python at most ``rows`` rows a batch; the session's own setting comes back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished stages whose frames nobody holds any more.
 

@@ -34,12 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import materialize, table
+from tessera.llm.shared import batch_rows, materialize, table
 
 SCALE = 1024
 SHARD_ROWS = 8192
 QUERY_ROWS = 1024
 LEAF_ROWS = 64
+PAIRS_A_BATCH = 16  # a row of the pairs is a few MB
 EXACT = float(1 << 52)
 LONG = np.iinfo(np.int64)
 
@@ -219,20 +220,22 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int =
           query_rows: int = QUERY_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best other vectors of every query (both: vec_id, v)."""
     spark = vectors.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")  # a row of the pairs is a few MB
     n_shards = 1 + vectors.count() // shard_rows
     n_blocks = 1 + queries.count() // query_rows
     index = materialize(_index(vectors, n_shards))
     blocks = materialize(_blocks(queries.distinct(), n_blocks))
     home = F.pmod("block", F.lit(n_shards)).cast("int")
     shards = index.select("shard")
-    first = materialize(_searched(blocks.withColumn("shard", home).join(index, "shard")
-                                  .select("block", "queries", "tree"), k, False))
+    with batch_rows(spark, PAIRS_A_BATCH):
+        first = materialize(_searched(blocks.withColumn("shard", home).join(index, "shard")
+                                      .select("block", "queries", "tree"), k, False))
     floor = first.groupBy("block").agg(F.collect_list(F.struct("query", "score", "vec_id")).alias("floor"))
     pairs = (blocks.join(floor, "block", "left").withColumn("home", home)
              .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1)))).where("shard != home")
              .join(shards, "shard", "left_semi").join(index, "shard").select("block", "queries", "floor", "tree"))
-    found = first.unionByName(_searched(pairs, k, True))
+    with batch_rows(spark, PAIRS_A_BATCH):
+        rest = materialize(_searched(pairs, k, True))
+    found = first.unionByName(rest)
     order = Window.partitionBy("block", "query").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
