@@ -1,8 +1,9 @@
 """Connected components of an edge table by alternating large-star and small-star joins.
 
 Nothing is gathered per node: a hub's neighbours stay rows, and each round is
-a minimum per node (combined before the shuffle) joined back to the edges.
-Rounds grow with the logarithm of the longest path.
+a minimum per node (combined before the shuffle) joined back to the edges. The
+minima are written first, so the join meets two plain tables and a hub's edges
+can be split over tasks. Rounds grow with the logarithm of the longest path.
 """
 
 from __future__ import annotations
@@ -20,9 +21,9 @@ def _state(edges: DataFrame) -> tuple[int, int]:
     return int(r["n"]), int(r["x"] or 0)
 
 
-def _star(pairs: DataFrame, keep) -> DataFrame:
-    """For each node u with neighbours v: link v (where ``keep``) and u to the least of them all."""
-    least = pairs.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+def _star(pairs: DataFrame, keep) -> tuple[DataFrame, DataFrame]:
+    """For each node u with neighbours v: links of v (where ``keep``) to the least of them all, and that least."""
+    least = materialize(pairs.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")))
     linked = pairs.join(least, "u").where(keep).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return linked, least
 
@@ -38,7 +39,7 @@ def components(edges: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large, _ = _star(both, F.col("v") > F.col("u"))
-        large = large.where(F.col("u") != F.col("v")).distinct()
+        large = materialize(large.where(F.col("u") != F.col("v")).distinct())
         small, least = _star(large, F.col("v") != F.col("m"))
         small = small.unionByName(least.select("u", F.col("m").alias("v")))
         edges = materialize(small.where(F.col("u") != F.col("v")).distinct())
