@@ -111,8 +111,9 @@ def format_chats(conversations: DataFrame) -> DataFrame:
              .withColumn("formatted", F.when(F.col("escaped"), render(F.col("turns"), escaped=True))
                          .otherwise(F.col("plain"))))
     again = F.assert_true(parse(F.col("formatted")) == F.col("turns"), "a conversation does not survive its round trip")
-    return first.select("conv_id", "formatted", "escaped", loss_spans(F.col("formatted")).alias("loss_mask"),
-                        again.alias("checked")).drop("checked")
+    # null if it holds; as a condition of the text itself it cannot be pruned away
+    checked = first.withColumn("formatted", F.when(again.isNull(), F.col("formatted")))
+    return checked.select("conv_id", "formatted", "escaped", loss_spans(F.col("formatted")).alias("loss_mask"))
 
 
 def chat_digests(formatted: DataFrame) -> DataFrame:

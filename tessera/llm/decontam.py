@@ -93,7 +93,7 @@ class Patterns:
         self.searchers = [Searcher(m, p, len(distinct)) for m, p in sorted(by_length.items())]
 
 
-def benchmark_parts(benchmark: DataFrame, size: int, part_words: int = PART_WORDS) -> list[list[tuple[str, bytes]]]:
+def benchmark_parts(benchmark: DataFrame, part_words: int = PART_WORDS) -> list[list[tuple[str, bytes]]]:
     """The items in parts of a bounded number of words (an item is never cut)."""
     rows = (benchmark.where("item_id is not null")
             .select(F.col("item_id").cast("string").alias("name"), F.col("text").cast("string").alias("text"),
@@ -144,7 +144,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, part_wor
     out = docs.withColumn("text", F.col("text").cast("string"))
     for name, kind in zip(names, ("long", "array<int>", "array<string>")):
         out = out.withColumn(name, F.lit(None).cast(kind))
-    for part in benchmark_parts(benchmark, size, part_words):
+    for part in benchmark_parts(benchmark, part_words):
         out = out.mapInArrow(_scan(size, part, names), out.schema)
     return out
 

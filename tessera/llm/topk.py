@@ -225,14 +225,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int =
     index = materialize(_index(vectors, n_shards))
     blocks = materialize(_blocks(queries.distinct(), n_blocks))
     home = F.pmod("block", F.lit(n_shards)).cast("int")
-    shards = index.select("shard")
     with batch_rows(spark, PAIRS_A_BATCH):
         first = materialize(_searched(blocks.withColumn("shard", home).join(index, "shard")
                                       .select("block", "queries", "tree"), k, False))
     floor = first.groupBy("block").agg(F.collect_list(F.struct("query", "score", "vec_id")).alias("floor"))
     pairs = (blocks.join(floor, "block", "left").withColumn("home", home)
              .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1)))).where("shard != home")
-             .join(shards, "shard", "left_semi").join(index, "shard").select("block", "queries", "floor", "tree"))
+             .join(index, "shard").select("block", "queries", "floor", "tree"))
     with batch_rows(spark, PAIRS_A_BATCH):
         rest = materialize(_searched(pairs, k, True))
     found = first.unionByName(rest)

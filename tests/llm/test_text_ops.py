@@ -64,7 +64,7 @@ def test_leaks_equal_brute_force(spark, part_words):
     got = [(r["doc_id"], r["n_words"], len(r["hit_words"]), len(r["hit_items"]), brute.sha(",".join(r["hit_items"])))
            for r in out]
     assert sorted(got, key=str) == sorted(brute.leaks(rows, items), key=str)
-    assert len(D.benchmark_parts(bench, 10, part_words)) == (1 if part_words > 100 else 1 + int(
+    assert len(D.benchmark_parts(bench, part_words)) == (1 if part_words > 100 else 1 + int(
         sum(len((t or "").encode()) / 2 + 1 for i, t in items if i is not None) // 40))
 
 
