@@ -200,13 +200,14 @@ LDA_FEATURES = 1 << 14
 
 def lda_words(docs: DataFrame) -> DataFrame:
     """``docs`` with ``words``: the letters-and-digits words of any script, without the language's stop words."""
-    words = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), "(?U)\\W+"), lambda w: w != "")
-    out = docs.withColumn("words", words)
+    def without(name: str):
+        return lambda w: ~w.isin(StopWordsRemover.loadDefaultStopWords(name))
+
+    out = docs.withColumn("words", F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), "(?U)\\W+"), lambda w: w != ""))
+    kept = F.col("words")
     for lang, name in STOP_WORDS.items():
-        stop = F.array(*[F.lit(w) for w in StopWordsRemover.loadDefaultStopWords(name)])
-        kept = F.filter("words", lambda w, stop=stop: ~F.array_contains(stop, w))
-        out = out.withColumn("words", F.when(F.col("lang") == lang, kept).otherwise(F.col("words")))
-    return out
+        kept = F.when(F.col("lang") == lang, F.filter("words", without(name))).otherwise(kept)
+    return out.withColumn("words", kept)
 
 
 @query("ml_lda")

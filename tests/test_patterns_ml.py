@@ -87,3 +87,76 @@ def test_model_fits_after_survival_queries(spark):
 
     sv.event_table_and_plan(lineitem_trial(spark, SF_SMALL), "grp", "arm", ("A", "R"))
     assert len(QUERIES["ml_fm_classifier"](spark, SF_SMALL).collect()) > 0
+
+
+def test_lda_words_of_any_script(spark):
+    from tessera.plans.ml_q import lda_words
+
+    df = spark.createDataFrame([(1, "Größe über niño año, the THE x2", "en"), (2, "der Größe und", "de"), (3, None, "fr"),
+                                (4, "the der und", None)], "doc_id int, text string, lang string")
+    got = {r["doc_id"]: list(r["words"]) for r in lda_words(df).collect()}
+    assert got == {1: ["größe", "über", "niño", "año", "x2"], 2: ["größe"], 3: [], 4: ["the", "der", "und"]}
+
+
+def test_lda_names_every_topic(spark):
+    rows = QUERIES["ml_lda"](spark, SF_SMALL).collect()
+    assert len(rows) == 5 * 8 and all(r["term"] for r in rows)
+
+
+def test_predictions_cover_every_row(spark):
+    n = table(spark, SF_SMALL, "embeddings").count()
+    for name in ("kmeans_assignments", "ml_logit_predict", "ml_svm_predict", "ml_tree_predict"):
+        rows = QUERIES[name](spark, SF_SMALL).collect()
+        assert len({r["vec_id"] for r in rows}) == len(rows) == n, name
+
+
+def test_kmeans_assigns_the_nearest_centre(spark):
+    centres = {}
+    for r in QUERIES["kmeans_centers"](spark, SF_SMALL).collect():
+        centres.setdefault(r["cluster"], {})[r["feature"]] = r["value"]
+    got = {r["vec_id"]: r["cluster"] for r in QUERIES["kmeans_assignments"](spark, SF_SMALL).collect()}
+    for r in table(spark, SF_SMALL, "embeddings").limit(100).collect():
+        d = {c: sum((x - v[i]) ** 2 for i, x in enumerate(r["embedding"])) for c, v in centres.items()}
+        assert d[got[r["vec_id"]]] == pytest.approx(min(d.values()))
+
+
+def test_wide_table_keeps_every_row(spark):
+    from tessera.operators.aggregate import bucketed_mean_curve, contingency_wide
+
+    df = spark.createDataFrame([("a", "x"), ("a", "z"), ("a", None), ("b", "z")], "r string, c string")
+    got = {r["r"]: r.asDict() for r in contingency_wide(df, "r", "c", ["x", "y"]).collect()}
+    assert got == {"a": {"r": "a", "x": 1, "y": 0, "other": 2}, "b": {"r": "b", "x": 0, "y": 0, "other": 1}}
+    xy = spark.createDataFrame([(x / 2, 1.0) for x in range(20)], "x double, y double")
+    curve = bucketed_mean_curve(xy, "x", "y", 4, 1.5, 7.25).collect()
+    assert {r["bin"] for r in curve} == {0, 1, 2, 3} and sum(r["n"] for r in curve) == 12
+
+
+def test_scratch_is_refused_off_a_local_master(spark):
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+
+    code = """
+import sys; sys.path.insert(0, %r)
+from tessera import session
+class Fake:
+    class sparkContext:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+    class conf:
+        get = staticmethod(lambda k, d=None: d)
+try:
+    session.checkpoint_root(Fake)
+except RuntimeError as e:
+    print("refused", "spark.checkpoint.dir" in str(e))
+Fake.sparkContext.master = "local[2]"
+kept = []
+Fake.sparkContext.setCheckpointDir = staticmethod(kept.append)
+session.checkpoint_root(Fake)
+import os; print(os.path.isdir(kept[0]), kept[0])
+""" % ROOT
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120).stdout.split("\n")
+    assert out[0] == "refused True"
+    there, path = out[1].split()
+    assert there == "True" and not __import__("os").path.exists(path)  # gone with its process
