@@ -115,10 +115,11 @@ def _newton_step(events: DataFrame, state: DataFrame, group: str, tol: float) ->
 
 
 def cox_fit(et: DataFrame, group: str, time: str = "time", max_iter: int = 30,
-            tol: float = 1e-9, method="auto") -> DataFrame:
+            tol: float = 1e-6, method="auto") -> DataFrame:
     """Per group: coef, model and robust standard errors, hazard ratio and 95% limits, converged, iterations.
 
     ``et`` is read several times: pass a written table. ``method`` is a running-sum plan.
+    Newton's error is about the square of its last step, so ``tol`` on the step is enough.
     """
     counts = materialize(et.groupBy(group).agg(F.sum(F.col("m0") + F.col("m1")).alias("n"),
                                                F.sum(F.col("d0") + F.col("d1")).alias("n_events")))
