@@ -37,6 +37,12 @@ def window_counts(events: DataFrame, ts: str, key: str, value: str, size: str,
             .agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total_value")))
 
 
+def lossless_delay(events: DataFrame, ts: str) -> str:
+    """The least whole-second delay with which no row of this finite table is ever late, in whatever order it is read."""
+    span = events.agg((F.max(ts) - F.min(ts)).alias("span")).first()["span"]
+    return f"{int(span.total_seconds()) + 1 if span is not None else 0} seconds"
+
+
 def run_available_now(spark: SparkSession, source_glob: str, schema: StructType, ts: str, key: str,
                       value: str, out: str, checkpoint: str, size: str = "1 hour", delay: str = "2 hours",
                       files_per_trigger: int = 1) -> str:
@@ -46,7 +52,9 @@ def run_available_now(spark: SparkSession, source_glob: str, schema: StructType,
     stopped. Update mode: a batch writes the windows it changed, whole, to a
     folder of its own number, so a repeated batch replaces what it wrote
     before, and the watermark drops the state of windows that can no longer
-    change. :func:`read_windows` gives the current table.
+    change. Rows of a later file that lie more than ``delay`` before the latest
+    time seen may be left out: for a finite table read whole, give
+    :func:`lossless_delay`. :func:`read_windows` gives the current table.
     """
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
               .parquet(source_glob))
