@@ -3,10 +3,10 @@
 Every line of every whole text is compared with short licence templates, a
 licence file (``LICENSE``, ``LICENCE``, ``COPYING``, any ending) also as a
 whole. Terms are lower-cased words of letters and digits. Document frequencies
-are counted over all files for the templates' vocabulary; any other term has
-the idf of a term no file holds, so a line of other words is far from every
-template. Only terms shared with a template add to a product, so lines without
-any are not looked at again.
+are counted over all files for all words: the most common ones go to the tasks,
+the others are joined by word to the lines that could be a file's best. Only
+terms shared with a template add to a product, so lines without any are not
+looked at again.
 
 A file's own licence is the template with the best cosine of at least
 ``THRESHOLD`` (ties: the name that sorts first). A file without one inherits from the nearest
@@ -22,6 +22,7 @@ gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,8 @@ TEMPLATES = {
     "proprietary": "All rights reserved.",
 }
 THRESHOLD = 0.7
+COMMON = 100_000  # words whose document frequencies the tasks hold; those of rarer words come by a join
+OPEN = "array<struct<rank int, dot double, total double, words array<struct<word binary, tf int>>>>"
 LICENCE_FILE = r"(?i)(^|/)(licen[sc]e|copying)(\.[^/]*)?$"
 
 
@@ -59,90 +62,174 @@ class Templates:
         self.counts = np.zeros((len(self.names), len(distinct)))
         np.add.at(self.counts, (words.text_of_word(), codes), 1)
 
-    def weigh(self, frequency: dict[str, int], n_files: int) -> None:
-        df = np.array([frequency.get(t.decode(), 0) for t in self.terms], dtype=np.float64)
-        self.idf = np.log((1 + n_files) / (1 + df)) + 1
-        self.other = float(np.log(1 + n_files) + 1)
-        own = self.counts * self.idf
+    def weigh(self, frequency: dict[bytes, int], n_files: int, rest: tuple[int, int] = (0, 0)) -> None:
+        """``rest``: least and most files that hold a word which ``frequency`` does not name."""
+        def idf(df):
+            return np.log((1 + n_files) / (1 + np.asarray(df, dtype=np.float64))) + 1
+
+        self.words = dict(zip(frequency, idf(list(frequency.values())).tolist()))
+        self.most, self.least = float(idf(rest[0])), float(idf(rest[1]))
+        own = self.counts * idf([frequency.get(t, 0) for t in self.terms])
         self.unit = own / np.maximum(np.sqrt((own ** 2).sum(axis=1)), 1e-300)[:, None]
 
-    def cosines(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(index, cosines to every template) of the texts that share a term with one."""
+    def compare(self, texts: pa.Array) -> Spans:
+        """The texts that share a term with a template, each with its best template."""
         words = W.split_words(texts, W.NOT_ALNUM, lower=True)
         codes, distinct = words.distinct()
         n = len(distinct)
         known = np.fromiter((self.terms.get(w, -1) for w in distinct), np.int64, n)
+        idf = np.fromiter((self.words.get(w, np.nan) for w in distinct), np.float64, n)
+        if self.least == self.most:
+            idf[np.isnan(idf)] = self.most
         text = words.text_of_word()
         some = np.unique(text[known[codes] >= 0]) if n else np.empty(0, np.int64)
-        if not len(some):
-            return some, np.empty((0, len(self.names)))
         place = np.full(len(words.bounds), -1, np.int64)
         place[some] = np.arange(len(some))
         keep = place[text] >= 0
-        key, tf = np.unique(place[text[keep]] * n + codes[keep], return_counts=True)
-        row, term = key // n, known[key % n]
-        weight = tf * np.where(term >= 0, self.idf[term], self.other)
-        norm = np.sqrt(np.bincount(row, weights=weight ** 2, minlength=len(some)))
-        shared = term >= 0
-        dot = np.zeros((len(some), len(self.names)))
-        np.add.at(dot, row[shared], weight[shared][:, None] * self.unit[:, term[shared]].T)
-        return some, dot / norm[:, None]
-
-
-def vocabulary_frequency(files: DataFrame, templates: Templates) -> tuple[dict[str, int], int]:
-    """Document frequency of each template term over all files, and the number of files."""
+        key, tf = np.unique(place[text[keep]] * max(n, 1) + codes[keep], return_counts=True)
+        row, code = key // max(n, 1), key % max(n, 1)
+        weight = tf * idf[code]
+        open_ = np.isnan(weight)
+        at = np.flatnonzero(known[code] >= 0)
+        best, dot = np.zeros(len(some), np.int64), np.zeros(len(some))
+        for i, unit in enumerate(self.unit):
+            product = np.bincount(row[at], weights=weight[at] * unit[known[code[at]]], minlength=len(some))
+            best[product > dot] = i
+            np.maximum(dot, product, out=dot)
+        total = np.bincount(row, weights=np.where(open_, 0, weight) ** 2, minlength=len(some))
+        rest = np.bincount(row[open_], weights=tf[open_].astype(np.float64) ** 2, minlength=len(some))
+        return Spans(some, best, dot, total, rest, row[open_], tf[open_], [distinct[c] for c in code[open_]])
+
+
+class Spans(NamedTuple):
+    """Compared texts: place, best template, product with it, norm without open words, squares of the open words' counts.
+
+    Open words are those of unknown document frequency: (span, count, word).
+    """
+
+    at: np.ndarray
+    template: np.ndarray
+    dot: np.ndarray
+    total: np.ndarray
+    rest: np.ndarray
+    open_span: np.ndarray
+    open_tf: np.ndarray
+    open_word: list[bytes]
+
+
+def word_frequency(files: DataFrame) -> DataFrame:
+    """(word, n): in how many files each word stands; the empty word has the number of files."""
     bounded_batches(files.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, rows = np.zeros(len(templates.terms), np.int64), 0
         for batch in batches:
             for part in W.text_slices(batch):
                 words = W.split_words(part.column("text"), W.NOT_ALNUM, lower=True)
                 codes, distinct = words.distinct()
-                known = np.fromiter((templates.terms.get(w, -1) for w in distinct), np.int64, len(distinct))[codes]
-                at = np.flatnonzero(known >= 0)
-                pairs = np.unique(words.text_of_word()[at] * len(total) + known[at])
-                total += np.bincount(pairs % len(total), minlength=len(total))
-                rows += part.num_rows
-        yield pa.RecordBatch.from_arrays([pa.array([t.decode() for t in templates.terms] + [""]),
-                                          pa.array([*total.tolist(), rows])], names=["term", "n"])
-
-    counts = (files.select(F.col("text").cast("string").alias("text")).mapInArrow(work, "term string, n long")
-              .groupBy("term").agg(F.sum("n").alias("n")).collect())  # as many rows as template terms
-    found = {r["term"]: int(r["n"]) for r in counts}
-    return found, found.pop("", 0)
-
-
-def own_licenses(files: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """``files`` (doc_id, path, text) as (doc_id, path, is_licence_file, own_license, score)."""
+                size = max(len(distinct), 1)
+                pairs = np.unique(words.text_of_word() * size + codes)
+                n = np.bincount(pairs % size, minlength=len(distinct))[:len(distinct)]
+                yield pa.RecordBatch.from_arrays([pa.array([*distinct, b""], pa.binary()),
+                                                  pa.array([*n.tolist(), part.num_rows], pa.int64())], names=["word", "n"])
+
+    return materialize(files.select(F.col("text").cast("string").alias("text")).mapInArrow(work, "word binary, n long")
+                       .groupBy("word").agg(F.sum("n").alias("n")))
+
+
+def own_licenses(files: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD,
+                 all_words: bool = False, common: int = COMMON) -> DataFrame:
+    """``files`` (doc_id, path, text) as (doc_id, path, is_licence_file, own_license, score).
+
+    ``all_words``: every word has its own document frequency; otherwise only
+    the templates' words have, any other that of a word no file holds.
+    """
     model = Templates(templates or TEMPLATES)
-    model.weigh(*vocabulary_frequency(files, model))
-    names = pa.array(model.names)
+    frequency = word_frequency(files)
+    is_term = F.col("word").isin([bytearray(t) for t in [*model.terms, b""]])
+    named = {bytes(r["word"]): int(r["n"]) for r in frequency.where(is_term).collect()}  # as many as template terms
+    n_files, rest = named.pop(b"", 0), (0, 0)
+    if all_words:
+        top = frequency.where(F.col("word") != F.lit(b"")).orderBy(F.desc("n"), "word").limit(common + 1).collect()
+        if len(top) > common:
+            rest = (1, int(top.pop()["n"]))
+        named |= {bytes(r["word"]): int(r["n"]) for r in top}
+    model.weigh(named, n_files, rest)
+    is_file = F.coalesce(F.col("path").rlike(LICENCE_FILE), F.lit(False))
+    rows = (files.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                         F.col("path").cast("string").alias("path"), is_file.alias("is_licence_file"),
+                         F.col("text").cast("string").alias("text")))
+    scored = rows.mapInArrow(_scorer(model), f"row long, doc_id long, path string, is_licence_file boolean, "
+                             f"best struct<score double, rank int>, open {OPEN}")
+    if model.least != model.most:
+        scored = materialize(scored)
+        idf = F.log((1 + F.lit(n_files)) / (1 + F.col("n"))) + 1
+        spans = (scored.select("row", F.posexplode("open").alias("span", "o")).select("row", "span", "o.*")
+                 .select("row", "span", "rank", "dot", "total", F.explode("words").alias("w"))
+                 .select("row", "span", "rank", "dot", "total", "w.tf", "w.word").join(frequency, "word")
+                 .groupBy("row", "span", "rank", "dot", "total").agg(F.sum((F.col("tf") * idf) ** 2).alias("more")))
+        settled = (spans.select(F.col("row"), F.struct((F.col("dot") / F.sqrt(F.col("total") + F.col("more"))).alias("score"),
+                                                       "rank").alias("late"))
+                   .groupBy("row").agg(F.max("late").alias("late")))
+        scored = scored.join(settled, "row", "left").withColumn("best", F.greatest("best", "late"))
+    name = F.element_at(F.array(*[F.lit(n) for n in model.names]), 1 - F.col("best.rank"))
+    return scored.select("doc_id", "path", "is_licence_file",
+                         F.when(F.col("best.score") >= threshold, name).alias("own_license"),
+                         F.col("best.score").alias("score"))
+
 
+def _scorer(model: Templates):
+    """The best cosine that is known of each file, and the spans with open words that could be better.
+
+    A span's cosine lies between those with every open word as frequent and as
+    rare as such words can be. Spans whose upper bound is below another's lower
+    bound are done with; the others' open words are looked up by a join.
+    ``rank`` is minus the template's number, so the greatest (score, rank) has the name that sorts first.
+    """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.text_slices(batch):
                 texts = pc.fill_null(part.column("text").cast(pa.large_string()), "")
                 lines = pc.split_pattern(texts, "\n")
-                owner = pc.list_parent_indices(lines).to_numpy()
-                best = np.zeros((part.num_rows, len(names)))
-                at, cosine = model.cosines(lines.flatten())
-                np.maximum.at(best, owner[at], cosine)
+                found = [(pc.list_parent_indices(lines).to_numpy(), model.compare(lines.flatten()))]
                 whole = np.flatnonzero(part.column("is_licence_file").to_numpy(zero_copy_only=False))
                 if len(whole):
-                    at, cosine = model.cosines(texts.take(pa.array(whole)))
-                    np.maximum.at(best, whole[at], cosine)
-                top = best.argmax(axis=1)
-                score = best[np.arange(part.num_rows), top]
-                own = pc.if_else(pa.array(score >= threshold), names.take(pa.array(top)), pa.scalar(None, pa.string()))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("path"),
-                                                  part.column("is_licence_file"), own, pa.array(score)],
-                                                 names=["doc_id", "path", "is_licence_file", "own_license", "score"])
+                    found.append((whole, model.compare(texts.take(pa.array(whole)))))
+                owner = np.concatenate([of[s.at] for of, s in found])
+                template, dot, total, rest = (np.concatenate([s[i] for _, s in found]) for i in range(1, 5))
+                low, high = (dot / np.sqrt(total + rest * w ** 2) for w in (model.most, model.least))
+                least = np.zeros(part.num_rows)
+                np.maximum.at(least, owner, low)
+                score, rank = np.zeros(part.num_rows), np.zeros(part.num_rows, np.int32)
+                done = np.flatnonzero(rest == 0)
+                by = done[np.lexsort((-template[done], low[done], owner[done]))]
+                score[owner[by]], rank[owner[by]] = low[by], -template[by]  # the last of an owner is its best
+                wait = np.flatnonzero((rest > 0) & (high >= least[owner] * (1 - 1e-9)))
+                span = np.concatenate([s.open_span + k for (_, s), k in zip(found, [0, len(found[0][1].at)])])
+                words = [w for _, s in found for w in s.open_word]
+                tf = np.concatenate([s.open_tf for _, s in found])
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c) for c in ("row", "doc_id", "path", "is_licence_file")),
+                     pa.StructArray.from_arrays([pa.array(score), pa.array(rank)], ["score", "rank"]),
+                     _open_spans(part.num_rows, owner, wait, template, dot, total, span, tf, words)],
+                    names=["row", "doc_id", "path", "is_licence_file", "best", "open"])
 
-    is_file = F.coalesce(F.col("path").rlike(LICENCE_FILE), F.lit(False))
-    return (files.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("path").cast("string").alias("path"),
-                         is_file.alias("is_licence_file"), F.col("text").cast("string").alias("text"))
-            .mapInArrow(work, "doc_id long, path string, is_licence_file boolean, own_license string, score double"))
+    return work
+
+
+def _open_spans(n, owner, wait, template, dot, total, span, tf, words) -> pa.Array:
+    """Per file the spans ``wait`` as Arrow lists (type ``OPEN``)."""
+    wait = wait[np.argsort(owner[wait], kind="stable")]
+    place = np.full(len(owner), -1, np.int64)
+    place[wait] = np.arange(len(wait))
+    mine = np.flatnonzero(place[span] >= 0)
+    mine = mine[np.argsort(place[span[mine]], kind="stable")]
+    entries = pa.StructArray.from_arrays([pa.array([words[i] for i in mine], pa.binary()),
+                                          pa.array(tf[mine].astype(np.int32))], ["word", "tf"])
+    inner = np.searchsorted(place[span[mine]], np.arange(len(wait) + 1)).astype(np.int32)
+    spans = pa.StructArray.from_arrays(
+        [pa.array(-template[wait].astype(np.int32)), pa.array(dot[wait]), pa.array(total[wait]),
+         pa.ListArray.from_arrays(pa.array(inner), entries)], ["rank", "dot", "total", "words"])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner[wait], np.arange(n + 1)).astype(np.int32)), spans)
 
 
 def _directory(path: Column) -> Column:
@@ -159,7 +246,7 @@ def _ancestors(directory: Column) -> Column:
 def scan_licenses(files: DataFrame, templates: dict[str, str] | None = None,
                   threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, path, own_license, score, license, licensed_by): licensed_by is the directory inherited from."""
-    own = materialize(own_licenses(files, templates, threshold))
+    own = materialize(own_licenses(files, templates, threshold, all_words=True))
     held = (own.where("is_licence_file and own_license is not null")
             .groupBy(_directory(F.col("path")).alias("dir"))
             .agg(F.min(F.struct((-F.col("score")).alias("s"), "own_license")).alias("b"))

@@ -154,3 +154,41 @@ def test_license_score_is_the_cosine(spark):
     expected = norm / math.sqrt(norm ** 2 + 2 * other ** 2)
     assert own[0] == pytest.approx(expected)
     assert own[1] == pytest.approx(idf["the"] ** 2 / norm / math.sqrt(idf["the"] ** 2 + other ** 2))
+
+
+def _license_frame(spark, texts):
+    return spark.createDataFrame([(i, f"f{i}", t) for i, t in enumerate(texts)], "doc_id long, path string, text string")
+
+
+def test_license_words_have_their_own_frequency(spark):
+    """A notice inside a sentence is found, and as well when the corpus grows at equal shares."""
+    texts = ["This is released under the MIT License."] + [f"this is the text number {i} by us" for i in range(9)]
+    scores = []
+    for times in (1, 40):
+        rows = {r["text"]: r for r in C.scan_licenses(_license_frame(spark, texts * times)).join(
+            _license_frame(spark, texts * times), ["doc_id", "path"]).collect()}
+        assert {t: rows[t]["license"] for t in texts} == {t: "MIT" if t == texts[0] else None for t in texts}
+        scores.append(rows[texts[0]]["score"])
+    assert scores[0] > 0.9 and scores[1] == pytest.approx(scores[0], abs=0.05)
+
+
+def test_license_scores_equal_brute_force(spark):
+    import math
+
+    texts = [t for _, t in odd_rows()] + ["released under the MIT license by us\nnot under that", "the MIT " + prose(7, 9)]
+    terms = {n: brute.ALNUM.findall(t.lower()) for n, t in C.TEMPLATES.items()}
+    words = [brute.ALNUM.findall((t or "").lower()) for t in texts]
+
+    def vector(ws):
+        return {w: ws.count(w) * (math.log((1 + len(texts)) / (1 + sum(w in set(x) for x in words))) + 1) for w in set(ws)}
+
+    def cosine(a, b):
+        norm = math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+        return sum(x * b.get(w, 0) for w, x in a.items()) / norm if norm else 0.0
+
+    units = [vector(t) for t in terms.values()]
+    lines = [[vector(brute.ALNUM.findall(li.lower())) for li in (t or "").split("\n")] for t in texts]
+    expected = [max(cosine(v, u) for v in ls for u in units) for ls in lines]
+    for common in (3, C.COMMON):  # rare words by the join, and all words in the tasks
+        got = C.own_licenses(_license_frame(spark, texts), all_words=True, common=common).collect()
+        assert {r["doc_id"]: r["score"] for r in got} == pytest.approx(dict(enumerate(expected)))
