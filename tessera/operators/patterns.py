@@ -6,6 +6,8 @@ per (sequence, item) first and last positions. Those are algebraic
 aggregates, so a sequence holding a third of all events never lands in one
 task; the pair step joins only frequent items (Apriori pruning), at most
 |frequent items|^2 rows per sequence.
+
+``sequential_patterns`` finds those of every length, level by level.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import materialize
+
 
 def sequential_pairs(df: DataFrame, seq: str, order: Sequence[str], item: str, min_support: float) -> DataFrame:
     """Patterns <a> and <a, b> (a before b, a == b allowed) with support >= min_support.
@@ -40,3 +44,32 @@ def sequential_pairs(df: DataFrame, seq: str, order: Sequence[str], item: str, m
              .agg(F.count(F.lit(1)).alias("freq")))
     out = singles.select("item_1", "item_2", "freq").unionByName(pairs.select("item_1", "item_2", "freq"))
     return out.filter(F.col("freq") >= F.lit(min_count))
+
+
+def sequential_patterns(df: DataFrame, seq: str, order: Sequence[str], item: str, min_support: float) -> DataFrame:
+    """Patterns of any length as (pattern, freq), support as in :func:`sequential_pairs`.
+
+    A level holds, per sequence and pattern, the earliest position at which the
+    pattern ends. The next level joins it with the sequence's later events of
+    frequent items and keeps each longer pattern's earliest end; it goes on until no
+    pattern is frequent. Every level is a written table of its own.
+    """
+    pos = F.struct(*[F.col(c) for c in order])
+    events = materialize(df.select(F.col(seq).alias("s"), pos.alias("pos"), F.col(item).alias("item")))
+    min_count = math.ceil(min_support * events.select("s").distinct().count())
+
+    def frequent(level: DataFrame) -> DataFrame:
+        return materialize(level.groupBy("pattern").agg(F.count(F.lit(1)).alias("freq"))
+                           .where(F.col("freq") >= min_count))
+
+    level = materialize(events.groupBy("s", F.array("item").alias("pattern")).agg(F.min("pos").alias("end")))
+    found = out = frequent(level)
+    events = events.join(found.select(F.col("pattern")[0].alias("item")), "item", "left_semi")
+    while not found.isEmpty():
+        ends = level.join(found.select("pattern"), "pattern", "left_semi")
+        level = materialize(ends.join(events, "s").where(F.col("pos") > F.col("end"))
+                            .groupBy("s", F.concat("pattern", F.array("item")).alias("pattern"))
+                            .agg(F.min("pos").alias("end")))
+        found = frequent(level)
+        out = out.unionByName(found)
+    return out

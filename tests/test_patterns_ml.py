@@ -1,13 +1,14 @@
 """Pattern mining against MLlib/brute force, and invariants of model queries."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from tessera.operators.patterns import sequential_pairs
+from tessera.operators.patterns import sequential_pairs, sequential_patterns
 from tessera.plans.catalog import QUERIES
 from tessera.sources.tables import table
 
@@ -35,6 +36,21 @@ def test_sequential_pairs_equal_prefixspan(spark):
     assert ours == ref
 
 
+def test_sequential_patterns_of_every_length_equal_prefixspan(spark):
+    r = random.Random(4)
+    rows = []
+    for user in range(30):
+        rows += [(user, t // 2, 1000 * user + t, r.choice("abcdefgh")) for t in range(r.randint(1, 9))]
+        if user % 3:
+            rows += [(user, 50 + t, 1000 * user + 50 + t, x) for t, x in enumerate("pqpqr")]
+    ev = spark.createDataFrame(rows, "user long, ts long, id long, kind string")
+    args = (ev, "user", ["ts", "id"], "kind", 0.2)
+    ours = {tuple(x["pattern"]): x["freq"] for x in sequential_patterns(*args).collect()}
+    ref = {tuple(s[0] for s in x["sequence"]): x["freq"] for x in prefix_span_mllib(*args, max_len=30).collect()}
+    assert ours == ref and ours[tuple("pqpqr")] == 20 and max(map(len, ours)) >= 5
+    assert sequential_patterns(ev.limit(0), *args[1:]).count() == 0
+
+
 def test_kmeans_sizes_sum(spark):
     rows = QUERIES["kmeans_centers"](spark, SF_SMALL).collect()
     sizes = {r["cluster"]: r["size"] for r in rows}
