@@ -18,7 +18,7 @@ from pyspark.ml.regression import (AFTSurvivalRegression, DecisionTreeRegressor,
                                    GeneralizedLinearRegression, IsotonicRegression, LinearRegression,
                                    RandomForestRegressor)
 from pyspark.ml.stat import KolmogorovSmirnovTest
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
@@ -195,7 +195,7 @@ def ml_gmm(spark, sf):
 
 # fixed values: language codes and the stop-word lists' names
 STOP_WORDS = {"en": "english", "de": "german", "es": "spanish", "fr": "french"}
-LDA_FEATURES = 1 << 14
+VOCABULARY_PART = 50_000  # words numbered by one window
 
 
 def lda_words(docs: DataFrame) -> DataFrame:
@@ -210,31 +210,46 @@ def lda_words(docs: DataFrame) -> DataFrame:
     return out.withColumn("words", kept)
 
 
+def lda_vocabulary(counts: DataFrame, part_words: int = VOCABULARY_PART) -> tuple[DataFrame, int]:
+    """(word, index) numbering every word of ``counts`` from 0 without a gap, and the number of words.
+
+    Words are ranked within parts by hash; only the parts' sizes reach the driver.
+    """
+    words = materialize(counts.select("word").distinct())
+    n = words.count()
+    part = F.pmod(F.xxhash64("word"), F.lit(max(1, -(-n // part_words)))).cast("int")
+    words = words.withColumn("part", part)
+    offsets, at = [], 0
+    for r in words.groupBy("part").count().orderBy("part").collect():
+        offsets.append((r["part"], at))
+        at += r["count"]
+    place = F.row_number().over(Window.partitionBy("part").orderBy("word")) - 1
+    numbered = words.withColumn("place", place).join(words.sparkSession.createDataFrame(offsets, "part int, offset int"), "part")
+    return materialize(numbered.select("word", (F.col("place") + F.col("offset")).alias("index"))), n
+
+
 @query("ml_lda")
 def ml_lda(spark, sf):
     """Topics of the whole document texts: top 8 terms per topic (a top-k report).
 
-    Terms are hashed, so no word is left out and no vocabulary is held by the
-    driver; a term is named by the most frequent word of its bucket. Every
-    pass sees every document.
+    Every word is a feature of its own, numbered by a distributed job, so the
+    vocabulary is not held by the driver (the model of k weights a word is).
+    Every pass sees every document.
     """
     docs = lda_words(table(spark, sf, "documents").select("doc_id", "text", "lang"))
-    bucket = F.pmod(F.xxhash64("word"), F.lit(LDA_FEATURES)).cast("int")
-    counts = (docs.select("doc_id", F.explode("words").alias("word")).groupBy("doc_id", "word")
-              .agg(F.count(F.lit(1)).alias("n")).withColumn("bucket", bucket))
-    counts = materialize(counts)
-    per_doc = (counts.groupBy("doc_id", "bucket").agg(F.sum("n").cast("double").alias("n"))
-               .groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("t")))
-    parsed = per_doc.select("doc_id", F.struct(F.lit(0).cast("byte").alias("type"), F.lit(LDA_FEATURES).alias("size"),
-                                               F.col("t.bucket").alias("indices"), F.col("t.n").alias("values")).alias("v"))
+    counts = materialize(docs.select("doc_id", F.explode("words").alias("word")).groupBy("doc_id", "word")
+                         .agg(F.count(F.lit(1)).cast("double").alias("n")))
+    vocabulary, n_words = lda_vocabulary(counts)
+    per_doc = (counts.join(vocabulary, "word").groupBy("doc_id")
+               .agg(F.array_sort(F.collect_list(F.struct("index", "n"))).alias("t")))
+    parsed = per_doc.select("doc_id", F.struct(F.lit(0).cast("byte").alias("type"), F.lit(n_words).alias("size"),
+                                               F.col("t.index").alias("indices"), F.col("t.n").alias("values")).alias("v"))
     features = parsed.select("doc_id", ml.as_vector("v").alias("features"))
     model = LDA(k=5, maxIter=10, seed=7, optimizer="online", subsamplingRate=1.0).fit(materialize(features))
-    names = (counts.groupBy("bucket", "word").agg(F.sum("n").alias("n"))
-             .groupBy("bucket").agg(F.max_by("word", F.struct("n", "word")).alias("term")))
     topics = model.describeTopics(8)
     return (topics.select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "tw"))
-            .select("topic", "rank", F.col("tw.termIndices").alias("bucket"), F.col("tw.termWeights").alias("weight"))
-            .join(names, "bucket", "left").drop("bucket"))
+            .select("topic", "rank", F.col("tw.termIndices").alias("index"), F.col("tw.termWeights").alias("weight"))
+            .join(vocabulary.withColumnRenamed("word", "term"), "index", "left").drop("index"))
 
 
 @query("ml_pic")

@@ -119,6 +119,18 @@ def test_lda_names_every_topic(spark):
     assert len(rows) == 5 * 8 and all(r["term"] for r in rows)
 
 
+def test_lda_every_word_is_a_feature_of_its_own(spark):
+    from tessera.plans.ml_q import lda_vocabulary
+
+    words = [f"word{i}" for i in range(20_000)]  # more than the 16,384 buckets of old
+    counts = spark.createDataFrame([(i % 7, w) for i, w in enumerate(words)] + [(8, "word1")], "doc_id int, word string")
+    for part_words in (50_000, 900):
+        vocabulary, n = lda_vocabulary(counts, part_words)
+        rows = vocabulary.collect()
+        assert n == len(words) and sorted(r["index"] for r in rows) == list(range(n))
+        assert {r["word"] for r in rows} == set(words)
+
+
 def test_predictions_cover_every_row(spark):
     n = table(spark, SF_SMALL, "embeddings").count()
     for name in ("kmeans_assignments", "ml_logit_predict", "ml_svm_predict", "ml_tree_predict"):
