@@ -8,6 +8,7 @@ from tessera.llm.decontam import op7_wu_manber_decontamination
 from tessera.llm.licenses import op4_license_scan
 from tessera.llm.lines import OP9_SQL, op9_log_template_lines
 from tessera.llm.packing import op3_best_fit_packing
+from tessera.llm.runs import op11_periodic_runs
 from tessera.llm.simhash import op2_simhash_near_dedup
 from tessera.llm.substring import op5_substring_dedup
 from tessera.llm.tokenfile import op8_token_file
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_token_file": op8_token_file,
     "op9_log_template_lines": op9_log_template_lines,
     "op10_chat_round_trip": op10_chat_round_trip,
+    "op11_periodic_runs": op11_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
 
