@@ -8,12 +8,14 @@ from tessera.llm.decontam import op7_wu_manber_decontamination
 from tessera.llm.licenses import op4_license_scan
 from tessera.llm.lines import OP9_SQL, op9_log_template_lines
 from tessera.llm.packing import op3_best_fit_packing
+from tessera.llm.quality import op13_quality_random_indexing
 from tessera.llm.runs import op11_periodic_runs
 from tessera.llm.simhash import op2_simhash_near_dedup
 from tessera.llm.substring import op5_substring_dedup
 from tessera.llm.tokenfile import op8_token_file
 from tessera.llm.topk import OP1_SQL, op1_ball_tree_top_k
 from tessera.llm.toxicity import op6_toxicity_fm
+from tessera.llm.trie import OP12_SQL, op12_conversation_prefix_trie
 
 QUERIES = {
     "op1_ball_tree_top_k": op1_ball_tree_top_k,
@@ -27,6 +29,8 @@ QUERIES = {
     "op9_log_template_lines": op9_log_template_lines,
     "op10_chat_round_trip": op10_chat_round_trip,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_conversation_prefix_trie": op12_conversation_prefix_trie,
+    "op13_quality_random_indexing": op13_quality_random_indexing,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -34,4 +38,5 @@ ORACLE: dict[str, str] = {
     "op1_ball_tree_top_k": OP1_SQL,
     "op9_log_template_lines": OP9_SQL,
     "op10_chat_round_trip": OP10_SQL,
+    "op12_conversation_prefix_trie": OP12_SQL,
 }

@@ -214,6 +214,6 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
     return (found.withColumn("best", strongest(F.col("runs")))
             .select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
-                    F.floor(F.col("best.length") * 1000 / F.col("best.period")).cast("long").alias("exponent_milli"),
+                    F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
                     F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
                     F.sha2("collapsed", 256).alias("collapsed_sha256")))
