@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from tessera.llm.shared import batch_rows, materialize, table
 
 HEADS = 5000
-PIECE = 1000
+PIECE = 32
 QUEUE = 200_000  # messages kept in memory by one task
 ID_RANGE = 10_000
 GROUP, FIRST = 5, 9  # of the rebuilding rule: ids a group spans, and the modulus of the shared turns
