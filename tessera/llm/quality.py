@@ -47,7 +47,8 @@ DIMS = 64
 ONES = 4
 REACH = 2
 BLOCK = 256  # units summed as one row
-CHUNK = 1 << 16  # words handled by one array operation
+CHUNK = 1 << 14  # words handled by one array operation
+SCALE = 8192  # of the word vectors' fixed-point numbers
 MAX_TRAIN = 20_000
 HIDDEN = 32
 EPOCHS = 30
@@ -66,7 +67,7 @@ CLASSES[0x30:0x3A] = ord("0")
 
 def index_vectors() -> np.ndarray:
     """The fixed sparse vector of every unit."""
-    out = np.zeros((UNITS, DIMS), np.int32)
+    out = np.zeros((UNITS, DIMS), np.int8)
     unit = np.arange(UNITS, dtype=np.uint64)
     for j in range(ONES):
         h = W.mix64(unit * np.uint64(ONES) + np.uint64(j + 1))
@@ -114,17 +115,20 @@ def add_contexts(units: Units, index: np.ndarray, sums: np.ndarray) -> None:
         a, b = max(lo - REACH, 0), min(hi + REACH, n)
         own = index[units.pair[a:b, 0]] + index[units.pair[a:b, 1]]
         text = units.text[a:b]
-        around = np.zeros_like(own)
+        around = np.zeros_like(own)  # at most 2 REACH neighbours of two units with ONES entries each: fits a byte
         for k in range(1, REACH + 1):
-            same = (text[k:] == text[:-k])[:, None]
-            around[k:] += own[:-k] * same
-            around[:-k] += own[k:] * same
+            other = np.flatnonzero(text[k:] != text[:-k])
+            for to, source in ((around[k:], own[:-k]), (around[:-k], own[k:])):
+                if len(other):
+                    source = source.copy()
+                    source[other] = 0
+                to += source
         around = around[lo - a:hi - a]
         for side in range(2):
             unit = units.pair[lo:hi, side]
             order = np.argsort(unit, kind="stable")
             first = np.flatnonzero(np.diff(unit[order], prepend=-1))
-            sums[unit[order][first], :DIMS] += np.add.reduceat(around[order], first, axis=0)
+            sums[unit[order][first], :DIMS] += np.add.reduceat(around[order], first, axis=0, dtype=np.int32)
             sums[:, DIMS] += np.bincount(unit, minlength=UNITS)
 
 
@@ -162,24 +166,24 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
 
 
 def directions(sums: np.ndarray) -> np.ndarray:
-    """Word vectors around the corpus mean, of length 1."""
+    """Word vectors around the corpus mean, of length 1, as fixed-point numbers whose sums are exact."""
     counts = np.maximum(sums[:, DIMS:], 1)
     mean = sums[:, :DIMS].sum(axis=0) / max(1, int(sums[:, DIMS].sum()))
     v = np.where(sums[:, DIMS:] > 0, sums[:, :DIMS] / counts - mean, 0)
-    return (v / np.maximum(np.sqrt((v ** 2).sum(axis=1, keepdims=True)), 1e-9)).astype(np.float32)
+    return np.rint(SCALE * v / np.maximum(np.sqrt((v ** 2).sum(axis=1, keepdims=True)), 1e-9)).astype(np.int16)
 
 
 def pool(units: Units, vectors: np.ndarray) -> np.ndarray:
     """(texts x 2 DIMS): mean vectors of the word units and of the surface units of each text."""
-    out = np.zeros((units.n_texts, 2 * DIMS))
+    out = np.zeros((units.n_texts, 2 * DIMS), np.int64)
     n = len(units.text)
     for lo in range(0, n, CHUNK):
         text = units.text[lo:lo + CHUNK]
         first = np.flatnonzero(np.diff(text, prepend=-1))
         for side in range(2):
-            sums = np.add.reduceat(vectors[units.pair[lo:lo + CHUNK, side]].astype(np.float64), first, axis=0)
+            sums = np.add.reduceat(vectors[units.pair[lo:lo + CHUNK, side]], first, axis=0, dtype=np.int32)
             out[text[first], side * DIMS:(side + 1) * DIMS] += sums
-    return out / np.maximum(np.bincount(units.text, minlength=units.n_texts), 1)[:, None]
+    return out / (SCALE * np.maximum(np.bincount(units.text, minlength=units.n_texts), 1.0))[:, None]
 
 
 class Network:
