@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.session import materialize
@@ -29,8 +29,8 @@ def sequential_pairs(df: DataFrame, seq: str, order: Sequence[str], item: str, m
     columns (e.g. an event id) so positions are a total order.
     """
     pos = F.struct(*[F.col(c) for c in order])
-    per = df.groupBy(seq, item).agg(F.min(pos).alias("first"), F.max(pos).alias("last"))
-    n_seq = df.select(seq).distinct().count()
+    per = materialize(df.groupBy(seq, item).agg(F.min(pos).alias("first"), F.max(pos).alias("last")))
+    n_seq = per.select(seq).distinct().count()
     min_count = math.ceil(min_support * n_seq)
     singles = (per.groupBy(F.col(item).alias("item_1")).agg(F.count(F.lit(1)).alias("freq"))
                .withColumn("item_2", F.lit(None).cast("string")))
@@ -46,30 +46,80 @@ def sequential_pairs(df: DataFrame, seq: str, order: Sequence[str], item: str, m
     return out.filter(F.col("freq") >= F.lit(min_count))
 
 
-def sequential_patterns(df: DataFrame, seq: str, order: Sequence[str], item: str, min_support: float) -> DataFrame:
+SPAN_BLOCKS = 64  # stretches of the order that a (sequence, item) pair's events are dealt into
+
+
+def _order_block(rows: DataFrame, column: str, blocks: int) -> Column:
+    """The stretch of the order in which ``column`` lies; the cuts are approximate quantiles of its values."""
+    shares = F.array(*[F.lit(i / blocks) for i in range(1, blocks)])
+    cuts = rows.agg(F.percentile_approx(column, shares)).first()[0] if blocks > 1 else None
+    if not cuts:
+        return F.lit(0)
+    cuts = F.array(*[F.lit(c) for c in sorted(set(cuts))])
+    # missing values come before all others, as in the order itself
+    return F.coalesce(F.size(F.filter(cuts, lambda c: c <= F.col(column))), F.lit(0))
+
+
+def _next_events(ends: DataFrame, events: DataFrame, heads: DataFrame) -> DataFrame:
+    """``ends`` (s, pattern, item, block, end) with ``next``, the first event of ``item`` after ``end``; rows without one go.
+
+    Within a block the event comes from one running minimum over (sequence, item,
+    block), events and ends sorted together; otherwise it is the first event of a later
+    block, read off the pair's list of at most one head a block.
+    """
+    marks = events.select("s", "item", "block", "pos", F.lit(1).alias("kind"), F.lit(None).cast("array<string>").alias("pattern"))
+    asked = ends.select("s", "item", "block", F.col("end").alias("pos"), F.lit(0).alias("kind"), "pattern")
+    # from the latest on; an event at the very end of a pattern is not after it
+    back = (Window.partitionBy("s", "item", "block").orderBy(F.desc("pos"), "kind")
+            .rowsBetween(Window.unboundedPreceding, -1))
+    near = (marks.unionByName(asked)
+            .withColumn("near", F.min(F.when(F.col("kind") == 1, F.col("pos"))).over(back)).where("kind = 0"))
+    later = F.get(F.filter("heads", lambda h: h["block"] > F.col("block")), 0)
+    here = F.when(F.col("near").isNotNull(), F.struct("block", F.col("near").alias("pos")))
+    return (near.join(heads, ["s", "item"])
+            .select("s", "pattern", "item", F.coalesce(here, later).alias("next")).where("next is not null"))
+
+
+def sequential_patterns(df: DataFrame, seq: str, order: Sequence[str], item: str, min_support: float,
+                        blocks: int = SPAN_BLOCKS) -> DataFrame:
     """Patterns of any length as (pattern, freq), support as in :func:`sequential_pairs`.
 
-    A level holds, per sequence and pattern, the earliest position at which the
-    pattern ends. The next level joins it with the sequence's later events of
-    frequent items and keeps each longer pattern's earliest end; it goes on until no
-    pattern is frequent. Every level is a written table of its own.
+    Projected-sequence growth: a level has one row per (pattern, sequence that holds
+    it) with the earliest position at which the pattern ends. The next level asks, for
+    every item that can make the pattern frequent (the longer pattern's own tail is
+    frequent already), for that item's first event after the end: one row per next
+    item, however many events follow. It goes on until no pattern is frequent; every
+    level is a written table of its own. A null item is no item. Positions must be a
+    total order within a sequence.
     """
     pos = F.struct(*[F.col(c) for c in order])
-    events = materialize(df.select(F.col(seq).alias("s"), pos.alias("pos"), F.col(item).alias("item")))
-    min_count = math.ceil(min_support * events.select("s").distinct().count())
+    rows = df.select(F.col(seq).alias("s"), pos.alias("pos"), F.col(item).cast("string").alias("item"),
+                     F.col(order[0]).alias("at"))
+    min_count = math.ceil(min_support * rows.select("s").distinct().count())
+    rows = rows.where("item is not null")
+    rows = materialize(rows.withColumn("block", _order_block(rows, "at", blocks)).drop("at"))
 
     def frequent(level: DataFrame) -> DataFrame:
         return materialize(level.groupBy("pattern").agg(F.count(F.lit(1)).alias("freq"))
-                           .where(F.col("freq") >= min_count))
+                           .where(F.col("freq") >= max(1, min_count)))
 
-    level = materialize(events.groupBy("s", F.array("item").alias("pattern")).agg(F.min("pos").alias("end")))
+    first = rows.groupBy("s", "item", "block").agg(F.min("pos").alias("pos"))
+    heads = materialize(first.groupBy("s", "item").agg(F.array_sort(F.collect_list(F.struct("block", "pos"))).alias("heads")))
+    level = heads.select("s", F.array("item").alias("pattern"), F.col("heads")[0]["block"].alias("block"),
+                         F.col("heads")[0]["pos"].alias("end"))
     found = out = frequent(level)
-    events = events.join(found.select(F.col("pattern")[0].alias("item")), "item", "left_semi")
+    items = found.select(F.col("pattern")[0].alias("item"))
+    events, heads = rows.join(items, "item", "left_semi"), heads.join(items, "item", "left_semi")
+    length = 1
     while not found.isEmpty():
-        ends = level.join(found.select("pattern"), "pattern", "left_semi")
-        level = materialize(ends.join(events, "s").where(F.col("pos") > F.col("end"))
-                            .groupBy("s", F.concat("pattern", F.array("item")).alias("pattern"))
-                            .agg(F.min("pos").alias("end")))
+        tail, begin = F.slice("pattern", 2, length - 1), F.slice("pattern", 1, length - 1)
+        steps = (found.select("pattern", tail.alias("overlap"))
+                 .join(found.select(begin.alias("overlap"), F.element_at("pattern", -1).alias("item")), "overlap"))
+        ends = level.join(steps.select("pattern", "item"), "pattern")
+        level = materialize(_next_events(ends, events, heads)
+                            .select("s", F.concat("pattern", F.array("item")).alias("pattern"), "next.block",
+                                    F.col("next.pos").alias("end")))
         found = frequent(level)
         out = out.unionByName(found)
+        length += 1
     return out

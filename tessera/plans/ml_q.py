@@ -24,7 +24,7 @@ from pyspark.sql.types import LongType
 
 from tessera.functions.scalar import no_negative_zero, threshold_class
 from tessera.operators import ml
-from tessera.operators.patterns import sequential_pairs
+from tessera.operators.patterns import sequential_pairs, sequential_patterns
 from tessera.operators.sampling import hash_split, train_test_by_class
 from tessera.plans.fixtures import lineitem_trial
 from tessera.plans.registry import query
@@ -38,6 +38,7 @@ GLM_CLASSES = {"AUTOMOBILE": 42, "BUILDING": 43}
 FP_MIN_SUPPORT = 0.01
 FP_MIN_CONFIDENCE = 0.5
 SEQ_MIN_SUPPORT = 0.1
+GROWN_MIN_SUPPORT = 0.06
 
 
 def _emb(spark, sf) -> DataFrame:
@@ -590,6 +591,31 @@ def prefix_span(spark, sf):
     return sequential_pairs(ev, "user_id", ["ts", "event_id"], "event_type", SEQ_MIN_SUPPORT)
 
 
+GROWN_SQL = f"""
+WITH RECURSIVE e AS (
+  SELECT o_custkey AS s, o_orderpriority AS item,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS pos FROM orders),
+n AS (SELECT ceil(CAST({GROWN_MIN_SUPPORT} AS DOUBLE) * count(DISTINCT o_custkey)) AS least FROM orders),
+g AS (
+  SELECT * FROM (SELECT [item] AS pattern, s, min(pos) AS stop FROM e GROUP BY item, s)
+  QUALIFY count(*) OVER (PARTITION BY pattern) >= (SELECT least FROM n)
+  UNION ALL
+  SELECT * FROM (SELECT list_append(g.pattern, e.item) AS pattern, g.s, min(e.pos) AS stop
+                 FROM g JOIN e ON e.s = g.s AND e.pos > g.stop GROUP BY 1, 2)
+  QUALIFY count(*) OVER (PARTITION BY pattern) >= (SELECT least FROM n))
+SELECT array_to_string(pattern, ' > ') AS pattern, CAST(len(pattern) AS INTEGER) AS length, count(*) AS freq
+FROM g GROUP BY ALL
+"""
+
+
+@query("sequence_patterns", GROWN_SQL)
+def sequence_patterns(spark, sf):
+    """Frequent sequences of order priorities, of every length, over each customer's orders by date."""
+    orders = table(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_orderpriority")
+    found = sequential_patterns(orders, "o_custkey", ["o_orderdate", "o_orderkey"], "o_orderpriority", GROWN_MIN_SUPPORT)
+    return found.select(F.array_join("pattern", " > ").alias("pattern"), F.size("pattern").alias("length"), "freq")
+
+
 @query("ks_test")
 def ks_test(spark, sf):
     """One-sample Kolmogorov-Smirnov test of events.value against a fitted normal."""

@@ -51,6 +51,33 @@ def test_sequential_patterns_of_every_length_equal_prefixspan(spark):
     assert sequential_patterns(ev.limit(0), *args[1:]).count() == 0
 
 
+@pytest.mark.parametrize("blocks", [1, 5, 64])
+def test_sequential_patterns_with_hot_sequence_ties_and_nulls(spark, blocks):
+    """One sequence holds most events, many at one time; null items are no events; order by two columns."""
+    r = random.Random(blocks)
+    rows = [(0, r.choice([None, 7, 7, r.randrange(40)]), i, r.choice("abc")) for i in range(3000)]
+    for user in range(1, 25):
+        rows += [(user, r.randrange(5), 10_000 * user + t, r.choice(["a", "b", "c", "d", None])) for t in range(r.randint(0, 8))]
+    ev = spark.createDataFrame(rows, "user long, ts long, id long, kind string")
+    by_user = {}
+    for user, ts, i, kind in rows:
+        by_user.setdefault(user, []).append((ts is not None, ts or 0, i, kind))
+    lists = [[x[3] for x in sorted(v, key=lambda x: x[:3]) if x[3]] for v in by_user.values()]
+    least = math.ceil(0.3 * len(lists))
+
+    def holds(w, p):
+        it = iter(w)
+        return all(x in it for x in p)
+
+    want, level = {}, [(x,) for x in "abcd"]
+    while level:
+        level = [p for p in level if sum(holds(w, p) for w in lists) >= least]
+        want |= {p: sum(holds(w, p) for w in lists) for p in level}
+        level = [p + (x,) for p in level for x in "abcd"]
+    got = sequential_patterns(ev, "user", ["ts", "id"], "kind", 0.3, blocks=blocks)
+    assert {tuple(x["pattern"]): x["freq"] for x in got.collect()} == want and max(map(len, want)) >= 2
+
+
 def test_kmeans_sizes_sum(spark):
     rows = QUERIES["kmeans_centers"](spark, SF_SMALL).collect()
     sizes = {r["cluster"]: r["size"] for r in rows}
