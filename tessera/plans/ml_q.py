@@ -10,7 +10,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, FMClassifier, GBTClassifier, LinearSVC,
                                        LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes,
                                        RandomForestClassifier)
-from pyspark.ml.clustering import LDA, BisectingKMeans, GaussianMixture, KMeans, PowerIterationClustering
+from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans, PowerIterationClustering
 from pyspark.ml.feature import StopWordsRemover, StringIndexer
 from pyspark.ml.fpm import FPGrowth
 from pyspark.ml.recommendation import ALS
@@ -24,6 +24,7 @@ from pyspark.sql.types import LongType
 
 from tessera.functions.scalar import no_negative_zero, threshold_class
 from tessera.operators import ml
+from tessera.operators.lda import fit_lda
 from tessera.operators.patterns import sequential_pairs, sequential_patterns
 from tessera.operators.sampling import hash_split, train_test_by_class
 from tessera.plans.fixtures import lineitem_trial
@@ -197,6 +198,7 @@ def ml_gmm(spark, sf):
 # fixed values: language codes and the stop-word lists' names
 STOP_WORDS = {"en": "english", "de": "german", "es": "spanish", "fr": "french"}
 VOCABULARY_PART = 50_000  # words numbered by one window
+LDA_TOPICS, LDA_PASSES = 5, 10
 
 
 def lda_words(docs: DataFrame) -> DataFrame:
@@ -233,24 +235,18 @@ def lda_vocabulary(counts: DataFrame, part_words: int = VOCABULARY_PART) -> tupl
 def ml_lda(spark, sf):
     """Topics of the whole document texts: top 8 terms per topic (a top-k report).
 
-    Every word is a feature of its own, numbered by a distributed job, so the
-    vocabulary is not held by the driver (the model of k weights a word is).
-    Every pass sees every document.
+    Every word is a feature of its own and every pass sees every document; the
+    weights of words and topics are a distributed table. Rows without a doc_id are
+    documents by their text.
     """
-    docs = lda_words(table(spark, sf, "documents").select("doc_id", "text", "lang"))
-    counts = materialize(docs.select("doc_id", F.explode("words").alias("word")).groupBy("doc_id", "word")
+    docs = lda_words(table(spark, sf, "documents").select(F.coalesce("doc_id", F.xxhash64("text")).alias("doc"), "text", "lang"))
+    counts = materialize(docs.select("doc", F.explode("words").alias("word")).groupBy("doc", "word")
                          .agg(F.count(F.lit(1)).cast("double").alias("n")))
-    vocabulary, n_words = lda_vocabulary(counts)
-    per_doc = (counts.join(vocabulary, "word").groupBy("doc_id")
-               .agg(F.array_sort(F.collect_list(F.struct("index", "n"))).alias("t")))
-    parsed = per_doc.select("doc_id", F.struct(F.lit(0).cast("byte").alias("type"), F.lit(n_words).alias("size"),
-                                               F.col("t.index").alias("indices"), F.col("t.n").alias("values")).alias("v"))
-    features = parsed.select("doc_id", ml.as_vector("v").alias("features"))
-    model = LDA(k=5, maxIter=10, seed=7, optimizer="online", subsamplingRate=1.0).fit(materialize(features))
-    topics = model.describeTopics(8)
-    return (topics.select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "tw"))
-            .select("topic", "rank", F.col("tw.termIndices").alias("index"), F.col("tw.termWeights").alias("weight"))
-            .join(vocabulary.withColumnRenamed("word", "term"), "index", "left").drop("index"))
+    vocabulary, _ = lda_vocabulary(counts)
+    numbered = materialize(counts.join(vocabulary, "word").select("doc", F.col("index").alias("word"), "n"))
+    top = materialize(fit_lda(numbered, LDA_TOPICS, LDA_PASSES, seed=7).top_terms(8))
+    return (top.join(vocabulary.select(F.col("index").alias("word"), F.col("word").alias("term")), "word")
+            .select("topic", "rank", "term", "weight"))
 
 
 @query("ml_pic")
