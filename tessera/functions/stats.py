@@ -73,3 +73,14 @@ def chisq1_pvalue(x: Column) -> Column:
 
 def chisq1_pvalue_sql(x: str) -> str:
     return erfc_sql(f"sqrt(greatest({x}, 0.0) / 2)")
+
+
+def normal_cdf(z: Column) -> Column:
+    """P(Z <= z) for a standard normal Z."""
+    upper = erfc_col(F.abs(z) / F.lit(math.sqrt(2.0))) / 2
+    return F.when(z < 0, upper).otherwise(1 - upper)
+
+
+def normal_cdf_sql(z: str) -> str:
+    upper = erfc_sql(f"abs({z}) / {_num(math.sqrt(2.0))}")
+    return f"(CASE WHEN ({z}) < 0 THEN {upper} / 2 ELSE 1 - {upper} / 2 END)"

@@ -4,8 +4,6 @@ number of terms); predictions and evaluation stay distributed."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, FMClassifier, GBTClassifier, LinearSVC,
                                        LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes,
@@ -14,20 +12,17 @@ from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans, Powe
 from pyspark.ml.feature import StopWordsRemover, StringIndexer
 from pyspark.ml.fpm import FPGrowth
 from pyspark.ml.recommendation import ALS
-from pyspark.ml.regression import (AFTSurvivalRegression, DecisionTreeRegressor, FMRegressor, GBTRegressor,
-                                   GeneralizedLinearRegression, IsotonicRegression, LinearRegression,
-                                   RandomForestRegressor)
-from pyspark.ml.stat import KolmogorovSmirnovTest
+from pyspark.ml.regression import (DecisionTreeRegressor, FMRegressor, GBTRegressor, GeneralizedLinearRegression,
+                                   LinearRegression, RandomForestRegressor)
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from tessera.functions.scalar import no_negative_zero, threshold_class
+from tessera.functions.scalar import no_negative_zero
 from tessera.operators import ml
 from tessera.operators.lda import fit_lda
 from tessera.operators.patterns import sequential_pairs, sequential_patterns
-from tessera.operators.sampling import hash_split, train_test_by_class
-from tessera.plans.fixtures import lineitem_trial
+from tessera.operators.sampling import hash_split
 from tessera.plans.registry import query
 from tessera.session import materialize, scratch_path
 from tessera.sources.tables import table
@@ -35,7 +30,6 @@ from tessera.sources.tables import table
 # fixed values: seeds and sizes of the fits
 SEED = 1099
 FIT_PARTITIONS = 8
-GLM_CLASSES = {"AUTOMOBILE": 42, "BUILDING": 43}
 FP_MIN_SUPPORT = 0.01
 FP_MIN_CONFIDENCE = 0.5
 SEQ_MIN_SUPPORT = 0.1
@@ -83,70 +77,6 @@ def formula_features(spark, sf):
                                                        for c in ("label", "f0", "f1", "f2")])
 
 
-def _glm_data(spark, sf):
-    c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal", "c_nationkey")
-    return train_test_by_class(c, "c_mktsegment", GLM_CLASSES, 0.6, ["c_custkey"])
-
-
-def _glm_fit(spark, sf):
-    data = _glm_data(spark, sf)
-    pipe = ml.formula_pipeline("c_mktsegment ~ c_acctbal + c_nationkey",
-                               GeneralizedLinearRegression(family="binomial", link="logit", maxIter=25))
-    return data, pipe.fit(data.filter(F.col("split") == "training"))
-
-
-@query("glm_binomial_coefs")
-def glm_binomial_coefs(spark, sf):
-    """Binomial GLM on two segments: estimate, std error, t and p per term."""
-    data, model = _glm_fit(spark, sf)
-    glm = model.stages[-1]
-    s = glm.summary
-    names = _vector_names(model.transform(data.limit(1)))
-    k = len(glm.coefficients)
-    return ml.tidy_terms(spark, names,
-                         {"estimate": list(glm.coefficients), "std_error": s.coefficientStandardErrors[:k],
-                          "t_value": s.tValues[:k], "p_value": s.pValues[:k]},
-                         {"estimate": glm.intercept, "std_error": s.coefficientStandardErrors[k],
-                          "t_value": s.tValues[k], "p_value": s.pValues[k]})
-
-
-@query("glm_summary")
-def glm_summary(spark, sf):
-    _, model = _glm_fit(spark, sf)
-    s = model.stages[-1].summary
-    items = [("aic", s.aic), ("deviance", s.deviance), ("null_deviance", s.nullDeviance),
-             ("dispersion", s.dispersion), ("iterations", s.numIterations), ("rank", s.rank),
-             ("residual_dof", s.residualDegreeOfFreedom)]
-    return ml.metrics_table(spark, [("glm_binomial", k, v) for k, v in items])
-
-
-@query("glm_confusion")
-def glm_confusion(spark, sf):
-    """Predict on training and test rows; 0/1 class at .5 against the label code.
-
-    The label text is reported next to its code: the formula indexes labels by
-    frequency, so code 0 is the most frequent segment, not the first by name.
-    """
-    data, model = _glm_fit(spark, sf)
-    pred = model.transform(data).withColumn("class", threshold_class("prediction", 0.5))
-    return pred.groupBy("split", "class", "label", "c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
-
-
-@query("glm_evaluation")
-def glm_evaluation(spark, sf):
-    """Held-out against training evaluation: accuracy and F1 of the 0/1 class per split."""
-    data, model = _glm_fit(spark, sf)
-    pred = model.transform(data).withColumn("class", threshold_class("prediction", 0.5).cast("double"))
-    y, p = F.col("label"), F.col("class")
-    per = pred.groupBy("split").agg(F.count(F.lit(1)).alias("n"), *[
-        F.count_if(cond).alias(name) for c in (0, 1) for name, cond in (
-            (f"t{c}", (y == c) & (p == c)), (f"y{c}", y == c), (f"p{c}", p == c))])
-    f1 = sum(F.col(f"y{c}") * 2 * F.col(f"t{c}") / F.greatest(F.col(f"y{c}") + F.col(f"p{c}"), F.lit(1)) for c in (0, 1))
-    scores = F.array(F.struct(F.lit("accuracy").alias("metric"), ((F.col("t0") + F.col("t1")) / F.col("n")).alias("value")),
-                     F.struct(F.lit("f1").alias("metric"), (f1 / F.col("n")).alias("value")))
-    return per.select("split", F.explode(scores).alias("s")).select("split", "s.metric", "s.value")
-
-
 # ---------------------------------------------------------------- clustering
 
 def _kmeans(spark, sf):
@@ -306,16 +236,6 @@ def _part_xy(spark, sf):
     return ml.assemble(p, ["p_size"])
 
 
-@query("ml_isotonic")
-def ml_isotonic(spark, sf):
-    # one row per distinct size: the fit's last step runs on the driver
-    per_x = (table(spark, sf, "part").groupBy("p_size")
-             .agg(F.avg("p_retailprice").alias("label"), F.count(F.lit(1)).cast("double").alias("weight")))
-    model = IsotonicRegression(isotonic=True, weightCol="weight").fit(ml.assemble(per_x, ["p_size"]))
-    rows = list(zip([float(b) for b in model.boundaries], [float(p) for p in model.predictions]))
-    return spark.createDataFrame(rows, "boundary double, prediction double")
-
-
 @query("ml_fm_regressor")
 def ml_fm_regressor(spark, sf):
     df = _part_xy(spark, sf)
@@ -356,28 +276,6 @@ def ml_rf_regressor(spark, sf):
                     F.count(F.lit(1)).alias("n"))
 
 
-def _aft(spark, sf):
-    s = lineitem_trial(spark, sf).select("l_orderkey", "l_linenumber", (F.col("arm") == "R").cast("double").alias("treated"),
-                                         "time", F.col("event").cast("double").alias("event"))
-    df = ml.assemble(s, ["treated"])
-    return df, AFTSurvivalRegression(labelCol="time", censorCol="event", maxIter=100).fit(df)
-
-
-@query("ml_aft_predict")
-def ml_aft_predict(spark, sf):
-    """Predicted survival time of every subject."""
-    df, m = _aft(spark, sf)
-    return m.transform(df).select("l_orderkey", "l_linenumber", "treated", F.round("prediction", 9).alias("prediction"))
-
-
-@query("ml_aft")
-def ml_aft(spark, sf):
-    """Accelerated failure time fit on the lineitem trial (censor column = event)."""
-    _, m = _aft(spark, sf)
-    t = _coef_table(spark, ["treated"], m.coefficients, m.intercept)
-    return t.unionByName(ml.tidy_terms(spark, ["log(scale)"], {"estimate": [float(math.log(m.scale))]}))
-
-
 # ---------------------------------------------------------------- classification
 
 def _rf_split(spark, sf):
@@ -612,16 +510,6 @@ def sequence_patterns(spark, sf):
     return found.select(F.array_join("pattern", " > ").alias("pattern"), F.size("pattern").alias("length"), "freq")
 
 
-@query("ks_test")
-def ks_test(spark, sf):
-    """One-sample Kolmogorov-Smirnov test of events.value against a fitted normal."""
-    ev = table(spark, sf, "events").select("value")
-    mu, sd = ev.agg(F.avg("value"), F.stddev_samp("value")).first()
-    r = KolmogorovSmirnovTest.test(ev, "value", "norm", float(mu), float(sd)).first()
-    return spark.createDataFrame([(float(r["statistic"]), float(r["pValue"]), float(mu), float(sd))],
-                                 "statistic double, p_value double, mean double, sd double")
-
-
 @query("model_roundtrip", "SELECT count(*) AS n, count(*) AS n_equal, CAST(0 AS DOUBLE) AS max_abs_diff FROM part")
 def model_roundtrip(spark, sf):
     """Save a fitted pipeline to shared storage, load it, and compare predictions."""
