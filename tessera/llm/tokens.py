@@ -1,19 +1,23 @@
 """Token ids of whole text columns with a tokenizer file of the ``tokenizers`` library.
 
-The tokenizer used here (byte-level BPE with word ends) cuts a text at white
-space and into runs of letters, single numerals and runs of other signs, and
-encodes each such piece by itself. A column is therefore encoded by pieces:
-texts are cut at blanks, tabs and line ends (``BLANKS``), the distinct words of
-a slice are cut into pieces, and the library encodes each piece it has not seen
-before; ids are then put together by array indexing. The result equals encoding
-each text on its own, which the tests check against the library. Words that
-hold the start of a special token are encoded by the library as they stand.
+The tokenizer used here (byte-level BPE) cuts a text at white space and into runs of
+letters, single numerals and runs of other signs, and encodes each such piece by
+itself. A column is therefore encoded by words: texts are cut at blanks, tabs
+and line ends (``BLANKS``), each distinct word that the worker has not met before is
+encoded, and its ids are remembered under its raw bytes for the worker's lifetime;
+texts are put together by array indexing.
+
+New words of plain characters (``PLAIN``: printable ASCII and precomposed Latin
+letters, for which every version of Unicode gives the same classes and lower case) are
+cut into pieces here, so that a word met again with a comma or a capital costs
+nothing. All other words go to the library as they are. A tokenizer whose
+cutter or normaliser is of another kind is refused.
 """
 
 from __future__ import annotations
 
+import json
 import os
-import unicodedata
 from functools import lru_cache
 
 import numpy as np
@@ -25,31 +29,30 @@ from tessera.llm import words as W
 # the tokenizer's own rules for cutting (fixed values)
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 SPECIAL_START = "<|"
+# fixed values: the normaliser and cutter, as the tokenizer file spells them
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+CUTTERS = ["Split", "ByteLevel"]
+CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# printable ASCII and Latin letters without the dotted capital I, whose lower case is two characters
+PLAIN = regex.compile(r"[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
 
 BLANKS = np.zeros(256, dtype=bool)
 BLANKS[[0x20, 0x09, 0x0A, 0x0D]] = True
-MAX_PIECES = 600_000  # pieces remembered by one Python worker
+MAX_PIECES = 500_000  # words, and pieces, remembered by one Python worker
 JOINED = 256
 
 
-class PieceTable:
-    """Ids of every piece seen so far, in one flat array."""
-
-    def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.clear()
+class Ids:
+    """Ids of keys seen so far, in one flat array."""
 
-    def clear(self) -> None:
-        self.code: dict[str, int] = {}
+    def __init__(self):
+        self.code: dict = {}
         self.ids = np.empty(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 16, np.int64)
         self.n_ids = 0
 
-    def _add(self, pieces: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
-        n, at = len(pieces), len(self.code)
+    def add(self, keys: list, ids: np.ndarray, lengths: np.ndarray) -> None:
+        n, at = len(keys), len(self.code)
         while self.n_ids + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
         while at + n + 1 > len(self.starts):
@@ -57,18 +60,43 @@ class PieceTable:
         self.ids[self.n_ids:self.n_ids + len(ids)] = ids
         self.starts[at + 1:at + n + 1] = self.n_ids + np.cumsum(lengths)
         self.n_ids += len(ids)
-        self.code.update(zip(pieces, range(at, at + n)))
+        self.code.update(zip(keys, range(at, at + n)))
+
+    def take(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the keys one after another, number of ids of each)."""
+        first = self.starts[codes]
+        lengths = self.starts[codes + 1] - first
+        return self.ids[W.expand(first, lengths)], lengths
+
+
+class PieceTable:
+    """Ids of every word and piece seen so far."""
+
+    def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        rules = json.loads(self.tokenizer.to_str())
+        steps = [[x["type"] for x in (rules[k] or {}).get("normalizers" if k == "normalizer" else "pretokenizers", [])]
+                 for k in ("normalizer", "pre_tokenizer")]
+        if steps != [NORMALIZERS, CUTTERS] or rules["pre_tokenizer"]["pretokenizers"][0]["pattern"] != {"Regex": CUT}:
+            raise ValueError(f"{path} does not cut texts at white space into runs of letters, numerals and signs")
+        self.clear()
+
+    def clear(self) -> None:
+        self.words, self.pieces = Ids(), Ids()
 
-    def _encode_alone(self, pieces: list[str]) -> None:
-        for i in range(0, len(pieces), 4096):
-            part = pieces[i:i + 4096]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            self._add(part, np.fromiter((x for ids in found for x in ids), np.uint32),
-                      np.fromiter(map(len, found), np.int64, len(found)))
+    def _encode_alone(self, keys: list, texts: list[str], into: Ids) -> None:
+        for i in range(0, len(texts), 4096):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts[i:i + 4096], add_special_tokens=False)]
+            into.add(keys[i:i + 4096], np.fromiter((x for ids in found for x in ids), np.uint32),
+                     np.fromiter(map(len, found), np.int64, len(found)))
 
-    def learn(self, letters: list[str], others: list[str]) -> None:
+    def _learn_pieces(self, pieces: list[str]) -> None:
         """Encode new pieces. Runs of letters go joined by blanks, each being one word of the joined text."""
-        alone = list(others)
+        alone = [x for x in pieces if not x.isalpha()]
+        letters = [x for x in pieces if x.isalpha()]
         groups = [letters[i:i + JOINED] for i in range(0, len(letters), JOINED)]
         for at in range(0, len(groups), 64):
             part = groups[at:at + 64]
@@ -77,53 +105,51 @@ class PieceTable:
                 word = np.array(enc.word_ids, dtype=np.int64)
                 lengths = np.bincount(word, minlength=len(group)) if len(word) else np.zeros(0, np.int64)
                 if len(lengths) == len(group) and (lengths > 0).all():
-                    self._add(group, np.array(enc.ids, dtype=np.uint32), lengths)
+                    self.pieces.add(group, np.array(enc.ids, dtype=np.uint32), lengths)
                 else:  # a piece that the library cuts further
                     alone.extend(group)
-        self._encode_alone(alone)
+        self._encode_alone(alone, alone, self.pieces)
+
+    def _learn_words(self, new: list[bytes]) -> None:
+        plain, cuts, others, raw = [], [], [], []
+        for key in new:
+            if key.isalpha():  # of bytes: ASCII letters
+                plain.append(key)
+                cuts.append([key.lower().decode()])
+                continue
+            word = key.decode("utf-8")
+            if PLAIN.fullmatch(word) and SPECIAL_START not in word:
+                low = word.lower()
+                plain.append(key)
+                cuts.append([low] if low.isalpha() else PIECES.findall(low))
+            else:
+                others.append(key)
+                raw.append(word)
+        if len(self.pieces.code) > MAX_PIECES:
+            self.pieces = Ids()
+        known = self.pieces.code
+        self._learn_pieces([x for x in dict.fromkeys(x for cut in cuts for x in cut) if x not in known])
+        stream = np.fromiter((known[x] for cut in cuts for x in cut), np.int64)
+        ids, lengths = self.pieces.take(stream)
+        n_pieces = np.fromiter(map(len, cuts), np.int64, len(cuts))
+        total = np.r_[0, np.cumsum(lengths)]
+        ends = np.cumsum(n_pieces)
+        self.words.add(plain, ids, total[ends] - total[ends - n_pieces])
+        self._encode_alone(others, raw, self.words)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, id bounds of each text)."""
         words = W.split_words(texts, BLANKS)
         codes, distinct = words.distinct()
-        if len(self.code) > MAX_PIECES:
-            self.clear()
-        pieces: list[list[str]] = []
-        letters, others = [], []
-        for raw in distinct:
-            word = raw.decode("utf-8")
-            if SPECIAL_START in word:
-                cut = [word]
-            else:
-                plain = word if word.isascii() else unicodedata.normalize("NFC", word)
-                # sign by sign: str.lower looks at the neighbours of a capital sigma
-                low = plain.lower() if "\u03a3" not in plain else "".join(map(str.lower, plain))
-                if low.isalpha():
-                    cut = [low]
-                elif any(map(str.isspace, low)):
-                    cut = [word]
-                else:
-                    cut = PIECES.findall(low)
-            pieces.append(cut)
-            for x in cut:
-                if x not in self.code:
-                    (letters if x.isalpha() else others).append(x)
-        self.learn(list(dict.fromkeys(letters)), list(dict.fromkeys(others)))
-        known = self.code
-        piece = np.fromiter((known[x] for cut in pieces for x in cut), np.int64)
-        n_pieces = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        first = np.cumsum(n_pieces) - n_pieces
-        # words -> pieces -> ids
-        per_word = n_pieces[codes]
-        stream = piece[W.expand(first[codes], per_word)]
-        starts = self.starts
-        per_piece = starts[stream + 1] - starts[stream]
-        ids = self.ids[W.expand(starts[stream], per_piece)]
-        id_bounds = np.zeros(len(stream) + 1, np.int64)
-        np.cumsum(per_piece, out=id_bounds[1:])
-        piece_bounds = np.zeros(len(codes) + 1, np.int64)
-        np.cumsum(per_word, out=piece_bounds[1:])
-        return ids, id_bounds[piece_bounds[words.bounds]]
+        if len(self.words.code) > MAX_PIECES:
+            self.words = Ids()
+        known = self.words.code
+        self._learn_words([x for x in distinct if x not in known])
+        number = np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))
+        ids, lengths = self.words.take(number[codes])
+        bounds = np.zeros(len(codes) + 1, np.int64)
+        np.cumsum(lengths, out=bounds[1:])
+        return ids, bounds[words.bounds]
 
 
 @lru_cache(maxsize=2)

@@ -134,6 +134,45 @@ def test_token_file(spark, tmp_path, part_bytes):
                 assert code[start] == ids[i][0]
 
 
+def test_tokens_by_position(spark, tmp_path):
+    rows = [(i, prose(i, 40)) for i in range(50)]
+    path = str(tmp_path / "file")
+    T.write_token_file(frame(spark, rows), path, PATH, end_id=1, segment_ids=300, part_bytes=3000)
+    flat = [x for ids in brute.token_ids([t for _, t in rows], PATH) for x in [*ids, 1]]
+    asked = [0, len(flat) - 1, len(flat), -1, None, 7, 7] + random.Random(2).sample(range(len(flat)), 300)
+    got = T.tokens_at(spark, path, spark.createDataFrame([(p,) for p in asked], "position long")).collect()
+    want = {p for p in asked if p is not None and 0 <= p < len(flat)}
+    assert {r["position"]: r["id"] for r in got} == {p: flat[p] for p in want} and len(got) == len(want)
+    assert T.tokens_at(spark, path, spark.createDataFrame([], "position long")).count() == 0
+
+
+def test_any_characters_equal_the_library():
+    """Marks after letters of every kind, letters that only newer Unicode knows, all planes."""
+    r = random.Random(11)
+    special = "\u0130\u0307\u0558\u058b\u058c\u0300\u0327\u03a3\u0345\u200dIiE.'s\u00b5\u00aa\u00df\u017f\u0149\u212a\u1e9e\ufb01\u3000\u0085\x0b"
+    texts = []
+    for _ in range(20_000):
+        chars = [r.choice(special) if r.random() < 0.5 else chr(r.choice([r.randrange(0x20, 0x250), r.randrange(0x250, 0xd800),
+                                                                          r.randrange(0xe000, 0x110000)]))
+                 for _ in range(r.randint(1, 10))]
+        texts.append("".join(chars))
+    ids, bounds = piece_table(PATH).encode(pa.array(texts, pa.string()))
+    expected = brute.token_ids(texts, PATH)
+    assert [ascii(t) for t, s, e, x in zip(texts, bounds[:-1], bounds[1:], expected) if ids[s:e].tolist() != x] == []
+
+
+def test_other_cutters_are_refused(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    from tessera.llm.tokens import PieceTable
+
+    other = Tokenizer(models.BPE())
+    other.pre_tokenizer = pre_tokenizers.Whitespace()
+    other.save(f"{tmp_path}/other.json")
+    with pytest.raises(ValueError):
+        PieceTable(f"{tmp_path}/other.json")
+
+
 def test_empty_tables(spark, tmp_path):
     assert P.pack_documents(empty(spark), PATH).count() == 0
     T.write_token_file(empty(spark), str(tmp_path / "none"), PATH)
