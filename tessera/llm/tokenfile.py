@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import words as W
-from tessera.llm.shared import bounded_batches, table
+from tessera.llm.shared import bounded_batches, materialize, table
 from tessera.llm.tokens import default_tokenizer, piece_table
 from tessera.session import scratch_path
 
@@ -176,11 +176,42 @@ def read_token_file(spark: SparkSession, path: str) -> DataFrame:
     # one row per written part: as many as there are files
     sizes = segments.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_base"))
+    # a written table: Spark sees how small it is and sends it to the segments, whose codes then stay where they are
+    starts = materialize(sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_base")))
     return (segments.join(starts, "part").withColumn("start", F.col("part_base") + F.col("part_start"))
             .drop("part_base"))
 
 
+def tokens_at(spark: SparkSession, path: str, positions: DataFrame) -> DataFrame:
+    """(position, id) for each distinct ``position`` (counted from 0 over the whole file) that the file has.
+
+    Segments are found by their starts, without their codes; then the asked ids of a
+    segment, at most as many as it holds, are read by address. A position beyond
+    the file, or a null one, gives no row.
+    """
+    segments = read_token_file(spark, path)
+    places = materialize(segments.select("part", "seq", "start", "n_ids"))
+    width = places.agg(F.max("n_ids")).first()[0] or 1
+    # a segment touches two stretches of ``width`` positions at most
+    spans = places.withColumn("stretch", F.explode(F.sequence(
+        F.floor(F.col("start") / width), F.floor((F.col("start") + F.col("n_ids") - 1) / width))))
+    asked = (positions.select(F.col("position").cast("long").alias("position")).where("position >= 0").distinct()
+             .withColumn("stretch", F.floor(F.col("position") / width)))
+    found = (asked.join(spans, "stretch").where("position >= start and position < start + n_ids")
+             .groupBy("part", "seq", "start").agg(F.collect_list(F.col("position")).alias("positions")))
+    wanted = materialize(found)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                code = Code(row["code"])
+                yield pa.RecordBatch.from_arrays([pa.array(row["positions"], pa.int64()), pa.array(
+                    [code[p - row["start"]] for p in row["positions"]], pa.int64())], names=["position", "id"])
+
+    codes = segments.select("part", "seq", "code").join(wanted, ["part", "seq"])
+    return codes.select("start", "positions", "code").mapInArrow(work, "position long, id long")
+
+
 def token_digests(segments: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document of a token file."""
 
