@@ -5,8 +5,10 @@ Grammar of a formatted conversation:
     conversation = { turn }
     turn         = "[INST " role "] " text "</s>"
 
-Formatting starts from the plain texts. The result is parsed again; where the
-parser does not recover the very turns (their roles and texts in order),
+Control strings (``[INST``, ``[/INST]``, ``</s>``) stand for control wherever the
+grammar meets them, so a text or role that holds one conflicts with it. Formatting
+starts from the plain texts. The result is parsed again; where a turn conflicts, or
+the parser does not recover the very turns (their roles and texts in order),
 roles and texts are escaped and the conversation is formatted anew until they
 are identical. Escaping is complete: an escaped text holds neither a control
 string nor a bare backslash, so the second round always is.
@@ -28,6 +30,9 @@ columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +41,7 @@ from tessera.llm.shared import materialize, table
 # fixed values: control strings and their escapes; the backslash goes first and comes back last
 END, OPEN, CLOSE_ROLE = "</s>", "[INST ", "] "
 TEXT_ESCAPES = [("\\", "\\0"), ("</s>", "\\1"), ("[INST", "\\2"), ("[/INST]", "\\3")]
+CONTROLS = ("</s>", "[INST", "[/INST]")
 ROLE_ESCAPES = [*TEXT_ESCAPES, ("]", "\\4")]
 ASSISTANT = "assistant"
 # fixed value: the conversation that says nothing but control strings
@@ -83,6 +89,11 @@ def parse(formatted: Column) -> Column:
     return F.transform(F.slice(pieces, 1, F.size(pieces) - 1), one)
 
 
+def conflicts(turns: Column) -> Column:
+    """Does a role or text of an array of (role, text) hold a control string?"""
+    return F.exists(turns, lambda t: reduce(or_, [F.contains(t[part], F.lit(c)) for part in ("role", "text") for c in CONTROLS]))
+
+
 def loss_spans(formatted: Column) -> Column:
     """Spans (start, length) of the assistant texts, read off the formatted text; start counts from 1."""
     pieces = F.split(formatted, END)
@@ -107,7 +118,7 @@ def format_chats(conversations: DataFrame) -> DataFrame:
     source = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
     first = (grouped.select("conv_id", source.alias("turns"))
              .withColumn("plain", render(F.col("turns"), escaped=False))
-             .withColumn("escaped", parse(F.col("plain")) != F.col("turns"))
+             .withColumn("escaped", conflicts(F.col("turns")) | (parse(F.col("plain")) != F.col("turns")))
              .withColumn("formatted", F.when(F.col("escaped"), render(F.col("turns"), escaped=True))
                          .otherwise(F.col("plain"))))
     again = F.assert_true(parse(F.col("formatted")) == F.col("turns"), "a conversation does not survive its round trip")
@@ -148,7 +159,8 @@ coded as (
     replace(replace(replace(replace(text, '\3', '[/INST]'), '\2', '[INST'), '\1', '</s>'), '\0', '\') <> text
       or contains(text, '</s>') or role <> replace(replace(replace(replace(replace(
         role, '\4', ']'), '\3', '[/INST]'), '\2', '[INST'), '\1', '</s>'), '\0', '\')
-      or contains(role, '</s>') or contains(role, '] ') as bad
+      or contains(text, '[INST') or contains(text, '[/INST]')
+      or contains(role, '</s>') or contains(role, '[INST') or contains(role, '[/INST]') or contains(role, '] ') as bad
   from rows)
 select conv_id, count(*)::bigint as n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
