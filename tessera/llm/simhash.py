@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import words as W
 from tessera.llm.components import components
-from tessera.llm.shared import bounded_batches, materialize, table
+from tessera.llm.shared import bounded_batches, materialize, spare_name, table
 
 SEED = 42
 BITS = 64
@@ -161,23 +161,45 @@ def links(fps: DataFrame, distance: int = 4, blocks: int = 6, chunk: int = CHUNK
     return groups.mapInArrow(work, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
-    """(doc_id, fp, component_id), one row per row of ``docs`` (columns doc_id, text)."""
+def _grouped(docs: DataFrame, shingle: int, distance: int) -> DataFrame:
+    """(doc_id, fp, root, component_id), one row per row of ``docs``; root is one fingerprint of the component."""
     marked = materialize(fingerprints(docs, shingle))
     nodes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = materialize(components(links(nodes.select("fp"), distance)))
     of = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = of.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = of.join(least, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = of.join(least, "root").select("fp", "root", "component_id")
+    return marked.join(named, "fp").select("doc_id", "fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
+    """(doc_id, fp, component_id), one row per row of ``docs`` (columns doc_id, text)."""
+    return _grouped(docs, shingle, distance).drop("root")
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
-    """The rows of ``docs`` that name their component (the smallest doc_id, once); rows without a doc_id stay."""
-    marked = near_duplicates(docs, shingle, distance)
-    kept = marked.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    """One row of every component: that of its smallest doc_id; rows without a doc_id stay.
+
+    Rows that share a doc_id but not a component are documents of their own, so several
+    rows of one doc_id can stay. Of a component's rows with its smallest doc_id the
+    one with the smallest fingerprint stays (any one, if several have that).
+    """
+    marked = _grouped(docs, shingle, distance)
+    first = materialize(marked.where("doc_id = component_id").groupBy("root").agg(
+        F.min("doc_id").alias("doc_id"), F.min("fp").alias("fp")).select("doc_id", "fp"))
+    several = materialize(marked.where("doc_id is not null").groupBy("doc_id")
+                          .agg(F.min("fp").alias("a"), F.max("fp").alias("b")).where("a <> b").select("doc_id"))
+    known = docs.where("doc_id is not null")
+    alone = known.join(first.join(several, "doc_id", "left_anti").select("doc_id"), "doc_id", "left_semi")
+    # the few doc_ids with different fingerprints: which of their rows it is, is told by the text
+    th, fp = spare_name(docs, "text_hash"), spare_name(docs, "row_fp")
+    mixed = known.join(several, "doc_id", "left_semi").withColumn(th, F.xxhash64("text"))
+    prints = fingerprints(mixed.select(F.col(th).alias("doc_id"), "text").dropDuplicates(["doc_id"]), shingle)
+    chosen = (mixed.join(prints.select(F.col("doc_id").alias(th), F.col("fp").alias(fp)), th)
+              .join(first.withColumnRenamed("fp", fp), ["doc_id", fp], "left_semi"))
+    kept = alone.dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(
+        chosen.dropDuplicates(["doc_id", fp]).select(*docs.columns))
+    return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
 
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

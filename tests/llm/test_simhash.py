@@ -104,6 +104,15 @@ def test_keep_one_row_per_group(spark):
     assert kept.where(F.col("doc_id").isNull()).count() == sum(i is None for i, _ in rows)
 
 
+def test_keep_one_keeps_rows_that_share_a_doc_id_alone(spark):
+    texts = [prose(i, 40) for i in range(4)]
+    rows = [(1, texts[0]), (1, texts[1]), (2, texts[1]), (1, texts[0]), (3, texts[2]), (3, None), (4, texts[3]), (4, texts[3]),
+            (5, texts[2])]
+    kept = S.keep_one(frame(spark, rows)).select("doc_id", "text").collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(1, texts[0]), (1, texts[1]), (3, texts[2]), (3, None), (4, texts[3])],
+                                                       key=str)
+
+
 def test_empty_table(spark):
     assert S.near_duplicates(empty(spark)).count() == 0
     assert S.keep_one(empty(spark)).count() == 0
