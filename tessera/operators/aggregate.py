@@ -81,3 +81,46 @@ def bucketed_mean_curve(df: DataFrame, x: str, y: str, n_bins: int, lo: float, h
     return (per_bin
             .withColumn("y_smooth", F.sum("_sy").over(w) / F.sum("n").over(w))
             .drop("_sy"))
+
+
+def local_regression_curve(df: DataFrame, x: str, y: str, n_bins: int, lo: float, hi: float, span: float) -> DataFrame:
+    """Local linear regression of y on x at the centre of each of ``n_bins`` buckets of [lo, hi], with standard errors.
+
+    Rows are reduced to moments per bucket (about its centre), so whatever follows works
+    on at most ``n_bins`` rows. At a centre g the buckets less than ``span`` of the range away
+    weigh (1 - (distance / reach)^3)^3, and a line is fitted to their moments:
+    columns x, n (rows within reach), y_smooth, slope, std_error. The error is that of the
+    fitted value for independent rows whose variance is the weighted mean squared residual. Where
+    all rows within reach have one x, y_smooth is their weighted mean and the rest NULL.
+    """
+    width = (hi - lo) / n_bins
+    reach = span * n_bins  # in buckets
+    binned = equal_width_bins(df.select(F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")),
+                              "_x", n_bins, lo, hi).where("bin is not null and _y is not null")
+    d = F.col("_x") - (F.lit(lo) + (F.col("bin") + 0.5) * F.lit(width))
+    cells = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("m"), F.sum(d).alias("d1"), F.sum(d * d).alias("d2"),
+                                      F.sum("_y").alias("y1"), F.sum(d * F.col("_y")).alias("dy"),
+                                      F.sum(F.col("_y") * F.col("_y")).alias("y2"))
+    far = int(reach) if reach > int(reach) else int(reach) - 1  # weights at the reach itself are zero
+    near = F.explode(F.sequence(F.greatest(F.col("bin") - far, F.lit(0)), F.least(F.col("bin") + far, F.lit(n_bins - 1))))
+    shift = (F.col("bin") - F.col("at")) * F.lit(width)
+    gap = F.abs(F.col("bin") - F.col("at")) / F.lit(reach)
+    tricube = F.pow(1 - F.pow(gap, F.lit(3)), F.lit(3))
+    moved = (cells.withColumn("at", near).withColumns({"w": tricube, "s": shift})
+             .withColumns({"u1": F.col("d1") + F.col("m") * F.col("s"),
+                           "u2": F.col("d2") + 2 * F.col("s") * F.col("d1") + F.col("m") * F.col("s") * F.col("s"),
+                           "uy": F.col("dy") + F.col("s") * F.col("y1")}))
+    w = F.col("w")
+    sums = moved.groupBy("at").agg(
+        F.sum("m").alias("n"), *[F.sum(w * F.col(c)).alias(f"w_{c}") for c in ("m", "u1", "u2", "y1", "uy", "y2")],
+        *[F.sum(w * w * F.col(c)).alias(f"q_{c}") for c in ("m", "u1", "u2")])
+    det = F.col("w_m") * F.col("w_u2") - F.col("w_u1") * F.col("w_u1")
+    line = sums.withColumn("det", F.when(det > F.lit(1e-12) * F.col("w_m") * F.col("w_u2"), det)).withColumns({
+        "a": (F.col("w_u2") * F.col("w_y1") - F.col("w_u1") * F.col("w_uy")) / F.col("det"),
+        "b": (F.col("w_m") * F.col("w_uy") - F.col("w_u1") * F.col("w_y1")) / F.col("det")})
+    left = F.greatest(F.col("w_y2") - F.col("a") * F.col("w_y1") - F.col("b") * F.col("w_uy"), F.lit(0.0)) / F.col("w_m")
+    spread = (F.col("w_u2") * F.col("w_u2") * F.col("q_m") - 2 * F.col("w_u1") * F.col("w_u2") * F.col("q_u1")
+              + F.col("w_u1") * F.col("w_u1") * F.col("q_u2")) / (F.col("det") * F.col("det"))
+    return line.select((F.lit(lo) + (F.col("at") + 0.5) * F.lit(width)).alias("x"), "n",
+                       F.coalesce("a", F.col("w_y1") / F.col("w_m")).alias("y_smooth"), F.col("b").alias("slope"),
+                       F.when(F.col("det").isNotNull(), F.sqrt(left * F.greatest(spread, F.lit(0.0)))).alias("std_error"))

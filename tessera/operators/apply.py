@@ -8,11 +8,16 @@ aggregate: no group is ever materialised whole in one task.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+import pickle
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from typing import Any
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 
@@ -79,6 +84,93 @@ def group_apply(df: DataFrame, keys: Sequence[str], fn: Callable[[tuple, pd.Data
     return df.groupBy(*keys).applyInPandas(fn, schema)
 
 
+def partition_fold(df: DataFrame, start: Callable[[], Any], step: Callable[[Any, pa.RecordBatch], Any],
+                   finish: Callable[[Any], pa.Table], schema: str) -> DataFrame:
+    """A function of a whole partition, read as a stream: its state is carried over the batches.
+
+    ``finish`` turns the state at the partition's end into rows (an empty partition's, too).
+    How rows are dealt to partitions is Spark's affair: merge the partitions' rows
+    into an answer that does not depend on it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = start()
+        for batch in batches:
+            state = step(state, batch)
+        yield from finish(state).to_batches()
+
+    return df.mapInArrow(run, schema)
+
+
+def group_fold(df: DataFrame, keys: Sequence[str], start: Callable[[], Any], update: Callable[[Any, pd.DataFrame], Any],
+               merge: Callable[[Any, Any], Any], finish: Callable[[Any], Sequence], schema: str,
+               max_states: int = 10_000) -> DataFrame:
+    """A user's aggregate per group: keys, then the columns of ``schema`` that ``finish`` gives.
+
+    Tasks keep one state per group of theirs (beyond ``max_states`` they hand them on and
+    start anew) and update it batch by batch; only states travel, and are merged one
+    after another in key order. Neither a hot group nor many groups need memory
+    beyond the states, so a group may be of any size. NULL keys form a group.
+    """
+    keys = list(keys)
+    key_schema = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+    fields = StructType.fromDDL(schema).fields
+    values, result_kinds = [f.name for f in fields], [to_arrow_type(f.dataType) for f in fields]
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        states: dict[tuple, Any] = {}
+        kinds: list[pa.DataType] = []
+
+        def rows() -> pa.RecordBatch:
+            cols = [pa.array(list(c), t) for c, t in zip(zip(*states), kinds)]
+            return pa.RecordBatch.from_arrays([*cols, pa.array([pickle.dumps(x) for x in states.values()], pa.binary())],
+                                              names=[*keys, "state"])
+
+        for batch in batches:
+            kinds = [batch.schema.field(k).type for k in keys]
+            if not batch.num_rows:
+                continue
+            pdf = batch.to_pandas()
+            number = pdf.groupby(keys, dropna=False, sort=False).ngroup().to_numpy()
+            order = np.argsort(number, kind="stable")
+            for at in np.split(order, np.flatnonzero(np.diff(number[order])) + 1):
+                key = tuple(batch.column(k)[int(at[0])].as_py() for k in keys)
+                states[key] = update(states[key] if key in states else start(), pdf.iloc[at])
+            if len(states) > max_states:
+                yield rows()
+                states = {}
+        if states:
+            yield rows()
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple | None = None
+
+        def out(done: Iterable[tuple], kinds: list[pa.DataType]) -> pa.RecordBatch:
+            cols = list(zip(*[(*k, *finish(s)) for k, s in done]))
+            arrays = [pa.array(list(c), t) for c, t in zip(cols, [*kinds, *result_kinds])]
+            return pa.RecordBatch.from_arrays(arrays, names=[*keys, *values])
+
+        kinds: list[pa.DataType] = []
+        for batch in batches:
+            kinds = [batch.schema.field(k).type for k in keys]
+            done = []
+            for *key, data in zip(*(batch.column(c).to_pylist() for c in [*keys, "state"])):
+                state = pickle.loads(data)
+                if held is not None and held[0] == tuple(key):
+                    held = (held[0], merge(held[1], state))
+                else:
+                    if held is not None:
+                        done.append(held)
+                    held = (tuple(key), state)
+            if done:
+                yield out(done, kinds)
+        if held is not None:
+            yield out([held], kinds)
+
+    states = df.mapInArrow(partial, f"{key_schema}, state binary")
+    return states.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(total, f"{key_schema}, {schema}")
+
+
 def bounded_collect(df: DataFrame, max_rows: int):
     """Bring rows to the driver only if there are at most ``max_rows`` of them."""
     rows = df.limit(max_rows + 1).collect()

@@ -4,8 +4,10 @@ query and its oracle (engines differ in the last bits of float sums)."""
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.scalar import (as_category, ceil_of, code_map, make_id, no_negative_zero,
@@ -329,6 +331,79 @@ def group_trend(spark, sf):
     return out.withColumn("slope", F.round("slope", 2))
 
 
+@query("group_regression", """
+WITH m AS (SELECT l_suppkey, count(*) AS n, avg(l_quantity) AS mq, avg(l_discount) AS md, avg(l_extendedprice) AS my,
+                  covar_pop(l_quantity, l_quantity) AS qq, covar_pop(l_discount, l_discount) AS dd,
+                  covar_pop(l_quantity, l_discount) AS qd, covar_pop(l_quantity, l_extendedprice) AS qy,
+                  covar_pop(l_discount, l_extendedprice) AS dy FROM lineitem GROUP BY l_suppkey),
+b AS (SELECT *, (qy * dd - dy * qd) / (qq * dd - qd * qd) AS bq, (dy * qq - qy * qd) / (qq * dd - qd * qd) AS bd FROM m)
+SELECT l_suppkey, n, round(my - bq * mq - bd * md, 3) AS intercept, round(bq, 3) AS quantity, round(bd, 3) AS discount FROM b
+""")
+def group_regression(spark, sf):
+    """A user's aggregate per group: price on quantity and discount, fitted per supplier from mergeable moments.
+
+    The state is (rows, means, sums of products about the means); two states merge without their rows.
+    """
+    cols = ["l_quantity", "l_discount", "l_extendedprice"]
+
+    def merge(a, b):
+        (n, mean, prod), (m, other, more) = a, b
+        if n == 0 or m == 0:
+            return b if n == 0 else a
+        gap = other - mean
+        return n + m, mean + gap * m / (n + m), prod + more + np.outer(gap, gap) * n * m / (n + m)
+
+    def update(state, rows):
+        v = rows[cols].dropna().to_numpy(float)
+        if not len(v):
+            return state
+        mean = v.mean(axis=0)
+        return merge(state, (len(v), mean, (v - mean).T @ (v - mean)))
+
+    def finish(state):
+        n, mean, prod = state
+        if n < 3 or np.linalg.matrix_rank(prod[:2, :2]) < 2:
+            return n, None, None, None
+        slopes = np.linalg.solve(prod[:2, :2], prod[:2, 2])
+        return n, float(mean[2] - slopes @ mean[:2]), float(slopes[0]), float(slopes[1])
+
+    li = table(spark, sf, "lineitem").select("l_suppkey", *cols)
+    out = ap.group_fold(li, ["l_suppkey"], lambda: (0, np.zeros(3), np.zeros((3, 3))), update, merge, finish,
+                        "n bigint, intercept double, quantity double, discount double")
+    return out.select("l_suppkey", "n", *[F.round(c, 3).alias(c) for c in ("intercept", "quantity", "discount")])
+
+
+TOP_LINES = 5
+
+
+@query("partition_top", f"""
+SELECT l_returnflag, l_orderkey, l_linenumber, l_extendedprice, place::INTEGER AS place FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS place
+  FROM lineitem) WHERE place <= {TOP_LINES}
+""")
+def partition_top(spark, sf):
+    """The dearest lines per return flag (a top-k report): known of a partition at its end, then merged.
+
+    A partition is read as one stream, keeps the lines that are still among its best, and
+    gives them out when it ends; the answer is the best of those, however rows were dealt.
+    """
+    names = ["l_returnflag", "l_orderkey", "l_linenumber", "l_extendedprice"]
+    order = [("l_returnflag", "ascending"), ("l_extendedprice", "descending"), ("l_orderkey", "ascending"),
+             ("l_linenumber", "ascending")]
+
+    def step(held: pa.Table | None, batch: pa.RecordBatch) -> pa.Table:
+        rows = pa.Table.from_batches([batch])
+        pdf = (rows if held is None else pa.concat_tables([held, rows])).sort_by(order).to_pandas()
+        return pa.Table.from_pandas(pdf.groupby("l_returnflag", dropna=False).head(TOP_LINES), rows.schema, preserve_index=False)
+
+    li = table(spark, sf, "lineitem").select(*names)
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in li.schema.fields)
+    ends = ap.partition_fold(li, lambda: None, step, lambda held: held if held is not None else pa.table({}), kinds)
+    # at most TOP_LINES rows a partition and flag are left to rank
+    place = Window.partitionBy("l_returnflag").orderBy(F.desc("l_extendedprice"), "l_orderkey", "l_linenumber")
+    return ends.withColumn("place", F.row_number().over(place)).where(F.col("place") <= TOP_LINES)
+
+
 @query("partition_map", """
 SELECT l_orderkey, l_linenumber, l_returnflag,
        CASE l_returnflag WHEN 'A' THEN 'AC' WHEN 'N' THEN 'NO' WHEN 'R' THEN 'RE' ELSE 'NA' END AS code
@@ -368,6 +443,29 @@ def bucketed_mean_curve(spark, sf, lo: float = 1.0, hi: float = 50.0):
     return c.select("bin", "n", *[F.round(x, R).alias(x) for x in ("x_mean", "y_mean", "y_smooth")])
 
 
+CURVE_BINS, CURVE_SPAN = 49, 0.25
+
+
+@query("local_regression_curve", f"""
+WITH p AS (SELECT p_size AS x, p_retailprice AS y, least(floor((p_size - 1.0) / 49.0 * {CURVE_BINS}), {CURVE_BINS - 1}) AS bin
+           FROM part WHERE p_size BETWEEN 1 AND 50),
+r AS (SELECT j, x - (1.0 + (j + 0.5) * 49.0 / {CURVE_BINS}) AS u, y,
+             pow(1 - pow(abs(bin - j) / {CURVE_BINS * CURVE_SPAN}, 3), 3)::DOUBLE AS w
+      FROM p JOIN (SELECT unnest(range({CURVE_BINS})) AS j) ON abs(bin - j) < {CURVE_BINS * CURVE_SPAN}),
+s AS (SELECT j, count(*) AS n, sum(w) AS s0, sum(w * u) AS s1, sum(w * u * u) AS s2, sum(w * y) AS t0, sum(w * u * y) AS t1
+      FROM r GROUP BY j),
+f AS (SELECT j, n, s0, s1, s2, (s2 * t0 - s1 * t1) / (s0 * s2 - s1 * s1) AS a, (s0 * t1 - s1 * t0) / (s0 * s2 - s1 * s1) AS b FROM s),
+e AS (SELECT r.j, sum(w * (y - a - b * u) * (y - a - b * u)) / max(s0) AS v,
+             sum(pow(w * (s2 - s1 * u) / (s0 * s2 - s1 * s1), 2)) AS l2 FROM r JOIN f ON r.j = f.j GROUP BY r.j)
+SELECT round(1.0 + (f.j + 0.5) * 49.0 / {CURVE_BINS}, 6)::DOUBLE AS x, n, round(a, 5) AS y_smooth, round(b, 5) AS slope,
+       round(sqrt(v * l2), 5) AS std_error FROM f JOIN e ON f.j = e.j
+""")
+def local_regression_curve(spark, sf, lo: float = 1.0, hi: float = 50.0):
+    """Price over size as a local linear smoother with standard errors."""
+    c = agg.local_regression_curve(table(spark, sf, "part"), "p_size", "p_retailprice", CURVE_BINS, lo, hi, CURVE_SPAN)
+    return c.select(F.round("x", 6).alias("x"), "n", *[F.round(v, 5).alias(v) for v in ("y_smooth", "slope", "std_error")])
+
+
 @query("profile_describe", f"""
 SELECT 'l_quantity' AS column_name, count(l_quantity) AS count, round(avg(l_quantity), {R}) AS mean,
        round(stddev_samp(l_quantity), {R}) AS stddev, min(l_quantity) AS min, max(l_quantity) AS max FROM lineitem
