@@ -7,16 +7,47 @@ parameters are bounded by the number of terms / clusters / classes.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import RFormula, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 
+FIT_BYTES = 16 << 20  # of a partition that a fit passes over again and again
+
+
+def dealt_by_key(df: DataFrame, key: str, width: Column, part_bytes: int = FIT_BYTES) -> DataFrame:
+    """``df`` dealt and ordered by ``key`` into as many partitions as its bytes (the sum of ``width``) ask for.
+
+    Seeded fits draw per partition. Their number depends on the data alone here, not
+    on files, session or cluster, so a seed gives the same fit wherever it runs.
+    """
+    size = df.agg(F.sum(width)).first()[0] or 0
+    return df.repartition(max(1, -(-int(size) // part_bytes)), key).sortWithinPartitions(key)
+
+
+@contextmanager
+def persisted(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` kept in memory, and on disk what does not fit, until the block ends."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist(blocking=True)
+
+
+def fit_persisted(estimator, df: DataFrame):
+    """Fit over rows that are read once and kept for the fit's passes; nothing stays stored afterwards."""
+    with persisted(df) as rows:
+        return estimator.fit(rows)
+
+
 def formula_pipeline(formula: str, estimator=None, **rformula_opts) -> Pipeline:
     """R-style formula (``~ . : + -``) to a features/label pipeline (+ estimator)."""
     stages = [RFormula(formula=formula, **rformula_opts)]

@@ -11,6 +11,7 @@ from pyspark.ml.classification import (DecisionTreeClassifier, FMClassifier, GBT
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans, PowerIterationClustering
 from pyspark.ml.feature import StopWordsRemover, StringIndexer
 from pyspark.ml.fpm import FPGrowth
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import (DecisionTreeRegressor, FMRegressor, GBTRegressor, GeneralizedLinearRegression,
                                    LinearRegression, RandomForestRegressor)
@@ -29,7 +30,6 @@ from tessera.sources.tables import table
 
 # fixed values: seeds and sizes of the fits
 SEED = 1099
-FIT_PARTITIONS = 8
 FP_MIN_SUPPORT = 0.01
 FP_MIN_CONFIDENCE = 0.5
 SEQ_MIN_SUPPORT = 0.1
@@ -38,9 +38,8 @@ GROWN_MIN_SUPPORT = 0.06
 
 def _emb(spark, sf) -> DataFrame:
     """Whole vectors, dealt and ordered by key so that seeds act alike however the files are cut."""
-    e = table(spark, sf, "embeddings").repartition(FIT_PARTITIONS, "vec_id").sortWithinPartitions("vec_id")
-    return ml.embedding_vectors(e).select("vec_id", F.col("label").cast("double").alias("label"),
-                                                      "features")
+    e = ml.dealt_by_key(table(spark, sf, "embeddings"), "vec_id", 8 * F.size("embedding"))
+    return ml.embedding_vectors(e).select("vec_id", F.col("label").cast("double").alias("label"), "features")
 
 
 def _binary_emb(spark, sf) -> DataFrame:
@@ -81,7 +80,7 @@ def formula_features(spark, sf):
 
 def _kmeans(spark, sf):
     df = _emb(spark, sf)
-    model = KMeans(k=3, seed=1, maxIter=50).fit(df)
+    model = ml.fit_persisted(KMeans(k=3, seed=1, maxIter=50), df)
     return df, model
 
 
@@ -111,7 +110,7 @@ def kmeans_contingency(spark, sf):
 @query("ml_bisecting_kmeans")
 def ml_bisecting_kmeans(spark, sf):
     df = _emb(spark, sf)
-    model = BisectingKMeans(k=3, seed=2, maxIter=20).fit(df)
+    model = ml.fit_persisted(BisectingKMeans(k=3, seed=2, maxIter=20), df)
     return ml.cluster_sizes(model.transform(df)).withColumnRenamed("prediction", "cluster")
 
 
@@ -119,7 +118,7 @@ def ml_bisecting_kmeans(spark, sf):
 def ml_gmm(spark, sf):
     """Gaussian mixture over all features: weight and mean per component and feature."""
     df = _emb(spark, sf)
-    model = GaussianMixture(k=3, seed=3, maxIter=50).fit(df)
+    model = ml.fit_persisted(GaussianMixture(k=3, seed=3, maxIter=50), df)
     g = model.gaussiansDF.collect()  # k rows
     rows = [(i, float(w), j, float(v)) for i, w in enumerate(model.weights) for j, v in enumerate(g[i]["mean"])]
     return spark.createDataFrame(rows, "component int, weight double, feature int, mean double")
@@ -249,7 +248,7 @@ def ml_fm_regressor(spark, sf):
 def ml_tree(spark, sf):
     """Decision trees: regression (part price by size) and classification (embedding labels)."""
     reg = DecisionTreeRegressor(maxDepth=5, seed=9).fit(_part_xy(spark, sf))
-    cls = DecisionTreeClassifier(maxDepth=5, seed=9).fit(_emb(spark, sf))
+    cls = ml.fit_persisted(DecisionTreeClassifier(maxDepth=5, seed=9), _emb(spark, sf))
     return ml.metrics_table(spark, [("regressor", "depth", reg.depth), ("regressor", "nodes", reg.numNodes),
                                     ("classifier", "depth", cls.depth), ("classifier", "nodes", cls.numNodes),
                                     ("classifier", "classes", cls.numClasses)])
@@ -258,7 +257,7 @@ def ml_tree(spark, sf):
 @query("ml_gbt")
 def ml_gbt(spark, sf):
     cls_df = _binary_emb(spark, sf)
-    cls = GBTClassifier(maxIter=20, maxDepth=3, seed=10).fit(cls_df)
+    cls = ml.fit_persisted(GBTClassifier(maxIter=20, maxDepth=3, seed=10), cls_df)
     acc = cls.transform(cls_df).agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
     reg_df = _part_xy(spark, sf)
     reg = GBTRegressor(maxIter=20, maxDepth=3, seed=10).fit(reg_df)
@@ -283,16 +282,18 @@ def _rf_split(spark, sf):
     return hash_split(df, ["vec_id"], {"training": 0.75, "test": 0.25}, seed=SEED)
 
 
-@query("rf_confusion")
-def rf_confusion(spark, sf):
-    """Random forest (20 trees) on all features; held-out label-by-prediction table.
-
-    The label index is fitted once, on training rows, inside the pipeline.
-    """
+def _rf_model(spark, sf) -> tuple[PipelineModel, DataFrame]:
+    """The label index is fitted once, on training rows, inside the pipeline."""
     data = _rf_split(spark, sf)
     idx = StringIndexer(inputCol="label_text", outputCol="label_idx")
     rf = RandomForestClassifier(labelCol="label_idx", featuresCol="features", numTrees=20, maxDepth=5, seed=SEED)
-    model = Pipeline(stages=[idx, rf]).fit(data.filter(F.col("split") == "training"))
+    return ml.fit_persisted(Pipeline(stages=[idx, rf]), data.filter(F.col("split") == "training")), data
+
+
+@query("rf_confusion")
+def rf_confusion(spark, sf):
+    """Random forest (20 trees) on all features; held-out label-by-prediction table."""
+    model, data = _rf_model(spark, sf)
     pred = model.transform(data.filter(F.col("split") == "test"))
     return pred.groupBy("label_text", "label_idx", "prediction").agg(F.count(F.lit(1)).alias("n"))
 
@@ -309,13 +310,13 @@ def string_index(spark, sf):
 
 @query("ml_logit")
 def ml_logit(spark, sf):
-    m = LogisticRegression(maxIter=100, regParam=0.01).fit(_binary_emb(spark, sf))
+    m = ml.fit_persisted(LogisticRegression(maxIter=100, regParam=0.01), _binary_emb(spark, sf))
     return _coef_table(spark, [f"e{i}" for i in range(len(m.coefficients))], m.coefficients, m.intercept)
 
 
 @query("ml_svm")
 def ml_svm(spark, sf):
-    m = LinearSVC(maxIter=50, regParam=0.01).fit(_binary_emb(spark, sf))
+    m = ml.fit_persisted(LinearSVC(maxIter=50, regParam=0.01), _binary_emb(spark, sf))
     return _coef_table(spark, [f"e{i}" for i in range(len(m.coefficients))], m.coefficients, m.intercept)
 
 
@@ -327,33 +328,97 @@ def _scored(pred: DataFrame, key: str = "vec_id") -> DataFrame:
 def ml_logit_predict(spark, sf):
     """The predicted class of every row."""
     df = _binary_emb(spark, sf)
-    return _scored(LogisticRegression(maxIter=100, regParam=0.01).fit(df).transform(df))
+    return _scored(ml.fit_persisted(LogisticRegression(maxIter=100, regParam=0.01), df).transform(df))
 
 
 @query("ml_svm_predict")
 def ml_svm_predict(spark, sf):
     df = _binary_emb(spark, sf)
-    return _scored(LinearSVC(maxIter=50, regParam=0.01).fit(df).transform(df))
+    return _scored(ml.fit_persisted(LinearSVC(maxIter=50, regParam=0.01), df).transform(df))
+
+
+@query("ml_gbt_predict")
+def ml_gbt_predict(spark, sf):
+    """Boosted trees: the predicted class of every vector."""
+    df = _binary_emb(spark, sf)
+    return _scored(ml.fit_persisted(GBTClassifier(maxIter=20, maxDepth=3, seed=10), df).transform(df))
+
+
+@query("ml_mlp_predict")
+def ml_mlp_predict(spark, sf):
+    """Multilayer perceptron: the predicted label of every vector."""
+    df = _emb(spark, sf)
+    mlp = MultilayerPerceptronClassifier(layers=[64, 16, 10], maxIter=100, seed=13, blockSize=128)
+    return _scored(ml.fit_persisted(mlp, df).transform(df))
+
+
+@query("ml_fm_predict")
+def ml_fm_predict(spark, sf):
+    """Factorization machine: the predicted class of every vector."""
+    df = _binary_emb(spark, sf)
+    return _scored(ml.fit_persisted(FMClassifier(factorSize=4, maxIter=50, seed=14, stepSize=0.01), df).transform(df))
+
+
+@query("ml_gmm_assignments")
+def ml_gmm_assignments(spark, sf):
+    """Gaussian mixture: the likeliest component of every vector and its probability."""
+    df = _emb(spark, sf)
+    model = ml.fit_persisted(GaussianMixture(k=3, seed=3, maxIter=50), df)
+    return model.transform(df).select("vec_id", F.col("prediction").alias("component"),
+                                      F.array_max(vector_to_array("probability")).alias("probability"))
+
+
+@query("ml_bisecting_assignments")
+def ml_bisecting_assignments(spark, sf):
+    """Bisecting k-means: the cluster of every vector."""
+    df = _emb(spark, sf)
+    model = ml.fit_persisted(BisectingKMeans(k=3, seed=2, maxIter=20), df)
+    return model.transform(df).select("vec_id", F.col("prediction").alias("cluster"))
+
+
+@query("rf_predict")
+def rf_predict(spark, sf):
+    """Random forest: label and predicted label of every held-out vector."""
+    model, data = _rf_model(spark, sf)
+    pred = model.transform(data.filter(F.col("split") == "test"))
+    named = F.element_at(F.array(*map(F.lit, model.stages[0].labels)), (F.col("prediction") + 1).cast("int"))
+    return pred.select("vec_id", "label_text", named.alias("predicted_text"))
+
+
+@query("ml_fm_regressor_predict")
+def ml_fm_regressor_predict(spark, sf):
+    """Factorization machine: the predicted price of every part."""
+    df = _part_xy(spark, sf)
+    model = FMRegressor(factorSize=4, maxIter=50, seed=5, stepSize=0.01).fit(df)
+    return model.transform(df).select("p_partkey", "label", "prediction")
+
+
+@query("ml_rf_regressor_predict")
+def ml_rf_regressor_predict(spark, sf):
+    """Random forest: the predicted price of every part."""
+    df = _part_xy(spark, sf)
+    model = RandomForestRegressor(numTrees=20, maxDepth=5, seed=11).fit(df)
+    return model.transform(df).select("p_partkey", "label", "prediction")
 
 
 @query("ml_tree_predict")
 def ml_tree_predict(spark, sf):
     """Decision tree: the predicted label of every vector."""
     df = _emb(spark, sf)
-    return _scored(DecisionTreeClassifier(maxDepth=5, seed=9).fit(df).transform(df))
+    return _scored(ml.fit_persisted(DecisionTreeClassifier(maxDepth=5, seed=9), df).transform(df))
 
 
 @query("ml_mlp")
 def ml_mlp(spark, sf):
     df = _emb(spark, sf)
-    m = MultilayerPerceptronClassifier(layers=[64, 16, 10], maxIter=100, seed=13, blockSize=128).fit(df)
+    m = ml.fit_persisted(MultilayerPerceptronClassifier(layers=[64, 16, 10], maxIter=100, seed=13, blockSize=128), df)
     return ml.confusion(m.transform(df), "label")
 
 
 @query("ml_fm_classifier")
 def ml_fm_classifier(spark, sf):
     df = _binary_emb(spark, sf)
-    m = FMClassifier(factorSize=4, maxIter=50, seed=14, stepSize=0.01).fit(df)
+    m = ml.fit_persisted(FMClassifier(factorSize=4, maxIter=50, seed=14, stepSize=0.01), df)
     return ml.confusion(m.transform(df), "label")
 
 
@@ -368,22 +433,48 @@ UNION ALL SELECT l_returnflag, 'l_tax', round(ln(s2 + 1) - ln(s0 + s1 + s2 + 3),
 """
 
 
+NB_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+
+
+def _naive_bayes(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", *NB_FEATURES)
+    df, labels = ml.indexed_labels(ml.assemble(li, NB_FEATURES), "l_returnflag")
+    return df, labels, NaiveBayes(smoothing=1.0, modelType="multinomial").fit(df)
+
+
 @query("ml_naive_bayes", NB_SQL)
 def ml_naive_bayes(spark, sf):
     """Multinomial naive Bayes (smoothing 1): log priors and log term probabilities per class."""
-    li = table(spark, sf, "lineitem").select("l_returnflag", "l_quantity", "l_discount", "l_tax")
-    feats = ["l_quantity", "l_discount", "l_tax"]
-    df, labels = ml.indexed_labels(ml.assemble(li, feats), "l_returnflag")
-    m = NaiveBayes(smoothing=1.0, modelType="multinomial").fit(df)
+    _, labels, m = _naive_bayes(spark, sf)
     theta = m.theta.toArray()
     rows = []
     for c, name in enumerate(labels):
         rows.append((name, "prior", round(float(m.pi[c]), 9)))
-        for j, f in enumerate(feats):
+        for j, f in enumerate(NB_FEATURES):
             rows.append((name, f, round(float(theta[c][j]), 9)))
     return spark.createDataFrame(rows, "l_returnflag string, term string, value double")
 
 
+@query("ml_naive_bayes_predict", """
+WITH s AS (SELECT l_returnflag AS flag, count(*) AS nc, sum(l_quantity) AS s0, sum(l_discount) AS s1, sum(l_tax) AS s2
+           FROM lineitem GROUP BY 1),
+m AS (SELECT flag, ln((nc + 1) / (sum(nc) OVER () + count(*) OVER ())) AS p, ln((s0 + 1) / (s0 + s1 + s2 + 3)) AS t0,
+             ln((s1 + 1) / (s0 + s1 + s2 + 3)) AS t1, ln((s2 + 1) / (s0 + s1 + s2 + 3)) AS t2 FROM s)
+SELECT l_returnflag, predicted, count(*) AS n, sum(l_quantity) AS quantity FROM (
+  SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity,
+         arg_max(flag, p + l_quantity * t0 + l_discount * t1 + l_tax * t2) AS predicted
+  FROM (SELECT *, row_number() OVER () AS row FROM lineitem), m
+  GROUP BY row, l_orderkey, l_linenumber, l_returnflag, l_quantity)
+GROUP BY ALL
+""")
+def ml_naive_bayes_predict(spark, sf):
+    """The predicted flag of every line, counted beside its own, with the lines' quantity."""
+    df, labels, m = _naive_bayes(spark, sf)
+    named = F.element_at(F.array(*map(F.lit, labels)), (F.col("prediction") + 1).cast("int"))
+    return (m.transform(df).groupBy("l_returnflag", named.alias("predicted"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity")))
+
+
 # ---------------------------------------------------------------- recommendation, patterns, tests
 
 @query("ml_als")

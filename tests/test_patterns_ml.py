@@ -160,7 +160,8 @@ def test_lda_every_word_is_a_feature_of_its_own(spark):
 
 def test_predictions_cover_every_row(spark):
     n = table(spark, SF_SMALL, "embeddings").count()
-    for name in ("kmeans_assignments", "ml_logit_predict", "ml_svm_predict", "ml_tree_predict"):
+    for name in ("kmeans_assignments", "ml_logit_predict", "ml_svm_predict", "ml_tree_predict", "ml_gbt_predict", "ml_mlp_predict",
+                 "ml_fm_predict", "ml_gmm_assignments", "ml_bisecting_assignments"):
         rows = QUERIES[name](spark, SF_SMALL).collect()
         assert len({r["vec_id"] for r in rows}) == len(rows) == n, name
 
@@ -215,3 +216,28 @@ import os; print(os.path.isdir(kept[0]), kept[0])
     assert out[0] == "refused True"
     there, path = out[1].split()
     assert there == "True" and not __import__("os").path.exists(path)  # gone with its process
+
+
+@pytest.mark.parametrize("name", ["rf_predict", "kmeans_assignments", "ml_mlp_predict"])
+def test_fits_do_not_depend_on_how_rows_are_dealt(spark, name):
+    """The same rows at other file splits and shuffle partitions; nothing stays stored."""
+    keys = {"spark.sql.shuffle.partitions": ("8", "3"), "spark.sql.files.maxPartitionBytes": ("128m", "8k")}
+    got = []
+    for i in range(2):
+        for key, values in keys.items():
+            spark.conf.set(key, values[i])
+        try:
+            got.append(sorted(tuple(r) for r in QUERIES[name](spark, SF_SMALL).collect()))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got[0] == got[1] and got[0]
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+
+
+def test_partitions_of_a_fit_follow_the_bytes(spark):
+    from tessera.operators import ml
+
+    df = spark.range(1000).repartition(7)
+    assert ml.dealt_by_key(df, "id", F.lit(8), part_bytes=1000).rdd.getNumPartitions() == 8
+    assert ml.dealt_by_key(df.limit(0), "id", F.lit(8)).rdd.getNumPartitions() <= 1
