@@ -41,7 +41,7 @@ from tessera.session import materialize
 
 # tie terms added one by one; the series then starts above 7, where its error is below 1e-11
 EXPLICIT = 6
-STEPS_PER_JOB = 3
+STEPS_PER_JOB = 5
 MAX_STEP = 5.0  # longest Newton step on the log scale
 MIN_INFO = 1e-9  # least information per event that counts as estimable
 
@@ -84,10 +84,8 @@ _LAYERS = [
 
 def _tie_sums(rows: DataFrame, beta: str) -> DataFrame:
     """Add theta, p, q, a1 = sum 1/a_r, a2 = sum 1/a_r^2 and the same weighted by 1 - r/d (b1, b2)."""
-    rows = rows.withColumn("theta", F.exp(beta))
-    for layer in _LAYERS:
-        rows = rows.withColumns({name: F.expr(text) for name, text in layer.items()})
-    return rows
+    # one projection whose names may be used by those after them: analysed once, not layer by layer
+    return rows.selectExpr("*", f"exp({beta}) AS theta", *[f"{text} AS {name}" for layer in _LAYERS for name, text in layer.items()])
 
 
 def _xbar_sum() -> Column:
