@@ -151,7 +151,7 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1
 
         held = 0
         for batch in batches:
-            for some in W.text_slices(batch, max_bytes=2 * segment_ids):
+            for some in W.text_slices(batch, max_bytes=4 * segment_ids):
                 raw, bounds = pieces.encode(some.column("text"))
                 n = some.num_rows
                 ids = np.full(len(raw) + n, end_id, np.uint32)

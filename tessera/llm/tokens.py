@@ -33,6 +33,7 @@ SPECIAL_START = "<|"
 NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 CUTTERS = ["Split", "ByteLevel"]
 CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+STOPS = (b".", b",")
 # printable ASCII and Latin letters without the dotted capital I, whose lower case is two characters
 PLAIN = regex.compile(r"[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
 
@@ -117,6 +118,10 @@ class PieceTable:
                 plain.append(key)
                 cuts.append([key.lower().decode()])
                 continue
+            if key[-1:] in STOPS and key[:-1].isalpha():
+                plain.append(key)
+                cuts.append([key[:-1].lower().decode(), key[-1:].decode()])
+                continue
             word = key.decode("utf-8")
             if PLAIN.fullmatch(word) and SPECIAL_START not in word:
                 low = word.lower()
