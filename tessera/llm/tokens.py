@@ -39,7 +39,7 @@ PLAIN = regex.compile(r"[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-
 
 BLANKS = np.zeros(256, dtype=bool)
 BLANKS[[0x20, 0x09, 0x0A, 0x0D]] = True
-MAX_PIECES = 500_000  # words, and pieces, remembered by one Python worker
+MAX_PIECES = 250_000  # words, and pieces, remembered by one Python worker
 JOINED = 256
 
 
