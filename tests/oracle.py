@@ -57,6 +57,8 @@ def _norm(v):
 
 def rows_of(pdf: pd.DataFrame) -> list[tuple]:
     cols = sorted(pdf.columns)
+    # whole numbers with NULLs: Spark's come as floats, DuckDB's as nullable integers
+    pdf = pdf.astype({c: "float64" for c in cols if pdf[c].dtype.name == "Int64" and pdf[c].isna().any()})
     out = []
     for rec in pdf[cols].itertuples(index=False, name=None):
         out.append(tuple(_norm(None if (isinstance(x, float) and math.isnan(x)) or x is pd.NaT or x is None
