@@ -65,7 +65,7 @@ def test_stages_survive_odd_rows_and_an_empty_table(spark):
 def test_stages_are_named():
     assert [n for n, _ in C.STAGES] == ["toxicity", "line_dedup", "simhash_near_dedup", "benchmark_decontamination",
                                         "best_fit_packing"]
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
