@@ -23,6 +23,7 @@ from tessera.functions.scalar import no_negative_zero
 from tessera.operators import ml
 from tessera.operators.lda import fit_lda
 from tessera.operators.patterns import sequential_pairs, sequential_patterns
+from tessera.operators.power import shared_event_clusters, shared_event_sql
 from tessera.operators.sampling import hash_split
 from tessera.plans.registry import query
 from tessera.session import materialize, scratch_path
@@ -194,6 +195,18 @@ def ml_pic(spark, sf):
                       F.floor(F.col("id") / 2).cast("bigint").alias("key"), "cluster")
 
 
+@query("ml_pic_suppliers", oracle=f"""
+WITH {shared_event_sql("SELECT DISTINCT l_suppkey AS member, l_orderkey AS event FROM lineitem "
+                       "WHERE l_suppkey IS NOT NULL AND l_orderkey IS NOT NULL")}
+SELECT member AS l_suppkey, n_events AS n_orders, degree, round(v * (SELECT count(*) FROM base), 6) AS "position", cluster
+FROM placed""")
+def ml_pic_suppliers(spark, sf):
+    """Power iteration clustering of suppliers linked by shared orders, without listing pairs of suppliers."""
+    found = shared_event_clusters(table(spark, sf, "lineitem"), "l_suppkey", "l_orderkey")
+    return found.select("l_suppkey", F.col("n_events").alias("n_orders"), "degree",
+                        F.round("position", 6).alias("position"), "cluster")
+
+
 # ---------------------------------------------------------------- regression
 
 LINREG_SQL = """
