@@ -4,6 +4,8 @@ number of terms); predictions and evaluation stay distributed."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, FMClassifier, GBTClassifier, LinearSVC,
                                        LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes,
@@ -628,6 +630,30 @@ def model_roundtrip(spark, sf):
                     F.max(F.abs(F.col("p1") - F.col("p2"))).alias("max_abs_diff"))
 
 
+SAVED_KINDS = ("gbt", "glm", "kmeans", "random_forest")
+
+
+@query("model_roundtrips", " UNION ALL ".join(
+    f"SELECT '{kind}' AS model, count(*) AS n, count(*) AS n_equal FROM embeddings" for kind in SAVED_KINDS))
+def model_roundtrips(spark, sf):
+    """Save and load a tree ensemble, boosted trees, a k-means and a GLM; rows whose prediction stays the same."""
+    rows = _binary_emb(spark, sf)
+    fits = {"gbt": GBTClassifier(maxIter=5, maxDepth=3, seed=SEED),
+            "glm": GeneralizedLinearRegression(family="gaussian", link="identity", regParam=0.1),
+            "kmeans": KMeans(k=4, seed=SEED, maxIter=5),
+            "random_forest": RandomForestClassifier(numTrees=5, maxDepth=4, seed=SEED)}
+    found = []
+    for kind in SAVED_KINDS:
+        model = ml.fit_persisted(fits[kind], rows)
+        path = scratch_path(spark, kind)
+        model.write().save(path)
+        first = model.transform(rows).select("vec_id", "features", F.col("prediction").alias("p1"))
+        both = type(model).load(path).transform(first)
+        found.append(both.agg(F.lit(kind).alias("model"), F.count(F.lit(1)).alias("n"),
+                              F.count_if(F.col("p1").eqNullSafe(F.col("prediction"))).alias("n_equal")))
+    return reduce(DataFrame.unionByName, found)
+
+
 @query("linreg_no_intercept", """
 SELECT round(sum(l_extendedprice * l_quantity) / sum(l_quantity * l_quantity), 6) AS slope, 0.0::DOUBLE AS intercept
 FROM lineitem
