@@ -4,7 +4,7 @@ Each stage takes the documents its predecessor kept, written as Parquet and
 read again, and all but the last return rows with the columns of documents:
 
 1. toxicity: documents that score at least 0.7 go;
-2. line_dedup: lines of recurring templates go, the documents stay;
+2. line_dedup: lines of recurring templates go, the documents stay (whole copies are left to the next stage);
 3. simhash_near_dedup: of each group of near-duplicates the smallest doc_id stays;
 4. benchmark_decontamination: documents that hold a benchmark window go;
 5. best_fit_packing: one row per token piece with its sequence and offset.
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.decontam import drop_leaks
-from tessera.llm.lines import drop_recurring_lines
+from tessera.llm.linetree import drop_template_lines
 from tessera.llm.packing import pack_documents
 from tessera.llm.shared import materialize, table
 from tessera.llm.simhash import keep_one
@@ -31,7 +31,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_recurring_lines(docs)
+    return drop_template_lines(docs, copies_once=True)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

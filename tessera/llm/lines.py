@@ -1,4 +1,4 @@
-"""Line deduplication with a log-template tree, in DataFrame functions only.
+"""Line deduplication by exact template paths, the rule before :mod:`tessera.llm.linetree`.
 
 A line's template is a path of fixed depth: its number of tokens, then its
 leading tokens. Tokens that hold a digit are variable fields (``<*>``). If the
@@ -24,10 +24,10 @@ rows; extra columns stay as they are.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import materialize, spare_name, table
+from tessera.llm.shared import materialize, spare_name
 
 LEAD = 4
 TAIL = 2
@@ -81,36 +81,3 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame
         lambda x: x["line"]), "\n")
     return (marked.withColumn("text", F.when(F.col(gone).isNull(), F.col("text")).otherwise(text))
             .select(*docs.columns))
-
-
-def op9_log_template_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("text").alias("whole"))
-    n = F.when(F.col("whole").isNull(), 0).otherwise(F.size(F.split("whole", "\n")))
-    left = F.when(F.col("whole").isNull(), 0).otherwise(F.size(F.split("text", "\n")))
-    return (drop_recurring_lines(docs)
-            .select("doc_id", n.cast("long").alias("n_lines"), left.cast("long").alias("n_left"),
-                    F.length("text").cast("long").alias("n_chars_left"), F.sha2("text", 256).alias("text_sha256")))
-
-
-OP9_SQL = r"""
-with docs as (select doc_id, text, list_transform(string_split(text, chr(10)), lambda l: list_filter(
-                regexp_split_to_array(regexp_replace(l, '[^ \t\r\f\x0B]*[0-9][^ \t\r\f\x0B]*', '<*>', 'g'),
-                                      '[ \t\r\f\x0B]+'), lambda t: t <> '')) as lines from documents),
-keyed as (select doc_id, text, list_transform(lines, lambda t: case when len(t) = 0 then null else
-            len(t) || ' ' || array_to_string(t[1:4], ' ') || ' ' || array_to_string(
-              case when least(len(t), 6) >= ceil(len(t) * 0.6)
-                   then case when len(t) > 6 then t[len(t)-1:len(t)] else t[5:] end else t[5:] end, ' ') end) as keys
-          from docs),
-long as (select doc_id, text, string_split(text, chr(10)) as lines, unnest(keys) as k,
-                generate_subscripts(keys, 1) as i from keyed),
-recurring as (select k, min(doc_id) as keeper from long where k is not null group by k
-              having count(distinct text) >= 10),
-kept as (select l.doc_id, l.lines[l.i] as line, l.i from long l left join recurring r on l.k = r.k
-         where r.k is null or l.doc_id = r.keeper),
-left_over as (select doc_id, count(*) as n, string_agg(line, chr(10) order by i) as text from kept group by doc_id)
-select d.doc_id, coalesce(len(string_split(d.text, chr(10))), 0)::bigint as n_lines,
-       case when d.text is null then 0 else coalesce(k.n, 1) end::bigint as n_left,
-       length(case when d.text is null then null else coalesce(k.text, '') end)::bigint as n_chars_left,
-       sha256(case when d.text is null then null else coalesce(k.text, '') end) as text_sha256
-from documents d left join left_over k on d.doc_id = k.doc_id
-"""

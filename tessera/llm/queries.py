@@ -6,7 +6,7 @@ import corpus_pipeline
 from tessera.llm.chat import OP10_SQL, op10_chat_round_trip
 from tessera.llm.decontam import op7_wu_manber_decontamination
 from tessera.llm.licenses import op4_license_scan
-from tessera.llm.lines import OP9_SQL, op9_log_template_lines
+from tessera.llm.linetree import OP9_SQL, op9_log_template_lines
 from tessera.llm.packing import op3_best_fit_packing
 from tessera.llm.quality import op13_quality_random_indexing
 from tessera.llm.runs import op11_periodic_runs

@@ -115,6 +115,49 @@ def lines(rows, min_docs=10):
     return out
 
 
+def template_lines(rows, copies_once=False, keys=None):
+    """[(doc_id, text left)] by the fixed-depth tree: count, block, majority token of each position."""
+    def masked(line):
+        return tuple(re.sub(r"[^ \t\r\f\x0B]*[0-9][^ \t\r\f\x0B]*", "<*>", x)
+                     for x in re.split(r"[ \t\r\f\x0B]+", line) if x)
+
+    whos, holders = collections.defaultdict(set), collections.defaultdict(set)
+    for i, t in rows:
+        for x in (t or "").split("\n"):
+            if k := masked(x):
+                whos[k].add(t if copies_once or i is None else i)
+                if copies_once or i is not None:
+                    holders[k].add(keys[t] if copies_once else i)
+    leaves = collections.defaultdict(list)
+    for k in whos:
+        n = len(k)
+        b = 3 if n >= 9 else 2 if n >= 6 else 0
+        for j in range(b):
+            leaves[n, j, k[n * j // b:n * (j + 1) // b]].append(k)
+    group = {k: (0, 0, k) for k in whos}  # (lines, -block, leaf), the largest wins
+    for leaf, ks in leaves.items():
+        if len(ks) < 2:
+            continue
+        common = [next((t for t, c in collections.Counter(col).items() if 2 * c > len(ks)), None) for col in zip(*ks)]
+        for k in ks:
+            if sum(a == b for a, b in zip(k, common)) >= 0.6 * len(k):
+                group[k] = max(group[k], (len(ks), -leaf[1], leaf), key=lambda g: g[:2])
+    members = collections.defaultdict(list)
+    for k, g in group.items():
+        members[g].append(k)
+    keeper = {}
+    for g, ks in members.items():
+        if len(set().union(*(whos[k] for k in ks))) > 1:
+            held = set().union(*(holders[k] for k in ks))
+            keeper.update(dict.fromkeys(ks, min(held) if held else None))
+    out = []
+    for i, t in rows:
+        own = keys[t] if copies_once and t is not None else i
+        out.append((i, None if t is None else "\n".join(
+            x for x in t.split("\n") if (k := masked(x)) not in keeper or (own is not None and keeper[k] == own))))
+    return out
+
+
 def token_ids(texts, path):
     from tokenizers import Tokenizer
 
