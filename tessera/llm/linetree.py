@@ -36,17 +36,18 @@ from tessera.llm.shared import materialize, spare_name, table
 HALVES, THIRDS = 6, 9  # tokens from which a line has two, three blocks
 SIMILAR = 0.6
 _SPACE = r" \t\r\f\x0B"
-_BLANKS = " \t\r\f\x0b"
 
 
-def tokens(line: Column) -> Column:
-    """Tokens of a line, those with a digit masked; a blank line has one empty token."""
-    masked = F.regexp_replace(line, f"[^0-9{_SPACE}]*+[0-9][^{_SPACE}]*", "<*>")
-    return F.split(F.btrim(masked, F.lit(_BLANKS)), f"[{_SPACE}]+")
+def plain(line: Column) -> Column:
+    """A line's tokens with one space between, those with a digit masked; empty for a blank line."""
+    masked = F.regexp_replace(line, f"(?<![^{_SPACE}])[^0-9{_SPACE}]*+[0-9][^{_SPACE}]*", "<*>")
+    # most lines have neither digits nor odd white space: no pattern is replaced there
+    odd = line.rlike(r"[0-9\t\r\f\x0B]|  ")
+    return F.btrim(F.when(odd, F.regexp_replace(masked, f"[{_SPACE}]+", " ")).otherwise(line))
 
 
 def line_key(line: Column) -> Column:
-    return F.xxhash64(tokens(line))
+    return F.xxhash64(plain(line))
 
 
 def _blocks() -> list[Column]:
@@ -95,11 +96,12 @@ def drop_template_lines(docs: DataFrame, copies_once: bool = False) -> DataFrame
     who = th if copies_once else F.coalesce(F.col("doc_id").cast("long"), th)
     cut = (docs.select("doc_id", th.alias("th"), who.alias("who"),
                        F.explode(F.array_distinct(F.split("text", "\n"))).alias("raw"))
-           .select("doc_id", "th", "who", tokens(F.col("raw")).alias("t"))
-           .select("doc_id", "th", "who", "t", F.size("t").alias("n"), F.xxhash64("t").alias("key"))
-           .select("doc_id", "th", "who", "key", F.array_join("t", " ").alias("line"),
-                   *[h.alias(f"h{j}") for j, h in enumerate(_blocks())])
-           .where("line <> ''"))
+           .where(F.col("raw").rlike(f"[^{_SPACE}]"))
+           .select("doc_id", "th", "who", plain(F.col("raw")).alias("line"))
+           .select("*", F.split("line", " ").alias("t"))
+           .select("doc_id", "th", "who", "line", "t", F.size("t").alias("n"))
+           .select("doc_id", "th", "who", F.xxhash64("line").alias("key"), "line",
+                   *[h.alias(f"h{j}") for j, h in enumerate(_blocks())]))
     lines = materialize(cut)
     holder = "th" if copies_once else "doc_id"
     lost = (lines.select("doc_id", "th", "key").join(_templates(lines, holder), "key")
