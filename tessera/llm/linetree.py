@@ -69,9 +69,10 @@ def _templates(lines: DataFrame, holder: str) -> DataFrame:
     paths = (kinds.select("key", F.posexplode(F.array("h0", "h1", "h2")).alias("j", "leaf")).where("leaf is not null"))
     shared = paths.groupBy("leaf").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = materialize(paths.join(shared, "leaf"))
-    texts = (lines.select("key", "line").join(members.select("key").distinct(), "key")
-             .groupBy("key").agg(F.first("line").alias("line")))
-    members = materialize(members.join(texts, "key"))
+    # written, so that Spark knows the keys' size before the lines are shuffled and can split a hot key
+    asked = materialize(members.select("key").distinct())
+    held = materialize(lines.select("key", "line").join(asked, "key"))
+    members = materialize(members.join(held.groupBy("key").agg(F.first("line").alias("line")), "key"))
     template = (members.select("leaf", "size", F.posexplode(F.split("line", " ")).alias("at", "token"))
                 .groupBy("leaf", "size", "at", "token").agg(F.count(F.lit(1)).alias("held"))
                 .where(F.col("held") * 2 > F.col("size"))
