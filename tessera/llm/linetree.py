@@ -95,8 +95,9 @@ def drop_template_lines(docs: DataFrame, copies_once: bool = False) -> DataFrame
     gone = spare_name(docs, "gone_keys")
     th = F.xxhash64("text")
     who = th if copies_once else F.coalesce(F.col("doc_id").cast("long"), th)
-    cut = (docs.select("doc_id", th.alias("th"), who.alias("who"),
-                       F.explode(F.array_distinct(F.split("text", "\n"))).alias("raw"))
+    # texts are hashed before they are cut, once a text and not once a line
+    cut = (docs.select("doc_id", th.alias("th"), who.alias("who"), "text")
+           .select("doc_id", "th", "who", F.explode(F.array_distinct(F.split("text", "\n"))).alias("raw"))
            .where(F.col("raw").rlike(f"[^{_SPACE}]"))
            .select("doc_id", "th", "who", plain(F.col("raw")).alias("line"))
            .select("*", F.split("line", " ").alias("t"))
