@@ -107,10 +107,12 @@ def group_fold(df: DataFrame, keys: Sequence[str], start: Callable[[], Any], upd
                max_states: int = 10_000) -> DataFrame:
     """A user's aggregate per group: keys, then the columns of ``schema`` that ``finish`` gives.
 
-    Tasks keep one state per group of theirs (beyond ``max_states`` they hand them on and
-    start anew) and update it batch by batch; only states travel, and are merged one
-    after another in key order. Neither a hot group nor many groups need memory
-    beyond the states, so a group may be of any size. NULL keys form a group.
+    Rows are dealt and ordered by their keys, so that a batch holds few groups and the number
+    of updates grows with the groups and the batches, not with their product. Adaptive
+    execution splits a hot group over tasks. Tasks keep one state per group of theirs
+    (beyond ``max_states`` they hand them on and start anew) and update it batch by
+    batch; states are merged one after another in key order. Neither a hot group nor many
+    groups need memory beyond the states, so a group may be of any size. NULL keys form a group.
     """
     keys = list(keys)
     key_schema = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
@@ -167,7 +169,8 @@ def group_fold(df: DataFrame, keys: Sequence[str], start: Callable[[], Any], upd
         if held is not None:
             yield out([held], kinds)
 
-    states = df.mapInArrow(partial, f"{key_schema}, state binary")
+    dealt = df.hint("rebalance", *[F.col(f"`{k}`") for k in keys]).sortWithinPartitions(*keys)
+    states = dealt.mapInArrow(partial, f"{key_schema}, state binary")
     return states.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(total, f"{key_schema}, {schema}")
 
 

@@ -146,3 +146,16 @@ def test_local_regression_follows_a_line_and_its_noise(spark):
     rows = local_regression_curve(one, "x", "y", 10, 0.0, 10.0, 0.2).collect()
     assert rows and all(x["y_smooth"] == pytest.approx(2) and x["slope"] is None and x["std_error"] is None for x in rows)
     assert local_regression_curve(line.limit(0), "x", "y", 5, 0.0, 1.0, 0.2).count() == 0
+
+
+def test_group_fold_updates_grow_with_groups_not_with_batches_of_them(spark):
+    """Every batch of the input holds every key; a state is the number of its updates and of its rows."""
+    df = spark.range(4000).select((F.col("id") % 40).alias("k"), "id").repartition(4, "id")
+    _batches(spark, 100)
+    try:
+        got = ap.group_fold(df, ["k"], lambda: (0, 0), lambda s, pdf: (s[0] + 1, s[1] + len(pdf)),
+                            lambda a, b: (a[0] + b[0], a[1] + b[1]), lambda s: s, "updates bigint, n bigint").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == 40 and all(r["n"] == 100 for r in got)
+    assert sum(r["updates"] for r in got) <= 40 + 4000 // 100 + 8  # 40 a batch, 1600 in all, by the input's batches
