@@ -48,6 +48,16 @@ def fit_persisted(estimator, df: DataFrame):
         return estimator.fit(rows)
 
 
+def counted_rows(df: DataFrame, weight: str) -> DataFrame:
+    """The different rows of ``df`` with their number as ``weight``, written once.
+
+    A maximum-likelihood fit with these weights is the fit of all rows, in passes over the different ones only.
+    """
+    from tessera.session import materialize
+
+    return materialize(df.groupBy(*df.columns).agg(F.count(F.lit(1)).cast("double").alias(weight)))
+
+
 def formula_pipeline(formula: str, estimator=None, **rformula_opts) -> Pipeline:
     """R-style formula (``~ . : + -``) to a features/label pipeline (+ estimator)."""
     stages = [RFormula(formula=formula, **rformula_opts)]

@@ -678,10 +678,15 @@ def formula_dot(spark, sf):
 
 
 def _two_group_glm(spark, sf, label: str, family: str) -> DataFrame:
-    """GLM with log link of a lineitem column on the return flag (R or not)."""
+    """GLM with log link of a lineitem column on the return flag (R or not).
+
+    Equal rows go into the fit as one row with their number as its weight.
+    """
     li = table(spark, sf, "lineitem").select(F.col(label).cast("double").alias("label"),
                                              (F.col("l_returnflag") == "R").cast("double").alias("returned"))
-    m = GeneralizedLinearRegression(family=family, link="log", maxIter=50, tol=1e-12).fit(ml.assemble(li, ["returned"]))
+    li = ml.counted_rows(li, "n")
+    fit = GeneralizedLinearRegression(family=family, link="log", maxIter=50, tol=1e-12, weightCol="n")
+    m = ml.fit_persisted(fit, ml.assemble(li, ["returned"]))
     return spark.createDataFrame([(round(float(m.intercept), 6), round(float(m.coefficients[0]), 6))],
                                  "intercept double, returned double")
 

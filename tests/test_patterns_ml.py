@@ -241,3 +241,21 @@ def test_partitions_of_a_fit_follow_the_bytes(spark):
     df = spark.range(1000).repartition(7)
     assert ml.dealt_by_key(df, "id", F.lit(8), part_bytes=1000).rdd.getNumPartitions() == 8
     assert ml.dealt_by_key(df.limit(0), "id", F.lit(8)).rdd.getNumPartitions() <= 1
+
+
+@pytest.mark.parametrize("name,column", [("ml_glm_poisson", "l_linenumber"), ("ml_glm_gamma", "l_extendedprice")])
+def test_two_group_fits_pass_over_different_rows_only(spark, monkeypatch, name, column):
+    """Equal rows reach the fit as one row, whose weight is their number."""
+    from tessera.operators import ml
+
+    seen, fit = [], ml.fit_persisted
+
+    def watched(estimator, df):
+        seen.append((df.count(), df.agg(F.sum("n")).first()[0]))
+        return fit(estimator, df)
+
+    monkeypatch.setattr(ml, "fit_persisted", watched)
+    QUERIES[name](spark, SF_SMALL)
+    li = table(spark, SF_SMALL, "lineitem")
+    different = li.select(column, F.col("l_returnflag") == "R").distinct().count()
+    assert seen == [(different, li.count())]
