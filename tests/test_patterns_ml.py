@@ -259,3 +259,41 @@ def test_two_group_fits_pass_over_different_rows_only(spark, monkeypatch, name,
     li = table(spark, SF_SMALL, "lineitem")
     different = li.select(column, F.col("l_returnflag") == "R").distinct().count()
     assert seen == [(different, li.count())]
+
+
+@pytest.mark.parametrize("long_from", [12, 10_000])
+def test_grown_patterns_travel_by_place_not_by_pattern(spark, monkeypatch, long_from):
+    """Cut and whole sequences give the same patterns; a level has at most one row an event, however many patterns end there."""
+    from tessera.operators import patterns as P
+
+    r = random.Random(4)
+    rows = [(s, i // 2 if s % 3 else i, i, r.choice("abc")) for s in range(30) for i in range(14 if s % 5 else 10)]
+    levels, write = [], P.materialize
+
+    def watched(df):
+        out = write(df)
+        if out.columns == ["s", "pos", "ids"]:
+            levels.append((out.count(), out.select(F.explode("ids")).count()))
+        return out
+
+    monkeypatch.setattr(P, "materialize", watched)
+    df = spark.createDataFrame(rows, "s int, t int, e int, item string").repartition(3)
+    got = {tuple(x["pattern"]): x["freq"] for x in sequential_patterns(df, "s", ["t", "e"], "item", 0.7, 4, long_from).collect()}
+    want, level = {}, [()]
+    texts = ["".join(x[3] for x in sorted((x for x in rows if x[0] == s), key=lambda x: x[1:3])) for s in range(30)]
+
+    def holds(text, pattern):
+        at = -1
+        for item in pattern:
+            at = text.find(item, at + 1)
+            if at < 0:
+                return False
+        return True
+
+    while level:
+        held = {(*p, x): sum(holds(t, (*p, x)) for t in texts) for p in level for x in "abc"}
+        held = {p: n for p, n in held.items() if n >= 21}
+        want.update(held)
+        level = list(held)
+    assert got == want and max(map(len, want)) >= 3
+    assert levels and all(n <= len(rows) for n, _ in levels) and max(n for _, n in levels) > len(rows)
