@@ -99,7 +99,7 @@ def sequential_patterns(df: DataFrame, seq: str, order: Sequence[str], item: str
     item, however many patterns end there and events follow. It goes on until no pattern is
     frequent; every level is a written table of its own, and what travels is a number per
     (pattern, sequence). Patterns are numbered within their level; only tables of patterns are sent to every task. A null item is no item. Positions must be a
-    total order within a sequence.
+    total order within a sequence. Events without a sequence count for patterns of one item only.
 
     A place is one number: the block of the order, then the event's rank in the
     sequence's part of the block. Sequences of over ``long_from`` events are cut into blocks, so none is numbered whole.
@@ -149,7 +149,7 @@ def sequential_patterns(df: DataFrame, seq: str, order: Sequence[str], item: str
         goes = F.broadcast(_by_number(
             found.select("old").crossJoin(steps.select("item").distinct()).join(steps.drop("pattern"), ["old", "item"], "left"),
             ["item"], "old", "id", "goes"))
-        ends = level.crossJoin(kept).select("s", "pos", _through("ids", "kept").alias("ids")).where("size(ids) > 0")
+        ends = level.where("s is not null").crossJoin(kept).select("s", "pos", _through("ids", "kept").alias("ids")).where("size(ids) > 0")
         ends = ends.crossJoin(goes).select("s", "item", "pos", _through("ids", "goes").alias("ids")).where("size(ids) > 0")
         grown = _next_events(ends, events, heads, cut_any).select("s", F.col("next").alias("pos"), "ids")
         level = materialize(grown.groupBy("s", "pos").agg(F.flatten(F.collect_list("ids")).alias("ids")))

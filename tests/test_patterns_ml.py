@@ -297,3 +297,10 @@ def test_grown_patterns_travel_by_place_not_by_pattern(spark, monkeypatch, long_
         level = list(held)
     assert got == want and max(map(len, want)) >= 3
     assert levels and all(n <= len(rows) for n, _ in levels) and max(n for _, n in levels) > len(rows)
+
+
+def test_events_without_a_sequence_make_single_items_only(spark):
+    rows = [(s, t, x) for s in (1, 2, 3, 4, None) for t, x in enumerate("ab")]
+    df = spark.createDataFrame(rows, "s int, t int, item string")
+    got = {tuple(x["pattern"]): x["freq"] for x in sequential_patterns(df, "s", ["t"], "item", 0.5).collect()}
+    assert got == {("a",): 5, ("b",): 5, ("a", "b"): 4}
