@@ -17,8 +17,10 @@ same text count as one and keep or lose together (the text of the least hash
 keeps): whole copies are left to a later stage.
 
 What travels: one row of hashes per line, one per different line and block, and
-the tokens only of lines that share a leaf with another line. A leaf's lines never
-meet in one task: tokens are counted per (leaf, position, token).
+the tokens only of lines that share a leaf with another line. Lines are not written
+as text: each key remembers one document that holds it, and the documents asked for
+a shared leaf's lines are cut once more. A leaf's lines never meet in one task:
+tokens are counted per (leaf, position, token).
 
 Defined cases: null text stays null and has no lines; empty texts have one
 blank line; documents without a doc_id count (by their text), never keep a
@@ -31,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import materialize, spare_name, table
+from tessera.llm.shared import materialize, release, spare_name, table
 
 HALVES, THIRDS = 6, 9  # tokens from which a line has two, three blocks
 SIMILAR = 0.6
@@ -61,18 +63,34 @@ def _blocks() -> list[Column]:
             for j in range(3)]
 
 
-def _templates(lines: DataFrame, holder: str) -> DataFrame:
-    """(key, keeper) of every line of a recurring template, from (doc_id, th, who, key, line, h0, h1, h2) rows."""
+def _same(docs: DataFrame, doc_id: str, th: str) -> Column:
+    """A join condition: rows of ``docs`` with that doc_id (null, too) and text hash."""
+    return docs["doc_id"].eqNullSafe(F.col(doc_id)) & (F.xxhash64(docs["text"]) == F.col(th))
+
+
+def _texts(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """(key, line) of the (key, in_id, in_th) rows asked for, from the documents that hold them."""
+    wanted = asked.groupBy("in_id", "in_th").agg(F.collect_set("key").alias("keys"))
+    return (docs.select("doc_id", "text").join(wanted, _same(docs, "in_id", "in_th"))
+            .select("keys", F.explode(F.array_distinct(F.split("text", "\n"))).alias("raw"))
+            .select("keys", plain(F.col("raw")).alias("line")).withColumn("key", F.xxhash64("line"))
+            .where(F.array_contains("keys", F.col("key")))
+            .groupBy("key").agg(F.first("line").alias("line")))
+
+
+def _templates(docs: DataFrame, lines: DataFrame, holder: str) -> DataFrame:
+    """(key, keeper) of every line of a recurring template, from (doc_id, th, who, key, h0, h1, h2) rows of ``docs``."""
+    # the first values of a group are those of one row
     kinds = materialize(lines.groupBy("key").agg(
-        *[F.first(h).alias(h) for h in ("h0", "h1", "h2")],
+        *[F.first(h).alias(h) for h in ("h0", "h1", "h2")], F.first("doc_id").alias("in_id"), F.first("th").alias("in_th"),
         F.min("who").alias("low"), F.max("who").alias("high"), F.min(holder).alias("keeper")))
     paths = (kinds.select("key", F.posexplode(F.array("h0", "h1", "h2")).alias("j", "leaf")).where("leaf is not null"))
     shared = paths.groupBy("leaf").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = materialize(paths.join(shared, "leaf"))
-    # written, so that Spark knows the keys' size before the lines are shuffled and can split a hot key
-    asked = materialize(members.select("key").distinct())
-    held = materialize(lines.select("key", "line").join(asked, "key"))
-    members = materialize(members.join(held.groupBy("key").agg(F.first("line").alias("line")), "key"))
+    asked = materialize(kinds.select("key", "in_id", "in_th").join(members.select("key").distinct(), "key"))
+    release(docs.sparkSession)
+    members = materialize(members.join(_texts(docs, asked), "key"))
+    release(docs.sparkSession)
     template = (members.select("leaf", "size", F.posexplode(F.split("line", " ")).alias("at", "token"))
                 .groupBy("leaf", "size", "at", "token").agg(F.count(F.lit(1)).alias("held"))
                 .where(F.col("held") * 2 > F.col("size"))
@@ -102,27 +120,28 @@ def drop_template_lines(docs: DataFrame, copies_once: bool = False) -> DataFrame
            .select("doc_id", "th", "who", plain(F.col("raw")).alias("line"))
            .select("*", F.split("line", " ").alias("t"))
            .select("doc_id", "th", "who", "line", "t", F.size("t").alias("n"))
-           .select("doc_id", "th", "who", F.xxhash64("line").alias("key"), "line",
+           .select("doc_id", "th", "who", F.xxhash64("line").alias("key"),
                    *[h.alias(f"h{j}") for j, h in enumerate(_blocks())]))
     lines = materialize(cut)
     holder = "th" if copies_once else "doc_id"
-    lost = (lines.select("doc_id", "th", "key").join(_templates(lines, holder), "key")
+    found = _templates(docs, lines, holder)
+    release(docs.sparkSession)
+    lost = (lines.select("doc_id", "th", "key").join(found, "key")
             .where(~F.col(holder).eqNullSafe(F.col("keeper")) | F.col("keeper").isNull())
             .groupBy("doc_id", "th").agg(F.collect_set("key").alias(gone))
             .withColumnsRenamed({"doc_id": "lost_id", "th": "lost_th"}))
-    marked = docs.join(lost, docs["doc_id"].eqNullSafe(lost["lost_id"])
-                       & (F.xxhash64(docs["text"]) == lost["lost_th"]), "left")
+    marked = docs.join(lost, _same(docs, "lost_id", "lost_th"), "left")
     kept = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains(gone, line_key(x)))
     return (marked.withColumn("text", F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))
             .select(*docs.columns))
 
 
 def op9_log_template_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("text").alias("whole"))
-    n = F.when(F.col("whole").isNull(), 0).otherwise(F.size(F.split("whole", "\n")))
-    left = F.when(F.col("whole").isNull(), 0).otherwise(F.size(F.split("text", "\n")))
-    return (drop_template_lines(docs)
-            .select("doc_id", n.cast("long").alias("n_lines"), left.cast("long").alias("n_left"),
+    docs = table(spark, sf_dir, "documents")
+    n = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long")
+    # whole texts are counted before, so that each is shuffled once
+    return (drop_template_lines(docs.select("doc_id", "text", n.alias("n_lines")))
+            .select("doc_id", "n_lines", n.alias("n_left"),
                     F.length("text").cast("long").alias("n_chars_left"), F.sha2("text", 256).alias("text_sha256")))
 
 

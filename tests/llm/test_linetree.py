@@ -54,6 +54,17 @@ def test_empty_and_no_python(spark):
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
 
 
+def test_text_is_written_only_of_lines_that_share_a_leaf(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(L, "materialize", lambda df, real=L.materialize: written.append(real(df)) or written[-1])
+    alone = [(i, "\n".join(prose(3000 + 7 * i + j, 12) for j in range(5))) for i in range(30)]
+    pair = [(100 + i, f"Report of host{'ab'[i]} was closed by the operator on duty this very morning again") for i in range(2)]
+    kept = dict(_pairs(L.drop_template_lines(frame(spark, alone + pair))))
+    assert kept == dict(alone) | {100: pair[0][1], 101: ""}
+    lines = {r["line"] for df in written if "line" in df.columns for r in df.select("line").collect()}
+    assert lines == {t for _, t in pair}
+
+
 def test_sql_equals_the_operator(spark, tmp_path):
     rows = sorted({i: t for i, t in _rows() if i is not None}.items())
     spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
