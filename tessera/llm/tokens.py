@@ -4,8 +4,8 @@ The tokenizer used here (byte-level BPE) cuts a text at white space and into run
 letters, single numerals and runs of other signs, and encodes each such piece by
 itself. A column is therefore encoded by words: texts are cut at blanks, tabs
 and line ends (``BLANKS``), each distinct word that the worker has not met before is
-encoded, and its ids are remembered under its raw bytes for the worker's lifetime;
-texts are put together by array indexing.
+encoded, and its ids are remembered under its raw bytes; texts are put together by
+array indexing. A full memory forgets the words that were not met again.
 
 New words of plain characters (``PLAIN``: printable ASCII and precomposed Latin
 letters, for which every version of Unicode gives the same classes and lower case) are
@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 import os
 from functools import lru_cache
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +51,7 @@ class Ids:
         self.code: dict = {}
         self.ids = np.empty(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 16, np.int64)
+        self.again = np.zeros(1 << 16, dtype=bool)  # asked for again after they came
         self.n_ids = 0
 
     def add(self, keys: list, ids: np.ndarray, lengths: np.ndarray) -> None:
@@ -58,6 +60,7 @@ class Ids:
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
         while at + n + 1 > len(self.starts):
             self.starts = np.concatenate([self.starts, np.empty_like(self.starts)])
+            self.again = np.concatenate([self.again, np.zeros_like(self.again)])
         self.ids[self.n_ids:self.n_ids + len(ids)] = ids
         self.starts[at + 1:at + n + 1] = self.n_ids + np.cumsum(lengths)
         self.n_ids += len(ids)
@@ -69,6 +72,18 @@ class Ids:
         lengths = self.starts[codes + 1] - first
         return self.ids[W.expand(first, lengths)], lengths
 
+    def met(self, codes: np.ndarray, before: int) -> None:
+        """Mark those of ``codes`` that were among the first ``before`` keys as asked for again."""
+        self.again[codes[codes < before]] = True
+
+    def kept(self, most: int) -> Ids:
+        """The keys that were asked for again, unmarked; none if they are more than ``most``."""
+        again = self.again[:len(self.code)]
+        at, out = np.flatnonzero(again), Ids()
+        if 0 < len(at) <= most:
+            out.add(list(compress(self.code, again.tolist())), *self.take(at))
+        return out
+
 
 class PieceTable:
     """Ids of every word and piece seen so far."""
@@ -91,7 +106,7 @@ class PieceTable:
     def _encode_alone(self, keys: list, texts: list[str], into: Ids) -> None:
         for i in range(0, len(texts), 4096):
             found = [e.ids for e in self.tokenizer.encode_batch_fast(texts[i:i + 4096], add_special_tokens=False)]
-            into.add(keys[i:i + 4096], np.fromiter((x for ids in found for x in ids), np.uint32),
+            into.add(keys[i:i + 4096], np.fromiter(chain.from_iterable(found), np.uint32),
                      np.fromiter(map(len, found), np.int64, len(found)))
 
     def _learn_pieces(self, pieces: list[str]) -> None:
@@ -131,10 +146,12 @@ class PieceTable:
                 others.append(key)
                 raw.append(word)
         if len(self.pieces.code) > MAX_PIECES:
-            self.pieces = Ids()
+            self.pieces = self.pieces.kept(MAX_PIECES // 2)
         known = self.pieces.code
-        self._learn_pieces([x for x in dict.fromkeys(x for cut in cuts for x in cut) if x not in known])
-        stream = np.fromiter((known[x] for cut in cuts for x in cut), np.int64)
+        before = len(known)
+        self._learn_pieces([x for x in dict.fromkeys(chain.from_iterable(cuts)) if x not in known])
+        stream = np.fromiter(map(known.__getitem__, chain.from_iterable(cuts)), np.int64)
+        self.pieces.met(stream, before)
         ids, lengths = self.pieces.take(stream)
         n_pieces = np.fromiter(map(len, cuts), np.int64, len(cuts))
         total = np.r_[0, np.cumsum(lengths)]
@@ -147,10 +164,12 @@ class PieceTable:
         words = W.split_words(texts, BLANKS)
         codes, distinct = words.distinct()
         if len(self.words.code) > MAX_PIECES:
-            self.words = Ids()
+            self.words = self.words.kept(MAX_PIECES // 2)
         known = self.words.code
+        before = len(known)
         self._learn_words([x for x in distinct if x not in known])
         number = np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))
+        self.words.met(number, before)
         ids, lengths = self.words.take(number[codes])
         bounds = np.zeros(len(codes) + 1, np.int64)
         np.cumsum(lengths, out=bounds[1:])

@@ -36,6 +36,24 @@ def test_forgetting_pieces_changes_nothing(monkeypatch):
     assert ids.tolist() == [x for e in brute.token_ids(ODD, PATH) for x in e]
 
 
+def test_words_met_again_are_not_forgotten(monkeypatch):
+    from tessera.llm import tokens
+
+    monkeypatch.setattr(tokens, "MAX_PIECES", 40)
+    learned = []
+    real = tokens.PieceTable._learn_words
+    monkeypatch.setattr(tokens.PieceTable, "_learn_words", lambda self, new: learned.extend(new) or real(self, new))
+    table = tokens.PieceTable(PATH)
+    common = [f"common{c}" for c in "abcdefgh"]
+    for i in range(12):
+        texts = [" ".join(common + [f"rare{c}{'abcdefghijkl'[i]}," for c in "abcdefghijklmnop"])]
+        ids, _ = table.encode(pa.array(texts))
+        assert ids.tolist() == brute.token_ids(texts, PATH)[0]
+        assert len(table.words.code) <= 40 + 24
+    assert [learned.count(w.encode()) for w in common] == [1] * 8
+    assert len(learned) == 8 + 12 * 16
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_plan_places_every_length_once(seed):
     r = random.Random(seed)
