@@ -1,11 +1,13 @@
 """Latent Dirichlet allocation with the topic-word weights as a distributed table.
 
-Batch variational inference. The weights (one row a word, one column a topic) are
-never gathered: documents are dealt into blocks of bounded size, a block asks for
-the weights of its distinct words by a join (so a word that every document holds
-travels once a block, not once a document), improves its documents' topic shares in
-arrays, and sends back one row of expected counts per word, summed by word into
-the next weights. The driver sees the topics' totals and the bound, k + 1 numbers a pass.
+Batch variational inference. The weights are never gathered: words are numbered and the
+weights lie in parts of bounded size, documents are packed into blocks of bounded size
+that hold their (document, word) pairs as arrays. In a pass a part sends each block the
+weights of the words it asks for (so a word that every document holds travels once a
+block, not once a document), a block improves its documents' topic shares slice by slice
+and sends back the expected counts of those words, which their part sums into the next
+weights. What travels is one row a block and part. The driver sees the topics' totals and
+the bound, 2k + 1 numbers a pass.
 
 The bound on the log-likelihood that variational inference climbs cannot fall from
 one pass to the next; ``bounds`` holds its values.
@@ -13,39 +15,46 @@ one pass to the next; ``bounds`` holds its values.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.session import materialize
 
-BLOCK_PAIRS = 400_000  # (document, word) pairs worked on at once
+BLOCK_PAIRS = 4_000_000  # (document, word) pairs of a block
+SLICE_PAIRS = 200_000  # pairs of a block worked on at once
+PART_WORDS = 20_000  # words of a part of the weights
+VOCABULARY_PART = 50_000  # words numbered by one window
 INNER = 4  # updates of a document's shares in a pass; they go on from those of the pass before
 
 
 class Lda(NamedTuple):
-    weights: DataFrame  # word, l0, l1, ...
+    weights: DataFrame  # index, l0, l1, ...
     totals: list[float]
     bounds: list[float]
     shares: DataFrame  # doc, shares array<double>: topic weights of each document
+    vocabulary: DataFrame  # word, index
 
     def top_terms(self, n: int) -> DataFrame:
-        """(topic, rank, word, weight): the n likeliest words of each topic; ties go to the smaller word."""
+        """(topic, rank, word, weight): the n likeliest words of each topic; ties go to the word numbered first."""
         out = None
         for t, total in enumerate(self.totals):
             # a top-n per task, then of those: no sort of all words
-            best = (self.weights.select("word", (F.col(f"l{t}") / total).alias("weight"))
-                    .orderBy(F.desc("weight"), "word").limit(n).agg(F.collect_list(F.struct("weight", "word")).alias("b")))
+            best = (self.weights.select("index", (F.col(f"l{t}") / total).alias("weight"))
+                    .orderBy(F.desc("weight"), "index").limit(n).agg(F.collect_list(F.struct("weight", "index")).alias("b")))
             best = F.array_sort("b", lambda x, y: F.when((x["weight"] > y["weight"]) | (
-                (x["weight"] == y["weight"]) & (x["word"] < y["word"])), -1).otherwise(1)), best
+                (x["weight"] == y["weight"]) & (x["index"] < y["index"])), -1).otherwise(1)), best
             rows = best[1].select(F.lit(t).alias("topic"), F.posexplode(best[0]).alias("rank", "x")).select(
-                "topic", "rank", "x.word", "x.weight")
+                "topic", "rank", "x.index", "x.weight")
             out = rows if out is None else out.unionByName(rows)
-        return out
+        rows = materialize(out).join(self.vocabulary, "index").select("topic", "rank", "word", "weight")
+        return rows.orderBy("topic", "rank")
 
 
 def digamma(x: np.ndarray) -> np.ndarray:
@@ -64,122 +73,261 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + (1 / 12 - v * (1 / 360 - v * (1 / 1260 - v / 1680))) / y - head
 
 
-def improve(doc: np.ndarray, word: np.ndarray, n: np.ndarray, weights: np.ndarray, totals: np.ndarray,
-            gamma: np.ndarray, alpha: float, steps: int = INNER) -> tuple[np.ndarray, np.ndarray, float]:
-    """New shares of the documents, expected counts of the words (words x topics) and the documents' part of the bound.
+def improve(sizes: np.ndarray, word: np.ndarray, n: np.ndarray, beta: np.ndarray, gamma: np.ndarray,
+            alpha: float, sums: np.ndarray, steps: int = INNER) -> tuple[np.ndarray, float]:
+    """New shares (topics x documents) and the documents' part of the bound.
 
-    ``doc`` and ``word`` number the document (ascending, every one present) and the word of each pair, ``n`` counts it.
+    ``sizes`` are the documents' numbers of pairs (none 0), ``word`` and ``n`` the pairs, one document after another;
+    ``beta`` has the words' weights (topics x words). To ``sums`` (as ``beta``) is added what the
+    words' expected counts are a multiple ``beta`` of.
     """
-    k = len(totals)
-    first = np.flatnonzero(np.diff(doc, prepend=-1))
-    beta = np.exp(digamma(weights) - digamma(totals))
-    per_pair = beta[word]
+    k = len(beta)
+    first = np.cumsum(sizes) - sizes
+    held = [b[word] for b in beta]
     for step in range(steps + 1):
-        log_theta = digamma(gamma) - digamma(gamma.sum(axis=1, keepdims=True))
+        log_theta = digamma(gamma) - digamma(gamma.sum(axis=0))
         theta = np.exp(log_theta)
-        mix = theta[doc] * per_pair
-        norm = mix.sum(axis=1) + 1e-300
-        mix *= (n / norm)[:, None]
+        norm = np.full(len(word), 1e-300)
+        for t, h in enumerate(held):
+            norm += np.repeat(theta[t], sizes) * h
+        share = n / norm
         if step == steps:  # the last sums belong to the shares that stay
             break
-        gamma = alpha + np.add.reduceat(mix, first, axis=0)
+        gamma = alpha + theta * np.stack([np.add.reduceat(share * h, first) for h in held])
+    for t in range(k):
+        sums[t] += np.bincount(word, weights=share * np.repeat(theta[t], sizes), minlength=sums.shape[1])
     bound = float(n @ np.log(norm) + ((alpha - gamma) * log_theta + log_gamma(gamma)).sum()
-                  - log_gamma(gamma.sum(axis=1)).sum()
-                  + len(gamma) * (log_gamma(np.array([alpha * k]))[0] - k * log_gamma(np.array([alpha]))[0]))
-    counts = np.stack([np.bincount(word, weights=mix[:, t], minlength=len(weights)) for t in range(k)], axis=1)
-    return gamma, counts, bound
+                  - log_gamma(gamma.sum(axis=0)).sum()
+                  + gamma.shape[1] * (log_gamma(np.array([alpha * k]))[0] - k * log_gamma(np.array([alpha]))[0]))
+    return gamma, bound
 
 
-def fit_lda(counts: DataFrame, k: int, passes: int, seed: int, block_pairs: int = BLOCK_PAIRS) -> Lda:
-    """Fit ``k`` topics on (doc, word, n) rows, one a document and word; both priors are 1 / k.
+def lda_vocabulary(counts: DataFrame, part_words: int = VOCABULARY_PART) -> tuple[DataFrame, int]:
+    """(word, index) numbering every word of ``counts`` from 0 without a gap, and the number of words.
 
-    Weights start from hash draws by word and topic, so the result does not depend on
+    Words are ranked within parts by hash; only the parts' sizes reach the driver.
+    """
+    words = materialize(counts.select("word").distinct())
+    n = words.count()
+    part = F.pmod(F.xxhash64("word"), F.lit(max(1, -(-n // part_words)))).cast("int")
+    words = words.withColumn("part", part)
+    offsets, at = [], 0
+    for r in words.groupBy("part").count().orderBy("part").collect():
+        offsets.append((r["part"], at))
+        at += r["count"]
+    place = F.row_number().over(Window.partitionBy("part").orderBy("word")) - 1
+    numbered = words.withColumn("place", place).join(words.sparkSession.createDataFrame(offsets, "part int, offset int"), "part")
+    return materialize(numbered.select("word", (F.col("place") + F.col("offset")).alias("index"))), n
+
+
+def _cells(table: pa.Table, name: str) -> list[np.ndarray]:
+    """The arrays of a list column, one a row."""
+    lists = table[name].combine_chunks()
+    at, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+    return [values[a:b] for a, b in zip(at, at[1:])]
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    bounds = np.cumsum([0] + [len(a) for a in arrays])
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.concatenate(arrays)))
+
+
+def _ints(values) -> pa.Array:
+    return pa.array(values, pa.int32())
+
+
+def _rows(schema: pa.Schema, *tables: dict) -> pa.Table:
+    """Rows of several kinds, null where a kind has no such column."""
+    parts = [pa.table([t[f.name].cast(f.type) if f.name in t else pa.nulls(len(next(iter(t.values()))), f.type)
+                       for f in schema], schema=schema) for t in tables]
+    return pa.concat_tables(parts)
+
+
+def pack_blocks(dealt: DataFrame, slice_pairs: int = SLICE_PAIRS) -> tuple[DataFrame, DataFrame]:
+    """Pairs (block, piece, docs, sizes, word, n) and words (block, at, word) of rows dealt by document.
+
+    A partition is a block; its documents come in pieces of about ``slice_pairs`` pairs, their words as
+    places in the block's list of distinct words. ``dealt`` has (doc, word) and maybe ``n``, where a row
+    may have one word or an array of them (and of numbers); without ``n`` a word counts once.
+    """
+    kind = dict(dealt.dtypes)
+    one = not kind["word"].startswith("array")
+    word_kind = kind["word"] if one else kind["word"][6:-1]
+    word = F.array("word") if one else F.col("word")
+    # null numbers say: once each
+    n = F.lit(None).cast("array<double>") if "n" not in kind else F.array("n") if one else F.col("n")
+    bags = dealt.select("doc", word.alias("word"), n.cast("array<double>").alias("n")).where(F.size("word") > 0)
+    types = {"block": pa.int32(), "piece": pa.int32(), "sizes": pa.list_(pa.int32()), "word": pa.list_(pa.int32()),
+             "n": pa.list_(pa.float64())}
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        docs, sizes, words, numbers = [], [], [], []
+        for batch in batches:
+            docs.append(batch.column("doc"))
+            sizes.append(pc.list_value_length(batch.column("word")).to_numpy())
+            words.append(batch.column("word").flatten())
+            if batch.column("n").null_count == 0:
+                numbers.append(batch.column("n").flatten().to_numpy())
+            else:
+                numbers.append(np.ones(len(words[-1])))
+        if not docs:
+            return
+        block = TaskContext.get().partitionId()
+        names = pa.chunked_array(words).combine_chunks().dictionary_encode()
+        owners = pa.chunked_array(docs).combine_chunks().dictionary_encode(null_encoding="encode")
+        words.clear()
+        n_names = len(names.dictionary)
+        key = np.repeat(owners.indices.to_numpy().astype(np.int64), np.concatenate(sizes)) * n_names + names.indices.to_numpy()
+        key, which = np.unique(key, return_inverse=True)
+        n = np.bincount(which, weights=np.concatenate(numbers), minlength=len(key))
+        sizes = np.bincount(key // n_names, minlength=len(owners.dictionary))
+        word, ends = (key % n_names).astype(np.int32), np.cumsum(sizes)
+        schema = pa.schema([*types.items(), ("docs", pa.list_(owners.dictionary.type)),
+                            ("names", pa.list_(names.dictionary.type))])
+        yield from _rows(schema, {"block": _ints([block]),
+                                  "names": pa.ListArray.from_arrays(_ints([0, n_names]), names.dictionary)}).to_batches()
+        first = piece = 0
+        while first < len(sizes):
+            start = ends[first] - sizes[first]
+            last = max(first + 1, int(np.searchsorted(ends, start + slice_pairs, "right")))
+            pairs = slice(start, ends[last - 1])
+            yield from _rows(schema, {
+                "block": _ints([block]), "piece": _ints([piece]), "sizes": _lists([sizes[first:last]]),
+                "word": _lists([word[pairs]]), "n": _lists([n[pairs]]),
+                "docs": pa.ListArray.from_arrays(_ints([0, last - first]), owners.dictionary[first:last])}).to_batches()
+            first, piece = last, piece + 1
+
+    packed = materialize(bags.mapInArrow(work, (
+        "block int, piece int, sizes array<int>, word array<int>, n array<double>, "
+        f"docs array<{kind['doc']}>, names array<{word_kind}>")))
+    words = packed.where("names is not null").select("block", F.posexplode("names").alias("at", "word"))
+    return packed.where("names is null").drop("names"), words
+
+
+def fit_lda(counts: DataFrame, k: int, passes: int, seed: int, block_pairs: int = BLOCK_PAIRS,
+            part_words: int = PART_WORDS, dealt: bool = False, draw_by: str = "word") -> Lda:
+    """Fit ``k`` topics on the rows of ``pack_blocks``: documents, their words and how often; both priors are 1 / k.
+
+    Rows are dealt by document into blocks of about ``block_pairs`` words, unless they come so (``dealt``).
+    Weights start from hash draws by topic and ``draw_by`` (word, or its index in the vocabulary), so the result does not depend on
     how the rows are dealt (up to rounding). A document fits into one row.
     """
     spark = counts.sparkSession
-    topics = [f"l{t}" for t in range(k)]
     alpha = eta = 1.0 / k
-    n_pairs, n_docs = counts.agg(F.count(F.lit(1)), F.count_distinct("doc")).first()
-    n_blocks = max(1, -(-n_pairs // block_pairs))
-    block = F.pmod(F.xxhash64("doc"), F.lit(n_blocks)).cast("int")
-    kind = dict(counts.dtypes)
-    per_doc = materialize(counts.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("word", "n"))).alias("t"))
-                          .select(block.alias("block"), "doc", F.col("t.word").alias("words"), F.col("t.n").alias("n")))
-    asked = materialize(counts.select(block.alias("block"), "word").distinct())
-
-    def draw(t: int) -> Column:
-        return F.lit(0.5) + F.pmod(F.xxhash64("word", F.lit(t), F.lit(seed)), F.lit(1 << 20)) / float(1 << 20)
-
-    weights = materialize(asked.select("word").distinct().withColumns({c: draw(t) for t, c in enumerate(topics)}))
-    n_words = weights.count()
+    if not dealt:
+        n_pairs = counts.agg(F.sum(F.size("word") if dict(counts.dtypes)["word"].startswith("array") else F.lit(1))).first()[0]
+        counts = counts.repartition(max(1, -(-(n_pairs or 0) // block_pairs)), "doc")
+    pairs, words = pack_blocks(counts)
+    vocabulary, n_words = lda_vocabulary(words)
+    part, place = F.floor(F.col("index") / part_words).cast("int"), (F.col("index") % part_words).cast("int")
+    asked = materialize(words.join(vocabulary, "word").groupBy(part.alias("part"), "block")
+                        .agg(F.collect_list(F.struct("at", place.alias("place"))).alias("t"))
+                        .select("part", "block", F.col("t.at").alias("at"), F.col("t.place").alias("place")))
+
+    def draw(t: int):
+        return F.lit(0.5) + F.pmod(F.xxhash64(draw_by, F.lit(t), F.lit(seed)), F.lit(1 << 20)) / float(1 << 20)
+
+    sums = (vocabulary.groupBy(part.alias("part"))
+            .agg(F.sort_array(F.collect_list(F.struct("index", F.array(*[draw(t) for t in range(k)]).alias("x")))).alias("t"))
+            .select("part", F.lit(None).cast("int").alias("block"), F.flatten(F.col("t.x")).alias("x")))
+    given_schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("at", pa.list_(pa.int32())),
+                              ("x", pa.list_(pa.float64())), ("stats", pa.list_(pa.float64()))])
+    sent_schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("piece", pa.int32()),
+                             ("x", pa.list_(pa.float64())), ("bound", pa.float64())])
+
+    def next_weights(left: pa.Table, right: pa.Table) -> pa.Table:
+        """A part's weights, its share of the totals and the bound, and the rows of weights that blocks ask for."""
+        left, right = left.sort_by("block"), right.sort_by("block")
+        at, places, given = _cells(left, "at"), _cells(left, "place"), _cells(right, "x")
+        number = left["part"][0].as_py()
+        x = np.full((min(part_words, n_words - number * part_words), k), eta)
+        if right["block"].null_count:  # the start
+            x = given[0].reshape(-1, k)
+        else:  # a word is in a block's list once
+            for p, c in zip(places, given):
+                x[p] += c.reshape(-1, k)
+        bound = (eta - x) * digamma(x) + log_gamma(x) - log_gamma(np.array([eta]))[0]
+        return _rows(given_schema, {"part": _ints([number]), "x": _lists([x.ravel()]),
+                                    "stats": _lists([np.r_[x.sum(axis=0), bound.sum()]])},
+                     {"part": left["part"].combine_chunks(), "block": left["block"].combine_chunks(),
+                      "at": _lists(at), "x": _lists([x[p].ravel() for p in places])})
+
     state, bounds = None, []
-    out_kind = (f"block int, word {kind['word']}, doc {kind['doc']}, shares array<double>, bound double, "
-                + ", ".join(f"{c} double" for c in topics))
-    for _ in range(passes + 1):
-        totals, bound = _weight_sums(weights, topics, eta, n_words)
-        bounds.append(bound)
-        if len(bounds) > passes:  # the last pass's counts are in the weights
-            bounds.pop()
+    for i in range(passes + 1):
+        given = materialize(asked.groupBy("part").cogroup(sums.groupBy("part")).applyInArrow(
+            next_weights, "part int, block int, at array<int>, x array<double>, stats array<double>"))
+        totals, bound = _weight_sums(given, k, eta, n_words)
+        if i == passes:  # the last pass's counts are in the weights
             break
         all_words = np.array(totals)
-        given = asked.join(weights, "word").withColumns({"doc": F.lit(None).cast(kind["doc"]),
-                                                         "shares": F.lit(None).cast("array<double>")})
+        right = given.where("block is not null").select("block", "part", "at", "x")
         if state is not None:
-            given = given.unionByName(state.select("block", "doc", "shares"), allowMissingColumns=True)
+            right = right.unionByName(state.select("block", "piece", "x"), allowMissingColumns=True)
+        else:
+            right = right.withColumn("piece", F.lit(None).cast("int"))
 
         def work(left: pa.Table, right: pa.Table) -> pa.Table:
-            right = right.combine_chunks()
-            table = right.filter(pc.is_valid(right["word"]))
-            old = right.filter(pc.is_null(right["word"]))
-            left = left.take(pc.sort_indices(left, [("doc", "ascending")]))
-            names, wide = table["word"].combine_chunks(), np.stack([table[c].to_numpy() for c in topics], 1)
-            lists = left["words"].combine_chunks()
-            sizes = pc.list_value_length(lists).to_numpy()
-            doc = np.repeat(np.arange(len(sizes)), sizes)
-            word = pc.index_in(lists.flatten(), names).to_numpy()
-            n = left["n"].combine_chunks().flatten().to_numpy().astype(np.float64)
-            if len(old):
-                old = old.take(pc.sort_indices(old, [("doc", "ascending")]))
-                gamma = old["shares"].combine_chunks().flatten().to_numpy().reshape(-1, k)
-            else:
-                gamma = alpha + np.repeat(np.add.reduceat(n, np.flatnonzero(np.diff(doc, prepend=-1)))[:, None] / k, k, axis=1)
-            gamma, sums, bound = improve(doc, word, n, wide, all_words, gamma, alpha)
-            own, b = len(sizes), left["block"][0].as_py()
-            rows = {"block": pa.array([b] * (len(names) + own), pa.int32()),
-                    "word": pa.concat_arrays([names, pa.nulls(own, names.type)]),
-                    "doc": pa.concat_arrays([pa.nulls(len(names), left["doc"].type), left["doc"].combine_chunks()]),
-                    "shares": pa.concat_arrays([pa.nulls(len(names), pa.list_(pa.float64())),
-                                                pa.array(list(gamma), pa.list_(pa.float64()))]),
-                    "bound": pa.array([None] * len(names) + [bound] + [None] * (own - 1), pa.float64())}
-            for t, c in enumerate(topics):
-                rows[c] = pa.concat_arrays([pa.array(sums[:, t]), pa.nulls(own, pa.float64())])
-            return pa.table(rows)
-
-        sent = materialize(per_doc.groupBy("block").cogroup(given.groupBy("block")).applyInArrow(work, out_kind))
-        state = sent.where("word is null")
-        bounds[-1] += float(state.agg(F.sum("bound")).first()[0] or 0)
-        weights = materialize(sent.where("word is not null").groupBy("word")
-                              .agg(*[(F.sum(c) + eta).alias(c) for c in topics]))
-    shares = (state if state is not None else spark.createDataFrame([], out_kind)).select("doc", "shares")
-    return Lda(weights, totals, bounds, shares)
-
-
-def _weight_sums(weights: DataFrame, topics: list[str], eta: float, n_words: int) -> tuple[list[float], float]:
-    """The topics' totals and the weights' part of the bound, from one row a batch of k totals and k partial bounds."""
-    k = len(topics)
-
-    def work(batches):
+            table, old = right.filter(pc.is_null(right["piece"])), right.filter(pc.is_valid(right["piece"]))
+            shares = dict(zip(old["piece"].to_pylist(), _cells(old, "x")))
+            at, given = _cells(table, "at"), _cells(table, "x")
+            beta = np.empty((k, sum(map(len, at))))
+            for a, x in zip(at, given):
+                beta[:, a] = x.reshape(-1, k).T
+            beta = np.exp(digamma(beta) - digamma(all_words)[:, None])
+            sums, found, bound = np.zeros_like(beta), [], 0.0
+            left = left.sort_by("piece")
+            for piece, sizes, word, n in zip(left["piece"].to_pylist(), *(_cells(left, c) for c in ("sizes", "word", "n"))):
+                if piece in shares:
+                    gamma = shares[piece].reshape(k, -1)
+                else:
+                    gamma = alpha + np.tile(np.add.reduceat(n, np.cumsum(sizes) - sizes) / k, (k, 1))
+                gamma, own = improve(sizes, word, n, beta, gamma, alpha, sums)
+                found.append(gamma.ravel())
+                bound += own
+            sums *= beta
+            block = left["block"][0].as_py()
+            return _rows(sent_schema, {"block": _ints([block] * len(at)), "part": table["part"].combine_chunks(),
+                                       "x": _lists([sums[:, a].T.ravel() for a in at])},
+                         {"block": _ints([block] * len(found)), "piece": left["piece"].combine_chunks(),
+                          "x": _lists(found), "bound": pa.array([bound] + [None] * (len(found) - 1), pa.float64())})
+
+        sent = materialize(pairs.select("block", "piece", "sizes", "word", "n").groupBy("block")
+                           .cogroup(right.groupBy("block"))
+                           .applyInArrow(work, "part int, block int, piece int, x array<double>, bound double"))
+        state, sums = sent.where("piece is not null"), sent.where("piece is null").select("part", "block", "x")
+        bounds.append(bound + float(state.agg(F.sum("bound")).first()[0] or 0))
+    return Lda(_weight_rows(given, k, part_words), totals, bounds, _shares(pairs, state, k), vocabulary)
+
+
+def _weight_rows(given: DataFrame, k: int, part_words: int) -> DataFrame:
+    """(index, l0, l1, ...) of the parts' arrays."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.stack([batch.column(c).to_numpy() for c in topics], axis=1)
-            part = (eta - x) * digamma(x) + log_gamma(x) - log_gamma(np.array([eta]))[0]
-            sums = np.concatenate([x.sum(axis=0), part.sum(axis=0)])
-            yield pa.RecordBatch.from_arrays([pa.array([float(v)]) for v in sums], names=[f"s{i}" for i in range(2 * k)])
-
-    names = [f"s{i}" for i in range(2 * k)]
-    row = (weights.select(*topics).mapInArrow(work, ", ".join(f"{c} double" for c in names))
-           .agg(*[F.sum(c) for c in names]).first())
+            for part, x in zip(batch.column("part").to_pylist(), _cells(pa.table(batch), "x")):
+                x = x.reshape(-1, k)
+                yield pa.RecordBatch.from_arrays([_ints(np.arange(len(x)) + part * part_words), *map(pa.array, x.T.copy())],
+                                                 names=["index", *(f"l{t}" for t in range(k))])
+
+    return materialize(given.where("block is null").select("part", "x").mapInArrow(
+        work, "index int, " + ", ".join(f"l{t} double" for t in range(k))))
+
+
+def _shares(pairs: DataFrame, state: DataFrame | None, k: int) -> DataFrame:
+    """(doc, shares): the pieces' arrays (topics x documents), a row a document."""
+    if state is None:
+        state = pairs.where("false").select("block", "piece", F.lit(None).cast("array<double>").alias("x"))
+    size = F.size("docs")
+    return (pairs.select("block", "piece", "docs").join(state.select("block", "piece", "x"), ["block", "piece"])
+            .select(F.posexplode("docs").alias("i", "doc"), "x", size.alias("size"))
+            .select("doc", F.array(*[F.get("x", F.col("i") + F.col("size") * t) for t in range(k)]).alias("shares")))
+
+
+def _weight_sums(given: DataFrame, k: int, eta: float, n_words: int) -> tuple[list[float], float]:
+    """The topics' totals and the weights' part of the bound, from k totals and a partial bound of each part."""
+    row = given.where("block is null").agg(*[F.sum(F.col("stats")[i]) for i in range(k + 1)]).first()
     if row[0] is None:
         return [0.0] * k, 0.0
     totals = np.array([float(v) for v in row[:k]])
-    bound = sum(row[k:]) - float(digamma(totals) @ (eta * n_words - totals))
+    bound = row[k] - float(digamma(totals) @ (eta * n_words - totals))
     return totals.tolist(), float(bound + (log_gamma(np.array([eta * n_words]))[0] - log_gamma(totals)).sum())

@@ -23,7 +23,7 @@ from pyspark.sql.types import LongType
 
 from tessera.functions.scalar import no_negative_zero
 from tessera.operators import ml
-from tessera.operators.lda import fit_lda
+from tessera.operators.lda import fit_lda, lda_vocabulary  # noqa: F401 (the numbering of its words)
 from tessera.operators.patterns import sequential_pairs, sequential_patterns
 from tessera.operators.power import shared_event_clusters, shared_event_sql
 from tessera.operators.sampling import hash_split
@@ -129,8 +129,8 @@ def ml_gmm(spark, sf):
 
 # fixed values: language codes and the stop-word lists' names
 STOP_WORDS = {"en": "english", "de": "german", "es": "spanish", "fr": "french"}
-VOCABULARY_PART = 50_000  # words numbered by one window
 LDA_TOPICS, LDA_PASSES = 5, 10
+LDA_BLOCK_BYTES, LDA_LEAST_BYTES = 32 << 20, 1 << 20  # text of a block, at most and at least
 
 
 def lda_words(docs: DataFrame) -> DataFrame:
@@ -145,24 +145,6 @@ def lda_words(docs: DataFrame) -> DataFrame:
     return out.withColumn("words", kept)
 
 
-def lda_vocabulary(counts: DataFrame, part_words: int = VOCABULARY_PART) -> tuple[DataFrame, int]:
-    """(word, index) numbering every word of ``counts`` from 0 without a gap, and the number of words.
-
-    Words are ranked within parts by hash; only the parts' sizes reach the driver.
-    """
-    words = materialize(counts.select("word").distinct())
-    n = words.count()
-    part = F.pmod(F.xxhash64("word"), F.lit(max(1, -(-n // part_words)))).cast("int")
-    words = words.withColumn("part", part)
-    offsets, at = [], 0
-    for r in words.groupBy("part").count().orderBy("part").collect():
-        offsets.append((r["part"], at))
-        at += r["count"]
-    place = F.row_number().over(Window.partitionBy("part").orderBy("word")) - 1
-    numbered = words.withColumn("place", place).join(words.sparkSession.createDataFrame(offsets, "part int, offset int"), "part")
-    return materialize(numbered.select("word", (F.col("place") + F.col("offset")).alias("index"))), n
-
-
 @query("ml_lda")
 def ml_lda(spark, sf):
     """Topics of the whole document texts: top 8 terms per topic (a top-k report).
@@ -171,14 +153,13 @@ def ml_lda(spark, sf):
     weights of words and topics are a distributed table. Rows without a doc_id are
     documents by their text.
     """
-    docs = lda_words(table(spark, sf, "documents").select(F.coalesce("doc_id", F.xxhash64("text")).alias("doc"), "text", "lang"))
-    counts = materialize(docs.select("doc", F.explode("words").alias("word")).groupBy("doc", "word")
-                         .agg(F.count(F.lit(1)).cast("double").alias("n")))
-    vocabulary, _ = lda_vocabulary(counts)
-    numbered = materialize(counts.join(vocabulary, "word").select("doc", F.col("index").alias("word"), "n"))
-    top = materialize(fit_lda(numbered, LDA_TOPICS, LDA_PASSES, seed=7).top_terms(8))
-    return (top.join(vocabulary.select(F.col("index").alias("word"), F.col("word").alias("term")), "word")
-            .select("topic", "rank", "term", "weight"))
+    docs = table(spark, sf, "documents").select(F.coalesce("doc_id", F.xxhash64("text")).alias("doc"), "text", "lang")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # blocks of bounded size, more than cores where that leaves them enough to do
+    n_blocks = max(1, -(-size // LDA_BLOCK_BYTES), min(2 * spark.sparkContext.defaultParallelism, size // LDA_LEAST_BYTES))
+    words = lda_words(docs.repartition(n_blocks, "doc")).select("doc", F.col("words").alias("word"))
+    top = fit_lda(words, LDA_TOPICS, LDA_PASSES, seed=7, dealt=True, draw_by="index").top_terms(8)
+    return top.select("topic", "rank", F.col("word").alias("term"), "weight")
 
 
 @query("ml_pic")

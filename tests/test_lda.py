@@ -62,3 +62,31 @@ def test_dealing_does_not_matter(spark):
 def test_no_rows(spark):
     model = L.fit_lda(spark.createDataFrame([], "doc long, word string, n double"), 2, 2, 1)
     assert model.totals == [0.0, 0.0] and model.top_terms(3).count() == 0 and model.shares.count() == 0
+
+
+def test_parts_of_the_weights_do_not_matter(spark):
+    a = L.fit_lda(planted(spark, 2), 3, 4, 5)
+    b = L.fit_lda(planted(spark, 2), 3, 4, 5, 900, part_words=7)
+    assert a.bounds == pytest.approx(b.bounds, rel=1e-9) and a.totals == pytest.approx(b.totals, rel=1e-6)
+    assert [x[:3] for x in sorted(a.top_terms(5).collect())] == [x[:3] for x in sorted(b.top_terms(5).collect())]
+    other = {x["doc"]: x["shares"] for x in b.shares.collect()}
+    assert len(other) == 240 and all(other[x["doc"]] == pytest.approx(x["shares"], rel=1e-6) for x in a.shares.collect())
+
+
+def test_rows_travel_by_block_and_part(spark):
+    """Words of a block come as arrays: what a pass sends is a row a block and part, not a row a block and word."""
+    rows = [(1, ["a", "b", "a"]), (None, ["b"]), (2, []), (1, ["c", "a"]), (3, None), (None, ["b", "d"])]
+    df = spark.createDataFrame(rows, "doc long, word array<string>").repartition(1)
+    pairs, words = L.pack_blocks(df, slice_pairs=3)
+    names = {r["at"]: r["word"] for r in words.collect()}
+    got, pieces = {}, pairs.collect()
+    for r in pieces:
+        pair = iter(zip(r["word"], r["n"]))
+        for doc, size in zip(r["docs"], r["sizes"]):
+            got[doc] = {names[w]: n for w, n in (next(pair) for _ in range(size))}
+    assert got == {1: {"a": 3, "b": 1, "c": 1}, None: {"b": 2, "d": 1}}
+    assert sorted(r["piece"] for r in pieces) == [0, 1]  # whole documents, the second piece where three pairs are full
+    counted = spark.createDataFrame([(1, "a", 2.0), (1, "b", 1.0), (1, "c", 1.0), (1, "a", 1.0), (None, "b", 2.0),
+                                     (None, "d", 1.0)], "doc long, word string, n double")
+    a, b = (L.fit_lda(x, 2, 3, 1) for x in (df, counted))
+    assert a.bounds == pytest.approx(b.bounds, rel=1e-9) and a.totals == pytest.approx(b.totals, rel=1e-9)
