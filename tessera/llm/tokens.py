@@ -20,6 +20,7 @@ import json
 import os
 from functools import lru_cache
 from itertools import chain, compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,7 @@ NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 CUTTERS = ["Split", "ByteLevel"]
 CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 STOPS = (b".", b",")
+STOP = "."
 # printable ASCII and Latin letters without the dotted capital I, whose lower case is two characters
 PLAIN = regex.compile(r"[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
 
@@ -85,12 +87,17 @@ class Ids:
         return out
 
 
+def _lowered(words: list[bytes]) -> list[str]:
+    """Words of ASCII letters in lower case."""
+    return b" ".join(words).lower().decode("ascii").split()
+
+
 class PieceTable:
     """Ids of every word and piece seen so far."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         rules = json.loads(self.tokenizer.to_str())
@@ -98,6 +105,11 @@ class PieceTable:
                  for k in ("normalizer", "pre_tokenizer")]
         if steps != [NORMALIZERS, CUTTERS] or rules["pre_tokenizer"]["pretokenizers"][0]["pattern"] != {"Regex": CUT}:
             raise ValueError(f"{path} does not cut texts at white space into runs of letters, numerals and signs")
+        stop = self.tokenizer.encode(STOP, add_special_tokens=False).ids
+        self.stop = stop[0] if len(stop) == 1 else -1
+        # the same model for lower-case ASCII letters, which normaliser and cutter leave as they are
+        self.letters = Tokenizer(self.tokenizer.model)
+        self.letters.pre_tokenizer = pre_tokenizers.Split(STOP, "isolated")
         self.clear()
 
     def clear(self) -> None:
@@ -110,53 +122,60 @@ class PieceTable:
                      np.fromiter(map(len, found), np.int64, len(found)))
 
     def _learn_pieces(self, pieces: list[str]) -> None:
-        """Encode new pieces. Runs of letters go joined by blanks, each being one word of the joined text."""
-        alone = [x for x in pieces if not x.isalpha()]
-        letters = [x for x in pieces if x.isalpha()]
+        """Encode new pieces, in lower case. Runs of ASCII letters go joined by full stops, whose one id no run of letters has."""
+        plain = [x.isascii() and x.isalpha() for x in pieces]
+        alone = list(compress(pieces, map(not_, plain)))
+        letters = list(compress(pieces, plain))
         groups = [letters[i:i + JOINED] for i in range(0, len(letters), JOINED)]
         for at in range(0, len(groups), 64):
             part = groups[at:at + 64]
-            found = self.tokenizer.encode_batch([" ".join(g) for g in part], add_special_tokens=False)
+            found = self.letters.encode_batch_fast([STOP.join(g) for g in part], add_special_tokens=False)
             for group, enc in zip(part, found):
-                word = np.array(enc.word_ids, dtype=np.int64)
-                lengths = np.bincount(word, minlength=len(group)) if len(word) else np.zeros(0, np.int64)
+                ids = np.array(enc.ids, dtype=np.uint32)
+                stops = ids == self.stop
+                lengths = np.diff(np.flatnonzero(stops), prepend=-1, append=len(ids)) - 1
                 if len(lengths) == len(group) and (lengths > 0).all():
-                    self.pieces.add(group, np.array(enc.ids, dtype=np.uint32), lengths)
-                else:  # a piece that the library cuts further
+                    self.pieces.add(group, ids[~stops], lengths)
+                else:  # a full stop that is no id of its own
                     alone.extend(group)
         self._encode_alone(alone, alone, self.pieces)
 
     def _learn_words(self, new: list[bytes]) -> None:
-        plain, cuts, others, raw = [], [], [], []
-        for key in new:
-            if key.isalpha():  # of bytes: ASCII letters
-                plain.append(key)
-                cuts.append([key.lower().decode()])
-                continue
+        # most words are ASCII letters, with a stop or without: lowered and decoded all at once
+        letters = list(map(bytes.isalpha, new))
+        plain = list(compress(new, letters))
+        lone = _lowered(plain)
+        stopped, mixed, cuts, others, raw = [], [], [], [], []
+        for key in compress(new, map(not_, letters)):
             if key[-1:] in STOPS and key[:-1].isalpha():
-                plain.append(key)
-                cuts.append([key[:-1].lower().decode(), key[-1:].decode()])
+                stopped.append(key)
                 continue
             word = key.decode("utf-8")
             if PLAIN.fullmatch(word) and SPECIAL_START not in word:
                 low = word.lower()
-                plain.append(key)
+                mixed.append(key)
                 cuts.append([low] if low.isalpha() else PIECES.findall(low))
             else:
                 others.append(key)
                 raw.append(word)
+        stems, ends = _lowered([key[:-1] for key in stopped]), [key[-1:].decode() for key in stopped]
         if len(self.pieces.code) > MAX_PIECES:
             self.pieces = self.pieces.kept(MAX_PIECES // 2)
         known = self.pieces.code
         before = len(known)
-        self._learn_pieces([x for x in dict.fromkeys(chain.from_iterable(cuts)) if x not in known])
-        stream = np.fromiter(map(known.__getitem__, chain.from_iterable(cuts)), np.int64)
+        asked = chain(lone, stems, dict.fromkeys(ends), chain.from_iterable(cuts))
+        self._learn_pieces([x for x in dict.fromkeys(asked) if x not in known])
+        pairs = np.empty(2 * len(stopped), np.int64)
+        pairs[::2] = np.fromiter(map(known.__getitem__, stems), np.int64, len(stems))
+        pairs[1::2] = np.fromiter(map(known.__getitem__, ends), np.int64, len(ends))
+        stream = np.concatenate([np.fromiter(map(known.__getitem__, lone), np.int64, len(lone)), pairs,
+                                 np.fromiter(map(known.__getitem__, chain.from_iterable(cuts)), np.int64)])
         self.pieces.met(stream, before)
         ids, lengths = self.pieces.take(stream)
-        n_pieces = np.fromiter(map(len, cuts), np.int64, len(cuts))
+        n_pieces = np.concatenate([np.full(len(lone), 1), np.full(len(stopped), 2), np.fromiter(map(len, cuts), np.int64, len(cuts))])
         total = np.r_[0, np.cumsum(lengths)]
         ends = np.cumsum(n_pieces)
-        self.words.add(plain, ids, total[ends] - total[ends - n_pieces])
+        self.words.add(plain + stopped + mixed, ids, total[ends] - total[ends - n_pieces])
         self._encode_alone(others, raw, self.words)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -48,8 +48,9 @@ class Words(NamedTuple):
 
     def distinct(self) -> tuple[np.ndarray, list[bytes]]:
         """(code of each word, distinct words)."""
-        enc = self.array().dictionary_encode()
-        return enc.indices.to_numpy(zero_copy_only=False), enc.dictionary.to_pylist()
+        words = self.array()
+        enc = (words.cast(pa.binary()) if len(self.data) < 1 << 31 else words).dictionary_encode()
+        return enc.indices.to_numpy(zero_copy_only=False), enc.dictionary.to_numpy(zero_copy_only=False).tolist()
 
 
 def byte_view(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

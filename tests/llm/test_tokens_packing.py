@@ -7,6 +7,7 @@ from helpers import empty, frame, odd_rows, prose
 
 from tessera.llm import packing as P
 from tessera.llm import tokenfile as T
+from tessera.llm import tokens as K
 from tessera.llm.tokens import default_tokenizer, piece_table
 
 PATH = default_tokenizer()
@@ -195,3 +196,26 @@ def test_empty_tables(spark, tmp_path):
     assert P.pack_documents(empty(spark), PATH).count() == 0
     T.write_token_file(empty(spark), str(tmp_path / "none"), PATH)
     assert T.token_digests(T.read_token_file(spark, str(tmp_path / "none"))).count() == 0
+
+
+def test_runs_of_letters_are_learned_without_word_numbers():
+    """New runs of letters go to the library joined by full stops, by its quick call that keeps no word numbers."""
+    texts = ["Plain words, with stops. and,commas. x", "a.b c. . .. ., A", "Größe über naïve 12ab end.", "ab. AB. aB ab", ""]
+    table = K.PieceTable(K.default_tokenizer())
+    real, calls = table.tokenizer, []
+
+    class Counted:
+        def encode_batch_fast(self, some, **kw):
+            calls.append(len(some))
+            return real.encode_batch_fast(some, **kw)
+
+    table.tokenizer = Counted()  # has no other call
+    for _ in range(2):
+        ids, bounds = table.encode(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [
+            real.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(calls) <= 3  # joined runs, single signs, other words; nothing the second time
+    table.clear()
+    table.stop = -1  # a tokenizer whose full stop is no single id: every piece goes alone
+    ids, _ = table.encode(pa.array(texts))
+    assert ids.tolist() == [i for t in texts for i in real.encode(t, add_special_tokens=False).ids]
