@@ -187,7 +187,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, block_rows: int = BLOCK_RO
         sequence, offset = places.of(length.to_numpy(), rank.to_numpy())
         return pd.DataFrame({"sequence_id": sequence, "offset": offset})
 
-    return (ranked.withColumn("at", place("length", "rank"))
+    # a task a block at most: a task that writes some hundred rows costs its executor more in files than in work
+    return (ranked.coalesce(n_blocks).withColumn("at", place("length", "rank"))
             .select(*pieces.columns, F.col("at.sequence_id").alias("sequence_id"), F.col("at.offset").alias("offset")))
 
 

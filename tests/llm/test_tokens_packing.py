@@ -115,6 +115,23 @@ def test_many_blocks_give_distinct_places(spark):
     assert out.distinct().count() == 300
 
 
+def test_few_rows_are_not_written_by_many_tasks(spark):
+    from tessera.llm.shared import materialize
+
+    held = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    pieces = materialize(P.token_pieces(frame(spark, [(i, prose(i, 9)) for i in range(300)], 5), PATH))
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        out = P.pack(pieces, block_rows=100)
+        assert out.rdd.getNumPartitions() <= -(-pieces.count() // 100) < 60
+        assert out.select("sequence_id", "offset").distinct().count() == pieces.count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_code_round_trip_and_random_access():
     import numpy as np
 
