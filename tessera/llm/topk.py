@@ -13,7 +13,9 @@ shared: first every block searches its home shard; the k-th scores found there
 start the search of all other shards, and within a task they go on rising from
 shard to shard.
 
-Blocks meet shards through an equi-join on the shard number, one row per pair.
+Every block meets every shard: the shards lie in partitions, a task goes through one of
+them with a partition of blocks (about ``BLOCKS_A_TASK``), which it reads itself. So
+neither side is broadcast through the driver, and blocks are not written once a shard.
 What a task holds is one shard and the blocks' running results.
 
 Defined cases: vectors that are null or hold null or non-finite components, and
@@ -41,6 +43,8 @@ SHARD_ROWS = 8192
 QUERY_ROWS = 1024
 LEAF_ROWS = 64
 PAIRS_A_BATCH = 16  # a row of the pairs is a few MB
+BLOCKS_A_TASK = 32
+SHARDS_A_TASK = 16
 EXACT = float(1 << 52)
 LONG = np.iinfo(np.int64)
 
@@ -73,6 +77,14 @@ def _matrix(col: pa.ChunkedArray) -> np.ndarray:
     return out
 
 
+def _narrow(m: np.ndarray) -> np.ndarray:
+    """``m`` in the smallest of the types of 16, 32 and 64 bits that holds it."""
+    for kind in (np.int16, np.int32):
+        if np.iinfo(kind).min <= m.min(initial=0) and m.max(initial=0) <= np.iinfo(kind).max:
+            return m.astype(kind)
+    return m
+
+
 def build_tree(ids: np.ndarray, vectors: np.ndarray, leaf_rows: int = LEAF_ROWS) -> dict[str, np.ndarray]:
     """Ball tree over rows: vectors and ids in tree order, and per node its range, children, ball and least id."""
     order = np.argsort(ids, kind="stable")
@@ -170,6 +182,7 @@ def search(tree: dict[str, np.ndarray], query_ids: np.ndarray, queries: np.ndarr
 def _index(vectors: DataFrame, n_shards: int) -> DataFrame:
     def work(group: pa.Table) -> pa.Table:
         tree = build_tree(group.column("vec_id").to_numpy(), _matrix(group.column("v")))
+        tree["vectors"] = _narrow(tree["vectors"])
         return pa.table({"shard": group.column("shard")[:1], "tree": pa.array([_pack(**tree)], pa.binary())})
 
     dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id", "v"), F.lit(n_shards)).cast("int"))
@@ -178,7 +191,7 @@ def _index(vectors: DataFrame, n_shards: int) -> DataFrame:
 
 def _blocks(queries: DataFrame, n_blocks: int) -> DataFrame:
     def work(group: pa.Table) -> pa.Table:
-        packed = _pack(ids=group.column("vec_id").to_numpy(), vectors=_matrix(group.column("v")))
+        packed = _pack(ids=group.column("vec_id").to_numpy(), vectors=_narrow(_matrix(group.column("v"))))
         return pa.table({"block": group.column("block")[:1], "queries": pa.array([packed], pa.binary())})
 
     dealt = queries.withColumn("block", F.pmod(F.xxhash64("vec_id", "v", F.lit(1)), F.lit(n_blocks)).cast("int"))
@@ -216,6 +229,16 @@ def _searched(pairs: DataFrame, k: int, with_floor: bool) -> DataFrame:
     return pairs.mapInArrow(work, FOUND)
 
 
+def _pairs(index: DataFrame, blocks: DataFrame, n_shards: int, n_blocks: int) -> DataFrame:
+    """A row for each block of ``blocks`` with each shard but its home; rows of one shard follow each other."""
+    cores = index.sparkSession.sparkContext.defaultParallelism
+    n_parts = min(n_shards, max(2 * cores, -(-n_shards // SHARDS_A_TASK)))
+    # the hint: both are read by the tasks that need them; a join by number would broadcast one of them, or write each block once a shard
+    return (index.repartition(n_parts).hint("shuffle_replicate_nl")
+            .join(blocks.repartition(-(-n_blocks // BLOCKS_A_TASK), "block"), F.col("shard") != F.col("home"))
+            .select("block", "queries", "floor", "tree"))
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int = SHARD_ROWS,
           query_rows: int = QUERY_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best other vectors of every query (both: vec_id, v)."""
@@ -226,12 +249,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int =
     blocks = materialize(_blocks(queries.distinct(), n_blocks))
     home = F.pmod("block", F.lit(n_shards)).cast("int")
     with batch_rows(spark, PAIRS_A_BATCH):
-        first = materialize(_searched(blocks.withColumn("shard", home).join(index, "shard")
+        first = materialize(_searched(blocks.withColumn("shard", home).join(index.hint("merge"), "shard")
                                       .select("block", "queries", "tree"), k, False))
     floor = first.groupBy("block").agg(F.collect_list(F.struct("query", "score", "vec_id")).alias("floor"))
-    pairs = (blocks.join(floor, "block", "left").withColumn("home", home)
-             .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1)))).where("shard != home")
-             .join(index, "shard").select("block", "queries", "floor", "tree"))
+    pairs = _pairs(index, blocks.join(floor.hint("merge"), "block", "left").withColumn("home", home), n_shards, n_blocks)
     with batch_rows(spark, PAIRS_A_BATCH):
         rest = materialize(_searched(pairs, k, True))
     found = first.unionByName(rest)

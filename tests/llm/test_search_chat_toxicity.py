@@ -170,3 +170,38 @@ def test_sample_bound(spark):
     lab = spark.createDataFrame(labels, "doc_id long, toxic int")
     small = X.train(frame(spark, rows), lab, max_train=50)
     assert 0 < np.count_nonzero(small.w) < np.count_nonzero(X.train(frame(spark, rows), lab).w)
+
+
+def test_blocks_meet_shards_without_a_broadcast(spark):
+    """Neither queries nor shards go through the driver, whatever the files' size; every block meets each shard but its home."""
+    packed = spark.range(9).selectExpr("int(id) as shard", "binary('tree') as tree")
+    blocks = spark.range(70).selectExpr("int(id) as block", "binary('queries') as queries", "array(id) as floor",
+                                        "int(id % 9) as home")
+    pairs = K._pairs(packed, blocks, 9, 70)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Broadcast" not in plan
+    assert pairs.count() == 70 * 8 and set(pairs.groupBy("block").count().toPandas()["count"]) == {8}
+
+
+def test_plans_of_a_search_broadcast_nothing(spark, monkeypatch):
+    plans = []
+
+    def kept(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return materialize(df)
+
+    materialize = K.materialize
+    monkeypatch.setattr(K, "materialize", kept)
+    v = K.quantized(spark.createDataFrame(_vectors(4, 90), "vec_id long, embedding array<float>"))
+    got = sorted(tuple(r) for r in K.top_k(v, v.where("vec_id % 10 = 0"), 3, 20, 4).collect())
+    joins = [line for p in plans for line in p.splitlines() if "Join " in line]
+    assert len(joins) == 3 and all("strategy=" in line and "broadcast" not in line for line in joins)
+    monkeypatch.undo()
+    assert got == sorted(tuple(r) for r in K.top_k(v, v.where("vec_id % 10 = 0"), 3).collect()) and len(got) == 27
+
+
+def test_narrow_keeps_values():
+    for top, kind in ((32767, np.int16), (-32769, np.int32), (2 ** 31, np.int64), (-2 ** 63, np.int64)):
+        m = np.array([[0, top]], np.int64)
+        assert K._narrow(m).dtype == kind and (K._narrow(m).astype(np.int64) == m).all()
+    assert K._narrow(np.zeros((0, 3), np.int64)).shape == (0, 3)
