@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import gc
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.session import materialize
+from tessera.session import materialize, release
 from tessera.sources.tables import table
 
 __all__ = ["batch_rows", "bounded_batches", "materialize", "release", "spare_name", "table"]
@@ -37,16 +36,6 @@ def batch_rows(spark: SparkSession, rows: int):
             spark.conf.set(key, before)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished stages whose frames nobody holds any more.
-
-    Its cleaner acts when the driver's JVM collects garbage, which a small
-    driver heap may not do for a long time.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def spare_name(df: DataFrame, base: str) -> str:
     """A column name that no column of ``df`` has, whatever its case."""
     have = {c.lower() for c in df.columns}

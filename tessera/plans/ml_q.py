@@ -14,7 +14,7 @@ from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans, Powe
 from pyspark.ml.feature import StopWordsRemover, StringIndexer
 from pyspark.ml.fpm import FPGrowth
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.recommendation import ALS
+from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.regression import (DecisionTreeRegressor, FMRegressor, GBTRegressor, GeneralizedLinearRegression,
                                    LinearRegression, RandomForestRegressor)
 from pyspark.sql import DataFrame, Window
@@ -28,7 +28,7 @@ from tessera.operators.patterns import sequential_pairs, sequential_patterns
 from tessera.operators.power import shared_event_clusters, shared_event_sql
 from tessera.operators.sampling import hash_split
 from tessera.plans.registry import query
-from tessera.session import materialize, scratch_path
+from tessera.session import materialize, release, scratch_path
 from tessera.sources.tables import table
 
 # fixed values: seeds and sizes of the fits
@@ -473,11 +473,34 @@ def ml_naive_bayes_predict(spark, sf):
 
 # ---------------------------------------------------------------- recommendation, patterns, tests
 
+ALS_BLOCKS, ALS_BLOCK_RATINGS = 10, 3_000_000  # blocks at least (MLlib's number); ratings of a block
+ALS_SLICE_RATINGS = 30_000_000  # ratings scored at once
+
+
+def als_blocks(ratings: int) -> int:
+    """Blocks of users, and of items: a task of a fit holds one of them whole, so their number follows the ratings'."""
+    return max(ALS_BLOCKS, -(-ratings // ALS_BLOCK_RATINGS))
+
+
+def als_scores(model: ALSModel, ratings: DataFrame, slices: int) -> DataFrame:
+    """``ratings`` with ``prediction``, slice by slice: the joins carry a user's factors with every rating."""
+    if slices == 1:
+        return model.transform(ratings)
+    out = []
+    for i in range(slices):
+        own = F.pmod(F.xxhash64("user", "item"), F.lit(slices)) == i
+        out.append(materialize(model.transform(ratings.where(own))))
+        release(ratings.sparkSession)
+    return reduce(DataFrame.unionByName, out)
+
+
 @query("ml_als")
 def ml_als(spark, sf):
     """ALS on customer x part summed quantities: the score of every observed pair beside its rating.
 
-    Pairs are scored as given; customers are not crossed with parts.
+    Pairs are scored as given; customers are not crossed with parts. A step of the fit sends each
+    customer's factors to every block of parts that they bought from, and back: a checkpoint a step
+    lets the files of the steps before go, the model read back those of the last.
     """
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
@@ -489,9 +512,14 @@ def ml_als(spark, sf):
     users = ml.int_ids(summed, "o_custkey", "user")
     items = ml.int_ids(summed, "l_partkey", "item")
     ratings = users.attach(items.attach(summed)).select("user", "item", "rating")
+    n = summed.count()
+    blocks = als_blocks(n)
     als = ALS(userCol="user", itemCol="item", ratingCol="rating", rank=8, maxIter=5, regParam=0.1, seed=SEED,
-              coldStartStrategy="drop")
-    scored = als.fit(ratings).transform(ratings)
+              coldStartStrategy="drop", numUserBlocks=blocks, numItemBlocks=blocks, checkpointInterval=1)
+    path = scratch_path(spark, "model")
+    als.fit(ratings).write().save(path)
+    release(spark)
+    scored = als_scores(ALSModel.load(path), ratings, max(1, -(-n // ALS_SLICE_RATINGS)))
     return (users.detach(items.detach(scored))
             .select(F.col("o_custkey").cast(LongType()), F.col("l_partkey").cast(LongType()), "rating",
                     F.col("prediction").cast("double").alias("score")))

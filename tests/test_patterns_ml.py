@@ -304,3 +304,25 @@ def test_events_without_a_sequence_make_single_items_only(spark):
     df = spark.createDataFrame(rows, "s int, t int, item string")
     got = {tuple(x["pattern"]): x["freq"] for x in sequential_patterns(df, "s", ["t"], "item", 0.5).collect()}
     assert got == {("a",): 5, ("b",): 5, ("a", "b"): 4}
+
+
+def test_als_blocks_follow_the_ratings(spark, monkeypatch):
+    """A block, which one task holds, keeps its size as ratings grow; scoring in slices gives the same rows."""
+    from tessera.plans import ml_q as M
+
+    assert M.als_blocks(0) == M.als_blocks(30_000_000) == 10 and M.als_blocks(212_000_000) == 71
+    made, als = [], M.ALS
+
+    def kept(**given):
+        made.append(given)
+        return als(**given)
+
+    monkeypatch.setattr(M, "ALS", kept)
+    monkeypatch.setattr(M, "ALS_BLOCK_RATINGS", 400)
+    one = {(r[0], r[1]): r[2:] for r in QUERIES["ml_als"](spark, SF_SMALL).collect()}
+    assert made[0]["numUserBlocks"] == made[0]["numItemBlocks"] == -(-len(one) // 400) > 10
+    monkeypatch.setattr(M, "ALS_SLICE_RATINGS", 2000)
+    two = {(r[0], r[1]): r[2:] for r in QUERIES["ml_als"](spark, SF_SMALL).collect()}
+    assert len(one) > 4000 and set(one) == set(two)
+    for key, (rating, score) in one.items():
+        assert two[key][0] == rating and two[key][1] == pytest.approx(score, rel=1e-3, abs=1e-3)
