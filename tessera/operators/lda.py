@@ -9,6 +9,11 @@ and sends back the expected counts of those words, which their part sums into th
 weights. What travels is one row a block and part. The driver sees the topics' totals and
 the bound, 2k + 1 numbers a pass.
 
+On disk lie the weights and what the blocks sent back, not what they were sent, and only
+that of one pass: it is deleted as soon as the next step has read it. Many blocks go in up
+to ``GROUPS`` groups, one after the other, so that only a part of what they share out is in
+shuffle files at once.
+
 The bound on the log-likelihood that variational inference climbs cannot fall from
 one pass to the next; ``bounds`` holds its values.
 """
@@ -16,21 +21,23 @@ one pass to the next; ``bounds`` holds its values.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import materialize
+from tessera.session import drop_written, materialize, release, written
 
 BLOCK_PAIRS = 4_000_000  # (document, word) pairs of a block
 SLICE_PAIRS = 200_000  # pairs of a block worked on at once
 PART_WORDS = 20_000  # words of a part of the weights
 VOCABULARY_PART = 50_000  # words numbered by one window
+GROUPS, GROUP_BLOCKS = 4, 12  # groups of blocks at most, blocks of a group at least
 INNER = 4  # updates of a document's shares in a pass; they go on from those of the pass before
 
 
@@ -121,10 +128,12 @@ def lda_vocabulary(counts: DataFrame, part_words: int = VOCABULARY_PART) -> tupl
 
 
 def _cells(table: pa.Table, name: str) -> list[np.ndarray]:
-    """The arrays of a list column, one a row."""
-    lists = table[name].combine_chunks()
-    at, values = lists.offsets.to_numpy(), lists.values.to_numpy()
-    return [values[a:b] for a, b in zip(at, at[1:])]
+    """The arrays of a list column, one a row, not copied."""
+    out = []
+    for lists in table[name].chunks:
+        at, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+        out += [values[a:b] for a, b in zip(at, at[1:])]
+    return out
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -230,15 +239,13 @@ def fit_lda(counts: DataFrame, k: int, passes: int, seed: int, block_pairs: int
     sums = (vocabulary.groupBy(part.alias("part"))
             .agg(F.sort_array(F.collect_list(F.struct("index", F.array(*[draw(t) for t in range(k)]).alias("x")))).alias("t"))
             .select("part", F.lit(None).cast("int").alias("block"), F.flatten(F.col("t.x")).alias("x")))
-    given_schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("at", pa.list_(pa.int32())),
-                              ("x", pa.list_(pa.float64())), ("stats", pa.list_(pa.float64()))])
     sent_schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("piece", pa.int32()),
                              ("x", pa.list_(pa.float64())), ("bound", pa.float64())])
 
     def next_weights(left: pa.Table, right: pa.Table) -> pa.Table:
-        """A part's weights, its share of the totals and the bound, and the rows of weights that blocks ask for."""
+        """A part's weights and its share of the totals and the bound."""
         left, right = left.sort_by("block"), right.sort_by("block")
-        at, places, given = _cells(left, "at"), _cells(left, "place"), _cells(right, "x")
+        places, given = _cells(left, "place"), _cells(right, "x")
         number = left["part"][0].as_py()
         x = np.full((min(part_words, n_words - number * part_words), k), eta)
         if right["block"].null_count:  # the start
@@ -247,24 +254,29 @@ def fit_lda(counts: DataFrame, k: int, passes: int, seed: int, block_pairs: int
             for p, c in zip(places, given):
                 x[p] += c.reshape(-1, k)
         bound = (eta - x) * digamma(x) + log_gamma(x) - log_gamma(np.array([eta]))[0]
-        return _rows(given_schema, {"part": _ints([number]), "x": _lists([x.ravel()]),
-                                    "stats": _lists([np.r_[x.sum(axis=0), bound.sum()]])},
-                     {"part": left["part"].combine_chunks(), "block": left["block"].combine_chunks(),
-                      "at": _lists(at), "x": _lists([x[p].ravel() for p in places])})
-
-    state, bounds = None, []
+        return pa.table({"part": _ints([number]), "x": _lists([x.ravel()]),
+                         "stats": _lists([np.r_[x.sum(axis=0), bound.sum()]])})
+
+    def asked_weights(left: pa.Table, right: pa.Table) -> pa.Table:
+        """The rows of a part's weights that blocks ask for."""
+        if not left.num_rows:
+            return pa.table({c: pa.array([], t) for c, t in (("part", pa.int32()), ("block", pa.int32()),
+                                                             ("at", pa.list_(pa.int32())), ("x", pa.list_(pa.float64())))})
+        x = _cells(right, "x")[0].reshape(-1, k)
+        return pa.table({"part": left["part"].combine_chunks(), "block": left["block"].combine_chunks(),
+                         "at": left["at"].combine_chunks(), "x": _lists([x[p].ravel() for p in _cells(left, "place")])})
+
+    groups = _groups(pairs)
+    state, bounds, sums_at, state_at = None, [], [], []
     for i in range(passes + 1):
-        given = materialize(asked.groupBy("part").cogroup(sums.groupBy("part")).applyInArrow(
-            next_weights, "part int, block int, at array<int>, x array<double>, stats array<double>"))
-        totals, bound = _weight_sums(given, k, eta, n_words)
+        weights, weights_at = written(asked.groupBy("part").cogroup(sums.groupBy("part")).applyInArrow(
+            next_weights, "part int, x array<double>, stats array<double>"))
+        drop_written(spark, *sums_at)
+        release(spark)
+        totals, bound = _weight_sums(weights, k, eta, n_words)
         if i == passes:  # the last pass's counts are in the weights
             break
         all_words = np.array(totals)
-        right = given.where("block is not null").select("block", "part", "at", "x")
-        if state is not None:
-            right = right.unionByName(state.select("block", "piece", "x"), allowMissingColumns=True)
-        else:
-            right = right.withColumn("piece", F.lit(None).cast("int"))
 
         def work(left: pa.Table, right: pa.Table) -> pa.Table:
             table, old = right.filter(pc.is_null(right["piece"])), right.filter(pc.is_valid(right["piece"]))
@@ -275,8 +287,9 @@ def fit_lda(counts: DataFrame, k: int, passes: int, seed: int, block_pairs: int
                 beta[:, a] = x.reshape(-1, k).T
             beta = np.exp(digamma(beta) - digamma(all_words)[:, None])
             sums, found, bound = np.zeros_like(beta), [], 0.0
-            left = left.sort_by("piece")
-            for piece, sizes, word, n in zip(left["piece"].to_pylist(), *(_cells(left, c) for c in ("sizes", "word", "n"))):
+            rows = zip(left["piece"].to_pylist(), *(_cells(left, c) for c in ("sizes", "word", "n")))
+            rows = sorted(rows, key=lambda x: x[0])  # the arrays stay where they are
+            for piece, sizes, word, n in rows:
                 if piece in shares:
                     gamma = shares[piece].reshape(k, -1)
                 else:
@@ -288,18 +301,41 @@ def fit_lda(counts: DataFrame, k: int, passes: int, seed: int, block_pairs: int
             block = left["block"][0].as_py()
             return _rows(sent_schema, {"block": _ints([block] * len(at)), "part": table["part"].combine_chunks(),
                                        "x": _lists([sums[:, a].T.ravel() for a in at])},
-                         {"block": _ints([block] * len(found)), "piece": left["piece"].combine_chunks(),
+                         {"block": _ints([block] * len(found)), "piece": _ints([x[0] for x in rows]),
                           "x": _lists(found), "bound": pa.array([bound] + [None] * (len(found) - 1), pa.float64())})
 
-        sent = materialize(pairs.select("block", "piece", "sizes", "word", "n").groupBy("block")
-                           .cogroup(right.groupBy("block"))
-                           .applyInArrow(work, "part int, block int, piece int, x array<double>, bound double"))
-        state, sums = sent.where("piece is not null"), sent.where("piece is null").select("part", "block", "x")
+        parts = []
+        for own in groups:
+            right = (asked.where(own).groupBy("part").cogroup(weights.select("part", "x").groupBy("part"))
+                     .applyInArrow(asked_weights, "part int, block int, at array<int>, x array<double>"))
+            if state is not None:
+                right = right.unionByName(state.where(own).select("block", "piece", "x"), allowMissingColumns=True)
+            else:
+                right = right.withColumn("piece", F.lit(None).cast("int"))
+            parts.append(written(pairs.where(own).select("block", "piece", "sizes", "word", "n").groupBy("block")
+                                 .cogroup(right.groupBy("block"))
+                                 .applyInArrow(work, "part int, block int, piece int, x array<double>, bound double")))
+            release(spark)
+        sent, sums_at = reduce(DataFrame.unionByName, [x for x, _ in parts]), [at for _, at in parts]
+        sums = sent.where("piece is null").select("part", "block", "x")
+        state, at = written(sent.where("piece is not null").select("block", "piece", "x", "bound"))
+        drop_written(spark, weights_at, *state_at)
+        state_at = [at]
         bounds.append(bound + float(state.agg(F.sum("bound")).first()[0] or 0))
-    return Lda(_weight_rows(given, k, part_words), totals, bounds, _shares(pairs, state, k), vocabulary)
+    rows = _weight_rows(weights, k, part_words)
+    drop_written(spark, weights_at)
+    return Lda(rows, totals, bounds, _shares(pairs, state, k), vocabulary)
+
+
+def _groups(pairs: DataFrame) -> list[Column]:
+    """Conditions that cut the blocks into groups of neighbours."""
+    n = 1 + (pairs.agg(F.max("block")).first()[0] or 0)
+    number = min(GROUPS, max(1, n // GROUP_BLOCKS))
+    ends = [n * g // number for g in range(number + 1)]
+    return [(F.col("block") >= a) & (F.col("block") < b) for a, b in zip(ends, ends[1:])]
 
 
-def _weight_rows(given: DataFrame, k: int, part_words: int) -> DataFrame:
+def _weight_rows(weights: DataFrame, k: int, part_words: int) -> DataFrame:
     """(index, l0, l1, ...) of the parts' arrays."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,7 +345,7 @@ def _weight_rows(given: DataFrame, k: int, part_words: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([_ints(np.arange(len(x)) + part * part_words), *map(pa.array, x.T.copy())],
                                                  names=["index", *(f"l{t}" for t in range(k))])
 
-    return materialize(given.where("block is null").select("part", "x").mapInArrow(
+    return materialize(weights.select("part", "x").mapInArrow(
         work, "index int, " + ", ".join(f"l{t} double" for t in range(k))))
 
 
@@ -323,9 +359,9 @@ def _shares(pairs: DataFrame, state: DataFrame | None, k: int) -> DataFrame:
             .select("doc", F.array(*[F.get("x", F.col("i") + F.col("size") * t) for t in range(k)]).alias("shares")))
 
 
-def _weight_sums(given: DataFrame, k: int, eta: float, n_words: int) -> tuple[list[float], float]:
+def _weight_sums(weights: DataFrame, k: int, eta: float, n_words: int) -> tuple[list[float], float]:
     """The topics' totals and the weights' part of the bound, from k totals and a partial bound of each part."""
-    row = given.where("block is null").agg(*[F.sum(F.col("stats")[i]) for i in range(k + 1)]).first()
+    row = weights.agg(*[F.sum(F.col("stats")[i]) for i in range(k + 1)]).first()
     if row[0] is None:
         return [0.0] * k, 0.0
     totals = np.array([float(v) for v in row[:k]])

@@ -130,7 +130,7 @@ def ml_gmm(spark, sf):
 # fixed values: language codes and the stop-word lists' names
 STOP_WORDS = {"en": "english", "de": "german", "es": "spanish", "fr": "french"}
 LDA_TOPICS, LDA_PASSES = 5, 10
-LDA_BLOCK_BYTES, LDA_LEAST_BYTES = 32 << 20, 1 << 20  # text of a block, at most and at least
+LDA_BLOCK_BYTES, LDA_LEAST_BYTES = 12 << 20, 1 << 20  # text of a block, at most and at least
 
 
 def lda_words(docs: DataFrame) -> DataFrame:

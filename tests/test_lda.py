@@ -90,3 +90,24 @@ def test_rows_travel_by_block_and_part(spark):
                                      (None, "d", 1.0)], "doc long, word string, n double")
     a, b = (L.fit_lda(x, 2, 3, 1) for x in (df, counted))
     assert a.bounds == pytest.approx(b.bounds, rel=1e-9) and a.totals == pytest.approx(b.totals, rel=1e-9)
+
+
+def test_the_disk_holds_one_pass(spark, monkeypatch):
+    """What a pass wrote goes with the next: more passes leave no more tables; groups of blocks change nothing."""
+    import os
+
+    from tessera.session import checkpoint_root
+
+    monkeypatch.setattr(L, "GROUP_BLOCKS", 2)
+    root = checkpoint_root(spark).removeprefix("file:") + "/tessera-scratch"
+    folders = lambda: len(os.listdir(root)) if os.path.isdir(root) else 0
+    left = []
+    for passes in (2, 5):
+        before = folders()
+        model = L.fit_lda(planted(spark, 6), 3, passes, 5, 900)
+        left.append(folders() - before)
+    assert left[0] == left[1]
+    assert model.shares.count() == 240 and len(model.bounds) == 5
+    monkeypatch.setattr(L, "GROUPS", 1)
+    one = L.fit_lda(planted(spark, 6), 3, 5, 5, 900)
+    assert one.bounds == pytest.approx(model.bounds, rel=1e-9) and one.totals == pytest.approx(model.totals, rel=1e-9)
